@@ -1,0 +1,37 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when its row count is at or under this bound.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+# Bound on the number of distinct values read back to the driver for a pivot.
+DEFAULT_MAX_LEVELS = 10_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` as is.
+
+    The count runs one small job on the lookup side only.  Beyond the bound
+    the planner keeps a shuffle join (sort-merge, with AQE skew splitting),
+    so a lookup that grows with the data never gets copied to every executor.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def distinct_values_bounded(df: DataFrame, col: str,
+                            max_values: int = DEFAULT_MAX_LEVELS) -> list:
+    """Sorted distinct non-NULL values of a categorical column.
+
+    Reads at most ``max_values + 1`` values back and fails (rather than
+    truncating) if there are more: the caller asked for a pivot over a column
+    that is not categorical.
+    """
+    rows = (df.select(col).where(F.col(col).isNotNull()).distinct()
+            .limit(max_values + 1).collect())
+    if len(rows) > max_values:
+        raise ValueError(f"{col} has more than {max_values} distinct values; pass them explicitly")
+    return sorted(r[0] for r in rows)
