@@ -27,11 +27,11 @@ def parse_date(c: ColumnOrName, pattern: str = "M/d/yyyy") -> Column:
     """Text to date; unparsable text becomes NULL instead of failing the job.
 
     ``M/d/yyyy`` rejects two-digit years such as ``1/2/15`` where ``M/d/y``
-    would read year 15.  A value that is already a date or timestamp is
-    only cast.
+    would read year 15.  For a column already typed as a date or timestamp,
+    use :func:`as_date` (see :func:`typed_date`).
     """
     c = _col(c)
-    return F.try_to_date(null_if_text(c.cast("string")), F.lit(pattern))
+    return F.try_to_date(null_if_text(c.cast("string")), pattern)
 
 
 def as_date(c: ColumnOrName) -> Column:
@@ -39,13 +39,29 @@ def as_date(c: ColumnOrName) -> Column:
     return F.try_to_date(_col(c).cast("string"))
 
 
+def typed_date(df, name: str, pattern: str = "M/d/yyyy") -> Column:
+    """Date from column ``name`` of ``df``: cast if already a date or timestamp,
+    parsed with ``pattern`` if text."""
+    from pyspark.sql import types as T
+    if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.col(name).cast("date")
+    return parse_date(name, pattern)
+
+
 def date_with_fallback(start: ColumnOrName, end: ColumnOrName | None,
-                       pattern: str = "M/d/yyyy") -> Column:
-    """Start date, else end date: both parsed, both sentinel-aware."""
-    first = parse_date(start, pattern)
+                       pattern: str = "M/d/yyyy", df=None) -> Column:
+    """Start date, else end date: both parsed, both sentinel-aware.
+
+    With ``df`` given, columns already typed as dates are cast, not parsed.
+    """
+    def one(c):
+        if df is not None and isinstance(c, str):
+            return typed_date(df, c, pattern)
+        return parse_date(c, pattern)
+    first = one(start)
     if end is None:
         return first
-    return F.coalesce(first, parse_date(end, pattern))
+    return F.coalesce(first, one(end))
 
 
 def month_start(c: ColumnOrName) -> Column:
