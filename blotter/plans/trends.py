@@ -60,3 +60,166 @@ def q_growth_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = monthly_trend(incidents(spark, sf_dir), "o_orderdate", moderate=10.0, surge=20.0,
                       period=(date(1998, 3, 1), date(2000, 12, 1)))
     return rounded(t.select("month", "growth_pct", "class", "in_period"))
+
+
+@register("monthly_trend_by", """
+WITH m AS (
+  SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS cnt
+  FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2
+), s AS (
+  SELECT o_orderpriority, month, cnt,
+         CASE WHEN count(cnt) OVER w12 = 12 THEN avg(cnt) OVER w12 END AS ma12,
+         lag(cnt, 12) OVER w AS prev12
+  FROM m
+  WINDOW w AS (PARTITION BY o_orderpriority ORDER BY month),
+         w12 AS (PARTITION BY o_orderpriority ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)
+), g AS (SELECT *, (cnt - prev12) / nullif(prev12, 0) * 100 AS growth_pct FROM s)
+SELECT o_orderpriority, month, cnt, round(ma12, 6) AS ma12, prev12,
+       round(growth_pct, 6) AS growth_pct,
+       CASE WHEN growth_pct IS NULL THEN NULL WHEN growth_pct >= 20.0 THEN 'surge'
+            WHEN growth_pct <= -20.0 THEN 'drop' WHEN abs(growth_pct) >= 10.0 THEN 'moderate'
+            ELSE 'steady' END AS class,
+       month BETWEEN DATE '2020-03-01' AND DATE '2022-12-01' AS in_period
+FROM g
+""")
+def q_monthly_trend_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 with ``by``: one series per priority, computed in one pass."""
+    return rounded(monthly_trend(incidents(spark, sf_dir), "o_orderdate", by=["o_orderpriority"]))
+
+
+def holed_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents with level F removed in 1997-05: one month missing in one level."""
+    df = incidents(spark, sf_dir)
+    hole = (F.col("o_orderstatus") == "F") & (F.trunc("o_orderdate", "month") == F.lit(date(1997, 5, 1)))
+    return df.where(~hole)
+
+
+LEVEL_BASE_SQL = """
+WITH base AS (
+  SELECT CAST(o_orderdate AS DATE) AS d, o_orderstatus AS level FROM orders
+  WHERE NOT (o_orderstatus = 'F' AND CAST(date_trunc('month', o_orderdate) AS DATE) = DATE '1997-05-01')
+), counts AS (
+  SELECT CAST(date_trunc('month', d) AS DATE) AS month, level, count(*) AS cnt
+  FROM base WHERE d IS NOT NULL AND level IS NOT NULL GROUP BY 1, 2
+), grid AS (
+  SELECT m.month, l.level, c.cnt
+  FROM (SELECT DISTINCT month FROM counts) m
+  CROSS JOIN (SELECT DISTINCT level FROM counts) l
+  LEFT JOIN counts c ON c.month = m.month AND c.level = l.level
+), trend AS (
+  SELECT month, level, cnt,
+         CASE WHEN count(cnt) OVER w = 12 THEN avg(cnt) OVER w END AS ma12
+  FROM grid
+  WINDOW w AS (PARTITION BY level ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)
+)
+"""
+
+
+@register("level_trend", LEVEL_BASE_SQL + "SELECT month, level, cnt, round(ma12, 6) AS ma12 FROM trend")
+def q_level_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: dense month × level grid; the hole blanks 12 means of level F."""
+    return rounded(level_trend(holed_levels(spark, sf_dir), "o_orderdate", "o_orderstatus"))
+
+
+@register("level_wide", LEVEL_BASE_SQL + """
+SELECT month,
+       max(CASE WHEN level = 'F' THEN cnt END) AS "F",
+       max(CASE WHEN level = 'O' THEN cnt END) AS "O",
+       max(CASE WHEN level = 'P' THEN cnt END) AS "P"
+FROM grid GROUP BY month
+""")
+def q_level_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same grid, one column per level."""
+    return level_wide(holed_levels(spark, sf_dir), "o_orderdate", "o_orderstatus",
+                      levels=["F", "O", "P"])
+
+
+@register("level_endpoints", LEVEL_BASE_SQL + """
+, ranked AS (
+  SELECT level, ma12,
+         row_number() OVER (PARTITION BY level ORDER BY month) AS rn,
+         row_number() OVER (PARTITION BY level ORDER BY month DESC) AS rd
+  FROM trend
+)
+SELECT level, round(max(CASE WHEN rn = 12 THEN ma12 END), 6) AS ma_row12,
+       round(max(CASE WHEN rd = 1 THEN ma12 END), 6) AS ma_last
+FROM ranked GROUP BY level
+""")
+def q_level_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10: first complete and last moving average per level, by position."""
+    t = level_trend(holed_levels(spark, sf_dir), "o_orderdate", "o_orderstatus",
+                    levels=["F", "O", "P"])
+    return rounded(level_endpoints(t))
+
+
+# Category groups over the order priorities (the reference groups offence types).
+PRIORITY_GROUPS = {
+    "urgent": ["1-URGENT", "2-HIGH"],
+    "medium": ["3-MEDIUM"],
+    "low": ["4-NOT SPECIFIED", "5-LOW"],
+}
+
+
+@register("category_group_trend", """
+WITH t AS (
+  SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'urgent'
+              WHEN o_orderpriority = '3-MEDIUM' THEN 'medium'
+              WHEN o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW') THEN 'low' END AS grp,
+         CAST(o_orderdate AS DATE) AS d
+  FROM orders
+  WHERE o_orderpriority IS NOT NULL AND o_orderpriority NOT IN ('(null)', 'UNKNOWN')
+), m AS (
+  SELECT grp, CAST(date_trunc('month', d) AS DATE) AS month, count(*) AS cnt
+  FROM t WHERE grp IS NOT NULL AND d IS NOT NULL GROUP BY 1, 2
+), s AS (
+  SELECT grp, month, cnt,
+         CASE WHEN count(cnt) OVER w12 = 12 THEN avg(cnt) OVER w12 END AS ma12,
+         lag(cnt, 12) OVER w AS prev12
+  FROM m
+  WINDOW w AS (PARTITION BY grp ORDER BY month),
+         w12 AS (PARTITION BY grp ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)
+), g AS (SELECT *, (cnt - prev12) / nullif(prev12, 0) * 100 AS growth_pct FROM s)
+SELECT grp, month, cnt, round(ma12, 6) AS ma12, prev12, round(growth_pct, 6) AS growth_pct,
+       CASE WHEN growth_pct IS NULL THEN NULL WHEN growth_pct >= 20.0 THEN 'surge'
+            WHEN growth_pct <= -20.0 THEN 'drop' WHEN abs(growth_pct) >= 10.0 THEN 'moderate'
+            ELSE 'steady' END AS class,
+       month BETWEEN DATE '2020-03-01' AND DATE '2022-12-01' AS in_period
+FROM g
+""")
+def q_category_group_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4: priorities rolled into three groups, one trend per group, one pass."""
+    return rounded(category_group_trend(incidents(spark, sf_dir), "o_orderdate",
+                                        "o_orderpriority", PRIORITY_GROUPS))
+
+
+def segment_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents with a victim-group-like column: the customer's segment, where
+    AUTOMOBILE reads as NULL and HOUSEHOLD as the text ``(null)``."""
+    cust = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(None).cast("string"))
+        .when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("(null)"))
+        .otherwise(F.col("c_mktsegment")).alias("segment"))
+    return incidents(spark, sf_dir).join(cust, F.col("o_custkey") == F.col("c_custkey"), "inner")
+
+
+@register("group_share", """
+WITH j AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS d,
+         CASE c.c_mktsegment WHEN 'AUTOMOBILE' THEN NULL WHEN 'HOUSEHOLD' THEN '(null)'
+              ELSE c.c_mktsegment END AS segment
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+), m AS (
+  SELECT CAST(date_trunc('month', d) AS DATE) AS month,
+         count(*) FILTER (WHERE segment = 'BUILDING') AS part, count(*) AS total
+  FROM j WHERE d IS NOT NULL AND segment IS NOT NULL AND segment NOT IN ('(null)', 'UNKNOWN')
+  GROUP BY 1
+), p AS (SELECT *, part / nullif(total, 0) * 100 AS percent FROM m WHERE part > 0)
+SELECT month, part, total, round(percent, 6) AS percent,
+       round(CASE WHEN count(percent) OVER w = 12 THEN avg(percent) OVER w END, 6) AS ma12
+FROM p WINDOW w AS (ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)
+""")
+def q_group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5: monthly share of BUILDING among known segments, with its 12-month mean."""
+    return rounded(group_share(segment_incidents(spark, sf_dir), "o_orderdate", "segment",
+                               "BUILDING"))
