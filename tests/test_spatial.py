@@ -1,0 +1,97 @@
+"""Point-in-polygon rules (D23): inside, outside, edge, vertex, hole, second
+part, overlap, NULL; GeoJSON reading (S5, S6); cell-size independence;
+equality with a brute-force ray test."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.operators.spatial import locate, polygon_edges
+from blotter.sources.geojson import area_dimension, read_areas, read_features
+
+from conftest import rows
+
+SQUARE_WITH_HOLE = [[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]],
+                    [[1, 1], [1, 3], [3, 3], [3, 1], [1, 1]]]
+TWO_PARTS = [[[[10, 0], [11, 0], [11, 1], [10, 1], [10, 0]]],
+             [[[12, 0], [13, 0], [13, 1], [12, 1]]]]          # second ring left open
+TRIANGLE = [[[3, 3], [6, 3], [3, 6], [3, 3]]]                  # overlaps the square's corner
+
+
+def _features(tmp_path, lines=False):
+    feats = [
+        {"type": "Feature", "properties": {"ntacode": "A", "ntaname": "Square, with hole"},
+         "geometry": {"type": "Polygon", "coordinates": SQUARE_WITH_HOLE}},
+        {"type": "Feature", "properties": {"ntacode": "B", "ntaname": "Parts"},
+         "geometry": {"type": "MultiPolygon", "coordinates": TWO_PARTS}},
+        {"type": "Feature", "properties": {"ntacode": "C", "ntaname": "Triangle"},
+         "geometry": {"type": "Polygon", "coordinates": TRIANGLE}},
+        {"type": "Feature", "properties": {"ntacode": "C", "ntaname": "Triangle"},
+         "geometry": {"type": "Polygon", "coordinates": [[[50, 50], [51, 50], [51, 51], [50, 50]]]}},
+    ]
+    p = tmp_path / ("areas.jsonl" if lines else "areas.geojson")
+    if lines:
+        p.write_text("\n".join(json.dumps(f) for f in feats) + "\n")
+    else:
+        p.write_text(json.dumps({"type": "FeatureCollection", "features": feats}, indent=2))
+    return str(p)
+
+
+POINTS = [
+    ("inside", 0.5, 0.5), ("outside", -1.0, 2.0), ("edge", 0.0, 2.0), ("vertex", 4.0, 4.0),
+    ("hole", 2.0, 2.0), ("hole_edge", 1.0, 2.0), ("second_part", 12.5, 0.5),
+    ("gap", 11.5, 0.5), ("overlap", 3.5, 3.5), ("null", None, 1.0), ("tri_edge", 4.5, 4.5),
+    ("top_edge_of_part", 12.5, 1.0),
+]
+
+
+@pytest.mark.parametrize("lines", [False, True])
+def test_locate_boundary_rules(spark, tmp_path, lines):
+    areas = read_areas(spark, _features(tmp_path, lines), ["ntacode", "ntaname"], lines=lines)
+    pts = spark.createDataFrame(POINTS, "pid string, longitude double, latitude double")
+    got = rows(locate(pts, areas, area_col="ntacode", cell_size=1.0), "pid", "ntacode")
+    # (4, 4) is a vertex of A (dropped there) but strictly inside triangle C
+    assert got == [("inside", "A"), ("overlap", "A"), ("overlap", "C"), ("second_part", "B"),
+                   ("vertex", "C")]
+
+
+def test_locate_cell_size_independent(spark, tmp_path):
+    areas = read_areas(spark, _features(tmp_path), ["ntacode"])
+    rnd = random.Random(7)
+    pts = spark.createDataFrame(
+        [(i, rnd.choice([rnd.uniform(-1, 14), float(rnd.randint(-1, 14)) / 2]),
+          rnd.choice([rnd.uniform(-1, 7), float(rnd.randint(-1, 14)) / 2])) for i in range(3000)],
+        "pid int, longitude double, latitude double")
+    ref = rows(locate(pts, areas, area_col="ntacode", cell_size=0.37, strip_height=0.05))
+    for cs, sh in ((5.0, 5.0), (0.25, None), (None, None)):
+        assert rows(locate(pts, areas, area_col="ntacode", cell_size=cs, strip_height=sh)) == ref
+
+    # brute force in plain Python over the same edges
+    edges = [tuple(r) for r in polygon_edges(areas, "ntacode").collect()]
+    expect = []
+    for pid, x, y in (tuple(r) for r in pts.collect()):
+        by_area = {}
+        for a, x1, y1, x2, y2 in edges:
+            n, on = by_area.get(a, (0, False))
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                n += 1
+            if ((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) == 0
+                    and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)):
+                on = True
+            by_area[a] = (n, on)
+        expect += [(pid, x, y, a) for a, (n, on) in by_area.items() if n % 2 == 1 and not on]
+    assert ref == sorted(expect, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_area_dimension_distinct(spark, tmp_path):
+    feats = read_features(spark, _features(tmp_path), ["ntacode", "ntaname"])
+    assert rows(area_dimension(feats)) == [("A", "Square, with hole"), ("B", "Parts"), ("C", "Triangle")]
+
+
+def test_edges_close_open_rings(spark, tmp_path):
+    areas = read_areas(spark, _features(tmp_path), ["ntacode"])
+    e = polygon_edges(areas, "ntacode")
+    counts = dict(rows(e.groupBy("ntacode").agg(F.count(F.lit(1)))))
+    assert counts == {"A": 8, "B": 8, "C": 6}
