@@ -15,11 +15,16 @@ Plan, all built-in expressions (no Python per row):
    ``strip_height`` its y-range touches, and gathered per (area, strip).
    Every edge that can cross a point's rightward ray, or contain the point,
    has the point's y in its y-range, so it is in the point's strip.
-4. Per candidate, one pass over the strip's edges counts ray crossings
-   (even-odd over all rings and parts: holes and multipart areas work) and
-   tests whether the point lies on an edge (exact, on the given doubles).
+4. Cells that no edge touches are wholly inside or outside an area; that is
+   decided once per cell on the polygon side.  Outside cells are dropped
+   from the candidate table and points in inside cells match with no edge
+   test.  Only points in boundary cells take the exact test: one pass over
+   the strip's edges counts ray crossings (even-odd over all rings and parts:
+   holes and multipart areas work) and checks whether the point lies on an
+   edge (exact, on the given doubles).
 
 Both lookup tables grow with the polygons, never with the points; they are
+persisted once (small; a lost block is recomputed from the polygons),
 broadcast when their row counts are within the bound and shuffle-joined
 otherwise.  Cell and strip sizes change only the speed, never the result.
 """
@@ -68,8 +73,12 @@ def polygon_edges(areas: DataFrame, area_col: str = "area", geom_col: str = "geo
     return rings.select(area_col, F.inline(segs))
 
 
-def default_cell_size(edges: DataFrame, area_col: str = "area", per_side: int = 4) -> float:
-    """A cell side of about a quarter of the median area's bounding-box side.
+def default_cell_size(edges: DataFrame, area_col: str = "area", per_side: int = 16) -> float:
+    """A cell side of about 1/16 of the median area's bounding-box side.
+
+    Fine enough that most points of a typical area fall in cells no edge
+    touches (decided without an edge test), coarse enough that the cell
+    table stays a few hundred rows per area.
 
     Computed on the (small) edge table with an approximate median: one
     number comes back to the driver.
@@ -83,19 +92,6 @@ def default_cell_size(edges: DataFrame, area_col: str = "area", per_side: int =
     return float(side) / per_side
 
 
-def area_cells(edges: DataFrame, cell_size: float, area_col: str = "area") -> DataFrame:
-    """Cells ``(cx, cy, area)`` covering each area's bounding box."""
-    r = F.lit(cell_size)
-    boxes = edges.groupBy(area_col).agg(
-        F.floor(F.min(F.least("x1", "x2")) / r).alias("_x0"),
-        F.floor(F.max(F.greatest("x1", "x2")) / r).alias("_x1"),
-        F.floor(F.min(F.least("y1", "y2")) / r).alias("_y0"),
-        F.floor(F.max(F.greatest("y1", "y2")) / r).alias("_y1"))
-    return (boxes
-            .select(area_col, "_y0", "_y1", F.explode(F.sequence("_x0", "_x1")).alias("cx"))
-            .select(area_col, "cx", F.explode(F.sequence("_y0", "_y1")).alias("cy")))
-
-
 def strip_edges(edges: DataFrame, strip_height: float, area_col: str = "area") -> DataFrame:
     """Edges gathered per (area, strip) for every strip their y-range touches."""
     s = F.lit(strip_height)
@@ -121,6 +117,56 @@ def _on_edge(px: Column, py: Column, e: Column) -> Column:
             & py.between(F.least(y1, y2), F.greatest(y1, y2)))
 
 
+def strictly_inside(px: Column, py: Column, edges: Column) -> Column:
+    """Odd number of ray crossings and on no edge: the exact test."""
+    crossings = F.aggregate(edges, F.lit(0),
+                            lambda n, e: n + F.when(_crossing(px, py, e), F.lit(1)).otherwise(F.lit(0)))
+    return (crossings % 2 == 1) & ~F.exists(edges, lambda e: _on_edge(px, py, e))
+
+
+CELL_IN, CELL_EDGE = "in", "edge"
+
+
+def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_height: float,
+               area_col: str = "area") -> DataFrame:
+    """Cells ``(cx, cy, area, status)`` of each area's bounding box that can hold
+    inside points.
+
+    ``edge``: some edge's bounding box touches the closed cell, so points
+    there need the exact test.  Cells no edge touches are wholly inside or
+    wholly outside the area: their centre decides, by the exact test, once
+    per cell.  Outside cells are left out, so their points meet no candidate.
+    """
+    r = F.lit(cell_size)
+    boxes = edges.groupBy(area_col).agg(
+        F.floor(F.min(F.least("x1", "x2")) / r).alias("_x0"),
+        F.floor(F.max(F.greatest("x1", "x2")) / r).alias("_x1"),
+        F.floor(F.min(F.least("y1", "y2")) / r).alias("_y0"),
+        F.floor(F.max(F.greatest("y1", "y2")) / r).alias("_y1"))
+    every = (boxes
+             .select(area_col, "_y0", "_y1", F.explode(F.sequence("_x0", "_x1")).alias("cx"))
+             .select(area_col, "cx", F.explode(F.sequence("_y0", "_y1")).alias("cy")))
+    # cells whose closed square an edge's bounding box touches
+    touched = (edges
+               .select(area_col,
+                       F.explode(F.sequence(F.ceil(F.least("x1", "x2") / r) - 1,
+                                            F.floor(F.greatest("x1", "x2") / r))).alias("cx"),
+                       F.ceil(F.least("y1", "y2") / r).alias("_c0"),
+                       F.floor(F.greatest("y1", "y2") / r).alias("_c1"))
+               .select(area_col, "cx", F.explode(F.sequence(F.col("_c0") - 1, F.col("_c1"))).alias("cy"))
+               .distinct())
+    edge_cells = every.join(touched, [area_col, "cx", "cy"], "left_semi") \
+        .withColumn("status", F.lit(CELL_EDGE))
+    free = every.join(touched, [area_col, "cx", "cy"], "left_anti")
+    cx_mid = (F.col("cx") + F.lit(0.5)) * r
+    cy_mid = (F.col("cy") + F.lit(0.5)) * r
+    centred = free.withColumn("sy", F.floor(cy_mid / F.lit(strip_height)))
+    inside = (centred.join(strips, [area_col, "sy"], "inner")
+              .where(strictly_inside(cx_mid, cy_mid, F.col("_edges")))
+              .select(area_col, "cx", "cy", F.lit(CELL_IN).alias("status")))
+    return edge_cells.unionByName(inside)
+
+
 def locate(points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "latitude",
            area_col: str = "area", geom_col: str = "geometry",
            cell_size: float | None = None, strip_height: float | None = None) -> DataFrame:
@@ -131,29 +177,25 @@ def locate(points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "
     must be in the same system; nothing is reprojected.  Points with a NULL
     coordinate match nothing.
     """
-    edges = polygon_edges(areas, area_col, geom_col)
+    # polygon-side tables are small and read several times (cell size, both
+    # lookup tables, their size checks): materialise them once
+    edges = polygon_edges(areas, area_col, geom_col).persist()
     if cell_size is None:
         cell_size = default_cell_size(edges, area_col)
     if strip_height is None:
         strip_height = cell_size / 8
-    cells = area_cells(edges, cell_size, area_col)
-    strips = strip_edges(edges, strip_height, area_col)
+    strips = strip_edges(edges, strip_height, area_col).persist()
+    cells = area_cells(edges, cell_size, strips, strip_height, area_col).persist()
 
     px, py = F.col(x), F.col(y)
     keyed = points.where(px.isNotNull() & py.isNotNull()).withColumns({
         "cx": F.floor(px / F.lit(cell_size)),
-        "cy": F.floor(py / F.lit(cell_size)),
-        "sy": F.floor(py / F.lit(strip_height))})
+        "cy": F.floor(py / F.lit(cell_size))})
     cand = keyed.join(bounded_broadcast(cells), ["cx", "cy"], "inner")
-    tested = cand.join(bounded_broadcast(strips), [area_col, "sy"], "inner")
-
-    init = F.struct(F.lit(0).alias("n"), F.lit(False).alias("on"))
-    acc = F.aggregate(
-        "_edges", init,
-        lambda a, e: F.struct(
-            (a["n"] + F.when(_crossing(px, py, e), F.lit(1)).otherwise(F.lit(0))).alias("n"),
-            (a["on"] | _on_edge(px, py, e)).alias("on")))
-    out_cols = [*points.columns, area_col]
-    return (tested.withColumn("_t", acc)
-            .where((F.col("_t.n") % 2 == 1) & ~F.col("_t.on"))
-            .select(*out_cols))
+    # only points in boundary cells look up edges; the others carry a NULL key
+    cand = cand.withColumn("sy", F.when(F.col("status") == CELL_EDGE,
+                                        F.floor(py / F.lit(strip_height))))
+    tested = cand.join(bounded_broadcast(strips), [area_col, "sy"], "left")
+    keep = (F.col("status") == CELL_IN) | (
+        F.col("_edges").isNotNull() & strictly_inside(px, py, F.col("_edges")))
+    return tested.where(keep).select(*points.columns, area_col)
