@@ -1,0 +1 @@
+"""Structured Streaming form of the year-to-date feed (monthly counts)."""
