@@ -22,18 +22,25 @@ SPLIT_DEFAULT = date(2020, 4, 1)
 
 
 def _with_labels(agg: DataFrame, series: str, labels: Sequence[str] | None) -> DataFrame:
-    """Keep every labelled series, even one without rows (its values NULL)."""
+    """Report exactly the labelled series, one without rows with NULL values.
+
+    Filtered to the labels, the aggregate has at most ``len(labels)`` rows,
+    so broadcasting it is bounded.
+    """
     if labels is None:
         return agg
     spark = agg.sparkSession
     names = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in labels])).alias(series))
-    return names.join(agg, series, "left")
+    known = agg.where(F.col(series).isin(*labels))
+    return names.join(F.broadcast(known), series, "left")
 
 
 def before_after(monthly: DataFrame, split: date = SPLIT_DEFAULT, series: str = "band",
                  value: str = "cnt", labels: Sequence[str] | None = None) -> DataFrame:
     """Q11: mean monthly value before ``split`` (``<``) and from it on (``>=``).
 
+    With ``labels``, exactly those series are reported.
+
     ``change_pct`` = (after - before) / before * 100, NULL where a side has no
     months or the base is 0.
     """
