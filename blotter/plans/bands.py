@@ -124,3 +124,14 @@ def q_change_matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month × band matrix of changes, high band left out, Jan … Dec."""
     long = before_after_by_month(balance_band_trend(spark, sf_dir), SPLIT, labels=LABELS)
     return rounded(change_matrix_wide(long, ["low", "mid", "mid_high"]))
+
+
+@register("change_matrix_long", BY_MONTH_SQL + """
+SELECT month_no, month_name, band, round(change_pct, 6) AS change_pct FROM c WHERE band <> 'high'
+""")
+def q_change_matrix_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: the wide matrix melted back to (month, band, change)."""
+    from blotter.operators.compare import unpivot_matrix
+    long = before_after_by_month(balance_band_trend(spark, sf_dir), SPLIT, labels=LABELS)
+    wide = change_matrix_wide(long, ["low", "mid", "mid_high"])
+    return rounded(unpivot_matrix(wide, ["month_no", "month_name"]))

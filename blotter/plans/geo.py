@@ -190,3 +190,45 @@ def q_located_income_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = located_points(spark, sf_dir)
     enriched = enrich_area(located, income_lookup(spark, sf_dir), "ntacode", value_col="income")
     return rounded(band_trend(enriched, "l_shipdate", "income", INCOME_BANDS))
+
+
+@register("located_change_by_month", LOCATED_SQL + LOOKUP_SQL + """
+, banded AS (
+  SELECT p.l_shipdate,
+         CASE WHEN l.income BETWEEN 0 AND 41000 THEN 'Low Income'
+              WHEN l.income BETWEEN 41001 AND 72000 THEN 'Mid Income'
+              WHEN l.income BETWEEN 72001 AND 123000 THEN 'Mid-High Income'
+              WHEN l.income > 123001 THEN 'High Income' END AS band
+  FROM located p JOIN lookup l ON p.ntacode = l.ntacode
+  WHERE l.income IS NOT NULL AND l.income <> -1
+), m AS (
+  SELECT band, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS cnt
+  FROM banded WHERE band IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY 1, 2
+), labels AS (
+  SELECT * FROM (VALUES ('Low Income'), ('Mid Income'), ('Mid-High Income'), ('High Income')) v(band)
+), a AS (
+  SELECT band, CAST(month(month) AS INTEGER) AS month_no,
+         avg(CASE WHEN month < DATE '1996-04-01' THEN cnt END) AS b,
+         avg(CASE WHEN month >= DATE '1996-04-01' THEN cnt END) AS af
+  FROM m GROUP BY 1, 2
+), g AS (
+  SELECT CAST(r.month_no AS INTEGER) AS month_no, l.band,
+         coalesce(a.b, 0.0) AS before_avg, coalesce(a.af, 0.0) AS after_avg
+  FROM labels l CROSS JOIN range(1, 13) r(month_no)
+  LEFT JOIN a ON a.band = l.band AND a.month_no = r.month_no
+)
+SELECT month_no, strftime(make_date(2000, month_no, 1), '%b') AS month_name, band,
+       round(before_avg, 6) AS before_avg, round(after_avg, 6) AS after_avg,
+       round(CASE WHEN before_avg <> 0 THEN (after_avg - before_avg) / before_avg * 100 ELSE 0.0 END, 6)
+         AS change_pct
+FROM g
+""")
+def q_located_change_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 → Q8 → Q10 → Q12: the whole located pipeline ending in the month × band change."""
+    from datetime import date
+    from blotter.operators.compare import before_after_by_month
+    located = located_points(spark, sf_dir)
+    enriched = enrich_area(located, income_lookup(spark, sf_dir), "ntacode", value_col="income")
+    bands = band_trend(enriched, "l_shipdate", "income", INCOME_BANDS)
+    return rounded(before_after_by_month(bands, date(1996, 4, 1),
+                                         labels=[b.label for b in INCOME_BANDS]))

@@ -265,3 +265,37 @@ def q_top_dup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2/O3: the 20 most duplicated keys (a preview: the limit is the feature)."""
     return duplicate_keys(_union_input(spark, sf_dir), "o_orderkey", top=20)
 
+
+
+@register("integrated_trend", TEXT_SOURCES_SQL + """
+, r AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY o_orderkey
+      ORDER BY prio, incident_date NULLS FIRST, start_txt NULLS FIRST, end_txt NULLS FIRST,
+               o_orderstatus NULLS FIRST, o_orderpriority NULLS FIRST, o_custkey NULLS FIRST,
+               source NULLS FIRST) AS rn
+  FROM u
+), cur AS (
+  SELECT * FROM r WHERE rn = 1 AND incident_date IS NOT NULL AND incident_date >= DATE '1996-01-01'
+), m AS (
+  SELECT CAST(date_trunc('month', incident_date) AS DATE) AS month,
+         CAST(year(incident_date) AS VARCHAR) || '-' || CAST(month(incident_date) AS VARCHAR) AS year_month,
+         count(*) AS cnt
+  FROM cur GROUP BY 1, 2
+)
+SELECT month, year_month, cnt,
+       round(CASE WHEN count(cnt) OVER w12 = 12 THEN avg(cnt) OVER w12 END, 6) AS ma12,
+       lag(cnt, 12) OVER w AS prev12
+FROM m
+WINDOW w AS (ORDER BY month), w12 AS (ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)
+""")
+def q_integrated_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 → Q2: the curated table feeds the monthly trend (month key, text label kept)."""
+    from blotter.operators.trend import add_trend_metrics
+    from blotter.plans.catalog import rounded
+    cur = integrate_incidents(text_sources(spark, sf_dir), SPEC)
+    m = (cur.groupBy(F.trunc("incident_date", "month").alias("month"), "year_month")
+         .agg(F.count(F.lit(1)).alias("cnt")))
+    t = add_trend_metrics(m, by=())
+    return rounded(t.join(m.select("month", "year_month"), "month")
+                   .select("month", "year_month", "cnt", "ma12", "prev12"))

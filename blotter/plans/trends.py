@@ -223,3 +223,55 @@ def q_group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: monthly share of BUILDING among known segments, with its 12-month mean."""
     return rounded(group_share(segment_incidents(spark, sf_dir), "o_orderdate", "segment",
                                "BUILDING"))
+
+
+@register("monthly_labels", """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+       strftime(CAST(date_trunc('month', o_orderdate) AS DATE), '%Y-%m') AS label_padded,
+       CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(month(o_orderdate) AS VARCHAR) AS label_unpadded,
+       count(*) AS cnt
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, 3
+""")
+def q_monthly_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 with C4/C7/C8: month key with its padded and unpadded text labels."""
+    from blotter.functions.dates import month_label
+    from blotter.operators.trend import monthly_counts
+    m = monthly_counts(incidents(spark, sf_dir), "o_orderdate")
+    return m.select("month", month_label("month", True).alias("label_padded"),
+                    month_label("month", False).alias("label_unpadded"), "cnt")
+
+
+@register("category_group_table", """
+WITH g AS (
+  SELECT DISTINCT o_orderpriority,
+         CASE WHEN o_orderpriority < '3' THEN 'urgent' ELSE 'routine' END AS grp
+  FROM orders WHERE o_orderpriority IS NOT NULL
+), t AS (
+  SELECT g.grp, CAST(o.o_orderdate AS DATE) AS d
+  FROM orders o JOIN g ON o.o_orderpriority = g.o_orderpriority
+  WHERE o.o_orderpriority NOT IN ('(null)', 'UNKNOWN')
+), m AS (
+  SELECT grp, CAST(date_trunc('month', d) AS DATE) AS month, count(*) AS cnt
+  FROM t WHERE d IS NOT NULL GROUP BY 1, 2
+), s AS (
+  SELECT grp, month, cnt,
+         CASE WHEN count(cnt) OVER w12 = 12 THEN avg(cnt) OVER w12 END AS ma12,
+         lag(cnt, 12) OVER w AS prev12
+  FROM m
+  WINDOW w AS (PARTITION BY grp ORDER BY month),
+         w12 AS (PARTITION BY grp ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)
+), g2 AS (SELECT *, (cnt - prev12) / nullif(prev12, 0) * 100 AS growth_pct FROM s)
+SELECT grp, month, cnt, round(ma12, 6) AS ma12, prev12, round(growth_pct, 6) AS growth_pct,
+       CASE WHEN growth_pct IS NULL THEN NULL WHEN growth_pct >= 20.0 THEN 'surge'
+            WHEN growth_pct <= -20.0 THEN 'drop' WHEN abs(growth_pct) >= 10.0 THEN 'moderate'
+            ELSE 'steady' END AS class,
+       month BETWEEN DATE '2020-03-01' AND DATE '2022-12-01' AS in_period
+FROM g2
+""")
+def q_category_group_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 with the mapping given as a table derived from the data (joined, bounded broadcast)."""
+    inc = incidents(spark, sf_dir)
+    mapping = (inc.select("o_orderpriority").where(F.col("o_orderpriority").isNotNull()).distinct()
+               .withColumn("grp", F.when(F.col("o_orderpriority") < "3", "urgent")
+                           .otherwise("routine")))
+    return rounded(category_group_trend(inc, "o_orderdate", "o_orderpriority", mapping))
