@@ -11,15 +11,18 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotter import schemas
-from blotter.functions.categorical import INCOME_BANDS
+from blotter.functions.categorical import INCOME_BANDS, band_of
+from blotter.functions.series import series_window, strict_moving_avg
 from blotter.operators.compare import (
     SPLIT_DEFAULT, before_after, before_after_by_month, change_matrix_wide)
 from blotter.operators.enrich import enrich_area
 from blotter.operators.integrate import IncidentSource, IntegrateSpec, integrate_incidents
 from blotter.operators.spatial import locate
-from blotter.operators.trend import band_trend, monthly_trend
+from blotter.operators.trend import add_trend_metrics, monthly_counts
+from blotter.session import cut_lineage
 from blotter.sources.files import read_csv_text, read_csv_typed
 from blotter.sources.geojson import read_areas
 
@@ -68,12 +71,26 @@ def read_neighbourhoods(spark: SparkSession, geojson_path: str, incomes_csv: str
 
 
 def shooting_report(located: DataFrame, split: date = SPLIT_DEFAULT,
-                    drop_band: str = "High Income") -> dict[str, DataFrame]:
-    bands = band_trend(located, "occur_date", "income", INCOME_BANDS)
+                    drop_band: str = "High Income", cut: bool = True) -> dict[str, DataFrame]:
+    """Trend and comparison tables from one pass over the located incidents.
+
+    The located table is aggregated once to (band, month) counts, NULL band
+    included so the all-incident total comes from the same pass; with
+    ``cut`` that small table is checkpointed to the shared checkpoint folder,
+    so the five outputs never re-run the spatial join.
+    """
+    banded = located.withColumn("band", band_of("income", INCOME_BANDS))
+    counts = monthly_counts(banded, "occur_date", by=["band"])
+    if cut:
+        counts = cut_lineage(counts)
+    total = counts.groupBy("month").agg(F.sum("cnt").alias("cnt"))
+    w = series_window("month", ["band"])
+    bands = (counts.where(F.col("band").isNotNull())
+             .select("band", "month", "cnt", strict_moving_avg("cnt", w).alias("ma12")))
     labels = [b.label for b in INCOME_BANDS]
     by_month = before_after_by_month(bands, split, labels=labels)
     return {
-        "monthly_trend": monthly_trend(located, "occur_date"),
+        "monthly_trend": add_trend_metrics(total),
         "band_trend": bands,
         "before_after": before_after(bands, split, labels=labels),
         "before_after_by_month": by_month,

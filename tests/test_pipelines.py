@@ -136,3 +136,20 @@ def test_lookup_reader_types(spark, tmp_path):
     df = read_csv_typed(spark, p, INCOME_LOOKUP_SCHEMA)
     assert df.columns == ["ntacode", "ntaname", "income"]
     assert rows(df) == [("X1", "A", 10), ("X2", "B", None)]
+
+
+def test_cli_areas_written_only_if_absent(spark, tmp_path):
+    from blotter.__main__ import main
+    geo = tmp_path / "a.geojson"
+    geo.write_text(json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"ntacode": "A1", "ntaname": "Name, with comma"},
+         "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}},
+        {"type": "Feature", "properties": {"ntacode": "A1", "ntaname": "Name, with comma"},
+         "geometry": {"type": "Polygon", "coordinates": [[[2, 0], [3, 0], [3, 1], [2, 0]]]}}]}))
+    out = str(tmp_path / "names")
+    main(["areas", str(geo), out])
+    back = spark.read.option("header", True).csv(out)
+    assert rows(back) == [("A1", "Name, with comma")]
+    geo.write_text(json.dumps({"type": "FeatureCollection", "features": []}))
+    main(["areas", str(geo), out])                          # present: left as is
+    assert spark.read.option("header", True).csv(out).count() == 1
