@@ -24,9 +24,9 @@ Plan, all built-in expressions (no Python per row):
    edge (exact, on the given doubles).
 
 Both lookup tables grow with the polygons, never with the points; they are
-persisted once (small; a lost block is recomputed from the polygons),
-broadcast when their row counts are within the bound and shuffle-joined
-otherwise.  Cell and strip sizes change only the speed, never the result.
+materialised once (a reliable checkpoint into the shared checkpoint folder,
+which also keeps later plans short), broadcast when their row counts are
+within the bound and shuffle-joined otherwise.  Cell and strip sizes change only the speed, never the result.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.operators.joins import bounded_broadcast
+from blotter.session import materialize_small
 
 POLYGON = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
 MULTIPOLYGON = T.ArrayType(POLYGON)
@@ -179,13 +180,13 @@ def locate(points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "
     """
     # polygon-side tables are small and read several times (cell size, both
     # lookup tables, their size checks): materialise them once
-    edges = polygon_edges(areas, area_col, geom_col).persist()
+    edges = materialize_small(polygon_edges(areas, area_col, geom_col))
     if cell_size is None:
         cell_size = default_cell_size(edges, area_col)
     if strip_height is None:
         strip_height = cell_size / 8
-    strips = strip_edges(edges, strip_height, area_col).persist()
-    cells = area_cells(edges, cell_size, strips, strip_height, area_col).persist()
+    strips = materialize_small(strip_edges(edges, strip_height, area_col))
+    cells = materialize_small(area_cells(edges, cell_size, strips, strip_height, area_col))
 
     px, py = F.col(x), F.col(y)
     keyed = points.where(px.isNotNull() & py.isNotNull()).withColumns({

@@ -12,7 +12,9 @@ The income lookup is derived from ``nation`` too, with ``-1`` and NULL values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.categorical import INCOME_BANDS
@@ -45,23 +47,30 @@ def tile_shape(kind: int, x0, y0):
                             [[p(1.25, 0), p(2, 0), p(2, 1.5), p(1.25, 1.5)]]]
 
 
-def _array(v) -> Column:
-    if isinstance(v, list):
-        return F.array(*[_array(e) for e in v])
-    return v if isinstance(v, Column) else F.lit(float(v))
-
-
 def area_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GeoJSON-shaped features (properties, geometry{type, coordinates text}) per nation."""
+    """GeoJSON-shaped features (properties, geometry{type, coordinates text}) per nation.
+
+    Each shape is a literal template of offsets, moved to the nation's tile
+    origin by ``transform``: a short expression whatever the vertex count.
+    """
     nation = table(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
     x0 = (k % 5).cast("double") * F.lit(TILE_W)
     y0 = F.floor(k / 5).cast("double") * F.lit(TILE_H)
     kind = k % 4
+
+    def moved(ring):
+        return F.transform(ring, lambda p: F.array(p[0] + x0, p[1] + y0))
+
     gtype, coords = None, None
     for i in range(4):
-        t, c = tile_shape(i, x0, y0)
-        js = F.to_json(_array(c))
+        t, template = tile_shape(i, 0.0, 0.0)
+        if t == "Polygon":
+            parsed = F.from_json(F.lit(json.dumps(template)), "array<array<array<double>>>")
+            js = F.to_json(F.transform(parsed, moved))
+        else:
+            parsed = F.from_json(F.lit(json.dumps(template)), "array<array<array<array<double>>>>")
+            js = F.to_json(F.transform(parsed, lambda poly: F.transform(poly, moved)))
         gtype = F.when(kind == i, F.lit(t)) if gtype is None else gtype.when(kind == i, F.lit(t))
         coords = F.when(kind == i, js) if coords is None else coords.when(kind == i, js)
     return nation.select(

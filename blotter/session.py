@@ -37,6 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -82,3 +83,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_small(df: DataFrame) -> DataFrame:
+    """Materialise a small derived table that several later plans read.
+
+    With a checkpoint folder (the cluster's shared one, or a local master)
+    this is a reliable checkpoint: it survives executor loss and leaves later
+    plans a short lineage.  Without one, the table is persisted; a lost block
+    is then recomputed from its (small) inputs.
+    """
+    if checkpoint_dir(df.sparkSession) or df.sparkSession.sparkContext.master.startswith("local"):
+        return cut_lineage(df)
+    return df.persist()
