@@ -52,7 +52,9 @@ class IntegrateSpec:
     ``columns``: the projection kept from every source (missing ones are
     NULL); ``schema`` gives their canonical types (text is cast with
     ``try_cast``, so a bad value is NULL, not a failed job).  The incident
-    date is the start date, else the end date, parsed with ``date_pattern``.
+    date is the start date, else the end date, parsed with ``date_pattern``;
+    ``end_date=None`` keeps a start-date-only rule (rows without a start
+    date then drop out, as they do where the fallback never fires).
     """
 
     key: str

@@ -40,7 +40,6 @@ from blotter.session import materialize_small
 
 POLYGON = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
 MULTIPOLYGON = T.ArrayType(POLYGON)
-EDGE = T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")])
 
 
 def multipolygon(geom_type: Column, coordinates: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter import schemas
-from blotter.functions.categorical import INCOME_BANDS, band_of
+from blotter.functions.categorical import INCOME_BANDS, band_of, boolean_flag
 from blotter.functions.series import series_window, strict_moving_avg
 from blotter.operators.compare import (
     SPLIT_DEFAULT, before_after, before_after_by_month, change_matrix_wide)
@@ -49,7 +49,7 @@ def integrate_shootings(spark: SparkSession, historic_path: str, ytd_path: str)
     flag = "statistical_murder_flag"
     hist = hist.toDF(*[c.lower() for c in hist.columns])
     if flag in hist.columns:
-        hist = hist.withColumn(flag, hist[flag].try_cast("boolean"))
+        hist = hist.withColumn(flag, boolean_flag(flag))
     out = integrate_incidents(shooting_sources(hist, ytd), SHOOTING_SPEC)
     return (out.drop("occur_date").withColumnRenamed("occur_date_parsed", "occur_date")
             .withColumns({c: out[c].try_cast("double") for c in ("longitude", "latitude")

@@ -57,3 +57,11 @@ def test_ratios(spark):
     df = spark.createDataFrame([(5, 10), (3, 0), (0, 0)], "a long, b long")
     got = df.select(share_pct("a", "b"), pct_change("a", "b"), pct_change_zero_guarded("a", "b")).collect()
     assert [tuple(r) for r in got] == [(50.0, -50.0, -50.0), (None, None, 0.0), (None, None, 0.0)]
+
+
+def test_cast_dates_and_boolean_text(spark):
+    from blotter.functions import as_date, boolean_flag
+    df = spark.createDataFrame([("2020-02-03", "true"), ("bad", "False"), (None, "x")],
+                               "d string, b string")
+    got = [tuple(r) for r in df.select(as_date("d"), boolean_flag("b")).collect()]
+    assert got == [(date(2020, 2, 3), True), (None, False), (None, None)]
