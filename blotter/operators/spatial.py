@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.operators.joins import bounded_broadcast
+from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from blotter.session import materialize_small
 
 POLYGON = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
@@ -169,7 +169,8 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
 
 def locate(points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "latitude",
            area_col: str = "area", geom_col: str = "geometry",
-           cell_size: float | None = None, strip_height: float | None = None) -> DataFrame:
+           cell_size: float | None = None, strip_height: float | None = None,
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Q7: points strictly inside areas; the point's columns plus ``area_col``.
 
     ``areas`` holds one row per area with a MultiPolygon array in
@@ -191,11 +192,11 @@ def locate(points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "
     keyed = points.where(px.isNotNull() & py.isNotNull()).withColumns({
         "cx": F.floor(px / F.lit(cell_size)),
         "cy": F.floor(py / F.lit(cell_size))})
-    cand = keyed.join(bounded_broadcast(cells), ["cx", "cy"], "inner")
+    cand = keyed.join(bounded_broadcast(cells, max_broadcast_rows), ["cx", "cy"], "inner")
     # only points in boundary cells look up edges; the others carry a NULL key
     cand = cand.withColumn("sy", F.when(F.col("status") == CELL_EDGE,
                                         F.floor(py / F.lit(strip_height))))
-    tested = cand.join(bounded_broadcast(strips), [area_col, "sy"], "left")
+    tested = cand.join(bounded_broadcast(strips, max_broadcast_rows), [area_col, "sy"], "left")
     keep = (F.col("status") == CELL_IN) | (
         F.col("_edges").isNotNull() & strictly_inside(px, py, F.col("_edges")))
     return tested.where(keep).select(*points.columns, area_col)

@@ -95,3 +95,25 @@ def test_edges_close_open_rings(spark, tmp_path):
     e = polygon_edges(areas, "ntacode")
     counts = dict(rows(e.groupBy("ntacode").agg(F.count(F.lit(1)))))
     assert counts == {"A": 8, "B": 8, "C": 6}
+
+
+def test_locate_shuffle_path_and_hot_cell(spark, tmp_path):
+    """Beyond the broadcast bound the joins shuffle; a cell holding a third of
+    the points must not change the result."""
+    areas = read_areas(spark, _features(tmp_path), ["ntacode"])
+    rnd = random.Random(11)
+    cold = [(i, rnd.uniform(-1, 14), rnd.uniform(-1, 7)) for i in range(2000)]
+    hot = [(2000 + i, 0.5 + (i % 7) * 1e-3, 0.5) for i in range(1000)]   # one cell, inside A
+    pts = spark.createDataFrame(cold + hot, "pid int, longitude double, latitude double").repartition(6)
+    a = rows(locate(pts, areas, area_col="ntacode", cell_size=0.5))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = locate(pts, areas, area_col="ntacode", cell_size=0.5, max_broadcast_rows=0)
+        plan_b = b._jdf.queryExecution().executedPlan().toString()
+        b = rows(b)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" not in plan_b
+    assert a == b
+    assert sum(1 for r in a if r[0] >= 2000) == 1000
