@@ -31,6 +31,8 @@ within the bound and shuffle-joined otherwise.  Cell and strip sizes change only
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -167,19 +169,26 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     return edge_cells.unionByName(inside)
 
 
-def locate(points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "latitude",
-           area_col: str = "area", geom_col: str = "geometry",
-           cell_size: float | None = None, strip_height: float | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Q7: points strictly inside areas; the point's columns plus ``area_col``.
+@dataclass(frozen=True)
+class AreaIndex:
+    """Polygons prepared for :func:`locate`: built once, reused for any number
+    of point tables (complaints and shootings against the same areas)."""
+
+    cells: DataFrame
+    strips: DataFrame
+    cell_size: float
+    strip_height: float
+    area_col: str
+
+
+def index_areas(areas: DataFrame, area_col: str = "area", geom_col: str = "geometry",
+                cell_size: float | None = None, strip_height: float | None = None) -> AreaIndex:
+    """Edge, cell and strip tables of the areas, materialised once.
 
-    ``areas`` holds one row per area with a MultiPolygon array in
-    ``geom_col`` (see :func:`multipolygon`).  Coordinates of points and areas
-    must be in the same system; nothing is reprojected.  Points with a NULL
-    coordinate match nothing.
+    They are small and read several times (cell size, both lookup tables,
+    their size checks), so each is checkpointed (see
+    :func:`blotter.session.materialize_small`).
     """
-    # polygon-side tables are small and read several times (cell size, both
-    # lookup tables, their size checks): materialise them once
     edges = materialize_small(polygon_edges(areas, area_col, geom_col))
     if cell_size is None:
         cell_size = default_cell_size(edges, area_col)
@@ -187,16 +196,33 @@ def locate(points: DataFrame, areas: DataFrame, x: str = "longitude", y: str = "
         strip_height = cell_size / 8
     strips = materialize_small(strip_edges(edges, strip_height, area_col))
     cells = materialize_small(area_cells(edges, cell_size, strips, strip_height, area_col))
+    return AreaIndex(cells, strips, cell_size, strip_height, area_col)
 
+
+def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude",
+           y: str = "latitude", area_col: str = "area", geom_col: str = "geometry",
+           cell_size: float | None = None, strip_height: float | None = None,
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Q7: points strictly inside areas; the point's columns plus the area column.
+
+    ``areas`` is an :class:`AreaIndex` or a DataFrame with one row per area
+    and a MultiPolygon array in ``geom_col`` (see :func:`multipolygon`),
+    indexed on the fly.  Coordinates of points and areas must be in the same
+    system; nothing is reprojected.  Points with a NULL coordinate match
+    nothing.
+    """
+    idx = areas if isinstance(areas, AreaIndex) else index_areas(
+        areas, area_col, geom_col, cell_size, strip_height)
+    area_col = idx.area_col
     px, py = F.col(x), F.col(y)
     keyed = points.where(px.isNotNull() & py.isNotNull()).withColumns({
-        "cx": F.floor(px / F.lit(cell_size)),
-        "cy": F.floor(py / F.lit(cell_size))})
-    cand = keyed.join(bounded_broadcast(cells, max_broadcast_rows), ["cx", "cy"], "inner")
+        "cx": F.floor(px / F.lit(idx.cell_size)),
+        "cy": F.floor(py / F.lit(idx.cell_size))})
+    cand = keyed.join(bounded_broadcast(idx.cells, max_broadcast_rows), ["cx", "cy"], "inner")
     # only points in boundary cells look up edges; the others carry a NULL key
     cand = cand.withColumn("sy", F.when(F.col("status") == CELL_EDGE,
-                                        F.floor(py / F.lit(strip_height))))
-    tested = cand.join(bounded_broadcast(strips, max_broadcast_rows), [area_col, "sy"], "left")
+                                        F.floor(py / F.lit(idx.strip_height))))
+    tested = cand.join(bounded_broadcast(idx.strips, max_broadcast_rows), [area_col, "sy"], "left")
     keep = (F.col("status") == CELL_IN) | (
         F.col("_edges").isNotNull() & strictly_inside(px, py, F.col("_edges")))
     return tested.where(keep).select(*points.columns, area_col)

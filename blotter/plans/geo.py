@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.categorical import INCOME_BANDS
 from blotter.operators.enrich import enrich_area
-from blotter.operators.spatial import locate
+from blotter.operators.spatial import AreaIndex, index_areas, locate
 from blotter.operators.trend import band_trend
 from blotter.plans.catalog import register, rounded, table
 from blotter.sources.geojson import area_dimension, areas_from_features
@@ -95,9 +95,21 @@ def line_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         (((F.col("l_suppkey") * 7 + F.col("l_quantity")) % 800) / 100).alias("y"))
 
 
+_INDEXES: dict = {}
+
+
+def area_index(spark: SparkSession, sf_dir: str) -> AreaIndex:
+    """The nation areas indexed once per session and table folder, then reused
+    by every located query (as one would for several point tables)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _INDEXES:
+        areas = areas_from_features(area_features(spark, sf_dir), ["ntacode"])
+        _INDEXES[key] = index_areas(areas, area_col="ntacode")
+    return _INDEXES[key]
+
+
 def located_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    areas = areas_from_features(area_features(spark, sf_dir), ["ntacode"])
-    return locate(line_points(spark, sf_dir), areas, x="x", y="y", area_col="ntacode")
+    return locate(line_points(spark, sf_dir), area_index(spark, sf_dir), x="x", y="y")
 
 
 def _edges_sql() -> str:

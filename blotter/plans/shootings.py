@@ -56,9 +56,12 @@ def integrate_shootings(spark: SparkSession, historic_path: str, ytd_path: str)
                           if c in out.columns}))
 
 
-def locate_with_income(incidents: DataFrame, areas: DataFrame, incomes: DataFrame,
+def locate_with_income(incidents: DataFrame, areas, incomes: DataFrame,
                        cell_size: float | None = None) -> DataFrame:
-    """Place points in areas (strictly inside), attach income, drop -1 / NULL."""
+    """Place points in areas (strictly inside), attach income, drop -1 / NULL.
+
+    ``areas``: an areas DataFrame or an :class:`~blotter.operators.spatial.AreaIndex`.
+    """
     located = locate(incidents, areas, x="longitude", y="latitude", area_col="ntacode",
                      cell_size=cell_size)
     return enrich_area(located, incomes, "ntacode", value_col="income")

@@ -117,3 +117,13 @@ def test_locate_shuffle_path_and_hot_cell(spark, tmp_path):
     assert "BroadcastHashJoin" not in plan_b
     assert a == b
     assert sum(1 for r in a if r[0] >= 2000) == 1000
+
+
+def test_area_index_reused_for_two_point_tables(spark, tmp_path):
+    from blotter.operators.spatial import index_areas
+    areas = read_areas(spark, _features(tmp_path), ["ntacode"])
+    idx = index_areas(areas, area_col="ntacode", cell_size=0.5)
+    p1 = spark.createDataFrame(POINTS, "pid string, longitude double, latitude double")
+    p2 = spark.createDataFrame([("q", 2.5, 0.25), ("r", 10.5, 0.5)], "pid string, lon double, lat double")
+    assert rows(locate(p1, idx)) == rows(locate(p1, areas, area_col="ntacode", cell_size=0.5))
+    assert rows(locate(p2, idx, x="lon", y="lat"), "pid", "ntacode") == [("q", "A"), ("r", "B")]
