@@ -134,9 +134,9 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     """Cells ``(cx, cy, area, status)`` of each area's bounding box that can hold
     inside points.
 
-    ``edge``: some edge's bounding box touches the closed cell, so points
-    there need the exact test.  Cells no edge touches are wholly inside or
-    wholly outside the area: their centre decides, by the exact test, once
+    ``edge``: some edge's bounding box reaches the cell, so points there need
+    the exact test.  No edge crosses any other cell, so each is wholly inside
+    or wholly outside the area: its centre decides, by the exact test, once
     per cell.  Outside cells are left out, so their points meet no candidate.
     """
     r = F.lit(cell_size)
@@ -148,14 +148,17 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     every = (boxes
              .select(area_col, "_y0", "_y1", F.explode(F.sequence("_x0", "_x1")).alias("cx"))
              .select(area_col, "cx", F.explode(F.sequence("_y0", "_y1")).alias("cy")))
-    # cells whose closed square an edge's bounding box touches
+    # cells an edge's bounding box reaches.  A point's cell is floor(coord / r),
+    # monotone in the coordinate, so a point on an edge always falls in a cell
+    # of that edge's [floor(min / r), floor(max / r)] range: cells outside every
+    # such range hold no boundary point
     touched = (edges
                .select(area_col,
-                       F.explode(F.sequence(F.ceil(F.least("x1", "x2") / r) - 1,
+                       F.explode(F.sequence(F.floor(F.least("x1", "x2") / r),
                                             F.floor(F.greatest("x1", "x2") / r))).alias("cx"),
-                       F.ceil(F.least("y1", "y2") / r).alias("_c0"),
+                       F.floor(F.least("y1", "y2") / r).alias("_c0"),
                        F.floor(F.greatest("y1", "y2") / r).alias("_c1"))
-               .select(area_col, "cx", F.explode(F.sequence(F.col("_c0") - 1, F.col("_c1"))).alias("cy"))
+               .select(area_col, "cx", F.explode(F.sequence("_c0", "_c1")).alias("cy"))
                .distinct())
     edge_cells = every.join(touched, [area_col, "cx", "cy"], "left_semi") \
         .withColumn("status", F.lit(CELL_EDGE))
