@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 
 from blotter.plans.complaints import complaint_report, curate_complaints
 from blotter.plans.shootings import (
-    integrate_shootings, locate_with_income, read_neighbourhoods, shooting_report)
+    integrate_shootings, locate_with_income, lookup_profile, read_neighbourhoods, shooting_report)
 from blotter.sources.files import write_table
 from blotter.sources.geojson import area_dimension, read_features
 
@@ -49,6 +49,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "shootings":
         incidents = integrate_shootings(spark, args.historic, args.ytd)
         areas, incomes = read_neighbourhoods(spark, args.areas, args.incomes)
+        _write_all({f"lookup_{k}": v for k, v in lookup_profile(incomes).items()}, args.out)
         located = locate_with_income(incidents, areas, incomes, cell_size=args.cell_size)
         write_table(located, os.path.join(args.out, "located"), "overwrite")
         located = spark.read.parquet(os.path.join(args.out, "located"))

@@ -66,9 +66,11 @@ def null_code_pairs(df: DataFrame, code_col: str, desc_col: str,
 
 
 def profile(df: DataFrame, key: str | None = None, date_col: str | None = None,
-            categorical: Sequence[str] = ()) -> dict[str, DataFrame]:
+            categorical: Sequence[str] = (), numeric: Sequence[str] = ()) -> dict[str, DataFrame]:
     """All checks at once, as named DataFrames."""
     out = {"null_counts": null_counts(df)}
+    if numeric:
+        out["numeric_summary"] = numeric_summary(df, numeric)
     if key:
         out["duplicate_keys"] = duplicate_keys(df, key)
     if date_col:
@@ -76,3 +78,38 @@ def profile(df: DataFrame, key: str | None = None, date_col: str | None = None,
     if categorical:
         out["distinct_values"] = distinct_values(df, categorical)
     return out
+
+
+def numeric_summary(df: DataFrame, columns: Sequence[str], k: float = 1.5,
+                    accuracy: int = 10_000) -> DataFrame:
+    """Range, quartiles and values beyond the ``k``·IQR fences, per numeric column.
+
+    ``(column, n, min, q1, median, q3, max, low_fence, high_fence, outliers)``.
+    Quartiles are approximate (``percentile_approx``: bounded memory whatever
+    the row count); the extremes and counts are exact.  Two passes: quartiles,
+    then the count beyond the fences.  Flags values such as one income far
+    above every other.
+    """
+    stats = df.agg(*[
+        F.struct(F.lit(c).alias("column"), F.count(c).alias("n"),
+                 F.min(F.col(c).cast("double")).alias("min"),
+                 F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias("q"),
+                 F.max(F.col(c).cast("double")).alias("max")).alias(f"_s{i}")
+        for i, c in enumerate(columns)])
+    long = stats.select(F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(columns))])))
+    fenced = long.select(
+        "column", "n", "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+        F.col("q")[2].alias("q3"), "max",
+        (F.col("q")[0] - F.lit(k) * (F.col("q")[2] - F.col("q")[0])).alias("low_fence"),
+        (F.col("q")[2] + F.lit(k) * (F.col("q")[2] - F.col("q")[0])).alias("high_fence"))
+    # second pass: one conditional count per column against its fences
+    fences = fenced.select("column", "low_fence", "high_fence")
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])))
+    outliers = (values.join(F.broadcast(fences), "column")
+                .groupBy("column")
+                .agg(F.count_if((F.col("v") < F.col("low_fence")) | (F.col("v") > F.col("high_fence")))
+                     .alias("outliers")))
+    return fenced.join(outliers, "column", "left").select(
+        "column", "n", "min", "q1", "median", "q3", "max", "low_fence", "high_fence",
+        F.coalesce("outliers", F.lit(0)).alias("outliers"))

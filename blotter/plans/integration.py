@@ -299,3 +299,14 @@ def q_integrated_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = add_trend_metrics(m, by=())
     return rounded(t.join(m.select("month", "year_month"), "month")
                    .select("month", "year_month", "cnt", "ma12", "prev12"))
+
+
+@register("numeric_profile", None)
+def q_numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 numeric check: range, approximate quartiles and values beyond the
+    1.5·IQR fences for balances and order prices.  No oracle: the quartiles
+    are approximate by design (bounded memory at any scale)."""
+    from blotter.operators.profile import numeric_summary
+    from blotter.plans.catalog import rounded
+    orders = table(spark, sf_dir, "orders").select("o_totalprice", "o_custkey")
+    return rounded(numeric_summary(orders, ["o_totalprice", "o_custkey"]))

@@ -20,6 +20,7 @@ from blotter.operators.compare import (
     SPLIT_DEFAULT, before_after, before_after_by_month, change_matrix_wide)
 from blotter.operators.enrich import enrich_area
 from blotter.operators.integrate import IncidentSource, IntegrateSpec, integrate_incidents
+from blotter.operators.profile import profile
 from blotter.operators.spatial import locate
 from blotter.operators.trend import add_trend_metrics, monthly_counts
 from blotter.session import cut_lineage
@@ -73,6 +74,12 @@ def read_neighbourhoods(spark: SparkSession, geojson_path: str, incomes_csv: str
     return areas, incomes
 
 
+def lookup_profile(incomes: DataFrame) -> dict[str, DataFrame]:
+    """Checks on the hand-typed income lookup: NULLs, duplicate codes, and the
+    income range with values beyond the IQR fences."""
+    return profile(incomes, key="ntacode", numeric=["income"])
+
+
 def shooting_report(located: DataFrame, split: date = SPLIT_DEFAULT,
                     drop_band: str = "High Income", cut: bool = True) -> dict[str, DataFrame]:
     """Trend and comparison tables from one pass over the located incidents.

@@ -98,3 +98,14 @@ def test_profile_checks(spark):
     assert rows(null_code_pairs(u, "lvl", "fr")) == [("M", None)]
     assert set(profile(u, key="id", date_col="incident_date", categorical=["lvl"])) == {
         "null_counts", "duplicate_keys", "date_range", "distinct_values"}
+
+
+def test_numeric_summary_flags_far_value(spark):
+    from blotter.operators.profile import numeric_summary
+    vals = [(float(v), v * 2) for v in range(20000, 120001, 1000)] + [(946500.0, None), (None, 5)]
+    df = spark.createDataFrame(vals, "income double, other long")
+    got = {r["column"]: r for r in numeric_summary(df, ["income", "other"]).collect()}
+    inc = got["income"]
+    assert inc["n"] == 102 and inc["min"] == 20000.0 and inc["max"] == 946500.0
+    assert inc["outliers"] == 1
+    assert got["other"]["outliers"] == 0 and got["other"]["n"] == 102   # 5 is inside the low fence

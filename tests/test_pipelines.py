@@ -99,6 +99,10 @@ def test_shooting_pipeline(spark, tmp_path):
     assert "x_coord_cd" not in sh.columns and "lon_lat" not in sh.columns
 
     areas, incomes = read_neighbourhoods(spark, str(geo), inc)
+    from blotter.plans.shootings import lookup_profile
+    lp = lookup_profile(incomes)
+    assert lp["duplicate_keys"].count() == 0
+    assert lp["numeric_summary"].collect()[0]["max"] == 130000.0
     located = locate_with_income(sh, areas, incomes)
     assert rows(located, "incident_key", "ntacode", "income") == [
         ("1", "AA01", 30000), ("2", "CC03", 130000), ("5", "AA01", 30000)]
