@@ -61,7 +61,7 @@ def test_complaint_pipeline(spark, tmp_path):
     assert report["duplicate_keys"].count() == 0
 
 
-def test_shooting_pipeline(spark, tmp_path):
+def _shooting_files(tmp_path):
     hist = _write_csv(tmp_path / "sh_hist.csv",
                       ["INCIDENT_KEY", "OCCUR_DATE", "STATISTICAL_MURDER_FLAG", "X_COORD_CD",
                        "Y_COORD_CD", "Lon_Lat", "Longitude", "Latitude"], [
@@ -91,6 +91,11 @@ def test_shooting_pipeline(spark, tmp_path):
                      [["AA01", "AA01", "30000"], ["BB02", "BB02", "80000"], ["CC03", "CC03", "130000"],
                       ["PK99", "PK99", "-1"]])
 
+    return str(tmp_path / "sh_hist.csv"), ytd, str(geo), inc
+
+
+def test_shooting_pipeline(spark, tmp_path):
+    _, ytd, geo, inc = _shooting_files(tmp_path)
     sh = integrate_shootings(spark, str(tmp_path / "sh_hist.csv"), ytd)
     got = rows(sh, "incident_key", "occur_date", "statistical_murder_flag", "source")
     assert got == [("1", date(2019, 3, 1), False, "historic"), ("2", date(2020, 5, 2), True, "ytd"),
@@ -98,7 +103,7 @@ def test_shooting_pipeline(spark, tmp_path):
                    ("6", date(2022, 4, 1), True, "ytd")]
     assert "x_coord_cd" not in sh.columns and "lon_lat" not in sh.columns
 
-    areas, incomes = read_neighbourhoods(spark, str(geo), inc)
+    areas, incomes = read_neighbourhoods(spark, geo, inc)
     from blotter.plans.shootings import lookup_profile
     lp = lookup_profile(incomes)
     assert lp["duplicate_keys"].count() == 0
@@ -157,3 +162,20 @@ def test_cli_areas_written_only_if_absent(spark, tmp_path):
     geo.write_text(json.dumps({"type": "FeatureCollection", "features": []}))
     main(["areas", str(geo), out])                          # present: left as is
     assert spark.read.option("header", True).csv(out).count() == 1
+
+
+def test_cli_shootings_and_complaints(spark, tmp_path):
+    from blotter.__main__ import main
+    hist, ytd, geo, inc = _shooting_files(tmp_path)
+    out = str(tmp_path / "out")
+    main(["shootings", hist, ytd, geo, inc, out])
+    assert spark.read.parquet(f"{out}/located").count() == 3
+    assert spark.read.parquet(f"{out}/change_matrix").count() == 12
+    assert spark.read.parquet(f"{out}/lookup_numeric_summary").count() == 1
+    header = list(COMPLAINT_COLUMNS)
+    h = _write_csv(tmp_path / "h.csv", header, [_complaint("1", "01/05/2016", "", "FELONY", "ROBBERY", "WHITE")[:-1]])
+    c = _write_csv(tmp_path / "c.csv", header, [_complaint("2", "02/05/2016", "", "FELONY", "ROBBERY", "WHITE")[:-1]])
+    out2 = str(tmp_path / "out2")
+    main(["complaints", h, c, out2])
+    assert spark.read.parquet(f"{out2}/curated").count() == 2
+    assert spark.read.parquet(f"{out2}/monthly_trend").count() == 2
