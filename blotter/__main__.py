@@ -23,6 +23,18 @@ from blotter.sources.files import write_table
 from blotter.sources.geojson import area_dimension, read_features
 
 
+# Runtime settings applied only where the deployment left them unset: AQE
+# sizes shuffle partitions from the data (start high, coalesce to ~256 MB),
+# splits skewed join partitions, and scans read 256 MB splits.
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def _write_all(tables: dict, out: str) -> None:
     for name, df in tables.items():
         write_table(df, os.path.join(out, name), "overwrite")
@@ -42,6 +54,9 @@ def main(argv: list[str] | None = None) -> None:
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"blotter-{args.cmd}").getOrCreate()
+    for key, value in CLUSTER_DEFAULTS.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
     if args.cmd == "complaints":
         curated = curate_complaints(spark, args.historic, args.current,
                                     out=os.path.join(args.out, "curated"))

@@ -164,3 +164,9 @@ def test_band_trend_drops_out_of_band(spark):
     assert got == [("High Income", date(2020, 2, 1), 1), ("Low Income", date(2020, 1, 1), 1)]
     custom = [Band("any", -10, 10)]
     assert band_trend(df, "d", "income", custom).count() == 1
+
+
+def test_null_dates_dropped_before_monthly_grouping(spark):
+    df = spark.createDataFrame([(date(2020, 1, 5),), (None,), (date(2020, 1, 9),)], "d date")
+    t = monthly_trend(df, "d").collect()
+    assert [(r["month"], r["cnt"]) for r in t] == [(date(2020, 1, 1), 2)]
