@@ -86,30 +86,34 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], k: float = 1.5,
 
     ``(column, n, min, q1, median, q3, max, low_fence, high_fence, outliers)``.
     Quartiles are approximate (``percentile_approx``: bounded memory whatever
-    the row count); the extremes and counts are exact.  Two passes: quartiles,
-    then the count beyond the fences.  Flags values such as one income far
-    above every other.
+    the row count); the extremes and counts are exact.  Two scans: the first
+    returns a handful of numbers per column (read back to set the fences), the
+    second counts the values beyond them.  Flags values such as one income
+    far above every other.
     """
-    stats = df.agg(*[
-        F.struct(F.lit(c).alias("column"), F.count(c).alias("n"),
-                 F.min(F.col(c).cast("double")).alias("min"),
-                 F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], accuracy).alias("q"),
-                 F.max(F.col(c).cast("double")).alias("max")).alias(f"_s{i}")
-        for i, c in enumerate(columns)])
-    long = stats.select(F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(columns))])))
-    fenced = long.select(
-        "column", "n", "min", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("q3"), "max",
-        (F.col("q")[0] - F.lit(k) * (F.col("q")[2] - F.col("q")[0])).alias("low_fence"),
-        (F.col("q")[2] + F.lit(k) * (F.col("q")[2] - F.col("q")[0])).alias("high_fence"))
-    # second pass: one conditional count per column against its fences
-    fences = fenced.select("column", "low_fence", "high_fence")
-    values = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])))
-    outliers = (values.join(F.broadcast(fences), "column")
-                .groupBy("column")
-                .agg(F.count_if((F.col("v") < F.col("low_fence")) | (F.col("v") > F.col("high_fence")))
-                     .alias("outliers")))
-    return fenced.join(outliers, "column", "left").select(
-        "column", "n", "min", "q1", "median", "q3", "max", "low_fence", "high_fence",
-        F.coalesce("outliers", F.lit(0)).alias("outliers"))
+    cols = list(columns)
+    v = [F.col(c).cast("double") for c in cols]
+    first = df.agg(*[F.struct(F.count(c).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
+                              F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias("q"))
+                     .alias(f"_s{i}") for i, (c, x) in enumerate(zip(cols, v))]).first()
+    fences = []
+    for i in range(len(cols)):
+        st = first[f"_s{i}"]
+        q = st["q"] or [None, None, None]
+        lo = hi = None
+        if q[0] is not None:
+            lo, hi = q[0] - k * (q[2] - q[0]), q[2] + k * (q[2] - q[0])
+        fences.append((st, q, lo, hi))
+    counts = df.agg(*[
+        (F.count_if((x < F.lit(lo)) | (x > F.lit(hi))) if lo is not None else F.lit(0).cast("long"))
+        .alias(f"_o{i}") for i, (x, (_, _, lo, hi)) in enumerate(zip(v, fences))])
+
+    def num(x):
+        return F.lit(x).cast("double")
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(st["n"]).cast("long").alias("n"),
+                     num(st["min"]).alias("min"), num(q[0]).alias("q1"), num(q[1]).alias("median"),
+                     num(q[2]).alias("q3"), num(st["max"]).alias("max"),
+                     num(lo).alias("low_fence"), num(hi).alias("high_fence"),
+                     F.col(f"_o{i}").alias("outliers"))
+            for i, (c, (st, q, lo, hi)) in enumerate(zip(cols, fences))]
+    return counts.select(F.inline(F.array(*rows)))

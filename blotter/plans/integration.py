@@ -291,14 +291,13 @@ WINDOW w AS (ORDER BY month), w12 AS (ORDER BY month ROWS BETWEEN 11 PRECEDING A
 """)
 def q_integrated_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 → Q2: the curated table feeds the monthly trend (month key, text label kept)."""
-    from blotter.operators.trend import add_trend_metrics
+    from blotter.functions.dates import month_label
+    from blotter.operators.trend import monthly_trend
     from blotter.plans.catalog import rounded
     cur = integrate_incidents(text_sources(spark, sf_dir), SPEC)
-    m = (cur.groupBy(F.trunc("incident_date", "month").alias("month"), "year_month")
-         .agg(F.count(F.lit(1)).alias("cnt")))
-    t = add_trend_metrics(m, by=())
-    return rounded(t.join(m.select("month", "year_month"), "month")
-                   .select("month", "year_month", "cnt", "ma12", "prev12"))
+    t = monthly_trend(cur, "incident_date")
+    return rounded(t.select("month", month_label("month", padded=False).alias("year_month"),
+                            "cnt", "ma12", "prev12"))
 
 
 @register("numeric_profile", None)
