@@ -1,7 +1,7 @@
 """Column expressions: built-in Spark functions only, so they stay in codegen."""
 
 from blotter.functions.categorical import (  # noqa: F401
-    INCOME_BANDS, UNKNOWN_TEXTS, Band, band_of, boolean_flag, invert_groups, is_known,
+    INCOME_BANDS, UNKNOWN_TEXTS, Band, band_of, boolean_flag, groups_of, invert_groups, is_known,
     map_values, not_sentinel_number, yes_no_flag)
 from blotter.functions.dates import (  # noqa: F401
     as_date, date_with_fallback, month_label, month_name, month_start, null_if_text,

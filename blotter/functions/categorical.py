@@ -46,17 +46,26 @@ def map_values(c: Column | str, mapping: Mapping[str, str]) -> Column:
     return F.try_element_at(m, _col(c))
 
 
-def invert_groups(groups: Mapping[str, Sequence[str]]) -> dict[str, str]:
-    """{group: [values]} → {value: group}; a value in two groups is an error."""
-    out: dict[str, str] = {}
+def invert_groups(groups: Mapping[str, Sequence[str]]) -> dict[str, list[str]]:
+    """{group: [values]} → {value: [groups]}: a value may sit in several groups."""
+    out: dict[str, list[str]] = {}
     for g, values in groups.items():
         for v in values:
-            if v in out and out[v] != g:
-                raise ValueError(f"value {v!r} is in groups {out[v]!r} and {g!r}")
-            out[v] = g
+            if g not in out.setdefault(v, []):
+                out[v].append(g)
     return out
 
 
+def groups_of(c: Column | str, groups: Mapping[str, Sequence[str]]) -> Column:
+    """Array of the groups a value belongs to (empty when none)."""
+    inv = invert_groups(groups)
+    if not inv:
+        return F.array().cast("array<string>")
+    m = F.create_map(*chain.from_iterable(
+        (F.lit(v), F.array(*[F.lit(g) for g in gs])) for v, gs in inv.items()))
+    return F.coalesce(F.try_element_at(m, _col(c)), F.array().cast("array<string>"))
+
+
 @dataclass(frozen=True)
 class Band:
     """A numeric band.  ``high=None`` is open above.

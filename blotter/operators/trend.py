@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.functions.categorical import (
-    INCOME_BANDS, UNKNOWN_TEXTS, Band, band_of, invert_groups, is_known, map_values)
+    INCOME_BANDS, UNKNOWN_TEXTS, Band, band_of, groups_of, is_known)
 from blotter.functions.dates import month_start
 from blotter.functions.numeric import share_pct
 from blotter.functions.series import (
@@ -131,17 +131,17 @@ def category_group_trend(df: DataFrame, date_col: str, category_col: str,
 
     ``groups`` is either ``{group: [category, ...]}`` (compiled to a literal
     map lookup, no join) or a DataFrame ``(category_col, group_col)`` (joined,
-    broadcast only when its row count is within the bound).  Categories in no
-    group, NULL and sentinel texts are left out.  One scan and one shuffle for
-    all groups together.
+    broadcast only when its row count is within the bound).  Each group counts
+    the rows of its categories, as separate filters would: a category listed
+    in two groups counts in both.  Categories in no group, NULL and sentinel
+    texts are left out.  One scan and one shuffle for all groups together.
     """
     known = df.where(is_known(category_col))
     if isinstance(groups, DataFrame):
-        mapping = groups.select(category_col, group_col).dropDuplicates([category_col])
+        mapping = groups.select(category_col, group_col).where(F.col(group_col).isNotNull()).distinct()
         tagged = known.join(bounded_broadcast(mapping), category_col, "inner")
     else:
-        tagged = known.withColumn(group_col, map_values(category_col, invert_groups(groups)))
-    tagged = tagged.where(F.col(group_col).isNotNull())
+        tagged = known.withColumn(group_col, F.explode(groups_of(category_col, groups)))
     return monthly_trend(tagged, date_col, by=[group_col], **trend_kw)
 
 

@@ -143,8 +143,14 @@ def test_category_groups(spark):
                                      ("FELONY ASSAULT", "assault")], "t string, grp string")
     t2 = category_group_trend(df, "d", "t", mapping)
     assert rows(t2, "grp", "month", "cnt") == rows(t, "grp", "month", "cnt")
-    with pytest.raises(ValueError):
-        category_group_trend(df, "d", "t", {"a": ["ROBBERY"], "b": ["ROBBERY"]})
+    # a category in two groups counts in both, as two separate filters would
+    both = category_group_trend(df, "d", "t", {"a": ["ROBBERY"], "b": ["ROBBERY", "BURGLARY"]})
+    assert rows(both, "grp", "month", "cnt") == [
+        ("a", date(2020, 1, 1), 1), ("a", date(2020, 2, 1), 1),
+        ("b", date(2020, 1, 1), 2), ("b", date(2020, 2, 1), 1)]
+    dup_map = mapping.unionByName(mapping)            # repeated mapping rows count once
+    assert rows(category_group_trend(df, "d", "t", dup_map), "grp", "month", "cnt") == rows(
+        t, "grp", "month", "cnt")
 
 
 def test_group_share_denominator_known_only(spark):
