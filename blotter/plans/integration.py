@@ -309,3 +309,27 @@ def q_numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from blotter.plans.catalog import rounded
     orders = table(spark, sf_dir, "orders").select("o_totalprice", "o_custkey")
     return rounded(numeric_summary(orders, ["o_totalprice", "o_custkey"]))
+
+
+@register("dedup_hot_key", """
+WITH t AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k,
+         CAST(l_shipdate AS DATE) AS ship, l_linenumber, l_partkey, l_quantity, l_returnflag
+  FROM lineitem
+), r AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY k ORDER BY ship NULLS FIRST, l_linenumber NULLS FIRST, l_partkey NULLS FIRST,
+                              l_quantity NULLS FIRST, l_returnflag NULLS FIRST) AS rn
+  FROM t
+)
+SELECT k, ship, l_linenumber, l_partkey, l_quantity, l_returnflag FROM r WHERE rn = 1
+""")
+def q_dedup_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 under skew: every line item kept in the input, a third of them sharing
+    one key; the first per key by ship date, then every other column.  Each
+    task reduces the hot key to one row before the shuffle."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("l_orderkey")).alias("k"),
+        F.col("l_shipdate").cast("date").alias("ship"),
+        "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
+    return dedup_first(li, "k", ["ship"])
