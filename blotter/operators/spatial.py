@@ -222,10 +222,16 @@ def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude"
         "cx": F.floor(px / F.lit(idx.cell_size)),
         "cy": F.floor(py / F.lit(idx.cell_size))})
     cand = keyed.join(bounded_broadcast(idx.cells, max_broadcast_rows), ["cx", "cy"], "inner")
-    # only points in boundary cells look up edges; the others carry a NULL key
-    cand = cand.withColumn("sy", F.when(F.col("status") == CELL_EDGE,
-                                        F.floor(py / F.lit(idx.strip_height))))
-    tested = cand.join(bounded_broadcast(idx.strips, max_broadcast_rows), [area_col, "sy"], "left")
+    # only points in boundary cells look up edges.  The others probe with a
+    # NULL area, which never matches, and a hashed strip value, so that on the
+    # shuffle path they spread over partitions instead of all hashing to the
+    # partition of a NULL key
+    edge = F.col("status") == CELL_EDGE
+    cand = cand.withColumns({
+        "_ja": F.when(edge, F.col(area_col)),
+        "_js": F.when(edge, F.floor(py / F.lit(idx.strip_height))).otherwise(F.xxhash64(px, py))})
+    strips = idx.strips.select(F.col(area_col).alias("_ja"), F.col("sy").alias("_js"), "_edges")
+    tested = cand.join(bounded_broadcast(strips, max_broadcast_rows), ["_ja", "_js"], "left")
     keep = (F.col("status") == CELL_IN) | (
         F.col("_edges").isNotNull() & strictly_inside(px, py, F.col("_edges")))
     return tested.where(keep).select(*points.columns, area_col)
