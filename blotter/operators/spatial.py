@@ -212,26 +212,29 @@ def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude"
     and a MultiPolygon array in ``geom_col`` (see :func:`multipolygon`),
     indexed on the fly.  Coordinates of points and areas must be in the same
     system; nothing is reprojected.  Points with a NULL coordinate match
-    nothing.
+    nothing.  The points must not already have a column named like the area
+    column.
     """
     idx = areas if isinstance(areas, AreaIndex) else index_areas(
         areas, area_col, geom_col, cell_size, strip_height)
     area_col = idx.area_col
     px, py = F.col(x), F.col(y)
     keyed = points.where(px.isNotNull() & py.isNotNull()).withColumns({
-        "cx": F.floor(px / F.lit(idx.cell_size)),
-        "cy": F.floor(py / F.lit(idx.cell_size))})
-    cand = keyed.join(bounded_broadcast(idx.cells, max_broadcast_rows), ["cx", "cy"], "inner")
+        "_cx": F.floor(px / F.lit(idx.cell_size)),
+        "_cy": F.floor(py / F.lit(idx.cell_size))})
+    cells = idx.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), area_col,
+                             F.col("status").alias("_status"))
+    cand = keyed.join(bounded_broadcast(cells, max_broadcast_rows), ["_cx", "_cy"], "inner")
     # only points in boundary cells look up edges.  The others probe with a
     # NULL area, which never matches, and a hashed strip value, so that on the
     # shuffle path they spread over partitions instead of all hashing to the
     # partition of a NULL key
-    edge = F.col("status") == CELL_EDGE
+    edge = F.col("_status") == CELL_EDGE
     cand = cand.withColumns({
         "_ja": F.when(edge, F.col(area_col)),
         "_js": F.when(edge, F.floor(py / F.lit(idx.strip_height))).otherwise(F.xxhash64(px, py))})
     strips = idx.strips.select(F.col(area_col).alias("_ja"), F.col("sy").alias("_js"), "_edges")
     tested = cand.join(bounded_broadcast(strips, max_broadcast_rows), ["_ja", "_js"], "left")
-    keep = (F.col("status") == CELL_IN) | (
+    keep = (F.col("_status") == CELL_IN) | (
         F.col("_edges").isNotNull() & strictly_inside(px, py, F.col("_edges")))
     return tested.where(keep).select(*points.columns, area_col)

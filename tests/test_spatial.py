@@ -127,3 +127,11 @@ def test_area_index_reused_for_two_point_tables(spark, tmp_path):
     p2 = spark.createDataFrame([("q", 2.5, 0.25), ("r", 10.5, 0.5)], "pid string, lon double, lat double")
     assert rows(locate(p1, idx)) == rows(locate(p1, areas, area_col="ntacode", cell_size=0.5))
     assert rows(locate(p2, idx, x="lon", y="lat"), "pid", "ntacode") == [("q", "A"), ("r", "B")]
+
+
+def test_locate_keeps_point_columns_named_like_helpers(spark, tmp_path):
+    areas = read_areas(spark, _features(tmp_path), ["ntacode"])
+    pts = spark.createDataFrame([(0.5, 0.5, 1, 2, "s")], "longitude double, latitude double, cx int, cy int, status string")
+    out = locate(pts, areas, area_col="ntacode", cell_size=0.5)
+    assert out.columns == ["longitude", "latitude", "cx", "cy", "status", "ntacode"]
+    assert rows(out) == [(0.5, 0.5, 1, 2, "s", "A")]
