@@ -186,19 +186,24 @@ class AreaIndex:
 
 def index_areas(areas: DataFrame, area_col: str = "area", geom_col: str = "geometry",
                 cell_size: float | None = None, strip_height: float | None = None) -> AreaIndex:
-    """Edge, cell and strip tables of the areas, materialised once.
+    """Cell and strip tables of the areas, materialised once.
 
-    They are small and read several times (cell size, both lookup tables,
-    their size checks), so each is checkpointed (see
-    :func:`blotter.session.materialize_small`).
+    They are small and read by every locate (and their size checks), so
+    each is checkpointed (see :func:`blotter.session.materialize_small`):
+    short lineage, and they survive a lost executor.
     """
-    edges = materialize_small(polygon_edges(areas, area_col, geom_col))
-    if cell_size is None:
-        cell_size = default_cell_size(edges, area_col)
-    if strip_height is None:
-        strip_height = cell_size / 8
-    strips = materialize_small(strip_edges(edges, strip_height, area_col))
-    cells = materialize_small(area_cells(edges, cell_size, strips, strip_height, area_col))
+    # the edge table is an intermediate: cached while the two lookup tables
+    # are built from it, then released
+    edges = polygon_edges(areas, area_col, geom_col).persist()
+    try:
+        if cell_size is None:
+            cell_size = default_cell_size(edges, area_col)
+        if strip_height is None:
+            strip_height = cell_size / 8
+        strips = materialize_small(strip_edges(edges, strip_height, area_col))
+        cells = materialize_small(area_cells(edges, cell_size, strips, strip_height, area_col))
+    finally:
+        edges.unpersist()
     return AreaIndex(cells, strips, cell_size, strip_height, area_col)
 
 

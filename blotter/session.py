@@ -95,4 +95,6 @@ def materialize_small(df: DataFrame) -> DataFrame:
     """
     if checkpoint_dir(df.sparkSession) or df.sparkSession.sparkContext.master.startswith("local"):
         return cut_lineage(df)
-    return df.persist()
+    df = df.persist()
+    df.count()
+    return df
