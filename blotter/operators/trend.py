@@ -109,12 +109,18 @@ def level_trend(df: DataFrame, date_col: str, level_col: str,
 
 
 def level_endpoints(trend: DataFrame, series: str = "level", value: str = "ma12",
-                    row: int = MA_WINDOW) -> DataFrame:
+                    row: int = MA_WINDOW, positional: bool = True) -> DataFrame:
     """A10: the ``row``-th and the last value of each series, by position.
 
     Positional like ``iloc[11]`` / ``iloc[-1]``: NULL if that row's value is
-    NULL or the series is shorter than ``row``.
+    NULL or the series is shorter than ``row``.  With ``positional=False``:
+    the first and last non-NULL values instead (a different answer where the
+    grid has holes), as ``ma_first`` / ``ma_last``.
     """
+    if not positional:
+        present = trend.where(F.col(value).isNotNull())
+        return present.groupBy(series).agg(
+            F.min_by(value, "month").alias("ma_first"), F.max_by(value, "month").alias("ma_last"))
     asc = Window.partitionBy(series).orderBy(F.col("month").asc())
     desc = Window.partitionBy(series).orderBy(F.col("month").desc())
     ranked = trend.select(series, value, F.row_number().over(asc).alias("_rn"),

@@ -128,6 +128,9 @@ def test_level_wide_and_endpoints(spark):
     assert ends["FELONY"] == (None, None)          # hole at row 12 blanks both
     assert ends["MISDEMEANOR"] == (5.0, 5.0)
     assert ends["VIOLATION"] == (2.0, None)        # absent in the last month
+    firsts = {r["level"]: (r["ma_first"], r["ma_last"]) for r in
+              level_endpoints(level_trend(df, "d", "level"), positional=False).collect()}
+    assert firsts == {"MISDEMEANOR": (5.0, 5.0), "VIOLATION": (2.0, 2.0)}   # FELONY: no full window
 
 
 def test_category_groups(spark):
