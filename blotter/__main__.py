@@ -63,9 +63,10 @@ def main(argv: list[str] | None = None) -> None:
         _write_all(complaint_report(curated), args.out)
     elif args.cmd == "shootings":
         incidents = integrate_shootings(spark, args.historic, args.ytd)
-        areas, incomes = read_neighbourhoods(spark, args.areas, args.incomes)
+        areas, incomes, names = read_neighbourhoods(spark, args.areas, args.incomes)
         _write_all({f"lookup_{k}": v for k, v in lookup_profile(incomes).items()}, args.out)
-        located = locate_with_income(incidents, areas, incomes, cell_size=args.cell_size)
+        located = locate_with_income(incidents, areas, incomes, cell_size=args.cell_size,
+                                     area_names=names)
         write_table(located, os.path.join(args.out, "located"), "overwrite")
         located = spark.read.parquet(os.path.join(args.out, "located"))
         _write_all(shooting_report(located), args.out)

@@ -84,3 +84,8 @@ def month_label(month: ColumnOrName, padded: bool = True) -> Column:
 def month_name(month_no: ColumnOrName) -> Column:
     """Short English month name (``Jan`` … ``Dec``) from a month number 1-12."""
     return F.date_format(F.make_date(F.lit(2000), _col(month_no), F.lit(1)), "MMM")
+
+
+def month_from_label(label: ColumnOrName) -> Column:
+    """Month key from a ``yyyy-M`` or ``yyyy-MM`` label (``2020-2``, ``2020-02``); NULL if bad."""
+    return F.try_to_date(_col(label).cast("string"), "yyyy-M")

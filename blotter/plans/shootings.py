@@ -25,7 +25,7 @@ from blotter.operators.spatial import locate
 from blotter.operators.trend import add_trend_metrics, monthly_counts
 from blotter.session import cut_lineage
 from blotter.sources.files import read_csv_text, read_csv_typed
-from blotter.sources.geojson import read_areas
+from blotter.sources.geojson import area_dimension, areas_from_features, read_features
 
 SHOOTING_SPEC = IntegrateSpec(key="incident_key", start_date="occur_date",
                               date_pattern="M/d/yyyy", date_col="occur_date_parsed",
@@ -58,20 +58,30 @@ def integrate_shootings(spark: SparkSession, historic_path: str, ytd_path: str)
 
 
 def locate_with_income(incidents: DataFrame, areas, incomes: DataFrame,
-                       cell_size: float | None = None) -> DataFrame:
+                       cell_size: float | None = None,
+                       area_names: DataFrame | None = None) -> DataFrame:
     """Place points in areas (strictly inside), attach income, drop -1 / NULL.
 
     ``areas``: an areas DataFrame or an :class:`~blotter.operators.spatial.AreaIndex`.
+    ``area_names``: the areas' own (code, name) pairs, attached as
+    ``neighborhood`` next to the lookup's name.
     """
     located = locate(incidents, areas, x="longitude", y="latitude", area_col="ntacode",
                      cell_size=cell_size)
+    if area_names is not None:
+        names = area_names.select("ntacode", F.col("ntaname").alias("neighborhood"))
+        located = enrich_area(located, names, "ntacode")
     return enrich_area(located, incomes, "ntacode", value_col="income")
 
 
 def read_neighbourhoods(spark: SparkSession, geojson_path: str, incomes_csv: str):
-    areas = read_areas(spark, geojson_path, ["ntacode"])
+    """(areas, incomes, area names): the GeoJSON read once, its (code, name)
+    dimension derived from the same features."""
+    features = read_features(spark, geojson_path, ["ntacode", "ntaname"])
+    areas = areas_from_features(features, ["ntacode"])
+    names = area_dimension(features)
     incomes = read_csv_typed(spark, incomes_csv, schemas.INCOME_LOOKUP_SCHEMA)
-    return areas, incomes
+    return areas, incomes, names
 
 
 def lookup_profile(incomes: DataFrame) -> dict[str, DataFrame]:

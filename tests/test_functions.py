@@ -65,3 +65,10 @@ def test_cast_dates_and_boolean_text(spark):
                                "d string, b string")
     got = [tuple(r) for r in df.select(as_date("d"), boolean_flag("b")).collect()]
     assert got == [(date(2020, 2, 3), True), (None, False), (None, None)]
+
+
+def test_month_from_label(spark):
+    from blotter.functions import month_from_label
+    df = spark.createDataFrame([("2020-2",), ("2020-11",), ("2020-02",), ("bad",)], "l string")
+    assert [r[0] for r in df.select(month_from_label("l")).collect()] == [
+        date(2020, 2, 1), date(2020, 11, 1), date(2020, 2, 1), None]

@@ -103,14 +103,14 @@ def test_shooting_pipeline(spark, tmp_path):
                    ("6", date(2022, 4, 1), True, "ytd")]
     assert "x_coord_cd" not in sh.columns and "lon_lat" not in sh.columns
 
-    areas, incomes = read_neighbourhoods(spark, geo, inc)
+    areas, incomes, names = read_neighbourhoods(spark, geo, inc)
     from blotter.plans.shootings import lookup_profile
     lp = lookup_profile(incomes)
     assert lp["duplicate_keys"].count() == 0
     assert lp["numeric_summary"].collect()[0]["max"] == 130000.0
-    located = locate_with_income(sh, areas, incomes)
-    assert rows(located, "incident_key", "ntacode", "income") == [
-        ("1", "AA01", 30000), ("2", "CC03", 130000), ("5", "AA01", 30000)]
+    located = locate_with_income(sh, areas, incomes, area_names=names)
+    assert rows(located, "incident_key", "ntacode", "neighborhood", "income") == [
+        ("1", "AA01", "AA01", 30000), ("2", "CC03", "CC03", 130000), ("5", "AA01", "AA01", 30000)]
     rep = shooting_report(located, split=date(2020, 4, 1))
     assert rows(rep["band_trend"], "band", "month", "cnt") == [
         ("High Income", date(2020, 5, 1), 1), ("Low Income", date(2019, 3, 1), 1),
