@@ -31,6 +31,7 @@ within the bound and shuffle-joined otherwise.  Cell and strip sizes change only
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -75,23 +76,31 @@ def polygon_edges(areas: DataFrame, area_col: str = "area", geom_col: str = "geo
     return rings.select(area_col, F.inline(segs))
 
 
-def default_cell_size(edges: DataFrame, area_col: str = "area", per_side: int = 16) -> float:
-    """A cell side of about 1/16 of the median area's bounding-box side.
+# Target row count of the cell table: finer cells send more points through
+# the no-test path, and the table stays this size whatever the area count.
+TARGET_CELLS = 200_000
 
-    Fine enough that most points of a typical area fall in cells no edge
-    touches (decided without an edge test), coarse enough that the cell
-    table stays a few hundred rows per area.
 
-    Computed on the (small) edge table with an approximate median: one
-    number comes back to the driver.
+def default_cell_size(edges: DataFrame, area_col: str = "area",
+                      target_cells: int = TARGET_CELLS) -> float:
+    """Cell side giving about ``target_cells`` cells over all bounding boxes.
+
+    sqrt(sum of box areas / target): one small aggregate over the edge table;
+    one number comes back to the driver.  Many or large areas give coarser
+    cells, few or small areas finer ones; the cell table's size, and so the
+    broadcast, stays near the target.
     """
     boxes = edges.groupBy(area_col).agg(
-        F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")),
-                   F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("side"))
-    side = boxes.agg(F.percentile_approx("side", 0.5)).first()[0]
-    if side is None or side <= 0:
+        (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"),
+        (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("h"))
+    row = boxes.agg(F.sum(F.col("w") * F.col("h")).alias("a"),
+                    F.max(F.greatest("w", "h")).alias("side")).first()
+    area, side = row["a"], row["side"]
+    if not side:
         return 1.0
-    return float(side) / per_side
+    if not area:
+        return float(side) / 16
+    return max(math.sqrt(float(area) / target_cells), float(side) / 4096)
 
 
 def strip_edges(edges: DataFrame, strip_height: float, area_col: str = "area") -> DataFrame:
