@@ -179,3 +179,21 @@ def test_cli_shootings_and_complaints(spark, tmp_path):
     main(["complaints", h, c, out2])
     assert spark.read.parquet(f"{out2}/curated").count() == 2
     assert spark.read.parquet(f"{out2}/monthly_trend").count() == 2
+
+
+def test_enrich_area_same_rows_beyond_broadcast_bound(spark):
+    from blotter.operators.enrich import enrich_area
+    pts = spark.createDataFrame([(i, f"A{i % 5}") for i in range(200)] + [(999, None)],
+                                "pid int, ntacode string")
+    lookup = spark.createDataFrame([("A0", 10), ("A1", -1), ("A2", None), ("A3", 50000)],
+                                   "ntacode string, income int")
+    a = enrich_area(pts, lookup, "ntacode", value_col="income")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = enrich_area(pts, lookup, "ntacode", value_col="income", max_broadcast_rows=0)
+        assert "BroadcastHashJoin" not in b._jdf.queryExecution().executedPlan().toString()
+        assert rows(a) == rows(b)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert a.count() == 80 and {r["ntacode"] for r in a.collect()} == {"A0", "A3"}
