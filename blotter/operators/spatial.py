@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from blotter.operators.joins import DEFAULT_BROADCAST_ROWS
 from blotter.session import materialize_small
 
 POLYGON = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
@@ -191,6 +191,8 @@ class AreaIndex:
     cell_size: float
     strip_height: float
     area_col: str
+    cell_rows: int
+    strip_rows: int
 
 
 def index_areas(areas: DataFrame, area_col: str = "area", geom_col: str = "geometry",
@@ -213,7 +215,14 @@ def index_areas(areas: DataFrame, area_col: str = "area", geom_col: str = "geome
         cells = materialize_small(area_cells(edges, cell_size, strips, strip_height, area_col))
     finally:
         edges.unpersist()
-    return AreaIndex(cells, strips, cell_size, strip_height, area_col)
+    # sizes are fixed from here on: counted once, they decide broadcasting
+    return AreaIndex(cells, strips, cell_size, strip_height, area_col,
+                     cells.count(), strips.count())
+
+
+def _bounded(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
+    """Broadcast a table whose row count is known, if within the bound."""
+    return F.broadcast(df) if rows <= max_rows else df
 
 
 def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude",
@@ -238,7 +247,7 @@ def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude"
         "_cy": F.floor(py / F.lit(idx.cell_size))})
     cells = idx.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), area_col,
                              F.col("status").alias("_status"))
-    cand = keyed.join(bounded_broadcast(cells, max_broadcast_rows), ["_cx", "_cy"], "inner")
+    cand = keyed.join(_bounded(cells, idx.cell_rows, max_broadcast_rows), ["_cx", "_cy"], "inner")
     # only points in boundary cells look up edges.  The others probe with a
     # NULL area, which never matches, and a hashed strip value, so that on the
     # shuffle path they spread over partitions instead of all hashing to the
@@ -248,7 +257,7 @@ def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude"
         "_ja": F.when(edge, F.col(area_col)),
         "_js": F.when(edge, F.floor(py / F.lit(idx.strip_height))).otherwise(F.xxhash64(px, py))})
     strips = idx.strips.select(F.col(area_col).alias("_ja"), F.col("sy").alias("_js"), "_edges")
-    tested = cand.join(bounded_broadcast(strips, max_broadcast_rows), ["_ja", "_js"], "left")
+    tested = cand.join(_bounded(strips, idx.strip_rows, max_broadcast_rows), ["_ja", "_js"], "left")
     keep = (F.col("_status") == CELL_IN) | (
         F.col("_edges").isNotNull() & strictly_inside(px, py, F.col("_edges")))
     return tested.where(keep).select(*points.columns, area_col)
