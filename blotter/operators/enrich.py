@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from blotter.functions.categorical import not_sentinel_number
 from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast

@@ -1,7 +1,6 @@
 """Invariants on the driver tables and agreement with pandas series semantics."""
 
 import os
-from datetime import date
 
 import numpy as np
 import pandas as pd
