@@ -128,11 +128,35 @@ def _on_edge(px: Column, py: Column, e: Column) -> Column:
             & py.between(F.least(y1, y2), F.greatest(y1, y2)))
 
 
-def strictly_inside(px: Column, py: Column, edges: Column) -> Column:
-    """Odd number of ray crossings and on no edge: the exact test."""
+# Strips with at most this many edges take the unrolled (compiled) test.
+UNROLL_MAX = 32
+
+
+def strictly_inside(px: Column, py: Column, edges: Column, unroll: int = 0,
+                    slots: list[Column] | None = None) -> Column:
+    """Odd number of ray crossings and on no edge: the exact test.
+
+    With ``unroll`` = k > 0, arrays of at most k edges are tested by k fixed
+    slots (plain expressions, compiled into the stage's generated code);
+    longer arrays, and every array when k = 0, by higher-order functions.
+    ``slots``: the k edges already taken out of the array as columns.
+    """
     crossings = F.aggregate(edges, F.lit(0),
                             lambda n, e: n + F.when(_crossing(px, py, e), F.lit(1)).otherwise(F.lit(0)))
-    return (crossings % 2 == 1) & ~F.exists(edges, lambda e: _on_edge(px, py, e))
+    looped = (crossings % 2 == 1) & ~F.exists(edges, lambda e: _on_edge(px, py, e))
+    if unroll <= 0:
+        return looped
+    if slots is None:
+        slots = [F.try_element_at(edges, F.lit(i + 1)) for i in range(unroll)]
+    count = None
+    on = None
+    for e in slots:
+        c = F.when(e.isNotNull() & _crossing(px, py, e), F.lit(1)).otherwise(F.lit(0))
+        o = F.coalesce(e.isNotNull() & _on_edge(px, py, e), F.lit(False))
+        count = c if count is None else count + c
+        on = o if on is None else on | o
+    unrolled = (count % 2 == 1) & ~on
+    return F.when(F.size(edges) <= unroll, unrolled).otherwise(looped)
 
 
 CELL_IN, CELL_EDGE = "in", "edge"
@@ -193,6 +217,7 @@ class AreaIndex:
     area_col: str
     cell_rows: int
     strip_rows: int
+    max_strip_edges: int
 
 
 def index_areas(areas: DataFrame, area_col: str = "area", geom_col: str = "geometry",
@@ -216,8 +241,9 @@ def index_areas(areas: DataFrame, area_col: str = "area", geom_col: str = "geome
     finally:
         edges.unpersist()
     # sizes are fixed from here on: counted once, they decide broadcasting
+    stats = strips.agg(F.count(F.lit(1)), F.max(F.size("_edges"))).first()
     return AreaIndex(cells, strips, cell_size, strip_height, area_col,
-                     cells.count(), strips.count())
+                     cells.count(), stats[0], stats[1] or 0)
 
 
 def _bounded(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
@@ -258,6 +284,10 @@ def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude"
         "_js": F.when(edge, F.floor(py / F.lit(idx.strip_height))).otherwise(F.xxhash64(px, py))})
     strips = idx.strips.select(F.col(area_col).alias("_ja"), F.col("sy").alias("_js"), "_edges")
     tested = cand.join(_bounded(strips, idx.strip_rows, max_broadcast_rows), ["_ja", "_js"], "left")
+    # the first k edges of the strip as plain columns, read by the unrolled test
+    k = min(idx.max_strip_edges, UNROLL_MAX)
+    tested = tested.withColumns({f"_e{i}": F.try_element_at("_edges", F.lit(i + 1)) for i in range(k)})
     keep = (F.col("_status") == CELL_IN) | (
-        F.col("_edges").isNotNull() & strictly_inside(px, py, F.col("_edges")))
+        F.col("_edges").isNotNull()
+        & strictly_inside(px, py, F.col("_edges"), k, [F.col(f"_e{i}") for i in range(k)]))
     return tested.where(keep).select(*points.columns, area_col)

@@ -135,3 +135,17 @@ def test_locate_keeps_point_columns_named_like_helpers(spark, tmp_path):
     out = locate(pts, areas, area_col="ntacode", cell_size=0.5)
     assert out.columns == ["longitude", "latitude", "cx", "cy", "status", "ntacode"]
     assert rows(out) == [(0.5, 0.5, 1, 2, "s", "A")]
+
+
+@pytest.mark.parametrize("cap", [0, 1, 2])
+def test_unrolled_and_looped_tests_agree(spark, tmp_path, monkeypatch, cap):
+    import blotter.operators.spatial as sp
+    areas = read_areas(spark, _features(tmp_path), ["ntacode"])
+    rnd = random.Random(5)
+    pts = spark.createDataFrame(
+        [(i, float(rnd.randint(-2, 28)) / 2, float(rnd.randint(-2, 14)) / 2) for i in range(1500)],
+        "pid int, longitude double, latitude double")
+    idx = sp.index_areas(areas, area_col="ntacode", cell_size=0.5, strip_height=2.0)
+    ref = rows(sp.locate(pts, idx))
+    monkeypatch.setattr(sp, "UNROLL_MAX", cap)
+    assert rows(sp.locate(pts, idx)) == ref
