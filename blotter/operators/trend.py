@@ -84,6 +84,24 @@ def _level_grid(df: DataFrame, date_col: str, level_col: str,
     return wide, levels
 
 
+def _dense_grid(df: DataFrame, date_col: str, level_col: str) -> DataFrame:
+    """(month, level, cnt) on the dense grid of observed months × observed levels.
+
+    One aggregation of the input to (level, month) counts; everything after
+    works on that small table: a map level → count per month (at most one
+    entry per level), the level set taken by a window over the months, each
+    month exploded to every level and its count looked up (NULL if absent).
+    """
+    counts = monthly_counts(df.where(F.col(level_col).isNotNull()), date_col, by=[level_col])
+    per_month = counts.groupBy("month").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(level_col), F.col("cnt")))).alias("_m"))
+    every = F.array_sort(F.array_distinct(F.flatten(
+        F.collect_list(F.map_keys("_m")).over(Window.partitionBy()))))
+    return (per_month.select("month", "_m", every.alias("_levels"))
+            .select("month", "_m", F.explode("_levels").alias("level"))
+            .select("month", "level", F.try_element_at("_m", F.col("level")).alias("cnt")))
+
+
 def level_wide(df: DataFrame, date_col: str, level_col: str,
                levels: Sequence[str] | None = None) -> DataFrame:
     """One row per month, one count column per level (NULL where absent)."""
@@ -99,10 +117,13 @@ def level_trend(df: DataFrame, date_col: str, level_col: str,
     blanks that level's next ``window`` means: the pivoted-table behaviour,
     unlike the single-series :func:`monthly_trend`.
     """
-    wide, levels = _level_grid(df, date_col, level_col, levels)
-    cells = F.array(*[F.struct(F.lit(v).alias("level"), F.col(f"_lvl{i}").alias("cnt"))
-                      for i, v in enumerate(levels)])
-    long = wide.select("month", F.inline(cells))
+    if levels is None:
+        long = _dense_grid(df, date_col, level_col)
+    else:
+        wide, levels = _level_grid(df, date_col, level_col, levels)
+        cells = F.array(*[F.struct(F.lit(v).alias("level"), F.col(f"_lvl{i}").alias("cnt"))
+                          for i, v in enumerate(levels)])
+        long = wide.select("month", F.inline(cells))
     w = series_window("month", ["level"])
     return long.select("month", "level", "cnt",
                        strict_moving_avg("cnt", w, window).alias(f"ma{window}"))
