@@ -24,15 +24,30 @@ from blotter.functions.series import (
 from blotter.operators.joins import bounded_broadcast, distinct_values_bounded
 
 
+def _tally(weight: str | None):
+    """Row count, or the sum of a count column when the input is pre-aggregated."""
+    return F.count(F.lit(1)) if weight is None else F.sum(F.col(weight)).cast("long")
+
+
+def _part(cond, weight: str | None):
+    """Rows (or summed counts) meeting ``cond``; 0 when none."""
+    if weight is None:
+        return F.count(F.when(cond, F.lit(1)))
+    return F.coalesce(F.sum(F.when(cond, F.col(weight))), F.lit(0)).cast("long")
+
+
 def monthly_counts(df: DataFrame, date_col: str, by: Sequence[str] = (),
-                   month_col: str = "month", count_col: str = "cnt") -> DataFrame:
+                   month_col: str = "month", count_col: str = "cnt",
+                   weight: str | None = None) -> DataFrame:
     """Rows per (series keys, month).  Rows with a NULL date are dropped first.
 
-    Months without rows are absent, not zero.
+    Months without rows are absent, not zero.  ``weight``: a count column of
+    an already aggregated input (e.g. a month × category count table), summed
+    instead of counting rows; every trend operator accepts it.
     """
     return (df.where(F.col(date_col).isNotNull())
             .groupBy(*[F.col(c) for c in by], month_start(date_col).alias(month_col))
-            .agg(F.count(F.lit(1)).alias(count_col)))
+            .agg(_tally(weight).alias(count_col)))
 
 
 def add_trend_metrics(monthly: DataFrame, value: str = "cnt", by: Sequence[str] = (),
@@ -54,20 +69,22 @@ def add_trend_metrics(monthly: DataFrame, value: str = "cnt", by: Sequence[str]
 def monthly_trend(df: DataFrame, date_col: str, by: Sequence[str] = (),
                   window: int = MA_WINDOW, moderate: float = MODERATE_PCT,
                   surge: float = SURGE_PCT,
-                  period: tuple[date, date] = (PERIOD_START, PERIOD_END)) -> DataFrame:
+                  period: tuple[date, date] = (PERIOD_START, PERIOD_END),
+                  weight: str | None = None) -> DataFrame:
     """Q2: monthly count, strict 12-row mean, YoY growth and its class.
 
     With ``by`` the same series is computed for every value of the keys at
     once (one scan, one shuffle), each series by row: months absent from a
     series are skipped, not filled.
     """
-    counts = monthly_counts(df, date_col, by)
+    counts = monthly_counts(df, date_col, by, weight=weight)
     return add_trend_metrics(counts, "cnt", by, window=window, moderate=moderate,
                              surge=surge, period=period)
 
 
 def _level_grid(df: DataFrame, date_col: str, level_col: str,
-                levels: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
+                levels: Sequence[str] | None,
+                weight: str | None = None) -> tuple[DataFrame, list[str]]:
     """Month × level counts in wide form: NULL where a level has no row that month.
 
     One aggregation with a conditional sum per level; months are those where
@@ -76,7 +93,8 @@ def _level_grid(df: DataFrame, date_col: str, level_col: str,
     if levels is None:
         levels = distinct_values_bounded(df.where(F.col(date_col).isNotNull()), level_col)
     levels = list(levels)
-    aggs = [F.sum(F.when(F.col(level_col) == v, F.lit(1))).alias(f"_lvl{i}")
+    one = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    aggs = [F.sum(F.when(F.col(level_col) == v, one)).alias(f"_lvl{i}")
             for i, v in enumerate(levels)]
     wide = (df.where(F.col(date_col).isNotNull() & F.col(level_col).isin(*levels))
             .groupBy(month_start(date_col).alias("month"))
@@ -84,7 +102,8 @@ def _level_grid(df: DataFrame, date_col: str, level_col: str,
     return wide, levels
 
 
-def _dense_grid(df: DataFrame, date_col: str, level_col: str) -> DataFrame:
+def _dense_grid(df: DataFrame, date_col: str, level_col: str,
+                weight: str | None = None) -> DataFrame:
     """(month, level, cnt) on the dense grid of observed months × observed levels.
 
     One aggregation of the input to (level, month) counts; everything after
@@ -92,7 +111,8 @@ def _dense_grid(df: DataFrame, date_col: str, level_col: str) -> DataFrame:
     entry per level), the level set taken by a window over the months, each
     month exploded to every level and its count looked up (NULL if absent).
     """
-    counts = monthly_counts(df.where(F.col(level_col).isNotNull()), date_col, by=[level_col])
+    counts = monthly_counts(df.where(F.col(level_col).isNotNull()), date_col, by=[level_col],
+                            weight=weight)
     per_month = counts.groupBy("month").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(level_col), F.col("cnt")))).alias("_m"))
     every = F.array_sort(F.array_distinct(F.flatten(
@@ -103,14 +123,15 @@ def _dense_grid(df: DataFrame, date_col: str, level_col: str) -> DataFrame:
 
 
 def level_wide(df: DataFrame, date_col: str, level_col: str,
-               levels: Sequence[str] | None = None) -> DataFrame:
+               levels: Sequence[str] | None = None, weight: str | None = None) -> DataFrame:
     """One row per month, one count column per level (NULL where absent)."""
-    wide, levels = _level_grid(df, date_col, level_col, levels)
+    wide, levels = _level_grid(df, date_col, level_col, levels, weight)
     return wide.select("month", *[F.col(f"_lvl{i}").alias(v) for i, v in enumerate(levels)])
 
 
 def level_trend(df: DataFrame, date_col: str, level_col: str,
-                levels: Sequence[str] | None = None, window: int = MA_WINDOW) -> DataFrame:
+                levels: Sequence[str] | None = None, window: int = MA_WINDOW,
+                weight: str | None = None) -> DataFrame:
     """Q3: per-level counts on the dense month × level grid, strict 12-row mean.
 
     A month missing for one level is a NULL cell (not a skipped row), so it
@@ -118,9 +139,9 @@ def level_trend(df: DataFrame, date_col: str, level_col: str,
     unlike the single-series :func:`monthly_trend`.
     """
     if levels is None:
-        long = _dense_grid(df, date_col, level_col)
+        long = _dense_grid(df, date_col, level_col, weight)
     else:
-        wide, levels = _level_grid(df, date_col, level_col, levels)
+        wide, levels = _level_grid(df, date_col, level_col, levels, weight)
         cells = F.array(*[F.struct(F.lit(v).alias("level"), F.col(f"_lvl{i}").alias("cnt"))
                           for i, v in enumerate(levels)])
         long = wide.select("month", F.inline(cells))
@@ -173,7 +194,8 @@ def category_group_trend(df: DataFrame, date_col: str, category_col: str,
 
 
 def group_share(df: DataFrame, date_col: str, group_col: str, value: str,
-                sentinels: Sequence[str] = UNKNOWN_TEXTS, window: int = MA_WINDOW) -> DataFrame:
+                sentinels: Sequence[str] = UNKNOWN_TEXTS, window: int = MA_WINDOW,
+                weight: str | None = None) -> DataFrame:
     """Q5: monthly share of one group among rows whose group is known.
 
     The denominator counts rows with a known group (not NULL, not a
@@ -182,8 +204,8 @@ def group_share(df: DataFrame, date_col: str, group_col: str, value: str,
     """
     known = df.where(F.col(date_col).isNotNull() & is_known(group_col, sentinels))
     monthly = (known.groupBy(month_start(date_col).alias("month"))
-               .agg(F.count(F.when(F.col(group_col) == value, F.lit(1))).alias("part"),
-                    F.count(F.lit(1)).alias("total"))
+               .agg(_part(F.col(group_col) == value, weight).alias("part"),
+                    _tally(weight).alias("total"))
                .where(F.col("part") > 0)
                .withColumn("percent", share_pct("part", "total")))
     w = series_window("month")
@@ -193,14 +215,14 @@ def group_share(df: DataFrame, date_col: str, group_col: str, value: str,
 
 def band_trend(df: DataFrame, date_col: str, value_col: str,
                bands: Sequence[Band] = INCOME_BANDS, band_col: str = "band",
-               window: int = MA_WINDOW) -> DataFrame:
+               window: int = MA_WINDOW, weight: str | None = None) -> DataFrame:
     """Q10: monthly counts and strict 12-row mean per numeric band.
 
     Rows outside every band (NULL, negative, fractional gaps, the excluded
     bound) are dropped.  Each band is its own series by row.
     """
     banded = df.withColumn(band_col, band_of(value_col, bands)).where(F.col(band_col).isNotNull())
-    counts = monthly_counts(banded, date_col, by=[band_col])
+    counts = monthly_counts(banded, date_col, by=[band_col], weight=weight)
     w = series_window("month", [band_col])
     return counts.select(band_col, "month", "cnt",
                          strict_moving_avg("cnt", w, window).alias(f"ma{window}"))

@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter import schemas
+from blotter.functions.dates import month_start
 from blotter.operators.integrate import IncidentSource, IntegrateSpec, integrate_incidents
 from blotter.operators.profile import profile
 from blotter.operators.trend import (
     category_group_trend, group_share, level_endpoints, level_trend, monthly_trend)
+from blotter.session import cut_lineage
 from blotter.sources.files import read_csv_text, write_and_reload
 
 COMPLAINT_SPEC = IntegrateSpec(
@@ -46,17 +48,29 @@ def curate_complaints(spark: SparkSession, historic_path: str, current_path: str
                             partition_by=["year"]).drop("year")
 
 
-def complaint_report(curated: DataFrame) -> dict[str, DataFrame]:
+def complaint_report(curated: DataFrame, cut: bool = True) -> dict[str, DataFrame]:
     """The analysis tables: total trend, level grid and endpoints, offence
-    groups, victim-group share, and the profile checks."""
-    levels = level_trend(curated, "Crime_Date", "LAW_CAT_CD")
+    groups, victim-group share, and the profile checks.
+
+    The trend tables all come from one aggregation of the curated incidents
+    to (month, level, offence, victim group) counts, a table of at most
+    months × categories rows; with ``cut`` it is checkpointed, so the four
+    trends never rescan the incidents.  The profile checks read the curated
+    table itself.
+    """
+    cube = (curated.where(F.col("Crime_Date").isNotNull())
+            .groupBy(month_start("Crime_Date").alias("month"), "LAW_CAT_CD", "OFNS_DESC", "VIC_RACE")
+            .agg(F.count(F.lit(1)).alias("n")))
+    if cut:
+        cube = cut_lineage(cube)
+    levels = level_trend(cube, "month", "LAW_CAT_CD", weight="n")
     return {
-        "monthly_trend": monthly_trend(curated, "Crime_Date"),
+        "monthly_trend": monthly_trend(cube, "month", weight="n"),
         "level_trend": levels,
         "level_endpoints": level_endpoints(levels),
-        "offence_group_trend": category_group_trend(curated, "Crime_Date", "OFNS_DESC",
-                                                    schemas.OFFENCE_GROUPS),
-        "victim_share": group_share(curated, "Crime_Date", "VIC_RACE", schemas.SHARE_GROUP),
+        "offence_group_trend": category_group_trend(cube, "month", "OFNS_DESC",
+                                                    schemas.OFFENCE_GROUPS, weight="n"),
+        "victim_share": group_share(cube, "month", "VIC_RACE", schemas.SHARE_GROUP, weight="n"),
         **profile(curated, key="CMPLNT_NUM", date_col="Crime_Date",
                   categorical=["LAW_CAT_CD", "VIC_RACE"]),
     }

@@ -117,3 +117,32 @@ def test_level_grid_matches_pandas_pivot(spark, cells):
             if g is not None:
                 assert g == pytest.approx(v)
     assert len(got) == ma.size
+
+
+@needs_data
+def test_trends_from_count_cube_equal_trends_from_rows(spark):
+    from blotter.operators.trend import band_trend, level_wide
+    from blotter.functions.categorical import Band
+    inc = incidents(spark, SF).withColumn("bal", (F.col("o_custkey") % 7).cast("double"))
+    cube = (inc.groupBy(F.trunc("o_orderdate", "month").alias("m"), "o_orderstatus",
+                        "o_orderpriority", "bal").agg(F.count(F.lit(1)).alias("n")))
+    pairs = [
+        (monthly_trend(inc, "o_orderdate"), monthly_trend(cube, "m", weight="n")),
+        (monthly_trend(inc, "o_orderdate", by=["o_orderstatus"]),
+         monthly_trend(cube, "m", by=["o_orderstatus"], weight="n")),
+        (level_trend(inc, "o_orderdate", "o_orderstatus"),
+         level_trend(cube, "m", "o_orderstatus", weight="n")),
+        (level_trend(inc, "o_orderdate", "o_orderstatus", levels=["F", "O", "P"]),
+         level_trend(cube, "m", "o_orderstatus", levels=["F", "O", "P"], weight="n")),
+        (level_wide(inc, "o_orderdate", "o_orderstatus", levels=["F", "O"]),
+         level_wide(cube, "m", "o_orderstatus", levels=["F", "O"], weight="n")),
+        (category_group_trend(inc, "o_orderdate", "o_orderpriority", PRIORITY_GROUPS),
+         category_group_trend(cube, "m", "o_orderpriority", PRIORITY_GROUPS, weight="n")),
+        (group_share(inc, "o_orderdate", "o_orderpriority", "1-URGENT"),
+         group_share(cube, "m", "o_orderpriority", "1-URGENT", weight="n")),
+        (band_trend(inc, "o_orderdate", "bal", [Band("lo", 0, 2), Band("hi", 3, 6)]),
+         band_trend(cube, "m", "bal", [Band("lo", 0, 2), Band("hi", 3, 6)], weight="n")),
+    ]
+    for raw, cubed in pairs:
+        assert raw.dtypes == cubed.dtypes
+        assert rows(raw) == rows(cubed)
