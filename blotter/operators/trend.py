@@ -115,8 +115,9 @@ def _dense_grid(df: DataFrame, date_col: str, level_col: str,
                             weight=weight)
     per_month = counts.groupBy("month").agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(level_col), F.col("cnt")))).alias("_m"))
+    # distinct per-month key sets (usually one or a few), flattened to the level set
     every = F.array_sort(F.array_distinct(F.flatten(
-        F.collect_list(F.map_keys("_m")).over(Window.partitionBy()))))
+        F.collect_set(F.array_sort(F.map_keys("_m"))).over(Window.partitionBy()))))
     return (per_month.select("month", "_m", every.alias("_levels"))
             .select("month", "_m", F.explode("_levels").alias("level"))
             .select("month", "level", F.try_element_at("_m", F.col("level")).alias("cnt")))
