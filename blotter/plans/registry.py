@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from blotter.plans import catalog
-from blotter.plans import bands, geo, integration, trends  # noqa: F401
+from blotter.plans import bands, feed, geo, integration, trends  # noqa: F401
 
 
 def queries():

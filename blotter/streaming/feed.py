@@ -25,21 +25,31 @@ from blotter.functions.dates import date_with_fallback, month_start
 from blotter.session import ensure_checkpoint_dir
 
 
-def read_feed(spark: SparkSession, path: str, columns: Sequence[str],
-              max_files_per_trigger: int | None = None) -> DataFrame:
-    """Headered CSV files landing in ``path``, every column as text."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.readStream.schema(schema).option("header", True)
+def read_feed(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+              max_files_per_trigger: int | None = None, fmt: str = "csv",
+              schema: T.StructType | None = None, base_path: str | None = None) -> DataFrame:
+    """Files landing under ``path`` (a folder or a glob) as a stream.
+
+    CSV: headered, every column of ``columns`` as text.  Other formats take
+    an explicit ``schema``.  ``base_path``: the folder a glob is relative to.
+    """
+    if schema is None:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or ()])
+    reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    if base_path:
+        reader = reader.option("basePath", base_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(path)
+    return reader.load(path)
 
 
 def monthly_counts_stream(feed: DataFrame, key: str, start_date: str, end_date: str | None = None,
                           pattern: str = "M/d/yyyy", by: Sequence[str] = (),
                           watermark: str = "400 days") -> DataFrame:
     """Monthly counts of a feed, deduplicated on ``key`` within the watermark."""
-    dated = (feed.withColumn("_d", date_with_fallback(start_date, end_date, pattern))
+    dated = (feed.withColumn("_d", date_with_fallback(start_date, end_date, pattern, feed))
              .where(F.col("_d").isNotNull())
              .withColumn("_ts", F.col("_d").cast("timestamp")))
     once = dated.withWatermark("_ts", watermark).dropDuplicatesWithinWatermark([key])
