@@ -167,7 +167,8 @@ SELECT l_orderkey, l_linenumber,
 FROM lineitem
 """)
 def q_flag_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Y/N text to boolean; any other text (``N`` here stands for itself) is NULL."""
+    """Y/N text to boolean, any other text NULL.  Return flags R → Y,
+    A → N, N kept (so false); line status F → Y, O → N, else ``?`` (NULL)."""
     li = table(spark, sf_dir, "lineitem")
     rf = (F.when(F.col("l_returnflag") == "R", "Y").when(F.col("l_returnflag") == "A", "N")
           .otherwise(F.col("l_returnflag")))
