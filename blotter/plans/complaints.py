@@ -64,13 +64,16 @@ def complaint_report(curated: DataFrame, cut: bool = True) -> dict[str, DataFram
     if cut:
         cube = cut_lineage(cube)
     levels = level_trend(cube, "month", "LAW_CAT_CD", weight="n")
+    # report tables are months × series: ordering them is cheap (O1)
     return {
-        "monthly_trend": monthly_trend(cube, "month", weight="n"),
-        "level_trend": levels,
-        "level_endpoints": level_endpoints(levels),
+        "monthly_trend": monthly_trend(cube, "month", weight="n").orderBy("month"),
+        "level_trend": levels.orderBy("month", "level"),
+        "level_endpoints": level_endpoints(levels).orderBy("level"),
         "offence_group_trend": category_group_trend(cube, "month", "OFNS_DESC",
-                                                    schemas.OFFENCE_GROUPS, weight="n"),
-        "victim_share": group_share(cube, "month", "VIC_RACE", schemas.SHARE_GROUP, weight="n"),
+                                                    schemas.OFFENCE_GROUPS, weight="n")
+        .orderBy("grp", "month"),
+        "victim_share": group_share(cube, "month", "VIC_RACE", schemas.SHARE_GROUP,
+                                    weight="n").orderBy("month"),
         **profile(curated, key="CMPLNT_NUM", date_col="Crime_Date",
                   categorical=["LAW_CAT_CD", "VIC_RACE"]),
     }

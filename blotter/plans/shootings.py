@@ -109,10 +109,11 @@ def shooting_report(located: DataFrame, split: date = SPLIT_DEFAULT,
              .select("band", "month", "cnt", strict_moving_avg("cnt", w).alias("ma12")))
     labels = [b.label for b in INCOME_BANDS]
     by_month = before_after_by_month(bands, split, labels=labels)
+    # report tables are months × bands: ordering them is cheap
     return {
-        "monthly_trend": add_trend_metrics(total),
-        "band_trend": bands,
-        "before_after": before_after(bands, split, labels=labels),
-        "before_after_by_month": by_month,
+        "monthly_trend": add_trend_metrics(total).orderBy("month"),
+        "band_trend": bands.orderBy("band", "month"),
+        "before_after": before_after(bands, split, labels=labels).orderBy("band"),
+        "before_after_by_month": by_month.orderBy("month_no", "band"),
         "change_matrix": change_matrix_wide(by_month, [x for x in labels if x != drop_band]),
     }
