@@ -8,25 +8,28 @@ point in none is dropped.  Polygons may have holes and several parts.
 Plan, all built-in expressions (no Python per row):
 
 1. Areas are exploded to their edges ``(area, x1, y1, x2, y2)``.
-2. Candidate cells: each area's bounding box is cut into square cells of
-   side ``cell_size``; a point joins the areas whose box covers its cell (an
-   equi-join on the cell, not a range predicate, so no nested-loop join).
-3. Strips: each edge is listed under every horizontal strip of height
-   ``strip_height`` its y-range touches, and gathered per (area, strip).
-   Every edge that can cross a point's rightward ray, or contain the point,
-   has the point's y in its y-range, so it is in the point's strip.
-4. Cells that no edge touches are wholly inside or outside an area; that is
-   decided once per cell on the polygon side.  Outside cells are dropped
-   from the candidate table and points in inside cells match with no edge
-   test.  Only points in boundary cells take the exact test: one pass over
-   the strip's edges counts ray crossings (even-odd over all rings and parts:
-   holes and multipart areas work) and checks whether the point lies on an
-   edge (exact, on the given doubles).
-
-Both lookup tables grow with the polygons, never with the points; they are
-materialised once (a reliable checkpoint into the shared checkpoint folder,
-which also keeps later plans short), broadcast when their row counts are
-within the bound and shuffle-joined otherwise.  Cell and strip sizes change only the speed, never the result.
+2. Cells: every area's bounding box is cut into square cells, their side
+   chosen so that all boxes together hold about ``TARGET_CELLS`` cells.  A
+   cell that some edge's box reaches is a boundary cell; any other cell is
+   wholly inside or wholly outside its area, decided once from its centre.
+   The cell table keeps boundary and inside cells only.
+3. Strips: each edge is listed under every horizontal strip its y-range
+   touches, gathered per (area, strip).  An edge that can cross a point's
+   rightward ray, or contain the point, has the point's y in its y-range, so
+   it is in the point's strip.
+4. Points join the cell table by equality on their cell (no range predicate,
+   so no nested-loop join).  A point in an inside cell matches with no edge
+   test; a point in a boundary cell joins its strip and takes the exact test:
+   ray crossings counted over all rings and parts (even-odd: holes and
+   multipart areas work) and no edge containing the point, on the given
+   doubles.  Strips of up to ``UNROLL_MAX`` edges are tested by unrolled
+   expressions compiled into the stage; longer ones by higher-order functions.
+
+Both lookup tables grow with the polygons, never with the points.
+:func:`index_areas` materialises them once (a reliable checkpoint into the
+shared checkpoint folder, which also keeps later plans short); they are
+broadcast when their row counts are within the bound and shuffle-joined
+otherwise.  Cell and strip sizes change only the speed, never the result.
 """
 
 from __future__ import annotations
