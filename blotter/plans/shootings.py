@@ -52,9 +52,12 @@ def integrate_shootings(spark: SparkSession, historic_path: str, ytd_path: str)
     if flag in hist.columns:
         hist = hist.withColumn(flag, boolean_flag(flag))
     out = integrate_incidents(shooting_sources(hist, ytd), SHOOTING_SPEC)
-    return (out.drop("occur_date").withColumnRenamed("occur_date_parsed", "occur_date")
-            .withColumns({c: out[c].try_cast("double") for c in ("longitude", "latitude")
-                          if c in out.columns}))
+    out = out.drop("occur_date").withColumnRenamed("occur_date_parsed", "occur_date")
+    # canonical types for the named columns (the flag is already boolean);
+    # every other column is kept as read
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schemas.SHOOTING_SCHEMA.fields
+             if f.name in out.columns and f.name not in ("occur_date", flag)}
+    return out.withColumns(typed)
 
 
 def locate_with_income(incidents: DataFrame, areas, incomes: DataFrame,

@@ -27,10 +27,12 @@ SHOOTING_HISTORIC_DROP = ("x_coord_cd", "y_coord_cd", "lon_lat")
 SHOOTING_YTD_DROP = ("loc_classfctn_desc", "x_coord_cd", "y_coord_cd",
                      "new georeferenced column", "loc_of_occur_desc")
 
+# Shooting columns the analysis names, with their canonical types (the date
+# is parsed and the flag turned boolean by the integration rules).
 SHOOTING_SCHEMA = T.StructType([
     T.StructField("incident_key", S),
-    T.StructField("occur_date", S),
-    T.StructField("statistical_murder_flag", S),
+    T.StructField("occur_date", T.DateType()),
+    T.StructField("statistical_murder_flag", B),
     T.StructField("longitude", D),
     T.StructField("latitude", D),
 ])
