@@ -87,6 +87,11 @@ def read_neighbourhoods(spark: SparkSession, geojson_path: str, incomes_csv: str
     return areas, incomes, names
 
 
+def read_area_names(spark: SparkSession, names_csv: str) -> DataFrame:
+    """The (code, name) area dimension as written by the ``areas`` command."""
+    return read_csv_typed(spark, names_csv, schemas.AREA_NAMES_SCHEMA)
+
+
 def lookup_profile(incomes: DataFrame) -> dict[str, DataFrame]:
     """Checks on the hand-typed income lookup: NULLs, duplicate codes, and the
     income range with values beyond the IQR fences."""

@@ -157,7 +157,9 @@ def test_cli_areas_written_only_if_absent(spark, tmp_path):
          "geometry": {"type": "Polygon", "coordinates": [[[2, 0], [3, 0], [3, 1], [2, 0]]]}}]}))
     out = str(tmp_path / "names")
     main(["areas", str(geo), out])
-    back = spark.read.option("header", True).csv(out)
+    from blotter.plans.shootings import read_area_names
+    back = read_area_names(spark, out)
+    assert back.columns == ["ntacode", "ntaname"]
     assert rows(back) == [("A1", "Name, with comma")]
     geo.write_text(json.dumps({"type": "FeatureCollection", "features": []}))
     main(["areas", str(geo), out])                          # present: left as is
