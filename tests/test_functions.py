@@ -72,3 +72,38 @@ def test_month_from_label(spark):
     df = spark.createDataFrame([("2020-2",), ("2020-11",), ("2020-02",), ("bad",)], "l string")
     assert [r[0] for r in df.select(month_from_label("l")).collect()] == [
         date(2020, 2, 1), date(2020, 11, 1), date(2020, 2, 1), None]
+
+
+def test_conform_by_name_with_missing_and_bad_values(spark):
+    from pyspark.sql import types as T
+    from blotter.operators.integrate import conform
+    df = spark.createDataFrame([("b1", "1.5", "x"), ("b2", "oops", "y")], "b string, lat string, extra string")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("lat", T.DoubleType()),
+                           T.StructField("b", T.StringType())])
+    out = conform(df, ["a", "lat", "b"], schema)
+    assert out.dtypes == [("a", "bigint"), ("lat", "double"), ("b", "string")]
+    assert [tuple(r) for r in out.collect()] == [(None, 1.5, "b1"), (None, None, "b2")]
+
+
+def test_growth_class_requires_ordered_thresholds():
+    import pytest
+    from blotter.functions import growth_class
+    with pytest.raises(ValueError):
+        growth_class("g", moderate=20, surge=10)
+
+
+def test_group_helpers(spark):
+    from blotter.functions import groups_of, invert_groups, map_values
+    assert invert_groups({"a": ["x", "y"], "b": ["y"]}) == {"x": ["a"], "y": ["a", "b"]}
+    df = spark.createDataFrame([("x",), ("y",), ("z",), (None,)], "v string")
+    got = [tuple(r) for r in df.select(groups_of("v", {"a": ["x", "y"], "b": ["y"]}),
+                                        map_values("v", {"x": "X"})).collect()]
+    assert got == [(["a"], "X"), (["a", "b"], None), ([], None), ([], None)]
+
+
+def test_write_and_reload_partitioned(spark, tmp_path):
+    from blotter.sources.files import write_and_reload
+    df = spark.createDataFrame([(1, 2020), (2, 2021), (3, 2021)], "id int, year int")
+    back = write_and_reload(df, str(tmp_path / "t"), partition_by=["year"])
+    assert sorted(tuple(r) for r in back.select("id", "year").collect()) == [(1, 2020), (2, 2021), (3, 2021)]
+    assert back.where("year = 2021").count() == 2
