@@ -17,8 +17,10 @@ from blotter import schemas
 from blotter.functions.dates import month_start
 from blotter.operators.integrate import IncidentSource, IntegrateSpec, integrate_incidents
 from blotter.operators.profile import profile
+from blotter.functions.categorical import is_known
 from blotter.operators.trend import (
-    category_group_trend, group_share, level_endpoints, level_trend, monthly_trend)
+    category_group_trend, group_share, level_endpoints, level_trend, monthly_counts,
+    monthly_trend)
 from blotter.session import cut_lineage
 from blotter.sources.files import read_csv_text, write_and_reload
 
@@ -74,6 +76,9 @@ def complaint_report(curated: DataFrame, cut: bool = True) -> dict[str, DataFram
         .orderBy("grp", "month"),
         "victim_share": group_share(cube, "month", "VIC_RACE", schemas.SHARE_GROUP,
                                     weight="n").orderBy("month"),
+        "offence_type_counts": monthly_counts(cube.where(is_known("OFNS_DESC")), "month",
+                                              by=["OFNS_DESC"], weight="n")
+        .orderBy("OFNS_DESC", "month"),
         **profile(curated, key="CMPLNT_NUM", date_col="Crime_Date",
-                  categorical=["LAW_CAT_CD", "VIC_RACE"]),
+                  categorical=["LAW_CAT_CD", "OFNS_DESC", "VIC_RACE"]),
     }

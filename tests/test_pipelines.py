@@ -58,6 +58,8 @@ def test_complaint_pipeline(spark, tmp_path):
         ("Assaults", 1), ("Drug Offense", 1), ("Robbery, Burglary, and Larceny", 1)]
     assert rows(report["victim_share"], "month", "part", "total") == [(date(2016, 1, 1), 1, 1)]
     assert report["level_trend"].count() == 9
+    assert rows(report["offence_type_counts"], "OFNS_DESC", "cnt") == [
+        ("DANGEROUS DRUGS", 1), ("FELONY ASSAULT", 1), ("ROBBERY", 1)]
     assert report["duplicate_keys"].count() == 0
 
 
