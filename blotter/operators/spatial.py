@@ -166,7 +166,7 @@ CELL_IN, CELL_EDGE = "in", "edge"
 
 
 def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_height: float,
-               area_col: str = "area") -> DataFrame:
+               area_col: str = "area", unroll: int = 0) -> DataFrame:
     """Cells ``(cx, cy, area, status)`` of each area's bounding box that can hold
     inside points.
 
@@ -203,7 +203,7 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     cy_mid = (F.col("cy") + F.lit(0.5)) * r
     centred = free.withColumn("sy", F.floor(cy_mid / F.lit(strip_height)))
     inside = (centred.join(strips, [area_col, "sy"], "inner")
-              .where(strictly_inside(cx_mid, cy_mid, F.col("_edges")))
+              .where(strictly_inside(cx_mid, cy_mid, F.col("_edges"), unroll))
               .select(area_col, "cx", "cy", F.lit(CELL_IN).alias("status")))
     return edge_cells.unionByName(inside)
 
@@ -240,13 +240,14 @@ def index_areas(areas: DataFrame, area_col: str = "area", geom_col: str = "geome
         if strip_height is None:
             strip_height = cell_size / 8
         strips = materialize_small(strip_edges(edges, strip_height, area_col))
-        cells = materialize_small(area_cells(edges, cell_size, strips, strip_height, area_col))
+        # sizes are fixed from here on: counted once, they decide broadcasting
+        strip_rows, max_edges = strips.agg(F.count(F.lit(1)), F.max(F.size("_edges"))).first()
+        cells = materialize_small(area_cells(edges, cell_size, strips, strip_height, area_col,
+                                             min(max_edges or 0, UNROLL_MAX)))
     finally:
         edges.unpersist()
-    # sizes are fixed from here on: counted once, they decide broadcasting
-    stats = strips.agg(F.count(F.lit(1)), F.max(F.size("_edges"))).first()
     return AreaIndex(cells, strips, cell_size, strip_height, area_col,
-                     cells.count(), stats[0], stats[1] or 0)
+                     cells.count(), strip_rows, max_edges or 0)
 
 
 def _bounded(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
