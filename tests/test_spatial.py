@@ -149,3 +149,54 @@ def test_unrolled_and_looped_tests_agree(spark, tmp_path, monkeypatch, cap):
     ref = rows(sp.locate(pts, idx))
     monkeypatch.setattr(sp, "UNROLL_MAX", cap)
     assert rows(sp.locate(pts, idx)) == ref
+
+
+def _star(rnd, cx, cy, n, r0, r1):
+    import math
+    angles = sorted(rnd.uniform(0, 2 * math.pi) for _ in range(n))
+    return [[cx + rnd.uniform(r0, r1) * math.cos(a), cy + rnd.uniform(r0, r1) * math.sin(a)]
+            for a in angles]
+
+
+def _brute(points, edges):
+    out = []
+    for pid, x, y in points:
+        state = {}
+        for a, x1, y1, x2, y2 in edges:
+            n, on = state.get(a, (0, False))
+            if (y1 > y) != (y2 > y) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                n += 1
+            if ((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1) == 0
+                    and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)):
+                on = True
+            state[a] = (n, on)
+        out += [(pid, a) for a, (n, on) in state.items() if n % 2 == 1 and not on]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_star_polygons_match_brute_force(spark, seed):
+    from pyspark.sql import types as T
+    from blotter.operators.spatial import MULTIPOLYGON
+    rnd = random.Random(seed)
+    areas = []
+    for k in range(4):
+        outer = _star(rnd, rnd.uniform(0, 6), rnd.uniform(0, 6), rnd.randint(5, 40), 0.5, 3.0)
+        rings = [outer + [outer[0]]]
+        if k == 0:       # a hole well inside the star's inner radius
+            hx, hy = sum(p[0] for p in outer) / len(outer), sum(p[1] for p in outer) / len(outer)
+            hole = _star(rnd, hx, hy, 6, 0.05, 0.2)
+            rings.append(hole + [hole[0]])
+        areas.append((f"S{k}", [rings]))
+    adf = spark.createDataFrame(areas, T.StructType([T.StructField("area", T.StringType()),
+                                                     T.StructField("geometry", MULTIPOLYGON)]))
+    pts = [(i, rnd.uniform(-3, 9), rnd.uniform(-3, 9)) for i in range(1500)]
+    verts = [p for _, g in areas for ring in g[0] for p in ring]
+    pts += [(10000 + i, v[0], v[1]) for i, v in enumerate(verts)]                       # vertices
+    pts += [(20000 + i, (a[0] + b[0]) / 2, (a[1] + b[1]) / 2)                            # midpoints
+            for i, (a, b) in enumerate(zip(verts, verts[1:]))]
+    pdf = spark.createDataFrame(pts, "pid int, longitude double, latitude double")
+    edges = [tuple(r) for r in polygon_edges(adf).collect()]
+    got = sorted(tuple(r) for r in locate(pdf, adf, cell_size=rnd.choice([0.05, 0.3, None]))
+                 .select("pid", "area").collect())
+    assert got == _brute(pts, edges)
