@@ -46,8 +46,9 @@ def curate_complaints(spark: SparkSession, historic_path: str, current_path: str
                .withColumnsRenamed({"Latitude": "latitude", "Longitude": "longitude"}))
     if out is None:
         return curated
+    # year-partitioned: a filter on `year` (kept as a column) skips whole folders
     return write_and_reload(curated.withColumn("year", F.year("Crime_Date")), out,
-                            partition_by=["year"]).drop("year")
+                            partition_by=["year"])
 
 
 def complaint_report(curated: DataFrame, cut: bool = True) -> dict[str, DataFrame]:
