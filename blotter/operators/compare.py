@@ -86,8 +86,11 @@ def change_matrix_wide(by_month: DataFrame, columns: Sequence[str], series: str
     Series not listed are left out (dropping a band is leaving it out of
     ``columns``).  Rows are ordered by month number.
     """
-    return (by_month.groupBy("month_no", "month_name")
-            .pivot(series, list(columns)).agg(F.first(value))
+    # one conditional aggregate per listed series: each (month, series) cell is
+    # a single row, so this is the pivot in one aggregation instead of two
+    cells = [F.max(F.when(F.col(series) == c, F.col(value))).alias(c) for c in columns]
+    return (by_month.where(F.col(series).isin(*columns))
+            .groupBy("month_no", "month_name").agg(*cells)
             .orderBy("month_no"))
 
 
