@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from blotter.plans.catalog import register, table
 from blotter.streaming.feed import (
-    monthly_counts_stream, read_feed, start_monthly_table, stream_checkpoint)
+    feed_session, monthly_counts_stream, read_feed, start_monthly_table, stream_checkpoint)
 
 
 @register("feed_monthly_counts", """
@@ -26,8 +26,9 @@ FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1
 def q_feed_monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 over a stream: every order file read as it lands, counted per month."""
     schema = table(spark, sf_dir, "orders").schema
+    stream = feed_session(spark)
     # a file source streams a folder or a glob; the glob names the one table file
-    feed = read_feed(spark, f"{sf_dir}/orders.parque[t]", fmt="parquet", schema=schema,
+    feed = read_feed(stream, f"{sf_dir}/orders.parque[t]", fmt="parquet", schema=schema,
                      base_path=sf_dir)
     counts = monthly_counts_stream(feed, "o_orderkey", "o_orderdate")
     name = f"feed_monthly_{uuid.uuid4().hex[:12]}"

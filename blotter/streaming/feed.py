@@ -25,6 +25,20 @@ from blotter.functions.dates import date_with_fallback, month_start
 from blotter.session import ensure_checkpoint_dir
 
 
+def feed_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A child session (same context, own SQL settings) for a feed's stream.
+
+    A stream's state is split into ``spark.sql.shuffle.partitions`` parts,
+    fixed at its first start.  Size it for the state (keys within the
+    watermark, months × series), by default the cluster's cores, without
+    changing the caller's session.
+    """
+    child = spark.newSession()
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    child.conf.set("spark.sql.shuffle.partitions", str(n))
+    return child
+
+
 def read_feed(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
               max_files_per_trigger: int | None = None, fmt: str = "csv",
               schema: T.StructType | None = None, base_path: str | None = None) -> DataFrame:
