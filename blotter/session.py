@@ -82,7 +82,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     sources.  Never a local checkpoint: those die with the executor.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # cached while checkpointing: the count that triggers it and the write of
+    # the files then compute the input once, not twice
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def materialize_small(df: DataFrame) -> DataFrame:
