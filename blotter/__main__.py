@@ -4,8 +4,9 @@
     python -m blotter shootings HISTORIC.csv YTD.csv AREAS.geojson INCOMES.csv OUT_DIR
     python -m blotter areas AREAS.geojson OUT_CSV_DIR
 
-Each report table is written as parquet under OUT_DIR/<name>.  The area
-dimension is written as CSV only if absent.  The session comes from
+Each report table is written under OUT_DIR/<name>, as parquet or (with
+``--format csv``) headered CSV; ``--mode errorifexists`` refuses to replace a
+table.  The area dimension is written as CSV only if absent.  The session comes from
 ``spark-submit`` (or a local one when run directly).
 """
 
@@ -35,9 +36,9 @@ CLUSTER_DEFAULTS = {
 }
 
 
-def _write_all(tables: dict, out: str) -> None:
+def _write_all(tables: dict, out: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     for name, df in tables.items():
-        write_table(df, os.path.join(out, name), "overwrite")
+        write_table(df, os.path.join(out, name), mode, fmt)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -51,6 +52,11 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--cell-size", type=float, default=None)
     a = sub.add_parser("areas")
     a.add_argument("geojson"), a.add_argument("out")
+    for sp in (c, s):
+        sp.add_argument("--format", choices=["parquet", "csv"], default="parquet",
+                        help="format of the report tables (CSV with a header)")
+        sp.add_argument("--mode", choices=["overwrite", "errorifexists", "ignore"],
+                        default="overwrite", help="what to do when a table exists")
     args = p.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"blotter-{args.cmd}").getOrCreate()
@@ -60,16 +66,17 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "complaints":
         curated = curate_complaints(spark, args.historic, args.current,
                                     out=os.path.join(args.out, "curated"))
-        _write_all(complaint_report(curated), args.out)
+        _write_all(complaint_report(curated), args.out, args.format, args.mode)
     elif args.cmd == "shootings":
         incidents = integrate_shootings(spark, args.historic, args.ytd)
         areas, incomes, names = read_neighbourhoods(spark, args.areas, args.incomes)
-        _write_all({f"lookup_{k}": v for k, v in lookup_profile(incomes).items()}, args.out)
+        _write_all({f"lookup_{k}": v for k, v in lookup_profile(incomes).items()}, args.out,
+                   args.format, args.mode)
         located = locate_with_income(incidents, areas, incomes, cell_size=args.cell_size,
                                      area_names=names)
         write_table(located, os.path.join(args.out, "located"), "overwrite")
         located = spark.read.parquet(os.path.join(args.out, "located"))
-        _write_all(shooting_report(located), args.out)
+        _write_all(shooting_report(located), args.out, args.format, args.mode)
     else:
         dims = area_dimension(read_features(spark, args.geojson, ["ntacode", "ntaname"]))
         write_table(dims, args.out, "ignore", fmt="csv")

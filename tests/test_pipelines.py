@@ -180,9 +180,12 @@ def test_cli_shootings_and_complaints(spark, tmp_path):
     h = _write_csv(tmp_path / "h.csv", header, [_complaint("1", "01/05/2016", "", "FELONY", "ROBBERY", "WHITE")[:-1]])
     c = _write_csv(tmp_path / "c.csv", header, [_complaint("2", "02/05/2016", "", "FELONY", "ROBBERY", "WHITE")[:-1]])
     out2 = str(tmp_path / "out2")
-    main(["complaints", h, c, out2])
+    main(["complaints", h, c, out2, "--format", "csv", "--mode", "errorifexists"])
     assert spark.read.parquet(f"{out2}/curated").count() == 2
-    assert spark.read.parquet(f"{out2}/monthly_trend").count() == 2
+    trend = spark.read.option("header", True).csv(f"{out2}/monthly_trend")
+    assert trend.count() == 2 and "ma12" in trend.columns
+    with pytest.raises(Exception):
+        main(["complaints", h, c, out2, "--format", "csv", "--mode", "errorifexists"])
 
 
 def test_enrich_area_same_rows_beyond_broadcast_bound(spark):
