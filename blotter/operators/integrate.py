@@ -131,7 +131,8 @@ def dedup_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     partitioning, and an aggregate, so each task reduces its rows per key
     before the shuffle (a key holding a third of the table sends one row per
     task, not all its rows to one task).  NULLs sort first.  A NULL key is a
-    key like any other: its rows collapse to one.
+    key like any other: its rows collapse to one.  Every column takes part in
+    the ordering, so all must be orderable (no map columns).
     """
     rest = [c for c in df.columns if c != key and c not in order]
     packed = F.struct(*[F.col(c) for c in [*order, *rest]])
