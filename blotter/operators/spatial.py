@@ -264,15 +264,17 @@ def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude"
     ``areas`` is an :class:`AreaIndex` or a DataFrame with one row per area
     and a MultiPolygon array in ``geom_col`` (see :func:`multipolygon`),
     indexed on the fly.  Coordinates of points and areas must be in the same
-    system; nothing is reprojected.  Points with a NULL coordinate match
-    nothing.  The points must not already have a column named like the area
-    column.
+    system; nothing is reprojected.  Points with a NULL or NaN coordinate
+    match nothing.  The points must not already have a column named like the
+    area column.
     """
     idx = areas if isinstance(areas, AreaIndex) else index_areas(
         areas, area_col, geom_col, cell_size, strip_height)
     area_col = idx.area_col
     px, py = F.col(x), F.col(y)
-    keyed = points.where(px.isNotNull() & py.isNotNull()).withColumns({
+    # NULL or NaN coordinates match nothing (floor(NaN) would land in cell 0)
+    valid = px.isNotNull() & py.isNotNull() & ~F.isnan(px) & ~F.isnan(py)
+    keyed = points.where(valid).withColumns({
         "_cx": F.floor(px / F.lit(idx.cell_size)),
         "_cy": F.floor(py / F.lit(idx.cell_size))})
     cells = idx.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), area_col,

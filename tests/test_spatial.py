@@ -43,7 +43,7 @@ POINTS = [
     ("inside", 0.5, 0.5), ("outside", -1.0, 2.0), ("edge", 0.0, 2.0), ("vertex", 4.0, 4.0),
     ("hole", 2.0, 2.0), ("hole_edge", 1.0, 2.0), ("second_part", 12.5, 0.5),
     ("gap", 11.5, 0.5), ("overlap", 3.5, 3.5), ("null", None, 1.0), ("tri_edge", 4.5, 4.5),
-    ("top_edge_of_part", 12.5, 1.0),
+    ("top_edge_of_part", 12.5, 1.0), ("nan_x", float("nan"), 0.5), ("nan_y", 0.5, float("nan")),
 ]
 
 
@@ -200,3 +200,15 @@ def test_random_star_polygons_match_brute_force(spark, seed):
     got = sorted(tuple(r) for r in locate(pdf, adf, cell_size=rnd.choice([0.05, 0.3, None]))
                  .select("pid", "area").collect())
     assert got == _brute(pts, edges)
+
+
+def test_nan_coordinates_never_match_interior_cells(spark):
+    from pyspark.sql import types as T
+    from blotter.operators.spatial import MULTIPOLYGON
+    square = [[[[-5.0, -5.0], [5.0, -5.0], [5.0, 5.0], [-5.0, 5.0], [-5.0, -5.0]]]]
+    areas = spark.createDataFrame([("Z", square)], T.StructType(
+        [T.StructField("area", T.StringType()), T.StructField("geometry", MULTIPOLYGON)]))
+    pts = spark.createDataFrame([(1, float("nan"), float("nan")), (2, 0.5, 0.5), (3, float("nan"), 0.5)],
+                                "pid int, longitude double, latitude double")
+    # cell (0, 0) is an interior cell: NaN must not be taken for it
+    assert rows(locate(pts, areas, cell_size=1.0), "pid", "area") == [(2, "Z")]
