@@ -10,8 +10,9 @@ Plan, all built-in expressions (no Python per row):
 1. Areas are exploded to their edges ``(area, x1, y1, x2, y2)``.
 2. Cells: every area's bounding box is cut into square cells, their side
    chosen so that all boxes together hold about ``TARGET_CELLS`` cells.  A
-   cell that some edge's box reaches is a boundary cell; any other cell is
-   wholly inside or wholly outside its area, decided once from its centre.
+   cell an edge passes through (traced column by column, with a one-cell
+   margin) is a boundary cell; any other cell is wholly inside or wholly
+   outside its area, decided once from its centre.
    The cell table keeps boundary and inside cells only.
 3. Strips: each edge is listed under every horizontal strip its y-range
    touches, gathered per (area, strip).  An edge that can cross a point's
@@ -170,10 +171,11 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     """Cells ``(cx, cy, area, status)`` of each area's bounding box that can hold
     inside points.
 
-    ``edge``: some edge's bounding box reaches the cell, so points there need
-    the exact test.  No edge crosses any other cell, so each is wholly inside
-    or wholly outside the area: its centre decides, by the exact test, once
-    per cell.  Outside cells are left out, so their points meet no candidate.
+    ``edge``: an edge passes through or next to the cell, so points there
+    need the exact test.  No edge comes near any other cell, so each is
+    wholly inside or wholly outside the area: its centre decides, by the
+    exact test, once per cell.  Outside cells are left out, so their points
+    meet no candidate.
     """
     r = F.lit(cell_size)
     boxes = edges.groupBy(area_col).agg(
@@ -184,17 +186,34 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     every = (boxes
              .select(area_col, "_y0", "_y1", F.explode(F.sequence("_x0", "_x1")).alias("cx"))
              .select(area_col, "cx", F.explode(F.sequence("_y0", "_y1")).alias("cy")))
-    # cells an edge's bounding box reaches.  A point's cell is floor(coord / r),
-    # monotone in the coordinate, so a point on an edge always falls in a cell
-    # of that edge's [floor(min / r), floor(max / r)] range: cells outside every
-    # such range hold no boundary point
-    touched = (edges
-               .select(area_col,
-                       F.explode(F.sequence(F.floor(F.least("x1", "x2") / r),
-                                            F.floor(F.greatest("x1", "x2") / r))).alias("cx"),
-                       F.floor(F.least("y1", "y2") / r).alias("_c0"),
-                       F.floor(F.greatest("y1", "y2") / r).alias("_c1"))
-               .select(area_col, "cx", F.explode(F.sequence("_c0", "_c1")).alias("cy"))
+    # cells an edge reaches.  A point's cell is floor(coord / r), monotone in
+    # the coordinate, so a point on an edge falls in a column of the edge's
+    # [floor(min x / r), floor(max x / r)] range.  Within each column the
+    # segment spans the y-range between its ends in that column; the cells of
+    # that range, one more on each side (covering rounding), clipped to the
+    # edge's own row range, are marked.  For axis-aligned or short edges this
+    # is the edge's bounding box; a long diagonal marks about three cells per
+    # column instead of its whole box.
+    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
+    cols = edges.select(
+        area_col, "x1", "y1", "x2", "y2",
+        F.floor(F.least(y1, y2) / r).alias("_r0"), F.floor(F.greatest(y1, y2) / r).alias("_r1"),
+        F.least(x1, x2).alias("_xa"), F.greatest(x1, x2).alias("_xb"),
+        F.explode(F.sequence(F.floor(F.least(x1, x2) / r),
+                             F.floor(F.greatest(x1, x2) / r))).alias("cx"))
+    lo = F.greatest(F.col("_xa"), F.col("cx") * r)
+    hi = F.least(F.col("_xb"), (F.col("cx") + F.lit(1)) * r)
+
+    def y_at(x):
+        return y1 + (x - x1) * (y2 - y1) / (x2 - x1)
+    upright = x1 == x2
+    first = F.when(upright, F.col("_r0")).otherwise(
+        F.greatest(F.floor(F.least(y_at(lo), y_at(hi)) / r) - 1, F.col("_r0")))
+    last = F.when(upright, F.col("_r1")).otherwise(
+        F.least(F.floor(F.greatest(y_at(lo), y_at(hi)) / r) + 1, F.col("_r1")))
+    touched = (cols.select(area_col, "cx", first.alias("_c0"), last.alias("_c1"))
+               .select(area_col, "cx",
+                       F.explode(F.sequence(F.least("_c0", "_c1"), F.greatest("_c0", "_c1"))).alias("cy"))
                .distinct())
     edge_cells = every.join(touched, [area_col, "cx", "cy"], "left_semi") \
         .withColumn("status", F.lit(CELL_EDGE))
