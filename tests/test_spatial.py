@@ -212,3 +212,25 @@ def test_nan_coordinates_never_match_interior_cells(spark):
                                 "pid int, longitude double, latitude double")
     # cell (0, 0) is an interior cell: NaN must not be taken for it
     assert rows(locate(pts, areas, cell_size=1.0), "pid", "area") == [(2, "Z")]
+
+
+@pytest.mark.parametrize("cell", [0.013, 0.2])
+def test_points_hugging_long_diagonal_edges_match_brute_force(spark, cell):
+    from pyspark.sql import types as T
+    from blotter.operators.spatial import MULTIPOLYGON
+    rnd = random.Random(17)
+    areas, pts = [], []
+    for k in range(3):
+        ring = _star(rnd, rnd.uniform(2, 6), rnd.uniform(2, 6), 5, 1.5, 3.0)   # few, long edges
+        areas.append((f"D{k}", [[ring + [ring[0]]]]))
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+            for t in (0.1, 0.37, 0.5, 0.9):
+                x, y = ax + t * (bx - ax), ay + t * (by - ay)
+                for dx, dy in ((0, 0), (1e-9, 0), (-1e-9, 0), (0, 1e-9), (0, -1e-9)):
+                    pts.append((len(pts), x + dx, y + dy))
+    adf = spark.createDataFrame(areas, T.StructType([T.StructField("area", T.StringType()),
+                                                     T.StructField("geometry", MULTIPOLYGON)]))
+    pdf = spark.createDataFrame(pts, "pid int, longitude double, latitude double")
+    edges = [tuple(r) for r in polygon_edges(adf).collect()]
+    got = sorted(tuple(r) for r in locate(pdf, adf, cell_size=cell).select("pid", "area").collect())
+    assert got == _brute(pts, edges)
