@@ -59,7 +59,8 @@ def complaint_report(curated: DataFrame, cut: bool = True) -> dict[str, DataFram
     to (month, level, offence, victim group) counts, a table of at most
     months × categories rows; with ``cut`` it is checkpointed, so the four
     trends never rescan the incidents.  The profile checks read the curated
-    table itself.
+    table itself: pass the written table (``curate_complaints(..., out=...)``,
+    as the command line does), or each check re-runs the integration.
     """
     cube = (curated.where(F.col("Crime_Date").isNotNull())
             .groupBy(month_start("Crime_Date").alias("month"), "LAW_CAT_CD", "OFNS_DESC", "VIC_RACE")
