@@ -28,3 +28,12 @@ def test_feed_monthly_counts(spark, tmp_path):
                             available_now=True)
     q.awaitTermination(120)
     assert rows(spark.read.parquet(out), "month", "cnt") == [(date(2023, 1, 1), 2), (date(2023, 2, 1), 2)]
+
+
+def test_feed_session_leaves_caller_settings(spark):
+    from blotter.streaming.feed import feed_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    child = feed_session(spark, state_partitions=3)
+    assert child.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert child.sparkContext is spark.sparkContext
