@@ -2,6 +2,7 @@
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from blotter.functions import (
@@ -107,3 +108,58 @@ def test_write_and_reload_partitioned(spark, tmp_path):
     back = write_and_reload(df, str(tmp_path / "t"), partition_by=["year"])
     assert sorted(tuple(r) for r in back.select("id", "year").collect()) == [(1, 2020), (2, 2021), (3, 2021)]
     assert back.where("year = 2021").count() == 2
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_edges = [0.0, 41000.0, 41000.5, 41001.0, 72000.0, 72001.0, 123000.0, 123001.0, 123002.0]
+_incomes = st.one_of(st.sampled_from(_edges), st.floats(-1e3, 3e5, allow_nan=False),
+                     st.integers(-10, 300000).map(float))
+
+
+def _band_ref(x):
+    if 0 <= x <= 41000:
+        return "Low Income"
+    if 41001 <= x <= 72000:
+        return "Mid Income"
+    if 72001 <= x <= 123000:
+        return "Mid-High Income"
+    if x > 123001:
+        return "High Income"
+    return None
+
+
+def _class_ref(g, a=10.0, b=20.0):
+    if g is None:
+        return None
+    if g >= b:
+        return "surge"
+    if g <= -b:
+        return "drop"
+    if a <= abs(g) < b:
+        return "moderate"
+    return "steady"
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_incomes, min_size=1, max_size=60),
+       st.lists(st.one_of(st.none(), st.floats(-60, 60, allow_nan=False),
+                          st.sampled_from([10.0, -10.0, 20.0, -20.0, 19.99])), min_size=1, max_size=60),
+       st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 9).map(float)),
+                          st.one_of(st.none(), st.integers(0, 9).map(float))), min_size=1, max_size=30))
+def test_scalar_rules_match_reference_statements(spark, incomes, growths, pairs):
+    import numpy as np
+    from blotter.functions import INCOME_BANDS, band_of, growth_class, pct_change_zero_guarded
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in incomes], "x double")
+           .select(band_of("x", INCOME_BANDS)).collect()]
+    assert got == [_band_ref(x) for x in incomes]
+    got = [r[0] for r in spark.createDataFrame([(g,) for g in growths], "g double")
+           .select(growth_class("g")).collect()]
+    assert got == [_class_ref(g) for g in growths]
+    got = [r[0] for r in spark.createDataFrame(pairs, "after double, before double")
+           .select(pct_change_zero_guarded("after", "before")).collect()]
+    after = np.nan_to_num(np.array([np.nan if a is None else a for a, _ in pairs]))
+    before = np.nan_to_num(np.array([np.nan if b is None else b for _, b in pairs]))
+    want = np.divide(after - before, before, out=np.zeros_like(after), where=before != 0) * 100
+    assert got == pytest.approx(list(want))
