@@ -109,3 +109,26 @@ def test_numeric_summary_flags_far_value(spark):
     assert inc["n"] == 102 and inc["min"] == 20000.0 and inc["max"] == 946500.0
     assert inc["outliers"] == 1
     assert got["other"]["outliers"] == 0 and got["other"]["n"] == 102   # 5 is inside the low fence
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)),
+                          st.one_of(st.none(), st.integers(0, 3)),
+                          st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))),
+                min_size=1, max_size=80))
+def test_dedup_first_matches_a_direct_statement(spark, data):
+    df = spark.createDataFrame(data, "k int, o int, v string").repartition(5)
+    got = [tuple(r) for r in dedup_first(df, "k", ["o"]).collect()]
+
+    def order(row):  # NULLs first, then the value
+        return tuple((x is not None, x) for x in row[1:])
+    want = {}
+    for row in data:
+        if row[0] not in want or order(row) < order(want[row[0]]):
+            want[row[0]] = row
+    key = lambda t: tuple((x is not None, x) for x in t)
+    assert sorted(got, key=key) == sorted(want.values(), key=key)
