@@ -54,3 +54,32 @@ def test_change_matrix_wide_roundtrip(spark):
     back = unpivot_matrix(wide, ["month_no", "month_name"])
     assert back.count() == 24
     assert rows(back.where("band = 'mid' AND month_no = 1"), "change_pct") == [(-100.0,)]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["low", "mid", "high"]), st.integers(0, 47),
+                          st.integers(0, 30)), min_size=1, max_size=60, unique_by=lambda t: (t[0], t[1])))
+def test_month_matrix_matches_a_direct_statement(spark, cells):
+    import numpy as np
+    import pandas as pd
+    labels = ["low", "mid", "high", "none"]
+    months = pd.date_range("2019-01-01", periods=48, freq="MS").date
+    data = [(b, months[i], c) for b, i, c in cells]
+    df = spark.createDataFrame(data, "band string, month date, cnt long")
+    got = {(r["band"], r["month_no"]): (r["before_avg"], r["after_avg"], r["change_pct"])
+           for r in before_after_by_month(df, SPLIT, labels=labels).collect()}
+    pdf = pd.DataFrame(data, columns=["band", "month", "cnt"])
+    pdf["m"] = [d.month for d in pdf["month"]]
+    for b in labels:
+        sub = pdf[pdf["band"] == b]
+        for m in range(1, 13):
+            before = sub[(sub["month"] < SPLIT) & (sub["m"] == m)]["cnt"].mean()
+            after = sub[(sub["month"] >= SPLIT) & (sub["m"] == m)]["cnt"].mean()
+            before, after = np.nan_to_num(before), np.nan_to_num(after)
+            change = (after - before) / before * 100 if before != 0 else 0.0
+            gb, ga, gc = got[(b, m)]
+            assert (gb, ga) == pytest.approx((before, after)) and gc == pytest.approx(change)
