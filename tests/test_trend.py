@@ -179,3 +179,32 @@ def test_null_dates_dropped_before_monthly_grouping(spark):
     df = spark.createDataFrame([(date(2020, 1, 5),), (None,), (date(2020, 1, 9),)], "d date")
     t = monthly_trend(df, "d").collect()
     assert [(r["month"], r["cnt"]) for r in t] == [(date(2020, 1, 1), 2)]
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 29),
+                          st.sampled_from(["ASIAN", "WHITE", "BLACK", None, "(null)", "UNKNOWN"])),
+                min_size=1, max_size=300))
+def test_group_share_matches_a_direct_statement(spark, rows_in):
+    import pandas as pd
+    ms = months(30)
+    data = [(ms[i], g) for i, g in rows_in]
+    df = spark.createDataFrame(data, "d date, race string")
+    got = sorted((r["month"], r["part"], r["total"], r["percent"], r["ma12"])
+                 for r in group_share(df, "d", "race", "ASIAN").collect())
+    pdf = pd.DataFrame(data, columns=["d", "race"])
+    known = pdf[pdf["race"].notna() & ~pdf["race"].isin(["(null)", "UNKNOWN"])]
+    per = known.groupby("d").agg(total=("race", "size"), part=("race", lambda s: (s == "ASIAN").sum()))
+    per = per[per["part"] > 0].sort_index()
+    per["percent"] = per["part"] / per["total"] * 100
+    per["ma12"] = per["percent"].rolling(12).mean()
+    want = [(d, int(p), int(t), pc, None if pd.isna(ma) else ma)
+            for d, p, t, pc, ma in zip(per.index, per["part"], per["total"], per["percent"], per["ma12"])]
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:3] == w[:3] and g[3] == pytest.approx(w[3])
+        assert (g[4] is None) == (w[4] is None) and (g[4] is None or g[4] == pytest.approx(w[4]))
