@@ -132,3 +132,43 @@ def test_dedup_first_matches_a_direct_statement(spark, data):
             want[row[0]] = row
     key = lambda t: tuple((x is not None, x) for x in t)
     assert sorted(got, key=key) == sorted(want.values(), key=key)
+
+
+_texts = st.sampled_from([None, "null", "bad", "1/5/2014", "6/30/2015", "1/1/2016", "12/31/2016",
+                          "2/29/2016", "7/4/2017"])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6), _texts, _texts,
+                          st.sampled_from(["F", "M", None])), min_size=1, max_size=60))
+def test_integrate_matches_a_direct_statement(spark, rows_in):
+    from datetime import datetime
+
+    def parse(t):
+        if t is None or t.strip() in ("null", ""):
+            return None
+        try:
+            return datetime.strptime(t, "%m/%d/%Y").date()
+        except ValueError:
+            return None
+    srcs = []
+    for prio, name in ((0, "historic"), (1, "current")):
+        part = [(str(k), fr, to, lvl) for p, k, fr, to, lvl in rows_in if p == prio]
+        df = spark.createDataFrame(part, "id string, fr string, to string, lvl string")
+        srcs.append(IncidentSource(df, name, prio))
+    got = sorted(tuple(r) for r in integrate_incidents(srcs, SPEC)
+                 .select("id", "incident_date", "source").collect())
+
+    # union → first per key by (priority, date, other columns; NULLs first) → date rules
+    def order(t):
+        return tuple((x is not None, x) for x in t)
+    best = {}
+    for p, k, fr, to, lvl in rows_in:
+        d = parse(fr) or parse(to)
+        cand = (p, d, fr, to, lvl, "historic" if p == 0 else "current")
+        key = str(k)
+        if key not in best or order(cand) < order(best[key]):
+            best[key] = cand
+    want = sorted((k, c[1], c[5]) for k, c in best.items()
+                  if c[1] is not None and c[1] >= date(2015, 1, 1))
+    assert got == want
