@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from blotter.llm.minhash import op1_minhash_near_dedup
 from blotter.llm.packing import op3_packing
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_packing": op3_packing,
 }
 
