@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from blotter.llm.minhash import op1_minhash_near_dedup
 from blotter.llm.packing import op3_packing
+from blotter.llm.quality_rules import op4_quality_rules
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_packing": op3_packing,
+    "op4_quality_rules": op4_quality_rules,
 }
 
 ORACLE: dict[str, str] = {}
