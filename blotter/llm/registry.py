@@ -5,11 +5,15 @@ from __future__ import annotations
 from blotter.llm.minhash import op1_minhash_near_dedup
 from blotter.llm.packing import op3_packing
 from blotter.llm.quality_rules import op4_quality_rules
+from blotter.llm.quality_trees import op6_quality_trees
+from blotter.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op6_quality_trees": op6_quality_trees,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
