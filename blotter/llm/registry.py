@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from blotter.llm.language import op7_language_id
 from blotter.llm.minhash import op1_minhash_near_dedup
 from blotter.llm.packing import op3_packing
 from blotter.llm.quality_rules import op4_quality_rules
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
     "op6_quality_trees": op6_quality_trees,
+    "op7_language_id": op7_language_id,
     "op10_toxicity": op10_toxicity,
 }
 
