@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from blotter.llm.language import op7_language_id
 from blotter.llm.minhash import op1_minhash_near_dedup
+from blotter.llm.mixing import OP9_SQL, op9_source_mixing
 from blotter.llm.packing import op3_packing
 from blotter.llm.quality_rules import op4_quality_rules
 from blotter.llm.quality_trees import op6_quality_trees
@@ -15,10 +16,13 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_quality_trees": op6_quality_trees,
     "op7_language_id": op7_language_id,
+    "op9_source_mixing": op9_source_mixing,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_source_mixing": OP9_SQL,
+}
 
 
 def queries():
