@@ -8,6 +8,7 @@ from blotter.llm.mixing import OP9_SQL, op9_source_mixing
 from blotter.llm.packing import op3_packing
 from blotter.llm.quality_rules import op4_quality_rules
 from blotter.llm.quality_trees import op6_quality_trees
+from blotter.llm.token_files import op8_token_files
 from blotter.llm.toxicity import op10_toxicity
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_quality_trees": op6_quality_trees,
     "op7_language_id": op7_language_id,
+    "op8_token_files": op8_token_files,
     "op9_source_mixing": op9_source_mixing,
     "op10_toxicity": op10_toxicity,
 }
