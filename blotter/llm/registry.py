@@ -5,6 +5,7 @@ from __future__ import annotations
 from blotter.llm.language import op7_language_id
 from blotter.llm.minhash import op1_minhash_near_dedup
 from blotter.llm.mixing import OP9_SQL, op9_source_mixing
+from blotter.llm.neighbours import OP5_SQL, op5_nearest_neighbours
 from blotter.llm.packing import op3_packing
 from blotter.llm.quality_rules import op4_quality_rules
 from blotter.llm.quality_trees import op6_quality_trees
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_quality_trees": op6_quality_trees,
     "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op5_nearest_neighbours": OP5_SQL,
     "op9_source_mixing": OP9_SQL,
 }
 
