@@ -58,6 +58,27 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+BITMAP_BITS = 24
+
+
+def among(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` whose ``on`` is in the one column of ``ids``.
+
+    A hashed bitmap of the ids (at most 2**BITMAP_BITS bits, so a broadcast of bounded size) drops
+    most other rows before anything is shuffled; the semi-join behind it is exact.
+    """
+    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITMAP_BITS))
+    flag = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))
+    ids = ids.toDF(on)
+    bitmap = (ids.select(spot(F.col(on)).alias("_spot"))
+              .select(F.shiftright("_spot", 6).alias("_word"), flag(F.col("_spot")).alias("_bit"))
+              .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
+    near = (df.withColumn("_spot", spot(F.col(on))).withColumn("_word", F.shiftright("_spot", 6))
+            .join(F.broadcast(bitmap), "_word").where(F.col("_bits").bitwiseAND(flag(F.col("_spot"))) != 0)
+            .select(*df.columns))
+    return near.join(ids, on, "left_semi")
+
+
 # ---------------------------------------------------------------- shared intermediate tables
 
 def shared_folder(spark: SparkSession) -> str:

@@ -7,9 +7,10 @@
 2. Exact copies fall together by digest; only the smallest id of each goes on.
 3. A band bucket links its members to its smallest id (a star, never all pairs).  Each link is
    checked on the signatures, and what they leave on the full shingle sets.
-4. Components of the confirmed links.  Where a bucket still spans several components, its
-   members are compared across them in blocks of bounded size, again by signature first and
-   by full sets after; new links are merged into the components.
+4. Components of the confirmed links.  Where a family (documents held together by buckets)
+   still spans several components, its members are compared across them in pairs of blocks of
+   bounded size, again by signature first and by full sets after; a block pair returns only
+   links that join something, which are merged into the components.
 
 Whatever is joined holds ids, keys and signatures; texts move only for pairs that the
 signatures could not rule out.
@@ -24,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import Scratch, encoded, id_and_text, map_batches, table
+from blotter.llm.common import Scratch, among, encoded, id_and_text, map_batches, table
 from blotter.llm.components import components
 
 HASHES = 320
@@ -158,9 +159,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, part: int, of: in
 
         out = {"u": [], "v": []}
         for u, v, tu, tv in zip(cols["u"], cols["v"], cols["tu"], cols["tv"]):
-            one, two = of_text(tu), of_text(tv)
-            common = len(np.intersect1d(one, two, assume_unique=True))
-            if common and of * common >= part * (len(one) + len(two) - common):
+            if _linked(of_text(tu), of_text(tv), part, of):
                 out["u"].append(u)
                 out["v"].append(v)
         return out
@@ -168,34 +167,61 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, part: int, of: in
     return map_batches(sides.select("u", "v", "tu", "tv"), run, "u long, v long")
 
 
-def _across(buckets: DataFrame, least: float) -> DataFrame:
-    """Pairs of one bucket in different components whose signatures agree enough.
+def _across(members: DataFrame, least: float, words: int, part: int, of: int) -> DataFrame:
+    """Links between different components of a family, enough to connect what they connect.
 
-    Members are dealt to blocks of about ``BLOCK`` by their place in the bucket; each pair of
-    blocks is one group, so a bucket of any size is spread over many tasks.
+    ``members`` are ``family, size, doc_id, component, signature, text``.  They are dealt to
+    blocks of about ``BLOCK``; each pair of blocks is one group, so a family of any size is spread
+    over many tasks.  A group takes its pairs by falling signature agreement, checks those
+    still apart on their full sets, and returns only links that join two parts.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("members") / BLOCK)).cast("int")
-    dealt = (buckets.withColumn("blocks", blocks)
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / BLOCK)).cast("int")
+    dealt = (members.withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "doc_id", "component", "signature", "block",
+             .select("family", "doc_id", "component", "signature", "text", "block",
                      F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
 
     def compare(pdf):
         import pandas as pd
         sig = np.frombuffer(b"".join(pdf["signature"]), np.uint32).reshape(len(pdf), -1)
         ids, comp, block = (pdf[c].to_numpy() for c in ("doc_id", "component", "block"))
+        texts, sets = pdf["text"].to_numpy(), {}
         i, j = pdf["i"].iat[0], pdf["j"].iat[0]
-        us, vs = [], []
+        pairs = []
         for x in np.flatnonzero(block == i):
-            near = np.flatnonzero((comp != comp[x]) & (block == j)
-                                  & ((ids > ids[x]) if i == j else np.ones(len(ids), bool)))
-            hit = near[(sig[near] == sig[x]).mean(axis=1) >= least] if len(near) else near
-            us += [ids[x]] * len(hit)
-            vs += ids[hit].tolist()
-        return pd.DataFrame({"u": np.minimum(us, vs), "v": np.maximum(us, vs)}, dtype="int64")
+            near = np.flatnonzero((comp != comp[x]) & (block == j) & ((ids > ids[x]) | (i != j)))
+            share = (sig[near] == sig[x]).mean(axis=1) if len(near) else np.empty(0)
+            pairs += [(s, x, y) for s, y in zip(share.tolist(), near.tolist()) if s >= least]
+        parent = {c: c for c in comp.tolist()}
 
-    return dealt.groupBy("key", "i", "j").applyInPandas(compare, "u long, v long").distinct()
+        def root(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        def shingles(k):
+            if k not in sets:
+                sets[k] = shingle_hashes(texts[k], words)[0]
+            return sets[k]
+
+        found = []
+        for _, x, y in sorted(pairs, reverse=True):
+            a, b = root(comp[x]), root(comp[y])
+            if a != b and _linked(shingles(x), shingles(y), part, of):
+                parent[max(a, b)] = min(a, b)
+                found.append((ids[x], ids[y]))
+        return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
+
+    return dealt.groupBy("family", "i", "j").applyInPandas(compare, "u long, v long")
+
+
+def _linked(one: np.ndarray, two: np.ndarray, part: int, of: int) -> bool:
+    if of * min(len(one), len(two)) < part * max(len(one), len(two)):
+        return False
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return common > 0 and of * common >= part * (len(one) + len(two) - common)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, of: int = 100,
@@ -227,36 +253,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, of: int = 1
               .where("members > 1"))
     buckets = scratch.write(banded.join(shared, "key"))
 
-    stars = buckets.where("doc_id != v").select(F.col("doc_id").alias("u"), "v").distinct()
-    alike = scratch.write(_alike(stars, firsts, least))
-    needed = alike.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = scratch.write(source.join(needed, "doc_id", "left_semi"))
+    stars = scratch.write(buckets.where("doc_id != v").select(F.col("doc_id").alias("u"), "v").distinct())
+    scratch.drop(buckets)
+    candidates = scratch.write(stars.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct())
+    signatures = scratch.write(among(firsts.select("doc_id", "signature"), candidates))
+    alike = scratch.write(_alike(stars, signatures, least))
+    texts = scratch.write(among(source, candidates))
 
     # the likeliest link of each document first; the others only where it left them apart
-    best = (alike.groupBy("u").agg(F.max_by("v", F.struct("share", -F.col("v"))).alias("v")))
+    best = alike.groupBy("u").agg(F.max_by("v", F.struct("share", -F.col("v"))).alias("v"))
     found = scratch.write(_confirmed(best, texts, words, part, of))
     label = components(found, scratch)
     rest = _labelled(_labelled(alike, label, "u", "cu"), label, "v", "cv").where("cu != cv")
     rest = rest.join(best, ["u", "v"], "left_anti")
-    more = scratch.write(_confirmed(rest, texts, words, part, of))
-    found = scratch.write(label.unionAll(more))
+    found = scratch.write(label.unionAll(_confirmed(rest, texts, words, part, of)))
     scratch.drop(label)
     label = components(found, scratch)
 
-    # buckets of three and more whose members are not all together yet
-    several = _labelled(buckets.where("members > 2"), label, "doc_id", "component")
-    apart = (several.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"))
-             .where("a != b").select("key"))
-    open_ = (several.join(apart, "key").select("key", "doc_id", "component", "members")
-             .join(firsts.select("doc_id", "signature"), "doc_id"))
-    pairs = scratch.write(_across(open_, least))
-    pairs = pairs.join(alike.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")),
-                       ["u", "v"], "left_anti")
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    across = _confirmed(pairs, scratch.write(source.join(needed, "doc_id", "left_semi")), words, part, of)
+    # families of three and more that buckets hold together, not all in one component yet
+    family = _labelled(candidates, components(stars, scratch), "doc_id", "family")
+    family = scratch.write(_labelled(family, label, "doc_id", "component"))
+    open_ = (family.groupBy("family").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("a"),
+                                          F.max("component").alias("b"))
+             .where("size > 2 AND a != b").select("family", "size"))
+    members = family.join(open_, "family").join(signatures, "doc_id").join(texts, "doc_id")
+    across = _across(members, least, words, part, of)
     links = scratch.write(label.unionAll(across).unionAll(copy_links))
     final = components(links, scratch)
-    scratch.drop(buckets, texts)
+    scratch.drop(texts, signatures, stars, alike, family)
     return (_labelled(features.select("doc_id", "n_shingles"), final, "doc_id", "component_id")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
