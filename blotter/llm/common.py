@@ -61,22 +61,36 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 BITMAP_BITS = 24
 
 
-def among(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` whose ``on`` is in the one column of ``ids``.
-
-    A hashed bitmap of the ids (at most 2**BITMAP_BITS bits, so a broadcast of bounded size) drops
-    most other rows before anything is shuffled; the semi-join behind it is exact.
-    """
+def _flagged(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
+    """``df`` with ``_maybe``: false only if ``on`` is surely not in the one column of ``ids``, by
+    a hashed bitmap of at most 2**BITMAP_BITS bits (so a broadcast of bounded size)."""
     spot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITMAP_BITS))
     flag = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))
-    ids = ids.toDF(on)
-    bitmap = (ids.select(spot(F.col(on)).alias("_spot"))
+    bitmap = (ids.toDF("_id").select(spot(F.col("_id")).alias("_spot"))
               .select(F.shiftright("_spot", 6).alias("_word"), flag(F.col("_spot")).alias("_bit"))
               .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
-    near = (df.withColumn("_spot", spot(F.col(on))).withColumn("_word", F.shiftright("_spot", 6))
-            .join(F.broadcast(bitmap), "_word").where(F.col("_bits").bitwiseAND(flag(F.col("_spot"))) != 0)
-            .select(*df.columns))
-    return near.join(ids, on, "left_semi")
+    near = (df.withColumn("_spot", spot(F.col(f"`{on}`"))).withColumn("_word", F.shiftright("_spot", 6))
+            .join(F.broadcast(bitmap), "_word", "left"))
+    met = F.coalesce(F.col("_bits").bitwiseAND(flag(F.col("_spot"))) != 0, F.lit(False))
+    return near.withColumn("_maybe", met)
+
+
+def among(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` whose ``on`` is in the one column of ``ids``.  The bitmap drops most other
+    rows before anything is shuffled; the semi-join behind it is exact."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    near = _flagged(df, ids, on).where("_maybe").select(*columns)
+    return near.join(ids.toDF("_id"), near[on] == F.col("_id"), "left_semi")
+
+
+def without(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` whose ``on`` is null or not in the one column of ``ids``; only rows that
+    the bitmap could not clear are shuffled."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    flagged = _flagged(df, ids, on)
+    near = flagged.where("_maybe").select(*columns)
+    return (flagged.where("NOT _maybe").select(*columns)
+            .unionAll(near.join(ids.toDF("_id"), near[on] == F.col("_id"), "left_anti")))
 
 
 # ---------------------------------------------------------------- shared intermediate tables

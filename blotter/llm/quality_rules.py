@@ -13,6 +13,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from blotter.llm.common import encoded, id_and_text, map_batches, table
@@ -28,6 +29,7 @@ REPEAT_PERCENT = 50
 PENALTY = 1e-6
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\f\r"
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 _SHIFT = 21             # bits of a word's number in a window key
 
 
@@ -167,27 +169,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     return w[:MASK + 1].astype(np.float32), w[MASK + 1:].astype(np.float32), b, slope, shift
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
-                  rows_per_class: int = ROWS_PER_CLASS, keep=None) -> DataFrame:
-    """Base counts, their verdict, the calibrated score and the final verdict of every row.
-
-    A null or blank text has zero counts and fails.  Without labelled rows of both classes there
-    is no model: the score is null and the base rules decide alone.  Repeated rows and null ids
-    are scored like any other; an empty table gives an empty result; only ``doc_id`` and ``text``
-    (and ``doc_id, quality`` of ``labels``) are read.
-    """
-    source = id_and_text(docs)
-    model = fit(source, labels, rows_per_class, keep)
-    shared = source.sparkSession.sparkContext.broadcast(model)  # two weight vectors of fixed size
+def _scorer(source: DataFrame, labels: DataFrame, threshold: float, rows_per_class: int, keep):
+    """A function from texts to columns ``NAMES``, fitted and ready to be sent to tasks."""
+    # two weight vectors of fixed size
+    shared = source.sparkSession.sparkContext.broadcast(fit(source, labels, rows_per_class, keep))
+    state: dict = {}
 
-    def score(cols):
+    def score(texts):
         words_of = state.get("words")
         if words_of is None:
             words_of = state["words"] = Words(shared.value[0] if shared.value else None)
-        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                 "score", "kept")
-        out = {"doc_id": cols["doc_id"], **{n: [] for n in names}}
-        for text in cols["text"]:
+        out = {n: [] for n in NAMES}
+        for text in texts:
             raw = encoded(text)
             words = raw.split()
             numbers = words_of.numbers(words)
@@ -199,13 +192,39 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
                 z = b + (words_of.score[numbers].mean() if words else 0.0)
                 z += pair_weights[words_of.pairs(numbers)].mean() if len(words) > 1 else 0.0
                 p = float(sigmoid(slope * z + shift))
-            for name, value in zip(names, (*counts, bad, p, not bad and (p is None or p >= threshold))):
+            for name, value in zip(NAMES, (*counts, bad, p, not bad and (p is None or p >= threshold))):
                 out[name].append(value)
         return out
 
-    state: dict = {}
-    return map_batches(source, score, "doc_id long, n_words long, word_chars long, n_symbols long, "
-                       "n_dup_lines long, n_repeat_words long, base_failed boolean, score double, kept boolean")
+    return score
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+                  rows_per_class: int = ROWS_PER_CLASS, keep=None) -> DataFrame:
+    """Base counts, their verdict, the calibrated score and the final verdict of every row.
+
+    A null or blank text has zero counts and fails.  Without labelled rows of both classes there
+    is no model: the score is null and the base rules decide alone.  Repeated rows and null ids
+    are scored like any other; an empty table gives an empty result; only ``doc_id`` and ``text``
+    (and ``doc_id, quality`` of ``labels``) are read.
+    """
+    source = id_and_text(docs)
+    score = _scorer(source, labels, threshold, rows_per_class, keep)
+    return map_batches(source, lambda cols: {"doc_id": cols["doc_id"], **score(cols["text"])},
+                       "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+                       "n_repeat_words long, base_failed boolean, score double, kept boolean")
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+                   rows_per_class: int = ROWS_PER_CLASS, keep=None) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``quality_rules`` keeps; nothing is joined."""
+    score = _scorer(id_and_text(docs), labels, threshold, rows_per_class, keep)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(score(batch.column("text").to_pylist())["kept"], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -9,11 +9,13 @@ from blotter.llm.neighbours import OP5_SQL, op5_nearest_neighbours
 from blotter.llm.packing import op3_packing
 from blotter.llm.quality_rules import op4_quality_rules
 from blotter.llm.quality_trees import op6_quality_trees
+from blotter.llm.surrogates import op2_surrogates
 from blotter.llm.token_files import op8_token_files
 from blotter.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_surrogates": op2_surrogates,
     "op3_packing": op3_packing,
     "op4_quality_rules": op4_quality_rules,
     "op5_nearest_neighbours": op5_nearest_neighbours,
