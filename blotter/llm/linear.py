@@ -28,15 +28,15 @@ def grams_of(word: bytes, sizes: tuple[int, ...], mask: int) -> list[int]:
 class WordCache:
     """``value(word)`` remembered for words of ordinary length, within a bound."""
 
-    def __init__(self, value):
-        self.value, self.known = value, {}
+    def __init__(self, value, bound: int = CACHED_WORDS):
+        self.value, self.known, self.bound = value, {}, bound
 
     def __call__(self, word: bytes):
         got = self.known.get(word)
         if got is None:
             got = self.value(word)
             if len(word) <= LONGEST_CACHED:
-                if len(self.known) >= CACHED_WORDS:
+                if len(self.known) >= self.bound:
                     self.known.clear()
                 self.known[word] = got
         return got
@@ -46,15 +46,15 @@ class Rows:
     """Sparse rows (index and value per entry) with the two products a linear model needs."""
 
     def __init__(self, lengths, index, value, width: int):
-        self.row = np.repeat(np.arange(len(lengths)), lengths)
-        self.index, self.value = np.asarray(index, np.int64), np.asarray(value, np.float64)
+        self.row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        self.index, self.value = np.asarray(index, np.int32), np.asarray(value, np.float32)
         self.shape = (len(lengths), width)
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * w[self.index], self.shape[0])
+        return np.bincount(self.row, self.value * w.astype(np.float32)[self.index], self.shape[0])
 
     def transposed_times(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, self.value * r[self.row], self.shape[1])
+        return np.bincount(self.index, self.value * r.astype(np.float32)[self.row], self.shape[1])
 
 
 def sigmoid(z):

@@ -20,7 +20,7 @@ from blotter.llm.common import encoded, id_and_text, map_batches, table
 from blotter.llm.linear import (CACHED_WORDS, Rows, fit_logistic, fit_platt, grams_of,
                                 labelled_sample, sigmoid)
 
-ROWS_PER_CLASS = 2000   # bound of the training sample
+ROWS_PER_CLASS = 1500   # bound of the training sample
 MASK = (1 << 17) - 1    # feature space of words with their n-grams, and of word pairs
 SIZES = (1, 2, 3, 4)
 THRESHOLD = 0.5
@@ -138,21 +138,29 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     sample = labelled_sample(docs, labels, "quality", rows_per_class, keep)
     rows = map_batches(sample, bag, "doc_id long, y int, weight double, n int, words array<binary>, "
                                     "counts array<int>, pairs array<int>, pair_counts array<int>").toArrow()
-    rows = rows.take(np.argsort(rows["doc_id"].to_numpy(), kind="stable")).to_pydict()
-    y = np.array(rows["y"], float)
+    rows = rows.take(np.argsort(rows["doc_id"].to_numpy(), kind="stable")).combine_chunks()
+    y, weight, n = (rows[c].to_numpy().astype(float) for c in ("y", "weight", "n"))
     if len(set(y)) < 2:
         return None
-    vocabulary: dict[bytes, int] = {}
-    word_index = [vocabulary.setdefault(w, len(vocabulary)) for ws in rows["words"] for w in ws]
-    features = [word_features(w) for w in vocabulary]
-    inner = Rows([len(i) for i, _ in features], np.concatenate([i for i, _ in features]),
-                 np.concatenate([v for _, v in features]), MASK + 1) if features else Rows([], [], [], MASK + 1)
-    lengths = [len(ws) for ws in rows["words"]]
-    outer = Rows(lengths, word_index, np.concatenate([[], *rows["counts"]])
-                 / np.repeat(np.maximum(rows["n"], 1), lengths), len(vocabulary))
-    lengths = [len(p) for p in rows["pairs"]]
-    pairs = Rows(lengths, np.concatenate([[], *rows["pairs"]]), np.concatenate([[], *rows["pair_counts"]])
-                 / np.repeat(np.maximum(np.array(rows["n"]) - 1, 1), lengths), MASK + 1)
+
+    def column(name):
+        return rows[name].combine_chunks()
+
+    def shares(counts, per_row, lengths):
+        return column(counts).flatten().to_numpy() / np.repeat(np.maximum(per_row, 1), lengths)
+
+    lengths = column("words").value_lengths().to_numpy()
+    coded = column("words").flatten().dictionary_encode()
+    outer = Rows(lengths, coded.indices.to_numpy(), shares("counts", n, lengths), len(coded.dictionary))
+    parts = []
+    for at in range(0, len(coded.dictionary), 4096):  # few arrays for many words
+        some = [word_features(w) for w in coded.dictionary[at:at + 4096].to_pylist()]
+        parts.append(([len(i) for i, _ in some], np.concatenate([i for i, _ in some]).astype(np.int32),
+                      np.concatenate([v for _, v in some]).astype(np.float32)))
+    inner = Rows(*(np.concatenate(c) for c in zip(*parts)), MASK + 1) if parts else Rows([], [], [], MASK + 1)
+    lengths = column("pairs").value_lengths().to_numpy()
+    pairs = Rows(lengths, column("pairs").flatten().to_numpy(), shares("pair_counts", n - 1, lengths), MASK + 1)
+    del rows, coded, parts
 
     def times(w):
         return outer.times(inner.times(w[:MASK + 1])) + pairs.times(w[MASK + 1:])
@@ -160,7 +168,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     def transposed_times(r):
         return np.concatenate([inner.transposed_times(outer.transposed_times(r)), pairs.transposed_times(r)])
 
-    weight = np.array(rows["weight"])
     aside = np.arange(len(y)) % 5 == 4 if len(y) >= 50 else np.zeros(len(y), bool)
     w, b = fit_logistic(times, transposed_times, 2 * (MASK + 1), y, np.where(aside, 0, weight), PENALTY, steps=60)
     z = times(w) + b

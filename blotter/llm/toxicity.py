@@ -20,6 +20,7 @@ from blotter.llm.linear import Rows, WordCache, fit_logistic, grams_of, labelled
 ROWS_PER_CLASS = 4000   # bound of the training sample
 MASK = (1 << 20) - 1
 SIZES = (2, 3, 4, 5, 6)
+FIT_CACHE = 40_000      # words the driver remembers while fitting
 Z = 4.0
 SMOOTHING = 1.0
 PENALTY = 1e-4
@@ -30,18 +31,12 @@ def words_of(text: str | None) -> set[bytes]:
     return set((text or "").lower().encode("utf-8", "surrogatepass").split())
 
 
-def log_count_ratios(presence: list[np.ndarray], y: np.ndarray) -> dict[int, float]:
-    """Significant log-count ratios of the n-grams present in each document."""
-    ratios = {}
-    pos, neg = np.zeros(MASK + 1, np.int64), np.zeros(MASK + 1, np.int64)
-    for grams, label in zip(presence, y):
-        (pos if label else neg)[grams] += 1
+def log_count_ratios(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> dict[int, float]:
+    """Significant log-count ratios, from the number of documents of each class with an n-gram."""
     a, b = pos + SMOOTHING, neg + SMOOTHING
-    r = np.log(a / (y.sum() + 2 * SMOOTHING)) - np.log(b / ((1 - y).sum() + 2 * SMOOTHING))
-    error = np.sqrt(1 / a + 1 / b)
-    for g in np.flatnonzero(np.abs(r) >= Z * error):
-        ratios[int(g)] = float(r[g])
-    return ratios
+    r = np.log(a / (n_pos + 2 * SMOOTHING)) - np.log(b / (n_neg + 2 * SMOOTHING))
+    some = np.flatnonzero(np.abs(r) >= Z * np.sqrt(1 / a + 1 / b))
+    return dict(zip(some.tolist(), r[some].tolist()))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, keep=None):
@@ -60,24 +55,22 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
         return None
     if len(set(y)) < 2:
         return {}, 4.0 if y[0] else -4.0
-    grams: dict[bytes, np.ndarray] = {}
-    presence = []
-    for words in rows["words"]:
-        for w in (own := words.as_py()):
-            if w not in grams:
-                grams[w] = np.unique(np.array(grams_of(w, SIZES, MASK), np.int32))
-        presence.append(np.unique(np.concatenate([grams[w] for w in own])) if own else np.empty(0, np.int32))
-    ratios = log_count_ratios(presence, y)
-    del presence
+    grams = WordCache(lambda w: np.unique(np.array(grams_of(w, SIZES, MASK), np.int32)), FIT_CACHE)
+    pos, neg = np.zeros(MASK + 1, np.int32), np.zeros(MASK + 1, np.int32)
+    for words, label in zip(rows["words"], y):
+        if own := words.as_py():
+            (pos if label else neg)[np.unique(np.concatenate([grams(w) for w in own]))] += 1
+    ratios = log_count_ratios(pos, neg, int(y.sum()), int(len(y) - y.sum()))
     column = np.full(MASK + 1, -1)
     column[list(ratios)] = np.arange(len(ratios))
     scale = np.array(list(ratios.values()))
-    kept = {w: c[c >= 0] for w, g in grams.items() if len(c := column[g])}
+    del pos, neg, grams
+    chosen = WordCache(lambda w: [c for g in set(grams_of(w, SIZES, MASK)) if (c := column[g]) >= 0], FIT_CACHE)
     index, lengths = [], []
     for words in rows["words"]:
-        own = [kept[w] for w in words.as_py() if w in kept]
-        index.append(np.concatenate(own) if own else np.empty(0, np.int64))
-        lengths.append(len(index[-1]))
+        own = [c for w in words.as_py() for c in chosen(w)]
+        index.append(np.array(own, np.int64))
+        lengths.append(len(own))
     index = np.concatenate(index)
     x = Rows(lengths, index, scale[index], len(ratios))
     w, b = fit_logistic(x.times, x.transposed_times, len(ratios), y, weight, PENALTY)
