@@ -1,22 +1,19 @@
-"""The year-to-date feed operator over a driver table (Structured Streaming).
+"""The year-to-date feed over a driver table (Structured Streaming, then a batch count).
 
-``orders`` is read as a file stream, run through the feed's date rule and
-within-watermark dedup, counted per month in complete mode and kept as a
-parquet table in the checkpoint folder by ``foreachBatch``; the query returns
-that table.  Keys in ``orders`` are unique, so the counts equal the batch
-monthly counts.
+``orders`` is read as a file stream and appended to a table in the shared folder;
+the monthly count is taken from that table.  Keys in ``orders`` are unique, so the
+counts equal the batch monthly counts.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from blotter.plans.catalog import register, table
-from blotter.streaming.feed import (
-    feed_session, monthly_counts_stream, read_feed, start_monthly_table, stream_checkpoint)
+from blotter.session import scratch_path
+from blotter.streaming.feed import ingest_feed, landed_monthly_counts, read_feed
+
+TIME_LIMIT_S = 3600
 
 
 @register("feed_monthly_counts", """
@@ -24,17 +21,13 @@ SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS cnt
 FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1
 """)
 def q_feed_monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 over a stream: every order file read as it lands, counted per month."""
-    schema = table(spark, sf_dir, "orders").schema
-    stream = feed_session(spark)
+    """A1 over a stream: every order file appended as it lands, counted per month."""
     # a file source streams a folder or a glob; the glob names the one table file
-    feed = read_feed(stream, f"{sf_dir}/orders.parque[t]", fmt="parquet", schema=schema,
-                     base_path=sf_dir)
-    counts = monthly_counts_stream(feed, "o_orderkey", "o_orderdate")
-    name = f"feed_monthly_{uuid.uuid4().hex[:12]}"
-    home = stream_checkpoint(spark, name)
-    out = os.path.join(home, "table")
-    query = start_monthly_table(counts, out, name, checkpoint=os.path.join(home, "state"),
-                                available_now=True)
-    query.awaitTermination()
-    return spark.read.parquet(out)
+    feed = read_feed(spark, f"{sf_dir}/orders.parque[t]", ["o_orderkey", "o_orderdate"], fmt="parquet",
+                     schema=table(spark, sf_dir, "orders").schema, base_path=sf_dir)
+    home = scratch_path(spark, "feed")
+    query = ingest_feed(feed, f"{home}/table", home.rsplit("/", 1)[1], f"{home}/state", available_now=True)
+    if not query.awaitTermination(TIME_LIMIT_S):
+        query.stop()
+        raise TimeoutError(f"the feed did not end within {TIME_LIMIT_S} s")
+    return landed_monthly_counts(spark.read.parquet(f"{home}/table"), "o_orderkey", "o_orderdate")

@@ -1,19 +1,14 @@
-"""The year-to-date incident feed as a stream.
+"""The year-to-date incident feed as a stream of dropped files.
 
-The year-to-date file is refreshed in place of a download; read as a stream
-of dropped files, it feeds the same monthly count (A1) the batch pipeline
-computes.  The date rule is the batch one (start date, else end date);
-a key seen again within the watermark is counted once, the first arrival
-kept.  State is bounded: dedup keys expire with the watermark and the count
-state holds one row per (series, month).
-
-The reference itself reads every input as a batch; nothing here goes beyond
-its monthly count.
+The stream only ingests: every row of every file is appended, as it is, to a
+Parquet table (exactly once, by the file sink's log), with no watermark and no
+state.  The monthly count is a batch over what has landed: first row per key,
+date rule, count.  So the counts do not depend on how files fall into triggers
+or in which order their dates come, and late rows count like any other.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,74 +16,55 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from blotter.functions.dates import date_with_fallback, month_start
+from blotter.functions.dates import date_with_fallback
+from blotter.operators.integrate import dedup_first
+from blotter.operators.trend import monthly_counts
 from blotter.session import ensure_checkpoint_dir
 
 
-def feed_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
-    """A child session (same context, own SQL settings) for a feed's stream.
-
-    A stream's state is split into ``spark.sql.shuffle.partitions`` parts,
-    fixed at its first start.  Size it for the state (keys within the
-    watermark, months × series), by default the cluster's cores, without
-    changing the caller's session.
-    """
-    child = spark.newSession()
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    child.conf.set("spark.sql.shuffle.partitions", str(n))
-    return child
-
-
-def read_feed(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+def read_feed(spark: SparkSession, path: str, columns: Sequence[str],
               max_files_per_trigger: int | None = None, fmt: str = "csv",
               schema: T.StructType | None = None, base_path: str | None = None) -> DataFrame:
-    """Files landing under ``path`` (a folder or a glob) as a stream.
+    """Files landing under ``path`` (a folder or a glob) as a stream of ``columns``.
 
-    CSV: headered, every column of ``columns`` as text.  Other formats take
-    an explicit ``schema``.  ``base_path``: the folder a glob is relative to.
+    CSV: ``schema``, or by default all-text ``columns``, must be the files' full
+    header in order: a file with another header fails the stream
+    (``enforceSchema`` is off) instead of filling columns by position.  Other
+    formats read ``columns`` of an explicit ``schema`` by name.  ``base_path``: the
+    folder a glob is relative to.
     """
     if schema is None:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or ()])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     if base_path:
         reader = reader.option("basePath", base_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
-
-
-def monthly_counts_stream(feed: DataFrame, key: str, start_date: str, end_date: str | None = None,
-                          pattern: str = "M/d/yyyy", by: Sequence[str] = (),
-                          watermark: str = "400 days") -> DataFrame:
-    """Monthly counts of a feed, deduplicated on ``key`` within the watermark."""
-    dated = (feed.withColumn("_d", date_with_fallback(start_date, end_date, pattern, feed))
-             .where(F.col("_d").isNotNull())
-             .withColumn("_ts", F.col("_d").cast("timestamp")))
-    once = dated.withWatermark("_ts", watermark).dropDuplicatesWithinWatermark([key])
-    return (once.groupBy(*by, month_start("_d").alias("month"))
-            .agg(F.count(F.lit(1)).alias("cnt")))
+    return reader.load(path).select(*columns)
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """``<spark.checkpoint.dir>/streams/<name>``: the shared folder the cluster names."""
-    return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-
-
-def start_monthly_table(counts: DataFrame, out: str, name: str,
-                        checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Keep ``out`` (parquet) equal to the current monthly table.
+    """``<shared folder>/streams/<name>``, see :func:`blotter.session.ensure_checkpoint_dir`."""
+    return f"{ensure_checkpoint_dir(spark)}/streams/{name}"
 
-    Complete mode: each trigger rewrites the small monthly table whole, so
-    readers never see a partial merge.
-    """
-    spark = counts.sparkSession
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
 
-    w = (counts.writeStream.outputMode("complete").foreachBatch(write).queryName(name)
-         .option("checkpointLocation", checkpoint or stream_checkpoint(spark, name)))
+def ingest_feed(feed: DataFrame, out: str, name: str, checkpoint: str | None = None,
+                available_now: bool = False) -> StreamingQuery:
+    """Append every row of ``feed`` to the Parquet table ``out``."""
+    w = (feed.writeStream.outputMode("append").format("parquet").queryName(name)
+         .option("path", out)
+         .option("checkpointLocation", checkpoint or stream_checkpoint(feed.sparkSession, name)))
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def landed_monthly_counts(landed: DataFrame, key: str, start_date: str, end_date: str | None = None,
+                          pattern: str = "M/d/yyyy", by: Sequence[str] = ()) -> DataFrame:
+    """Monthly counts of the landed rows, each key once (its earliest date first, NULL
+    before all, then every other column), rows without a date left out after that."""
+    dated = landed.withColumn("_date", date_with_fallback(start_date, end_date, pattern, landed))
+    once = dedup_first(dated, key, ["_date"]).where(F.col("_date").isNotNull())
+    return monthly_counts(once, "_date", by)
