@@ -13,18 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from blotter.operators.integrate import conform
+from blotter.operators.integrate import conform, union_sources
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str],
                   columns: Sequence[str] | None = None) -> DataFrame:
     """Headered CSV, all columns text; optionally only ``columns``.
 
-    A column of ``columns`` missing from the file is NULL.
+    Files of a folder, glob or list may differ in their headers: files with one
+    header are read together, the groups united by column name, and a column
+    that a group lacks is NULL there.  Finding the headers lists the files and
+    reads the first line of each.  A column of ``columns`` missing from all is
+    NULL.
     """
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("mode", "PERMISSIVE").option("multiLine", False)
-          .csv(path if isinstance(path, str) else list(path)))
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+              .option("mode", "PERMISSIVE").option("multiLine", False))
+    paths = [path] if isinstance(path, str) else list(path)
+    files = sorted(r[0] for r in spark.read.format("binaryFile").load(paths).select("path").collect())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    if len(files) > 1:
+        for file in files:
+            groups.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    if len(groups) > 1:
+        df = union_sources([reader.csv(same) for same in groups.values()])
+    else:
+        df = reader.csv(paths)
     return conform(df, columns) if columns is not None else df
 
 

@@ -35,13 +35,24 @@ def feature_schema(properties: Sequence[str]) -> T.StructType:
 def read_features(spark: SparkSession, path: str, properties: Sequence[str],
                   lines: bool = False) -> DataFrame:
     """One row per feature: ``properties`` struct and ``geometry`` struct."""
-    fs = feature_schema(properties)
     if lines:
-        return spark.read.schema(fs).json(path).select("properties", "geometry")
-    coll = T.StructType([T.StructField("type", T.StringType()),
-                         T.StructField("features", T.ArrayType(fs))])
-    return (spark.read.schema(coll).option("multiLine", True).json(path)
+        return spark.read.schema(feature_schema(properties)).json(path).select("properties", "geometry")
+    return (spark.read.schema(collection_schema(properties)).option("multiLine", True).json(path)
             .select(F.explode("features").alias("f"))
+            .select("f.properties", "f.geometry")
+            .repartition(spark.sparkContext.defaultParallelism))  # one task has read it all
+
+
+def collection_schema(properties: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField("type", T.StringType()),
+                         T.StructField("features", T.ArrayType(feature_schema(properties)))])
+
+
+def features_from_text(texts: DataFrame, text_col: str, properties: Sequence[str]) -> DataFrame:
+    """The features of FeatureCollections held as texts, one collection a row; a text that
+    is no collection gives none."""
+    parsed = F.from_json(text_col, collection_schema(properties))
+    return (texts.select(F.explode(parsed["features"]).alias("f"))
             .select("f.properties", "f.geometry"))
 
 
