@@ -8,9 +8,9 @@ point in none is dropped.  Polygons may have holes and several parts.
 Plan, all built-in expressions (no Python per row):
 
 1. Areas are exploded to their edges ``(area, x1, y1, x2, y2)``.
-2. Cells: every area's bounding box is cut into square cells, their side
-   chosen so that all boxes together hold about ``TARGET_CELLS`` cells.  A
-   cell an edge passes through (traced column by column, with a one-cell
+2. Cells: every area's bounding box is cut into square cells, their side a
+   power of two by that area's own size, so one large area does not coarsen
+   the cells of small ones.  A cell an edge passes through (traced column by column, with a one-cell
    margin) is a boundary cell; any other cell is wholly inside or wholly
    outside its area, decided once from its centre.
    The cell table keeps boundary and inside cells only.
@@ -18,8 +18,8 @@ Plan, all built-in expressions (no Python per row):
    touches, gathered per (area, strip).  An edge that can cross a point's
    rightward ray, or contain the point, has the point's y in its y-range, so
    it is in the point's strip.
-4. Points join the cell table by equality on their cell (no range predicate,
-   so no nested-loop join).  A point in an inside cell matches with no edge
+4. Points join the cell table by equality on their cell of each side in use
+   (no range predicate, so no nested-loop join).  A point in an inside cell matches with no edge
    test; a point in a boundary cell joins its strip and takes the exact test:
    ray crossings counted over all rings and parts (even-odd: holes and
    multipart areas work) and no edge containing the point, on the given
@@ -29,21 +29,19 @@ Plan, all built-in expressions (no Python per row):
 Both lookup tables grow with the polygons, never with the points.
 :func:`index_areas` materialises them once (a reliable checkpoint into the
 shared checkpoint folder, which also keeps later plans short); they are
-broadcast when their row counts are within the bound and shuffle-joined
-otherwise.  Cell and strip sizes change only the speed, never the result.
+broadcast when their measured bytes are within the bound and joined as Spark
+decides otherwise.  Cell and strip sizes change only the speed, never the result.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotter.operators.joins import DEFAULT_BROADCAST_ROWS
-from blotter.session import materialize_small
+from blotter.session import cut_lineage
 
 POLYGON = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
 MULTIPOLYGON = T.ArrayType(POLYGON)
@@ -80,36 +78,30 @@ def polygon_edges(areas: DataFrame, area_col: str = "area", geom_col: str = "geo
     return rings.select(area_col, F.inline(segs))
 
 
-# Target row count of the cell table: finer cells send more points through
-# the no-test path, and the table stays this size whatever the area count.
-TARGET_CELLS = 200_000
+# Cells of an area's bounding box are at most about this many, whatever the other areas.
+CELLS_PER_AREA = 4096
+# A lookup table is broadcast if its measured bytes are within this bound.
+BROADCAST_BYTES = 64 << 20
 
 
-def default_cell_size(edges: DataFrame, area_col: str = "area",
-                      target_cells: int = TARGET_CELLS) -> float:
-    """Cell side giving about ``target_cells`` cells over all bounding boxes.
+def area_cell_sizes(edges: DataFrame, cell_size: float | None, area_col: str = "area") -> DataFrame:
+    """``(area, r)``: the side of each area's cells.
 
-    sqrt(sum of box areas / target): one small aggregate over the edge table;
-    one number comes back to the driver.  Many or large areas give coarser
-    cells, few or small areas finer ones; the cell table's size, and so the
-    broadcast, stays near the target.
+    A power of two by the area's own box (at most ``CELLS_PER_AREA`` cells, and no
+    side of the box over 4096 cells), so that the cells of a small area do not
+    grow with a large one.  ``cell_size`` sets one side for all instead.
     """
-    boxes = edges.groupBy(area_col).agg(
-        (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"),
-        (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("h"))
-    row = boxes.agg(F.sum(F.col("w") * F.col("h")).alias("a"),
-                    F.max(F.greatest("w", "h")).alias("side")).first()
-    area, side = row["a"], row["side"]
-    if not side:
-        return 1.0
-    if not area:
-        return float(side) / 16
-    return max(math.sqrt(float(area) / target_cells), float(side) / 4096)
-
-
-def strip_edges(edges: DataFrame, strip_height: float, area_col: str = "area") -> DataFrame:
-    """Edges gathered per (area, strip) for every strip their y-range touches."""
-    s = F.lit(strip_height)
+    w = F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))
+    h = F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))
+    boxes = edges.groupBy(area_col).agg(w.alias("_w"), h.alias("_h"))
+    side = F.greatest(F.sqrt(F.col("_w") * F.col("_h") / CELLS_PER_AREA), F.greatest("_w", "_h") / 4096)
+    own = F.when(side > 0, F.pow(F.lit(2.0), F.ceil(F.log2(side)))).otherwise(F.lit(1.0))
+    return boxes.select(area_col, (own if cell_size is None else F.lit(float(cell_size))).alias("r"))
+
+
+def strip_edges(edges: DataFrame, area_col: str = "area") -> DataFrame:
+    """Edges gathered per (area, strip) for every strip of height ``h`` their y-range touches."""
+    s = F.col("h")
     lo = F.floor(F.least("y1", "y2") / s)
     hi = F.floor(F.greatest("y1", "y2") / s)
     return (edges.select(area_col, F.explode(F.sequence(lo, hi)).alias("sy"),
@@ -166,9 +158,9 @@ def strictly_inside(px: Column, py: Column, edges: Column, unroll: int = 0,
 CELL_IN, CELL_EDGE = "in", "edge"
 
 
-def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_height: float,
-               area_col: str = "area", unroll: int = 0) -> DataFrame:
-    """Cells ``(cx, cy, area, status)`` of each area's bounding box that can hold
+def area_cells(edges: DataFrame, strips: DataFrame, area_col: str = "area",
+               unroll: int = 0) -> DataFrame:
+    """Cells ``(r, h, cx, cy, area, status)`` of side ``r`` of each area's bounding box that can hold
     inside points.
 
     ``edge``: an edge passes through or next to the cell, so points there
@@ -177,15 +169,15 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     exact test, once per cell.  Outside cells are left out, so their points
     meet no candidate.
     """
-    r = F.lit(cell_size)
-    boxes = edges.groupBy(area_col).agg(
+    r = F.col("r")
+    boxes = edges.groupBy(area_col, "r", "h").agg(
         F.floor(F.min(F.least("x1", "x2")) / r).alias("_x0"),
         F.floor(F.max(F.greatest("x1", "x2")) / r).alias("_x1"),
         F.floor(F.min(F.least("y1", "y2")) / r).alias("_y0"),
         F.floor(F.max(F.greatest("y1", "y2")) / r).alias("_y1"))
     every = (boxes
-             .select(area_col, "_y0", "_y1", F.explode(F.sequence("_x0", "_x1")).alias("cx"))
-             .select(area_col, "cx", F.explode(F.sequence("_y0", "_y1")).alias("cy")))
+             .select(area_col, "r", "h", "_y0", "_y1", F.explode(F.sequence("_x0", "_x1")).alias("cx"))
+             .select(area_col, "r", "h", "cx", F.explode(F.sequence("_y0", "_y1")).alias("cy")))
     # cells an edge reaches.  A point's cell is floor(coord / r), monotone in
     # the coordinate, so a point on an edge falls in a column of the edge's
     # [floor(min x / r), floor(max x / r)] range.  Within each column the
@@ -196,7 +188,7 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     # column instead of its whole box.
     x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
     cols = edges.select(
-        area_col, "x1", "y1", "x2", "y2",
+        area_col, "r", "x1", "y1", "x2", "y2",
         F.floor(F.least(y1, y2) / r).alias("_r0"), F.floor(F.greatest(y1, y2) / r).alias("_r1"),
         F.least(x1, x2).alias("_xa"), F.greatest(x1, x2).alias("_xb"),
         F.explode(F.sequence(F.floor(F.least(x1, x2) / r),
@@ -220,10 +212,10 @@ def area_cells(edges: DataFrame, cell_size: float, strips: DataFrame, strip_heig
     free = every.join(touched, [area_col, "cx", "cy"], "left_anti")
     cx_mid = (F.col("cx") + F.lit(0.5)) * r
     cy_mid = (F.col("cy") + F.lit(0.5)) * r
-    centred = free.withColumn("sy", F.floor(cy_mid / F.lit(strip_height)))
+    centred = free.withColumn("sy", F.floor(cy_mid / F.col("h")))
     inside = (centred.join(strips, [area_col, "sy"], "inner")
               .where(strictly_inside(cx_mid, cy_mid, F.col("_edges"), unroll))
-              .select(area_col, "cx", "cy", F.lit(CELL_IN).alias("status")))
+              .select(area_col, "r", "h", "cx", "cy", F.lit(CELL_IN).alias("status")))
     return edge_cells.unionByName(inside)
 
 
@@ -234,50 +226,47 @@ class AreaIndex:
 
     cells: DataFrame
     strips: DataFrame
-    cell_size: float
-    strip_height: float
     area_col: str
-    cell_rows: int
-    strip_rows: int
+    sizes: tuple[float, ...]
+    cell_bytes: int
+    strip_bytes: int
     max_strip_edges: int
 
 
 def index_areas(areas: DataFrame, area_col: str = "area", geom_col: str = "geometry",
                 cell_size: float | None = None, strip_height: float | None = None) -> AreaIndex:
-    """Cell and strip tables of the areas, materialised once.
+    """Cell and strip tables of the areas, materialised and measured once.
 
-    They are small and read by every locate (and their size checks), so
-    each is checkpointed (see :func:`blotter.session.materialize_small`):
-    short lineage, and they survive a lost executor.
+    Both are checkpointed into the shared folder: short lineage, and they
+    survive a lost executor.  What comes to the driver is their sizes in bytes
+    and the distinct cell sides (powers of two).
     """
     # the edge table is an intermediate: cached while the two lookup tables
     # are built from it, then released
-    edges = polygon_edges(areas, area_col, geom_col).persist()
+    edges = polygon_edges(areas, area_col, geom_col)
+    height = F.col("r") / 8 if strip_height is None else F.lit(float(strip_height))
+    edges = (edges.join(area_cell_sizes(edges, cell_size, area_col), area_col)
+             .withColumn("h", height).persist())
     try:
-        if cell_size is None:
-            cell_size = default_cell_size(edges, area_col)
-        if strip_height is None:
-            strip_height = cell_size / 8
-        strips = materialize_small(strip_edges(edges, strip_height, area_col))
-        # sizes are fixed from here on: counted once, they decide broadcasting
-        strip_rows, max_edges = strips.agg(F.count(F.lit(1)), F.max(F.size("_edges"))).first()
-        cells = materialize_small(area_cells(edges, cell_size, strips, strip_height, area_col,
-                                             min(max_edges or 0, UNROLL_MAX)))
+        strips = cut_lineage(strip_edges(edges, area_col))
+        width = F.length(F.col(area_col).cast("string")) + 32
+        strip_bytes, most = strips.agg(F.sum(width + 32 * F.size("_edges")), F.max(F.size("_edges"))).first()
+        cells = cut_lineage(area_cells(edges, strips, area_col, min(most or 0, UNROLL_MAX)))
+        cell_bytes, sizes = cells.agg(F.sum(width + 48), F.collect_set("r")).first()
     finally:
         edges.unpersist()
-    return AreaIndex(cells, strips, cell_size, strip_height, area_col,
-                     cells.count(), strip_rows, max_edges or 0)
+    return AreaIndex(cells, strips, area_col, tuple(sorted(sizes)), cell_bytes or 0, strip_bytes or 0, most or 0)
 
 
-def _bounded(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
-    """Broadcast a table whose row count is known, if within the bound."""
-    return F.broadcast(df) if rows <= max_rows else df
+def _bounded(df: DataFrame, size: int, bound: int) -> DataFrame:
+    """Broadcast a table whose bytes were measured, if within the bound; else Spark decides."""
+    return F.broadcast(df) if size <= bound else df
 
 
 def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude",
            y: str = "latitude", area_col: str = "area", geom_col: str = "geometry",
            cell_size: float | None = None, strip_height: float | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Q7: points strictly inside areas; the point's columns plus the area column.
 
     ``areas`` is an :class:`AreaIndex` or a DataFrame with one row per area
@@ -293,12 +282,14 @@ def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude"
     px, py = F.col(x), F.col(y)
     # NULL or NaN coordinates match nothing (floor(NaN) would land in cell 0)
     valid = px.isNotNull() & py.isNotNull() & ~F.isnan(px) & ~F.isnan(py)
-    keyed = points.where(valid).withColumns({
-        "_cx": F.floor(px / F.lit(idx.cell_size)),
-        "_cy": F.floor(py / F.lit(idx.cell_size))})
-    cells = idx.cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), area_col,
-                             F.col("status").alias("_status"))
-    cand = keyed.join(_bounded(cells, idx.cell_rows, max_broadcast_rows), ["_cx", "_cy"], "inner")
+    # a point meets the cells of each size in use (a handful of powers of two)
+    side = F.explode(F.array(*[F.lit(r) for r in idx.sizes])) if len(idx.sizes) > 1 else F.lit(
+        idx.sizes[0] if idx.sizes else 1.0)
+    keyed = points.where(valid).withColumn("_r", side).withColumns({
+        "_cx": F.floor(px / F.col("_r")), "_cy": F.floor(py / F.col("_r"))})
+    cells = idx.cells.select(F.col("r").alias("_r"), F.col("cx").alias("_cx"), F.col("cy").alias("_cy"),
+                             area_col, F.col("h").alias("_h"), F.col("status").alias("_status"))
+    cand = keyed.join(_bounded(cells, idx.cell_bytes, max_broadcast_bytes), ["_r", "_cx", "_cy"], "inner")
     # only points in boundary cells look up edges.  The others probe with a
     # NULL area, which never matches, and a hashed strip value, so that on the
     # shuffle path they spread over partitions instead of all hashing to the
@@ -306,9 +297,9 @@ def locate(points: DataFrame, areas: DataFrame | AreaIndex, x: str = "longitude"
     edge = F.col("_status") == CELL_EDGE
     cand = cand.withColumns({
         "_ja": F.when(edge, F.col(area_col)),
-        "_js": F.when(edge, F.floor(py / F.lit(idx.strip_height))).otherwise(F.xxhash64(px, py))})
+        "_js": F.when(edge, F.floor(py / F.col("_h"))).otherwise(F.xxhash64(px, py))})
     strips = idx.strips.select(F.col(area_col).alias("_ja"), F.col("sy").alias("_js"), "_edges")
-    tested = cand.join(_bounded(strips, idx.strip_rows, max_broadcast_rows), ["_ja", "_js"], "left")
+    tested = cand.join(_bounded(strips, idx.strip_bytes, max_broadcast_bytes), ["_ja", "_js"], "left")
     # the first k edges of the strip as plain columns, read by the unrolled test
     k = min(idx.max_strip_edges, UNROLL_MAX)
     tested = tested.withColumns({f"_e{i}": F.try_element_at("_edges", F.lit(i + 1)) for i in range(k)})

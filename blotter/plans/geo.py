@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from blotter.functions.categorical import INCOME_BANDS
 from blotter.operators.enrich import enrich_area
 from blotter.operators.spatial import AreaIndex, index_areas, locate
-from blotter.operators.trend import band_trend
+from blotter.operators.trend import band_trend, monthly_counts
 from blotter.plans.catalog import register, rounded, table
 from blotter.sources.geojson import area_dimension, areas_from_features
 
@@ -95,17 +95,10 @@ def line_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         (((F.col("l_suppkey") * 7 + F.col("l_quantity")) % 800) / 100).alias("y"))
 
 
-_INDEXES: dict = {}
-
-
 def area_index(spark: SparkSession, sf_dir: str) -> AreaIndex:
-    """The nation areas indexed once per session and table folder, then reused
-    by every located query (as one would for several point tables)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _INDEXES:
-        areas = areas_from_features(area_features(spark, sf_dir), ["ntacode"])
-        _INDEXES[key] = index_areas(areas, area_col="ntacode")
-    return _INDEXES[key]
+    """The nation areas indexed; several point tables can share one index."""
+    areas = areas_from_features(area_features(spark, sf_dir), ["ntacode"])
+    return index_areas(areas, area_col="ntacode")
 
 
 def located_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +151,87 @@ def q_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(located_points(spark, sf_dir))
 
 
+@register("locate_mixed", LOCATED_SQL + """
+, box AS (
+  SELECT l_orderkey, l_linenumber, x, y, 'R' || CAST(r_regionkey AS VARCHAR) AS ntacode
+  FROM pts CROSS JOIN region WHERE x > -1 AND x < 11 AND y > -1 AND y < 9 + r_regionkey
+)
+SELECT l_orderkey, l_linenumber, round(x, 6) AS x, round(y, 6) AS y, ntacode FROM located
+UNION ALL SELECT l_orderkey, l_linenumber, round(x, 6), round(y, 6), ntacode FROM box
+""")
+def q_locate_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7 with areas of very different sizes: the nation tiles, and for each region one
+    rectangle over all of them."""
+    key = F.col("r_regionkey")
+
+    def corner(x, y):
+        return F.array(F.lit(float(x)), y)
+    low, high = F.lit(-1.0), F.lit(9.0) + key
+    ring = F.array(corner(-1, low), corner(11, low), corner(11, high), corner(-1, high), corner(-1, low))
+    boxes = table(spark, sf_dir, "region").select(
+        F.concat(F.lit("R"), key.cast("string")).alias("ntacode"), F.array(F.array(ring)).alias("geometry"))
+    tiles = areas_from_features(area_features(spark, sf_dir), ["ntacode"]).select("ntacode", "geometry")
+    points = line_points(spark, sf_dir).drop("l_shipdate")
+    return rounded(locate(points, tiles.unionByName(boxes), x="x", y="y", area_col="ntacode"))
+
+
+@register("all_vs_located_trend", LOCATED_SQL + """
+, inside AS (SELECT DISTINCT l_orderkey, l_linenumber, l_shipdate FROM located)
+, n AS (
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS cnt
+  FROM pts WHERE l_shipdate IS NOT NULL GROUP BY 1
+), i AS (
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS located
+  FROM inside WHERE l_shipdate IS NOT NULL GROUP BY 1
+)
+SELECT n.month, n.cnt, coalesce(i.located, 0) AS located FROM n LEFT JOIN i USING (month)
+""")
+def q_all_vs_located_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly counts of all points and of those in some area (each once)."""
+    points = line_points(spark, sf_dir)
+    inside = located_points(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_shipdate").distinct()
+    every = monthly_counts(points, "l_shipdate")
+    some = monthly_counts(inside, "l_shipdate", count_col="located")
+    return every.join(some, "month", "left").withColumn("located", F.coalesce("located", F.lit(0)))
+
+
+@register("located_named", LOCATED_SQL + """
+SELECT l.ntacode, n.n_name AS neighborhood, n.n_name AS ntaname,
+       20000 + n.n_nationkey * 6000 AS income, count(*) AS cnt
+FROM located l JOIN nation n ON l.ntacode = CAST(n.n_nationkey AS VARCHAR)
+WHERE n.n_nationkey % 7 <> 3 AND n.n_nationkey % 11 <> 5
+GROUP BY 1, 2, 3, 4
+""")
+def q_located_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: the located pipeline with the areas' own names attached as ``neighborhood``."""
+    from blotter.plans.shootings import locate_with_income
+    points = line_points(spark, sf_dir).withColumnsRenamed({"x": "longitude", "y": "latitude"})
+    located = locate_with_income(points, area_index(spark, sf_dir), income_lookup(spark, sf_dir),
+                                 area_names=area_dimension(area_features(spark, sf_dir)))
+    return (located.groupBy("ntacode", "neighborhood", "ntaname", "income")
+            .agg(F.count(F.lit(1)).alias("cnt")))
+
+
+@register("feature_collection", """
+SELECT CAST(n_nationkey AS VARCHAR) AS ntacode, n_name AS ntaname,
+       CASE n_nationkey % 4 WHEN 3 THEN 2 ELSE 1 END AS parts,
+       CASE n_nationkey % 4 WHEN 0 THEN 5 WHEN 1 THEN 10 WHEN 2 THEN 10 ELSE 9 END AS positions
+FROM nation
+""")
+def q_feature_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features written as one FeatureCollection text a row and parsed again."""
+    from blotter.sources.geojson import features_from_text
+    features = area_features(spark, sf_dir)
+    text = F.concat(F.lit('{"type":"FeatureCollection","features":[{"type":"Feature","properties":'),
+                    F.to_json("properties"), F.lit(',"geometry":{"type":"'), F.col("geometry.type"),
+                    F.lit('","coordinates":'), F.col("geometry.coordinates"), F.lit("}}]}"))
+    parsed = features_from_text(features.select(text.alias("value")), "value", ["ntacode", "ntaname"])
+    areas = areas_from_features(parsed, ["ntacode", "ntaname"])
+    rings = F.flatten("geometry")
+    return areas.select("ntacode", "ntaname", F.size("geometry").alias("parts"),
+                        F.size(F.flatten(rings)).alias("positions"))
+
+
 LOOKUP_SQL = """
 , lookup AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS ntacode, n_name AS ntaname,

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from blotter.operators.spatial import locate, polygon_edges
+from blotter.operators.spatial import index_areas, locate, polygon_edges
 from blotter.sources.geojson import area_dimension, read_areas, read_features
 
 from conftest import rows
@@ -109,7 +109,7 @@ def test_locate_shuffle_path_and_hot_cell(spark, tmp_path):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        b = locate(pts, areas, area_col="ntacode", cell_size=0.5, max_broadcast_rows=0)
+        b = locate(pts, areas, area_col="ntacode", cell_size=0.5, max_broadcast_bytes=0)
         plan_b = b._jdf.queryExecution().executedPlan().toString()
         b = rows(b)
     finally:
@@ -234,3 +234,48 @@ def test_points_hugging_long_diagonal_edges_match_brute_force(spark, cell):
     edges = [tuple(r) for r in polygon_edges(adf).collect()]
     got = sorted(tuple(r) for r in locate(pdf, adf, cell_size=cell).select("pid", "area").collect())
     assert got == _brute(pts, edges)
+
+
+def _square(x, y, side):
+    return [[[[x, y], [x + side, y], [x + side, y + side], [x, y + side], [x, y]]]]
+
+
+def test_large_area_does_not_add_candidates(spark):
+    """225 small areas far apart, with and without one area over all of them."""
+    small = [(f"s{i}", _square(0.1 * (i % 15), 0.1 * (i // 15), 0.02)) for i in range(225)]
+    schema = "area string, geometry array<array<array<array<double>>>>"
+    rnd = random.Random(3)
+    points = spark.createDataFrame([(i, rnd.uniform(0, 1.5), rnd.uniform(0, 1.5)) for i in range(2000)],
+                                   "pid int, longitude double, latitude double")
+
+    def candidates(areas):
+        idx = index_areas(spark.createDataFrame(areas, schema))
+        pairs = 0
+        for r in idx.sizes:
+            cells = idx.cells.where(F.col("r") == r).groupBy("cx", "cy").count().withColumnRenamed("count", "n")
+            keyed = points.select(F.floor(F.col("longitude") / r).alias("cx"), F.floor(F.col("latitude") / r).alias("cy"))
+            pairs += keyed.join(cells, ["cx", "cy"]).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        return pairs / 2000
+    alone = candidates(small)
+    mixed = candidates(small + [("all", _square(-0.5, -0.5, 3.0))])
+    assert mixed <= alone + 1.5
+    areas = spark.createDataFrame(small + [("all", _square(-0.5, -0.5, 3.0))], schema)
+    got = locate(points, areas)
+    assert got.where("area = 'all'").count() == 2000
+    inside = sum(any(x0 < p["longitude"] < x0 + 0.02 and y0 < p["latitude"] < y0 + 0.02
+                     for x0, y0 in ((0.1 * (i % 15), 0.1 * (i // 15)) for i in range(225))) for p in points.collect())
+    assert got.where("area <> 'all'").count() == inside
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    """One area whose outline makes long strips: few rows, many bytes."""
+    import math
+    n = 4000
+    ring = [[math.cos(2 * math.pi * k / n), math.sin(2 * math.pi * k / n)] for k in range(n)]
+    area = spark.createDataFrame([("disc", [[ring]])], "area string, geometry array<array<array<array<double>>>>")
+    idx = index_areas(area, strip_height=10.0)
+    assert idx.strips.count() <= 2 and idx.strip_bytes > 32 * n
+    points = spark.createDataFrame([(1, 0.1, 0.2), (2, 0.99, 0.99)], "pid int, longitude double, latitude double")
+    plan = locate(points, idx, max_broadcast_bytes=1)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan
+    assert rows(locate(points, idx), "pid") == [(1,)]
