@@ -17,7 +17,8 @@ import os
 
 from pyspark.sql import SparkSession
 
-from blotter.plans.complaints import complaint_report, curate_complaints
+from blotter.plans.complaints import (
+    complaint_report, complaint_union, curate_complaints, union_profile)
 from blotter.plans.shootings import (
     integrate_shootings, locate_with_income, lookup_profile, read_neighbourhoods, shooting_report)
 from blotter.sources.files import write_table
@@ -66,9 +67,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.cmd == "complaints":
         curated = curate_complaints(spark, args.historic, args.current,
                                     out=os.path.join(args.out, "curated"))
-        _write_all(complaint_report(curated), args.out, args.format, args.mode)
+        union = complaint_union(spark, args.historic, args.current)
+        _write_all(union_profile(union) | complaint_report(curated), args.out, args.format, args.mode)
     elif args.cmd == "shootings":
-        incidents = integrate_shootings(spark, args.historic, args.ytd)
+        where = os.path.join(args.out, "integrated")
+        write_table(integrate_shootings(spark, args.historic, args.ytd), where, "overwrite")
+        incidents = spark.read.parquet(where)
         areas, incomes, names = read_neighbourhoods(spark, args.areas, args.incomes)
         _write_all({f"lookup_{k}": v for k, v in lookup_profile(incomes).items()}, args.out,
                    args.format, args.mode)
@@ -76,7 +80,7 @@ def main(argv: list[str] | None = None) -> None:
                                      area_names=names)
         write_table(located, os.path.join(args.out, "located"), "overwrite")
         located = spark.read.parquet(os.path.join(args.out, "located"))
-        _write_all(shooting_report(located), args.out, args.format, args.mode)
+        _write_all(shooting_report(incidents, located), args.out, args.format, args.mode)
     else:
         dims = area_dimension(read_features(spark, args.geojson, ["ntacode", "ntaname"]))
         write_table(dims, args.out, "ignore", fmt="csv")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from blotter import schemas
 from blotter.functions.dates import month_start
-from blotter.operators.integrate import IncidentSource, IntegrateSpec, integrate_incidents
+from blotter.operators.integrate import (
+    IncidentSource, IntegrateSpec, integrate_incidents, union_before_dedup)
 from blotter.operators.profile import profile
 from blotter.functions.categorical import is_known
 from blotter.operators.trend import (
@@ -24,6 +25,9 @@ from blotter.operators.trend import (
 from blotter.session import cut_lineage
 from blotter.sources.files import read_csv_text, write_and_reload
 
+# Texts that stand for a missing offence type (UNKNOWN is a type like any other).
+NO_OFFENCE = ("(null)",)
+
 COMPLAINT_SPEC = IntegrateSpec(
     key="CMPLNT_NUM", start_date="CMPLNT_FR_DT", end_date="CMPLNT_TO_DT",
     date_pattern="M/d/yyyy", columns=list(schemas.COMPLAINT_COLUMNS),
@@ -51,6 +55,19 @@ def curate_complaints(spark: SparkSession, historic_path: str, current_path: str
                             partition_by=["year"])
 
 
+def complaint_union(spark: SparkSession, historic_path: str, current_path: str) -> DataFrame:
+    """Both files as one table before dedup and before rows without a date are dropped."""
+    sources = complaint_sources(read_csv_text(spark, historic_path), read_csv_text(spark, current_path))
+    return union_before_dedup(sources, COMPLAINT_SPEC)
+
+
+def union_profile(union: DataFrame) -> dict[str, DataFrame]:
+    """Checks on the union: rows and NULLs, duplicate keys, dates with NULLs, and offence
+    codes without a description."""
+    checks = profile(union, key="CMPLNT_NUM", date_col="Crime_Date", code_pairs=("KY_CD", "OFNS_DESC"))
+    return {f"union_{name}": df for name, df in checks.items()}
+
+
 def complaint_report(curated: DataFrame, cut: bool = True) -> dict[str, DataFrame]:
     """The analysis tables: total trend, level grid and endpoints, offence
     groups, victim-group share, and the profile checks.
@@ -74,13 +91,14 @@ def complaint_report(curated: DataFrame, cut: bool = True) -> dict[str, DataFram
         "level_trend": levels.orderBy("month", "level"),
         "level_endpoints": level_endpoints(levels).orderBy("level"),
         "offence_group_trend": category_group_trend(cube, "month", "OFNS_DESC",
-                                                    schemas.OFFENCE_GROUPS, weight="n")
+                                                    schemas.OFFENCE_GROUPS, weight="n",
+                                                    sentinels=NO_OFFENCE)
         .orderBy("grp", "month"),
         "victim_share": group_share(cube, "month", "VIC_RACE", schemas.SHARE_GROUP,
                                     weight="n").orderBy("month"),
-        "offence_type_counts": monthly_counts(cube.where(is_known("OFNS_DESC")), "month",
+        "offence_type_counts": monthly_counts(cube.where(is_known("OFNS_DESC", NO_OFFENCE)), "month",
                                               by=["OFNS_DESC"], weight="n")
         .orderBy("OFNS_DESC", "month"),
         **profile(curated, key="CMPLNT_NUM", date_col="Crime_Date",
-                  categorical=["LAW_CAT_CD", "OFNS_DESC", "VIC_RACE"]),
+                  categorical=["LAW_CAT_CD", "OFNS_DESC", "VIC_RACE"], code_pairs=("KY_CD", "OFNS_DESC")),
     }

@@ -3,7 +3,7 @@ income, then monthly trends per income band and before/after comparisons.
 
     shootings = integrate_shootings(spark, historic_csv, ytd_csv)
     located = locate_with_income(shootings, areas, incomes)
-    report = shooting_report(located)
+    report = shooting_report(shootings, located)
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from blotter import schemas
 from blotter.functions.categorical import INCOME_BANDS, band_of, boolean_flag
 from blotter.functions.series import series_window, strict_moving_avg
 from blotter.operators.compare import (
-    SPLIT_DEFAULT, before_after, before_after_by_month, change_matrix_wide)
+    SPLIT_DEFAULT, before_after, before_after_by_month, change_matrix)
 from blotter.operators.enrich import enrich_area
 from blotter.operators.integrate import IncidentSource, IntegrateSpec, integrate_incidents
 from blotter.operators.profile import profile
@@ -27,6 +27,9 @@ from blotter.session import cut_lineage
 from blotter.sources.files import read_csv_text, read_csv_typed
 from blotter.sources.geojson import area_dimension, areas_from_features, read_features
 
+# Incomes outside are listed by the lookup's profile.
+INCOME_FENCES = (0.0, 500_000.0)
+
 SHOOTING_SPEC = IntegrateSpec(key="incident_key", start_date="occur_date",
                               date_pattern="M/d/yyyy", date_col="occur_date_parsed",
                               source_col="source")
@@ -94,24 +97,24 @@ def read_area_names(spark: SparkSession, names_csv: str) -> DataFrame:
 
 def lookup_profile(incomes: DataFrame) -> dict[str, DataFrame]:
     """Checks on the hand-typed income lookup: NULLs, duplicate codes, and the
-    income range with values beyond the IQR fences."""
-    return profile(incomes, key="ntacode", numeric=["income"])
+    income range with values beyond plausible fences."""
+    return profile(incomes, key="ntacode", numeric={"income": INCOME_FENCES})
 
 
-def shooting_report(located: DataFrame, split: date = SPLIT_DEFAULT,
+def shooting_report(integrated: DataFrame, located: DataFrame, split: date = SPLIT_DEFAULT,
                     drop_band: str = "High Income", cut: bool = True) -> dict[str, DataFrame]:
-    """Trend and comparison tables from one pass over the located incidents.
+    """Trend and comparison tables: the total over all ``integrated`` incidents, the bands
+    over the ``located`` ones.
 
-    The located table is aggregated once to (band, month) counts, NULL band
-    included so the all-incident total comes from the same pass; with
-    ``cut`` that small table is checkpointed to the shared checkpoint folder,
-    so the five outputs never re-run the spatial join.
+    The located table is aggregated once to (band, month) counts; with ``cut``
+    that small table is checkpointed to the shared checkpoint folder, so the
+    outputs never re-run the spatial join.
     """
     banded = located.withColumn("band", band_of("income", INCOME_BANDS))
     counts = monthly_counts(banded, "occur_date", by=["band"])
     if cut:
         counts = cut_lineage(counts)
-    total = counts.groupBy("month").agg(F.sum("cnt").alias("cnt"))
+    total = monthly_counts(integrated, "occur_date")
     w = series_window("month", ["band"])
     bands = (counts.where(F.col("band").isNotNull())
              .select("band", "month", "cnt", strict_moving_avg("cnt", w).alias("ma12")))
@@ -123,5 +126,6 @@ def shooting_report(located: DataFrame, split: date = SPLIT_DEFAULT,
         "band_trend": bands.orderBy("band", "month"),
         "before_after": before_after(bands, split, labels=labels).orderBy("band"),
         "before_after_by_month": by_month.orderBy("month_no", "band"),
-        "change_matrix": change_matrix_wide(by_month, [x for x in labels if x != drop_band]),
+        "change_matrix": change_matrix(bands, [x for x in labels if x != drop_band], split)
+        .orderBy("month_no"),
     }

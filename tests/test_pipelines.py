@@ -5,8 +5,10 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from blotter.plans.complaints import complaint_report, curate_complaints
+from blotter.plans.complaints import (
+    complaint_report, complaint_union, curate_complaints, union_profile)
 from blotter.plans.shootings import (
     integrate_shootings, locate_with_income, read_neighbourhoods, shooting_report)
 from blotter.schemas import COMPLAINT_COLUMNS
@@ -61,6 +63,22 @@ def test_complaint_pipeline(spark, tmp_path):
     assert rows(report["offence_type_counts"], "OFNS_DESC", "cnt") == [
         ("DANGEROUS DRUGS", 1), ("FELONY ASSAULT", 1), ("ROBBERY", 1)]
     assert report["duplicate_keys"].count() == 0
+    union = union_profile(complaint_union(spark, hist, curr))
+    dates = union["union_date_range"].collect()[0]
+    assert (dates["row_count"], dates["null_dates"]) == (6, 1)
+    assert rows(union["union_duplicate_keys"]) == [("1", 2)]
+
+
+def test_unknown_offence_type_is_kept(spark, tmp_path):
+    header = list(COMPLAINT_COLUMNS)
+    files = [_write_csv(tmp_path / f"{i}.csv", header, [
+        _complaint(str(10 * i + k), "01/05/2016", "", "FELONY", ofns, "WHITE")[:-1]
+        for k, ofns in enumerate(("ROBBERY", "UNKNOWN", "(null)", ""))]) for i in (1, 2)]
+    curated = curate_complaints(spark, *files)
+    report = complaint_report(curated)
+    assert rows(report["offence_type_counts"], "OFNS_DESC", "cnt") == [("ROBBERY", 2), ("UNKNOWN", 2)]
+    pairs = union_profile(complaint_union(spark, *files))["union_null_code_pairs"]
+    assert rows(pairs) == [("101", None)]
 
 
 def _shooting_files(tmp_path):
@@ -109,11 +127,13 @@ def test_shooting_pipeline(spark, tmp_path):
     from blotter.plans.shootings import lookup_profile
     lp = lookup_profile(incomes)
     assert lp["duplicate_keys"].count() == 0
-    assert lp["numeric_summary"].collect()[0]["max"] == 130000.0
+    assert lp["numeric_range"].collect()[0]["max"] == 130000.0
     located = locate_with_income(sh, areas, incomes, area_names=names)
     assert rows(located, "incident_key", "ntacode", "neighborhood", "income") == [
         ("1", "AA01", "AA01", 30000), ("2", "CC03", "CC03", 130000), ("5", "AA01", "AA01", 30000)]
-    rep = shooting_report(located, split=date(2020, 4, 1))
+    rep = shooting_report(sh, located, split=date(2020, 4, 1))
+    # the total counts unlocated points and points of areas without income too
+    assert sum(r["cnt"] for r in rep["monthly_trend"].collect()) == sh.count() == 5
     assert rows(rep["band_trend"], "band", "month", "cnt") == [
         ("High Income", date(2020, 5, 1), 1), ("Low Income", date(2019, 3, 1), 1),
         ("Low Income", date(2022, 4, 1), 1)]
@@ -141,6 +161,28 @@ def test_sink_modes(spark, tmp_path):
     assert sorted(r["id"] for r in back.collect()) == ["1", "2"]
 
 
+def test_csv_folder_with_differing_headers(spark, tmp_path):
+    from blotter.sources.files import read_csv_text
+    folder = tmp_path / "in"
+    folder.mkdir()
+    _write_csv(folder / "a.csv", ["id", "lvl", "d"], [["1", "F", "1/1/2020"]])
+    _write_csv(folder / "b.csv", ["id", "d", "lvl"], [["2", "1/2/2020", "M"]])
+    _write_csv(folder / "c.csv", ["d", "id"], [["1/3/2020", "3"]])
+    got = rows(read_csv_text(spark, str(folder)), "id", "lvl", "d")
+    assert got == [("1", "F", "1/1/2020"), ("2", "M", "1/2/2020"), ("3", None, "1/3/2020")]
+    assert rows(read_csv_text(spark, [str(folder)], columns=["lvl", "x"])) == sorted(
+        [("F", None), ("M", None), (None, None)], key=str)
+
+
+def test_overlapping_areas_do_not_change_the_total(spark):
+    sh = spark.createDataFrame([("1", date(2020, 1, 5)), ("2", date(2020, 1, 6)), ("3", date(2020, 2, 1))],
+                               "incident_key string, occur_date date")
+    twice = sh.where("incident_key = '1'").withColumn("income", F.lit(30000))
+    rep = shooting_report(sh, twice.unionAll(twice), split=date(2020, 2, 1))
+    assert rows(rep["monthly_trend"], "month", "cnt") == [(date(2020, 1, 1), 2), (date(2020, 2, 1), 1)]
+    assert rows(rep["band_trend"], "band", "cnt") == [("Low Income", 2)]
+
+
 def test_lookup_reader_types(spark, tmp_path):
     p = _write_csv(tmp_path / "inc.csv", ["ntaname", "ntacode", "income"],
                    [["A", "X1", "10"], ["B", "X2", "oops"]])
@@ -175,7 +217,7 @@ def test_cli_shootings_and_complaints(spark, tmp_path):
     main(["shootings", hist, ytd, geo, inc, out])
     assert spark.read.parquet(f"{out}/located").count() == 3
     assert spark.read.parquet(f"{out}/change_matrix").count() == 12
-    assert spark.read.parquet(f"{out}/lookup_numeric_summary").count() == 1
+    assert spark.read.parquet(f"{out}/lookup_numeric_range").count() == 1
     header = list(COMPLAINT_COLUMNS)
     h = _write_csv(tmp_path / "h.csv", header, [_complaint("1", "01/05/2016", "", "FELONY", "ROBBERY", "WHITE")[:-1]])
     c = _write_csv(tmp_path / "c.csv", header, [_complaint("2", "02/05/2016", "", "FELONY", "ROBBERY", "WHITE")[:-1]])
@@ -198,7 +240,7 @@ def test_enrich_area_same_rows_beyond_broadcast_bound(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        b = enrich_area(pts, lookup, "ntacode", value_col="income", max_broadcast_rows=0)
+        b = enrich_area(pts, lookup, "ntacode", value_col="income")
         assert "BroadcastHashJoin" not in b._jdf.queryExecution().executedPlan().toString()
         assert rows(a) == rows(b)
     finally:
