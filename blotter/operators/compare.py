@@ -79,19 +79,26 @@ def before_after_by_month(monthly: DataFrame, split: date = SPLIT_DEFAULT,
         pct_change_zero_guarded("_a", "_b").alias("change_pct"))
 
 
-def change_matrix_wide(by_month: DataFrame, columns: Sequence[str], series: str = "band",
-                       value: str = "change_pct") -> DataFrame:
-    """Month rows (Jan … Dec) × one column per listed series.
-
-    Series not listed are left out (dropping a band is leaving it out of
-    ``columns``).  Rows are ordered by month number.
+def change_matrix(monthly: DataFrame, columns: Sequence[str], split: date = SPLIT_DEFAULT,
+                  series: str = "band", value: str = "cnt") -> DataFrame:
+    """Month of year (Jan … Dec) × one column of changes per listed series.
+
+    The values are those of :func:`before_after_by_month`, straight from the
+    monthly table: one aggregation by month of year with two conditional means
+    per listed series.  Series not listed are left out.  Rows are in no order;
+    a report sorts them by ``month_no``.
     """
-    # one conditional aggregate per listed series: each (month, series) cell is
-    # a single row, so this is the pivot in one aggregation instead of two
-    cells = [F.max(F.when(F.col(series) == c, F.col(value))).alias(c) for c in columns]
-    return (by_month.where(F.col(series).isin(*columns))
-            .groupBy("month_no", "month_name").agg(*cells)
-            .orderBy("month_no"))
+    before = F.col("month") < F.lit(split)
+    of = {c: F.col(series) == c for c in columns}
+    means = [F.avg(F.when(of[c] & side, F.col(value))).alias(f"_{k}{i}")
+             for i, c in enumerate(columns) for k, side in (("b", before), ("a", ~before))]
+    found = (monthly.where(F.col(series).isin(*columns))
+             .groupBy(F.month("month").alias("month_no")).agg(*means))
+    months = monthly.sparkSession.range(1, 13, 1, 1).select(F.col("id").cast("int").alias("month_no"))
+    cells = [pct_change_zero_guarded(f"_a{i}", f"_b{i}").alias(c) for i, c in enumerate(columns)]
+    # at most twelve rows, so broadcasting them is bounded
+    return (months.join(F.broadcast(found), "month_no", "left")
+            .select("month_no", month_name("month_no").alias("month_name"), *cells))
 
 
 def unpivot_matrix(wide: DataFrame, ids: Sequence[str], series: str = "band",

@@ -7,21 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from blotter.functions.categorical import not_sentinel_number
-from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 
 def enrich_area(df: DataFrame, lookup: DataFrame, on: str | Sequence[str],
-                value_col: str | None = None, sentinel: float = -1,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                value_col: str | None = None, sentinel: float = -1) -> DataFrame:
     """Inner join to ``lookup`` on ``on``; then drop rows whose ``value_col``
     is NULL or the sentinel (``-1`` marks areas that are not residential).
 
-    The lookup is broadcast when its row count is within the bound, so the
-    incident side is never shuffled for it; beyond the bound a shuffle join
-    is planned instead.  Lookup keys are expected unique; a duplicated key
-    multiplies rows, as any equi-join does.
+    No hint is given: Spark broadcasts a lookup whose bytes are within its own
+    threshold (from file sizes, or measured at run time) and shuffles beyond it.
+    Lookup keys are expected unique; a duplicated key multiplies rows, as any
+    equi-join does.
     """
-    joined = df.join(bounded_broadcast(lookup, max_broadcast_rows), on, "inner")
+    joined = df.join(lookup, on, "inner")
     if value_col is not None:
         joined = joined.where(not_sentinel_number(value_col, sentinel))
     return joined

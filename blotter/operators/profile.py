@@ -7,13 +7,11 @@ the source is not rescanned once per check.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.functions.categorical import UNKNOWN_TEXTS
-
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows and NULL count per column, as a long table ``(column, null_count, row_count)``."""
@@ -26,9 +24,9 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def duplicate_keys(df: DataFrame, key: str, top: int | None = None) -> DataFrame:
-    """Keys occurring more than once with their counts, most frequent first.
+    """Keys occurring more than once with their counts, in no order.
 
-    ``top`` keeps the ``top`` most frequent (ties by key): a preview, as a
+    ``top`` keeps, most frequent first, the ``top`` most frequent (ties by key): a preview, as a
     ``show()`` after ``orderBy(count desc)`` gives.
     """
     dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -58,62 +56,68 @@ def date_range(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def null_code_pairs(df: DataFrame, code_col: str, desc_col: str,
-                    sentinels: Sequence[str] = UNKNOWN_TEXTS) -> DataFrame:
-    """Distinct (code, description) where the description is NULL or a sentinel."""
+                    sentinels: Sequence[str] = ()) -> DataFrame:
+    """Distinct (code, description) where the description is NULL (or one of ``sentinels``)."""
     d = F.col(desc_col)
-    return (df.where(d.isNull() | d.isin(*sentinels))
+    return (df.where(d.isNull() | (d.isin(*sentinels) if sentinels else F.lit(False)))
             .select(code_col, desc_col).distinct())
 
 
 def profile(df: DataFrame, key: str | None = None, date_col: str | None = None,
-            categorical: Sequence[str] = (), numeric: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """All checks at once, as named DataFrames."""
+            categorical: Sequence[str] = (),
+            numeric: Mapping[str, tuple[float | None, float | None]] | None = None,
+            code_pairs: tuple[str, str] | None = None) -> dict[str, DataFrame]:
+    """All checks at once, as named DataFrames.
+
+    ``numeric`` maps columns to their fences, ``code_pairs`` names a (code,
+    description) pair whose missing descriptions are listed.
+    """
     out = {"null_counts": null_counts(df)}
     if numeric:
-        out["numeric_summary"] = numeric_summary(df, numeric)
+        out["numeric_range"] = numeric_range(df, numeric)
     if key:
         out["duplicate_keys"] = duplicate_keys(df, key)
     if date_col:
         out["date_range"] = date_range(df, date_col)
     if categorical:
         out["distinct_values"] = distinct_values(df, categorical)
+    if code_pairs:
+        out["null_code_pairs"] = null_code_pairs(df, *code_pairs)
     return out
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str], k: float = 1.5,
-                    accuracy: int = 10_000) -> DataFrame:
-    """Range, quartiles and values beyond the ``k``·IQR fences, per numeric column.
+def _number(column: str):
+    """The column as a double, NaN as NULL."""
+    x = F.col(column).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def numeric_range(df: DataFrame,
+                  fences: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
+    """Exact range per numeric column, and its values beyond given fences.
 
-    ``(column, n, min, q1, median, q3, max, low_fence, high_fence, outliers)``.
-    Quartiles are approximate (``percentile_approx``: bounded memory whatever
-    the row count); the extremes and counts are exact.  Two scans: the first
-    returns a handful of numbers per column (read back to set the fences), the
-    second counts the values beyond them.  Flags values such as one income
-    far above every other.
+    ``(column, n, nulls, min, max, low_fence, high_fence, beyond)`` in one scan.
+    NaN counts as NULL; a fence of ``None`` is open.  Flags values such as one
+    income far above every other.
     """
-    cols = list(columns)
-    v = [F.col(c).cast("double") for c in cols]
-    first = df.agg(*[F.struct(F.count(c).alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
-                              F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias("q"))
-                     .alias(f"_s{i}") for i, (c, x) in enumerate(zip(cols, v))]).first()
-    fences = []
-    for i in range(len(cols)):
-        st = first[f"_s{i}"]
-        q = st["q"] or [None, None, None]
-        lo = hi = None
-        if q[0] is not None:
-            lo, hi = q[0] - k * (q[2] - q[0]), q[2] + k * (q[2] - q[0])
-        fences.append((st, q, lo, hi))
-    counts = df.agg(*[
-        (F.count_if((x < F.lit(lo)) | (x > F.lit(hi))) if lo is not None else F.lit(0).cast("long"))
-        .alias(f"_o{i}") for i, (x, (_, _, lo, hi)) in enumerate(zip(v, fences))])
-
-    def num(x):
-        return F.lit(x).cast("double")
-    rows = [F.struct(F.lit(c).alias("column"), F.lit(st["n"]).cast("long").alias("n"),
-                     num(st["min"]).alias("min"), num(q[0]).alias("q1"), num(q[1]).alias("median"),
-                     num(q[2]).alias("q3"), num(st["max"]).alias("max"),
-                     num(lo).alias("low_fence"), num(hi).alias("high_fence"),
-                     F.col(f"_o{i}").alias("outliers"))
-            for i, (c, (st, q, lo, hi)) in enumerate(zip(cols, fences))]
-    return counts.select(F.inline(F.array(*rows)))
+    aggs, cells = [], []
+    for i, (c, (lo, hi)) in enumerate(fences.items()):
+        x = _number(c)
+        low, high = F.lit(lo).cast("double"), F.lit(hi).cast("double")
+        aggs.append(F.struct(
+            F.lit(c).alias("column"), F.count(x).alias("n"), F.count_if(x.isNull()).alias("nulls"),
+            F.min(x).alias("min"), F.max(x).alias("max"), low.alias("low_fence"),
+            high.alias("high_fence"), F.count_if((x < low) | (x > high)).alias("beyond")).alias(f"_s{i}"))
+        cells.append(F.col(f"_s{i}"))
+    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+
+
+def numeric_quartiles(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+    """Approximate quartiles per column (``percentile_approx``: bounded memory), as a guide
+    for choosing fences; no count depends on them."""
+    q = [F.percentile_approx(_number(c), [0.25, 0.5, 0.75], accuracy).alias(f"_q{i}")
+         for i, c in enumerate(columns)]
+    cells = [F.struct(F.lit(c).alias("column"), *[F.col(f"_q{i}")[k].alias(n) for k, n in
+                                                  enumerate(("q1", "median", "q3"))])
+             for i, c in enumerate(columns)]
+    return df.agg(*q).select(F.inline(F.array(*cells)))

@@ -21,7 +21,6 @@ from blotter.functions.numeric import share_pct
 from blotter.functions.series import (
     MA_WINDOW, MODERATE_PCT, PERIOD_END, PERIOD_START, SURGE_PCT, growth_class, in_period,
     lag_rows, pct_growth, series_window, strict_moving_avg)
-from blotter.operators.joins import bounded_broadcast, distinct_values_bounded
 
 
 def _tally(weight: str | None):
@@ -83,15 +82,13 @@ def monthly_trend(df: DataFrame, date_col: str, by: Sequence[str] = (),
 
 
 def _level_grid(df: DataFrame, date_col: str, level_col: str,
-                levels: Sequence[str] | None,
+                levels: Sequence[str],
                 weight: str | None = None) -> tuple[DataFrame, list[str]]:
     """Month × level counts in wide form: NULL where a level has no row that month.
 
     One aggregation with a conditional sum per level; months are those where
     any level occurs.
     """
-    if levels is None:
-        levels = distinct_values_bounded(df.where(F.col(date_col).isNotNull()), level_col)
     levels = list(levels)
     one = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     aggs = [F.sum(F.when(F.col(level_col) == v, one)).alias(f"_lvl{i}")
@@ -107,25 +104,26 @@ def _dense_grid(df: DataFrame, date_col: str, level_col: str,
     """(month, level, cnt) on the dense grid of observed months × observed levels.
 
     One aggregation of the input to (level, month) counts; everything after
-    works on that small table: a map level → count per month (at most one
-    entry per level), the level set taken by a window over the months, each
-    month exploded to every level and its count looked up (NULL if absent).
+    works on that table and stays partitioned by level: a map month → count
+    per level (one entry a month), and the observed months, a one-row scalar
+    subquery, exploded for each level, the count looked up (NULL if absent).
     """
     counts = monthly_counts(df.where(F.col(level_col).isNotNull()), date_col, by=[level_col],
                             weight=weight)
-    per_month = counts.groupBy("month").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(level_col), F.col("cnt")))).alias("_m"))
-    # distinct per-month key sets (usually one or a few), flattened to the level set
-    every = F.array_sort(F.array_distinct(F.flatten(
-        F.collect_set(F.array_sort(F.map_keys("_m"))).over(Window.partitionBy()))))
-    return (per_month.select("month", "_m", every.alias("_levels"))
-            .select("month", "_m", F.explode("_levels").alias("level"))
-            .select("month", "level", F.try_element_at("_m", F.col("level")).alias("cnt")))
+    months = counts.agg(F.array_sort(F.collect_set("month")))
+    per_level = counts.groupBy(F.col(level_col).alias("level")).agg(
+        F.map_from_entries(F.collect_list(F.struct("month", "cnt"))).alias("_m"))
+    return (per_level.select("level", "_m", F.explode(months.scalar()).alias("month"))
+            .select("month", "level", F.try_element_at("_m", F.col("month")).alias("cnt")))
 
 
 def level_wide(df: DataFrame, date_col: str, level_col: str,
-               levels: Sequence[str] | None = None, weight: str | None = None) -> DataFrame:
-    """One row per month, one count column per level (NULL where absent)."""
+               levels: Sequence[str], weight: str | None = None) -> DataFrame:
+    """One row per month, one count column per listed level (NULL where absent).
+
+    The columns of a result must be known when it is planned, so ``levels`` is
+    required; :func:`level_trend` is the general, long form.
+    """
     wide, levels = _level_grid(df, date_col, level_col, levels, weight)
     return wide.select("month", *[F.col(f"_lvl{i}").alias(v) for i, v in enumerate(levels)])
 
@@ -175,23 +173,25 @@ def level_endpoints(trend: DataFrame, series: str = "level", value: str = "ma12"
 
 def category_group_trend(df: DataFrame, date_col: str, category_col: str,
                          groups: Mapping[str, Sequence[str]] | DataFrame,
-                         group_col: str = "grp", **trend_kw) -> DataFrame:
+                         group_col: str = "grp", sentinels: Sequence[str] = UNKNOWN_TEXTS,
+                         weight: str | None = None, **trend_kw) -> DataFrame:
     """Q4: roll raw categories up into named groups, then a trend per group.
 
     ``groups`` is either ``{group: [category, ...]}`` (compiled to a literal
-    map lookup, no join) or a DataFrame ``(category_col, group_col)`` (joined,
-    broadcast only when its row count is within the bound).  Each group counts
-    the rows of its categories, as separate filters would: a category listed
-    in two groups counts in both.  Categories in no group, NULL and sentinel
-    texts are left out.  One scan and one shuffle for all groups together.
+    map lookup, no join) or a DataFrame ``(category_col, group_col)`` (joined).
+    Each group counts the rows of its categories, as separate filters would: a
+    category listed in two groups counts in both.  Categories in no group, NULL
+    and ``sentinels`` are left out.  Rows are counted by (month, category) first;
+    only those counts meet the groups.
     """
-    known = df.where(is_known(category_col))
+    counts = monthly_counts(df.where(is_known(category_col, sentinels)), date_col, by=[category_col],
+                            weight=weight)
     if isinstance(groups, DataFrame):
         mapping = groups.select(category_col, group_col).where(F.col(group_col).isNotNull()).distinct()
-        tagged = known.join(bounded_broadcast(mapping), category_col, "inner")
+        tagged = counts.join(mapping, category_col, "inner")
     else:
-        tagged = known.withColumn(group_col, F.explode(groups_of(category_col, groups)))
-    return monthly_trend(tagged, date_col, by=[group_col], **trend_kw)
+        tagged = counts.withColumn(group_col, F.explode(groups_of(category_col, groups)))
+    return monthly_trend(tagged, "month", by=[group_col], weight="cnt", **trend_kw)
 
 
 def group_share(df: DataFrame, date_col: str, group_col: str, value: str,

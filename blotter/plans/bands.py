@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.categorical import Band
-from blotter.operators.compare import before_after, before_after_by_month, change_matrix_wide
+from blotter.operators.compare import before_after, before_after_by_month, change_matrix
 from blotter.operators.trend import band_trend
 from blotter.plans.catalog import register, rounded, table
 from blotter.plans.trends import incidents
@@ -122,8 +122,7 @@ FROM c GROUP BY month_no, month_name
 """)
 def q_change_matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Month × band matrix of changes, high band left out, Jan … Dec."""
-    long = before_after_by_month(balance_band_trend(spark, sf_dir), SPLIT, labels=LABELS)
-    return rounded(change_matrix_wide(long, ["low", "mid", "mid_high"]))
+    return rounded(change_matrix(balance_band_trend(spark, sf_dir), ["low", "mid", "mid_high"], SPLIT))
 
 
 @register("change_matrix_long", BY_MONTH_SQL + """
@@ -132,6 +131,5 @@ SELECT month_no, month_name, band, round(change_pct, 6) AS change_pct FROM c WHE
 def q_change_matrix_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2: the wide matrix melted back to (month, band, change)."""
     from blotter.operators.compare import unpivot_matrix
-    long = before_after_by_month(balance_band_trend(spark, sf_dir), SPLIT, labels=LABELS)
-    wide = change_matrix_wide(long, ["low", "mid", "mid_high"])
+    wide = change_matrix(balance_band_trend(spark, sf_dir), ["low", "mid", "mid_high"], SPLIT)
     return rounded(unpivot_matrix(wide, ["month_no", "month_name"]))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from blotter.operators.integrate import (
     IncidentSource, IntegrateSpec, dedup_first, integrate_incidents, union_before_dedup)
-from blotter.functions.categorical import yes_no_flag
+from blotter.functions.categorical import UNKNOWN_TEXTS, yes_no_flag
 from blotter.operators.profile import (
     date_range, distinct_values, duplicate_keys, null_code_pairs, null_counts)
 from blotter.plans.catalog import register, table
@@ -114,10 +114,10 @@ def _bounded_sources(spark: SparkSession, sf_dir: str) -> list[IncidentSource]:
         F.when(F.col("o_orderstatus") == "F", "Y").when(F.col("o_orderstatus") == "O", "N")
         .otherwise(F.col("o_orderstatus")).alias("FLAG"),
         F.col("o_orderpriority").alias("O_ORDERPRIORITY"),
-        F.lit("x").alias("LOC_DESC"))
+        F.lit("x").alias("LOC_DESC")).withColumnRenamed("FLAG", "STATUS_FLAG")
     return [
         IncidentSource(curr, "current", priority=0, lower_names=True, drop=["loc_desc"],
-                       yes_no=["flag"]),
+                       rename={"status_flag": "flag"}, yes_no=["flag"]),
         IncidentSource(hist, "historic", priority=1, drop=["x_coord"],
                        date_bound=(date(1996, 1, 1), date(1999, 12, 31))),
     ]
@@ -214,13 +214,18 @@ def q_dup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dup_keys_after", f"""
 WITH t AS ({UNION_SQL})
-SELECT o_orderkey, count(*) AS n FROM (SELECT DISTINCT o_orderkey FROM t)
-GROUP BY o_orderkey HAVING count(*) > 1
+SELECT count(*) AS rows_before, count(DISTINCT o_orderkey) + max(CASE WHEN o_orderkey IS NULL THEN 1 ELSE 0 END)
+         AS rows_after, 0 AS duplicates_left
+FROM t
 """)
 def q_dup_keys_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A6 after dedup: must be empty."""
-    kept = dedup_first(_union_input(spark, sf_dir), "o_orderkey", ["incident_date"])
-    return duplicate_keys(kept, "o_orderkey")
+    """A6 around dedup: rows before, rows after (one per key), and duplicate keys left."""
+    union = _union_input(spark, sf_dir)
+    kept = dedup_first(union, "o_orderkey", ["incident_date"]).groupBy("o_orderkey").agg(
+        F.count(F.lit(1)).alias("n"))
+    after = kept.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_after"),
+                     F.count_if(F.col("n") > 1).cast("int").alias("duplicates_left"))
+    return after.withColumn("rows_before", union.agg(F.count(F.lit(1))).scalar())
 
 
 @register("distinct_values", f"""
@@ -254,7 +259,7 @@ SELECT DISTINCT o_orderpriority, start_txt FROM t WHERE start_txt IS NULL OR sta
 """)
 def q_null_code_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (code, text) pairs where the text is missing."""
-    return null_code_pairs(_union_input(spark, sf_dir), "o_orderpriority", "start_txt")
+    return null_code_pairs(_union_input(spark, sf_dir), "o_orderpriority", "start_txt", UNKNOWN_TEXTS)
 
 
 @register("top_dup_keys", f"""
@@ -301,15 +306,28 @@ def q_integrated_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "cnt", "ma12", "prev12"))
 
 
-@register("numeric_profile", None)
+@register("numeric_profile", """
+SELECT 'o_totalprice' AS "column", count(o_totalprice) AS n, count(*) - count(o_totalprice) AS nulls,
+       round(min(o_totalprice), 6) AS min, round(max(o_totalprice), 6) AS max,
+       1000.0::DOUBLE AS low_fence, 400000.0::DOUBLE AS high_fence,
+       count(*) FILTER (WHERE o_totalprice < 1000 OR o_totalprice > 400000) AS beyond
+FROM orders
+""")
 def q_numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q6 numeric check: range, approximate quartiles and values beyond the
-    1.5·IQR fences for balances and order prices.  No oracle: the quartiles
-    are approximate by design (bounded memory at any scale)."""
-    from blotter.operators.profile import numeric_summary
+    """Q6 numeric check: exact range, NULLs and values beyond given fences, one scan."""
+    from blotter.operators.profile import numeric_range
     from blotter.plans.catalog import rounded
-    orders = table(spark, sf_dir, "orders").select("o_totalprice", "o_custkey")
-    return rounded(numeric_summary(orders, ["o_totalprice", "o_custkey"]))
+    return rounded(numeric_range(table(spark, sf_dir, "orders"), {"o_totalprice": (1000.0, 400000.0)}))
+
+
+@register("iso_dates", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders
+""")
+def q_iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO date text back to a date."""
+    from blotter.functions.dates import as_date
+    text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return table(spark, sf_dir, "orders").select("o_orderkey", as_date(text).alias("day"))
 
 
 @register("dedup_hot_key", """

@@ -87,17 +87,9 @@ def q_monthly_trend_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(monthly_trend(incidents(spark, sf_dir), "o_orderdate", by=["o_orderpriority"]))
 
 
-def holed_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incidents with level F removed in 1997-05: one month missing in one level."""
-    df = incidents(spark, sf_dir)
-    hole = (F.col("o_orderstatus") == "F") & (F.trunc("o_orderdate", "month") == F.lit(date(1997, 5, 1)))
-    return df.where(~hole)
-
-
 LEVEL_BASE_SQL = """
 WITH base AS (
   SELECT CAST(o_orderdate AS DATE) AS d, o_orderstatus AS level FROM orders
-  WHERE NOT (o_orderstatus = 'F' AND CAST(date_trunc('month', o_orderdate) AS DATE) = DATE '1997-05-01')
 ), counts AS (
   SELECT CAST(date_trunc('month', d) AS DATE) AS month, level, count(*) AS cnt
   FROM base WHERE d IS NOT NULL AND level IS NOT NULL GROUP BY 1, 2
@@ -117,8 +109,8 @@ WITH base AS (
 
 @register("level_trend", LEVEL_BASE_SQL + "SELECT month, level, cnt, round(ma12, 6) AS ma12 FROM trend")
 def q_level_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q3: dense month × level grid; the hole blanks 12 means of level F."""
-    return rounded(level_trend(holed_levels(spark, sf_dir), "o_orderdate", "o_orderstatus"))
+    """Q3: dense month × level grid."""
+    return rounded(level_trend(incidents(spark, sf_dir), "o_orderdate", "o_orderstatus"))
 
 
 @register("level_wide", LEVEL_BASE_SQL + """
@@ -130,7 +122,7 @@ FROM grid GROUP BY month
 """)
 def q_level_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same grid, one column per level."""
-    return level_wide(holed_levels(spark, sf_dir), "o_orderdate", "o_orderstatus",
+    return level_wide(incidents(spark, sf_dir), "o_orderdate", "o_orderstatus",
                       levels=["F", "O", "P"])
 
 
@@ -147,7 +139,7 @@ FROM ranked GROUP BY level
 """)
 def q_level_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10: first complete and last moving average per level, by position."""
-    t = level_trend(holed_levels(spark, sf_dir), "o_orderdate", "o_orderstatus",
+    t = level_trend(incidents(spark, sf_dir), "o_orderdate", "o_orderstatus",
                     levels=["F", "O", "P"])
     return rounded(level_endpoints(t))
 
@@ -229,16 +221,18 @@ def q_group_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
        strftime(CAST(date_trunc('month', o_orderdate) AS DATE), '%Y-%m') AS label_padded,
        CAST(year(o_orderdate) AS VARCHAR) || '-' || CAST(month(o_orderdate) AS VARCHAR) AS label_unpadded,
-       count(*) AS cnt
-FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, 3
+       CAST(date_trunc('month', o_orderdate) AS DATE) AS month_again, count(*) AS cnt
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, 3, 4
 """)
 def q_monthly_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 with C4/C7/C8: month key with its padded and unpadded text labels."""
-    from blotter.functions.dates import month_label
+    """A1 with C4/C7/C8/C9: month key with its padded and unpadded text labels, and the key
+    read back from the unpadded one."""
+    from blotter.functions.dates import month_from_label, month_label
     from blotter.operators.trend import monthly_counts
     m = monthly_counts(incidents(spark, sf_dir), "o_orderdate")
     return m.select("month", month_label("month", True).alias("label_padded"),
-                    month_label("month", False).alias("label_unpadded"), "cnt")
+                    month_label("month", False).alias("label_unpadded"),
+                    month_from_label(month_label("month", False)).alias("month_again"), "cnt")
 
 
 @register("category_group_table", """
@@ -269,9 +263,16 @@ SELECT grp, month, cnt, round(ma12, 6) AS ma12, prev12, round(growth_pct, 6) AS
 FROM g2
 """)
 def q_category_group_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q4 with the mapping given as a table derived from the data (joined, bounded broadcast)."""
+    """Q4 with the mapping given as a table derived from the data (joined)."""
     inc = incidents(spark, sf_dir)
     mapping = (inc.select("o_orderpriority").where(F.col("o_orderpriority").isNotNull()).distinct()
                .withColumn("grp", F.when(F.col("o_orderpriority") < "3", "urgent")
                            .otherwise("routine")))
     return rounded(category_group_trend(inc, "o_orderdate", "o_orderpriority", mapping))
+
+
+@register("weighted_trend", MONTHLY_SQL.format(a=10.0, b=20.0, p0="2020-03-01", p1="2022-12-01"))
+def q_weighted_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: the monthly trend of an already counted table (rows per day), by its count column."""
+    days = incidents(spark, sf_dir).groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("n"))
+    return rounded(monthly_trend(days, "o_orderdate", weight="n"))

@@ -9,7 +9,7 @@ checkpoint folder.
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,27 +55,30 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getConf().get("spark.checkpoint.dir", None)
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set one only where it is unset.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that all executors share, set as the checkpoint folder.
 
-    On a cluster the folder must be shared storage named by the deployment.
-    A local fallback is only for tests and single-machine runs, where a fresh
-    scratch folder is created under the system temp directory.
+    ``spark.checkpoint.dir`` as the session names it; where it is unset, a folder
+    of the warehouse, which Spark itself needs to be shared.  The same rule holds
+    on one machine and on a cluster; no machine-local temporary folder is used.
     """
-    existing = checkpoint_dir(spark)
-    if existing:
-        return existing
-    if fallback is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is unset; name a shared folder for the cluster")
-        fallback = tempfile.mkdtemp(prefix="blotter-ckpt-")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    folder = checkpoint_dir(spark) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/blotter_checkpoints")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder, removed when the driver's JVM ends."""
+    where = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return where
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+    """Reliable checkpoint into the shared folder.
 
     Used between pipeline stages whose result feeds several branches, so a
     lost executor recomputes from the checkpoint rather than from the raw
@@ -89,18 +92,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
-
-
-def materialize_small(df: DataFrame) -> DataFrame:
-    """Materialise a small derived table that several later plans read.
-
-    With a checkpoint folder (the cluster's shared one, or a local master)
-    this is a reliable checkpoint: it survives executor loss and leaves later
-    plans a short lineage.  Without one, the table is persisted; a lost block
-    is then recomputed from its (small) inputs.
-    """
-    if checkpoint_dir(df.sparkSession) or df.sparkSession.sparkContext.master.startswith("local"):
-        return cut_lineage(df)
-    df = df.persist()
-    df.count()
-    return df

@@ -10,8 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from blotter.session import ensure_checkpoint_dir, local_session
-    s = local_session(4, 4, app="blotter-tests", driver_memory="4g")
-    ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="blotter-test-ckpt-"))
+    s = local_session(4, 4, app="blotter-tests", driver_memory="4g", extra={
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="blotter-test-ckpt-")})
+    ensure_checkpoint_dir(s)
     yield s
     s.stop()
 

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 
 from blotter.operators.compare import (
-    before_after, before_after_by_month, change_matrix_wide, unpivot_matrix)
+    before_after, before_after_by_month, change_matrix, unpivot_matrix)
 
 from conftest import rows
 
@@ -45,10 +45,9 @@ def test_before_after_by_month(spark):
 
 
 def test_change_matrix_wide_roundtrip(spark):
-    long = before_after_by_month(_monthly(spark), SPLIT, labels=["low", "mid", "high"])
-    wide = change_matrix_wide(long, ["low", "mid"])
+    wide = change_matrix(_monthly(spark), ["low", "mid"], SPLIT)
     assert wide.columns == ["month_no", "month_name", "low", "mid"]
-    got = wide.collect()
+    got = wide.orderBy("month_no").collect()
     assert [r["month_name"] for r in got][:3] == ["Jan", "Feb", "Mar"]
     assert got[2]["low"] == pytest.approx(200.0)
     back = unpivot_matrix(wide, ["month_no", "month_name"])

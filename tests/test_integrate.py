@@ -100,15 +100,17 @@ def test_profile_checks(spark):
         "null_counts", "duplicate_keys", "date_range", "distinct_values"}
 
 
-def test_numeric_summary_flags_far_value(spark):
-    from blotter.operators.profile import numeric_summary
-    vals = [(float(v), v * 2) for v in range(20000, 120001, 1000)] + [(946500.0, None), (None, 5)]
-    df = spark.createDataFrame(vals, "income double, other long")
-    got = {r["column"]: r for r in numeric_summary(df, ["income", "other"]).collect()}
+def test_numeric_range_flags_far_value(spark):
+    from blotter.operators.profile import numeric_quartiles, numeric_range
+    vals = ([(float(v), v * 2) for v in range(20000, 120001, 1000)]
+            + [(946500.0, None), (None, 5), (float("nan"), 7)])
+    df = spark.createDataFrame(vals, "income double, other long").repartition(3)
+    got = {r["column"]: r for r in numeric_range(df, {"income": (0.0, 500000.0), "other": (6, None)}).collect()}
     inc = got["income"]
-    assert inc["n"] == 102 and inc["min"] == 20000.0 and inc["max"] == 946500.0
-    assert inc["outliers"] == 1
-    assert got["other"]["outliers"] == 0 and got["other"]["n"] == 102   # 5 is inside the low fence
+    assert (inc["n"], inc["nulls"], inc["min"], inc["max"], inc["beyond"]) == (102, 2, 20000.0, 946500.0, 1)
+    assert (got["other"]["n"], got["other"]["nulls"], got["other"]["beyond"]) == (103, 1, 1)
+    quarter = {r["column"]: r["median"] for r in numeric_quartiles(df, ["income"]).collect()}
+    assert 60000 <= quarter["income"] <= 80000
 
 
 from hypothesis import HealthCheck, given, settings

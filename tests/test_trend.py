@@ -121,7 +121,7 @@ def test_level_grid_month_missing_everywhere_is_skipped(spark):
 
 def test_level_wide_and_endpoints(spark):
     df = _levels(spark, 14, holes={(13, "VIOLATION"), (11, "FELONY")})
-    w = level_wide(df, "d", "level").orderBy("month").collect()
+    w = level_wide(df, "d", "level", ["FELONY", "VIOLATION"]).orderBy("month").collect()
     assert w[13]["VIOLATION"] is None and w[13]["FELONY"] == 3
     ends = {r["level"]: (r["ma_row12"], r["ma_last"])
             for r in level_endpoints(level_trend(df, "d", "level")).collect()}
