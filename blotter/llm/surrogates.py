@@ -237,12 +237,12 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, entities: str | None
     scratch = Scratch(docs.sparkSession, "surrogates")
     names = docs.columns
     rest = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"])
-    held = docs.select(rest.alias("row"), F.col("text").cast("string").alias("text"))
+    held = docs.select(rest.alias("__row"), F.col("text").cast("string").alias("text"))
     hint = F.col("text").rlike(_HINT)
     mentions = F.regexp_extract_all("text", _lit(PATTERN), F.lit(0))
     touched = scratch.write(
         held.where(hint).withColumn("mentions", mentions).where(F.size("mentions") > 0)
-        .withColumn("id", F.sha2(F.concat_ws("\x1f", F.col("row.doc_id").cast("string"), "text").cast("binary"), 256)))
+        .withColumn("id", F.sha2(F.concat_ws("\x1f", F.col("__row.doc_id").cast("string"), "text").cast("binary"), 256)))
     each = scratch.write(touched.select("id", F.explode(F.array_distinct("mentions")).alias("mention"))
                          .select("id", F.explode(_units(F.col("mention"))).alias("u")).select("id", "u.kind", "u.unit").distinct())
     fresh = _assigned(each.select("kind", "unit").distinct(), key, scratch)
@@ -257,14 +257,16 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, entities: str | None
     joined = F.array_join(F.transform(F.sequence(F.lit(0), F.size("between") - 1), lambda i: F.concat(
         F.get("between", i), F.coalesce(F.get("new", i), _lit("")))), "")
     listed = F.transform("mentions", lambda m, i: F.struct(_kind(m).alias("kind"), F.get("new", i).alias("surrogate")))
+    done = done.select("__row", joined.alias("__text"), listed.alias("__list"))  # no name of docs among these
+    empty = F.array().cast("array<struct<kind:string,surrogate:string>>")
     kept = held.where(~F.coalesce(hint & F.col("text").rlike(PATTERN), F.lit(False)))
 
     def columns(text: Column, list_: Column):
-        out = [text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names if c != entities]
+        out = [text.alias(c) if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in names if c != entities]
         return out + ([list_.alias(entities)] if entities else [])
 
-    empty = F.array().cast("array<struct<kind:string,surrogate:string>>")
-    return kept.select(*columns(F.col("text"), empty)).unionByName(done.select(*columns(joined, listed)))
+    kept = kept.select("__row", F.col("text").alias("__text"), empty.alias("__list"))
+    return kept.select(*columns(F.col("__text"), F.col("__list"))).unionByName(done.select(*columns(F.col("__text"), F.col("__list"))))
 
 
 def op2_surrogates(spark, sf_dir: str) -> DataFrame:
