@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.llm.common import encoded, id_remainder, map_batches, table
-from blotter.llm.linear import CACHED_WORDS, grams_of
+from blotter.llm.linear import WordTable, batches_of, grams_of
 
 ROWS_PER_LANG = 800     # bound of the training sample, for each language
 MASK = (1 << 16) - 1
@@ -64,46 +64,33 @@ class Model:
         place = {lang: i for i, lang in enumerate(self.langs)}
         table_ = np.full((MASK + 1, len(self.langs)), SMOOTHING)
         written = {}
+        spoken = []
         for (lang, word), n in counts.items():
             script = script_of(word.decode("utf-8", "replace"))
-            if script is None:
-                continue
-            written.setdefault(script, np.zeros(len(self.langs)))[place[lang]] += n
-            np.add.at(table_, (grams_of(word, SIZES, MASK), place[lang]), n)
+            if script is not None:
+                written.setdefault(script, np.zeros(len(self.langs)))[place[lang]] += n
+                spoken.append((word, place[lang], n))
+        for at in range(0, len(spoken), 20_000):
+            words, langs, n = map(list, zip(*spoken[at:at + 20_000]))
+            owner, gram = grams_of(words, SIZES, MASK)
+            np.add.at(table_, (gram, np.array(langs)[owner]), np.array(n)[owner])
         self.log = np.log(table_ / table_.sum(axis=0)).astype(np.float32)
         total = sum(written.values(), np.zeros(len(self.langs)))
         self.scripts = {s: n >= SCRIPT_SHARE * np.maximum(total, 1) for s, n in written.items()}
 
-    def word(self, word: bytes) -> np.ndarray:
-        """Score of each language, at most 0; all 0 for a word without a letter."""
-        text = word.decode("utf-8", "replace")
-        script = script_of(text)
-        if script is None:
-            return np.zeros(len(self.langs), np.float32)
-        out = self.log[grams_of(lowered(word), SIZES, MASK)].sum(axis=0)
-        allowed = self.scripts.get(script)
-        if allowed is not None and allowed.any():
-            out = np.where(allowed, out, out[allowed].min() - 2 * SWITCH)
-        return out - out.max()
-
-
-class Words:
-    """Numbers of the words seen by this task, and their scores."""
-
-    def __init__(self, model: Model):
-        self.model, self.number = model, {}
-        self.scores = np.zeros((1024, len(model.langs)), np.float32)
-
-    def scored(self, words: list[bytes]) -> np.ndarray:
-        if len(self.number) > CACHED_WORDS:
-            self.number.clear()
-        known = self.number
-        for word in set(words).difference(known):
-            n = known[word] = len(known)
-            if n == len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-            self.scores[n] = self.model.word(word)
-        return self.scores[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
+    def values(self, words: list[bytes]) -> np.ndarray:
+        """Score of each language for each word, at most 0; all 0 for a word without a letter."""
+        owner, gram = grams_of([lowered(w) for w in words], SIZES, MASK)
+        out = np.stack([np.bincount(owner, self.log[gram, k], len(words)) for k in range(len(self.langs))], axis=1)
+        scripts = [script_of(w.decode("utf-8", "replace")) for w in words]
+        for script in set(scripts):
+            mine = np.array([s == script for s in scripts])
+            allowed = self.scripts.get(script)
+            if script is None:
+                out[mine] = 0
+            elif allowed is not None and allowed.any() and not allowed.all():
+                out[np.ix_(mine, ~allowed)] = out[mine][:, allowed].min(axis=1, keepdims=True) - 2 * SWITCH
+        return out - out.max(axis=1, keepdims=True)
 
 
 def best_path(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int, int]]:
@@ -174,31 +161,39 @@ def languages(docs: DataFrame, learn_from: DataFrame, rows_per_lang: int = ROWS_
         model = shared.value
         out = {"doc_id": cols["doc_id"], "lang_pred": [], "score": [], "spans": []}
         if model is not None and "words" not in state:
-            state["words"] = Words(model)
-        for text in cols["text"]:
-            lang, score, spans = UNKNOWN, 0.0, []
-            if model is not None and text and _LETTER.search(text):
-                scores = state["words"].scored(encoded(text).split())
-                path = best_path(scores, switch)
-                spoken = np.append(0, np.cumsum((scores != 0).any(axis=1) if len(model.langs) > 1
-                                                else np.ones(len(scores), bool)))
-                share = np.zeros(len(model.langs))
-                for a, b, k in path:
-                    share[k] += spoken[b] - spoken[a]
-                if not share.any():  # no word tells the languages apart
-                    for a, b, k in path:
-                        share[k] += b - a
-                best = int(share.argmax())
-                total = scores.sum(axis=0, dtype=np.float64)
-                weight = np.exp(total - total.max())
-                lang = model.langs[best]
-                score = float(share[best] / share.sum() * (weight[best] / weight.sum() if len(path) == 1 else 1.0))
-                spans = [{"start": a, "end": b, "lang": model.langs[k]} for a, b, k in path]
-            out["lang_pred"].append(lang)
-            out["score"].append(score)
-            out["spans"].append(spans)
+            state["words"] = WordTable(model.values, len(model.langs))
+        for some in batches_of(cols["text"]):
+            split = [encoded(t).split() if model is not None and t and _LETTER.search(t) else None for t in some]
+            if model is not None:
+                state["words"].learn([w for w in split if w])
+            for words in split:
+                one(words, model, out)
         return out
 
+    def one(words, model, out):
+        lang, score, spans = UNKNOWN, 0.0, []
+        if words is not None:
+            known = state["words"]
+            scores = known.rows[known.numbers(words)]
+            path = best_path(scores, switch)
+            spoken = np.append(0, np.cumsum((scores != 0).any(axis=1) if len(model.langs) > 1
+                                            else np.ones(len(scores), bool)))
+            share = np.zeros(len(model.langs))
+            for a, b, k in path:
+                share[k] += spoken[b] - spoken[a]
+            if not share.any():  # no word tells the languages apart
+                for a, b, k in path:
+                    share[k] += b - a
+            best = int(share.argmax())
+            total = scores.sum(axis=0, dtype=np.float64)
+            weight = np.exp(total - total.max())
+            lang = model.langs[best]
+            score = float(share[best] / share.sum() * (weight[best] / weight.sum() if len(path) == 1 else 1.0))
+            spans = [{"start": a, "end": b, "lang": model.langs[k]} for a, b, k in path]
+        out["lang_pred"].append(lang)
+        out["score"].append(score)
+        out["spans"].append(spans)
+
     return map_batches(source, label, "doc_id long, lang_pred string, score double, "
                                       "spans array<struct<start:int,end:int,lang:string>>")
 

@@ -8,38 +8,76 @@ what is collected for that is each sampled document's word counts.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 400_000
-LONGEST_CACHED = 64
-
-
-def grams_of(word: bytes, sizes: tuple[int, ...], mask: int) -> list[int]:
-    """Hashed byte n-grams of a word between two boundary marks, repeats included."""
-    w = b"\x02" + word + b"\x03"
-    crc = zlib.crc32
-    return [crc(w[i:i + n]) & mask for n in sizes for i in range(len(w) - n + 1)]
-
-
-class WordCache:
-    """``value(word)`` remembered for words of ordinary length, within a bound."""
-
-    def __init__(self, value, bound: int = CACHED_WORDS):
-        self.value, self.known, self.bound = value, {}, bound
+CACHED_WORDS = 1_000_000
+
+
+def grams_of(words: list[bytes], sizes: tuple[int, ...], mask: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed byte n-grams of many words, each between two boundary marks, repeats included:
+    the number of the word and the n-gram, in the order of the words."""
+    raw = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in words), np.uint8).astype(np.uint32)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) + 2 for w in words])
+    owners, grams = [], []
+    for n in sizes:
+        if len(raw) < n:
+            continue
+        h = np.full(len(raw) - n + 1, n, np.uint32)
+        for j in range(n):
+            h = (h ^ raw[j:len(raw) - n + 1 + j]) * np.uint32(0x01000193)
+        inside = owner[:len(h)] == owner[n - 1:]
+        h = h[inside]
+        owners.append(owner[:len(inside)][inside])
+        grams.append(((h ^ (h >> np.uint32(15))) & np.uint32(mask)).astype(np.int32))
+    if not owners:
+        return np.empty(0, np.int32), np.empty(0, np.int32)
+    owners, grams = np.concatenate(owners), np.concatenate(grams)
+    order = np.argsort(owners, kind="stable")
+    return owners[order], grams[order]
+
+
+class WordTable:
+    """Numbers of the words met so far and a row of values for each, within a bound.
+
+    ``values(words)`` gives one row a word; it is called with the new words of a batch at once.
+    """
 
-    def __call__(self, word: bytes):
-        got = self.known.get(word)
-        if got is None:
-            got = self.value(word)
-            if len(word) <= LONGEST_CACHED:
-                if len(self.known) >= self.bound:
-                    self.known.clear()
-                self.known[word] = got
-        return got
+    def __init__(self, values, width: int, bound: int = CACHED_WORDS):
+        self.values, self.bound = values, bound
+        self.number: dict[bytes, int] = {}
+        self.rows = np.zeros((1024, width), np.float32)
+
+    def learn(self, texts) -> None:
+        """Make room for, and take in, the words of a batch of word collections."""
+        new = set().union(*texts).difference(self.number)
+        if len(self.number) + len(new) > self.bound:
+            self.number.clear()
+            new = set().union(*texts)
+        new = list(new)
+        for at in range(0, len(new), 20_000):
+            part = new[at:at + 20_000]
+            first = len(self.number)
+            self.number.update(zip(part, range(first, first + len(part))))
+            while len(self.rows) < first + len(part):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[first:first + len(part)] = self.values(part)
+
+    def numbers(self, words) -> np.ndarray:
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+
+def batches_of(texts: list, size: int = 400_000):
+    """Runs of texts of about ``size`` characters, so that a run's words stay bounded."""
+    at, total = 0, 0
+    for i, text in enumerate(texts):
+        total += len(text or "")
+        if total >= size:
+            yield texts[at:i + 1]
+            at, total = i + 1, 0
+    if at < len(texts):
+        yield texts[at:]
 
 
 class Rows:
@@ -50,6 +88,13 @@ class Rows:
         self.index, self.value = np.asarray(index, np.int32), np.asarray(value, np.float32)
         self.shape = (len(lengths), width)
 
+    @classmethod
+    def of_owners(cls, owner, index, value, rows: int, width: int) -> Rows:
+        """Rows given by the row number of each entry."""
+        out = cls([], index, value, width)
+        out.row, out.shape = np.asarray(owner, np.int32), (rows, width)
+        return out
+
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.value * w.astype(np.float32)[self.index], self.shape[0])
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from blotter.llm.common import encoded, id_and_text, map_batches, table
-from blotter.llm.linear import (CACHED_WORDS, Rows, fit_logistic, fit_platt, grams_of,
+from blotter.llm.linear import (Rows, WordTable, batches_of, fit_logistic, fit_platt, grams_of,
                                 labelled_sample, sigmoid)
 
 ROWS_PER_CLASS = 1500   # bound of the training sample
@@ -33,48 +33,39 @@ NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 _SHIFT = 21             # bits of a word's number in a window key
 
 
-def word_features(word: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and values of one word: itself and its n-grams, each half the weight."""
-    grams = Counter(grams_of(word, SIZES, MASK))
-    total = sum(grams.values())
-    grams = {g: 0.5 * n / total for g, n in grams.items()}
-    own = zlib.crc32(b"\x01" + word) & MASK
-    grams[own] = grams.get(own, 0) + 0.5
-    return np.fromiter(grams, np.int64, len(grams)), np.fromiter(grams.values(), float, len(grams))
-
-
-class Words:
-    """Numbers of the words seen by this task, with a hash and a score for each."""
-
-    def __init__(self, weights: np.ndarray | None):
-        self.weights = weights
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.hash = np.zeros(1024, np.uint32)
-        self.score = np.zeros(1024)
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self.number) > CACHED_WORDS:
-            self.clear()
-        known = self.number
-        for word in set(words).difference(known):
-            n = known[word] = len(known)
-            if n == len(self.hash):
-                self.hash = np.concatenate([self.hash, np.zeros(n, np.uint32)])
-                self.score = np.concatenate([self.score, np.zeros(n)])
-            self.hash[n] = zlib.crc32(word)
-            if self.weights is not None:
-                index, value = word_features(word)
-                self.score[n] = self.weights[index] @ value
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-
-    def pairs(self, numbers: np.ndarray) -> np.ndarray:
-        """Hashed features of the pairs of neighbouring words."""
-        h = self.hash[numbers]
-        mixed = (h[:-1] * np.uint32(0x9E3779B1)) ^ (h[1:] * np.uint32(0x85EBCA77))
-        return ((mixed ^ (mixed >> np.uint32(15))) & np.uint32(MASK)).astype(np.int64)
+def own_feature(words: list[bytes]) -> np.ndarray:
+    """The feature of each word's identity."""
+    return np.array([zlib.crc32(b"\x01" + w) & MASK for w in words], np.int32)
+
+
+def word_features(words: list[bytes]):
+    """Per feature of the words: the word's number, the feature and its value.  A word's identity
+    and its n-grams together have half the weight each."""
+    owner, gram = grams_of(words, SIZES, MASK)
+    share = 0.5 / np.bincount(owner, minlength=len(words))[owner]
+    every = np.arange(len(words), dtype=np.int32)
+    owner, index = np.concatenate([owner, every]), np.concatenate([gram, own_feature(words)])
+    return owner, index, np.concatenate([share, np.full(len(words), 0.5)]).astype(np.float32)
+
+
+def word_table(weights: np.ndarray | None) -> WordTable:
+    """A hash and a score for each word."""
+    def values(words):
+        out = np.zeros((len(words), 2), np.float32)
+        out[:, 0] = [zlib.crc32(w) & 0xFFFFFF for w in words]  # exact as a float
+        if weights is not None:
+            owner, index, value = word_features(words)
+            out[:, 1] = np.bincount(owner, weights[index] * value, len(words))
+        return out
+
+    return WordTable(values, 2)
+
+
+def pair_features(hashes: np.ndarray) -> np.ndarray:
+    """Hashed features of the pairs of neighbouring words."""
+    h = hashes.astype(np.uint32)
+    mixed = (h[:-1] * np.uint32(0x9E3779B1)) ^ (h[1:] * np.uint32(0x85EBCA77))
+    return ((mixed ^ (mixed >> np.uint32(15))) & np.uint32(MASK)).astype(np.int32)
 
 
 def repeat_words(numbers: np.ndarray) -> int:
@@ -123,11 +114,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     def bag(cols):
         out = {"doc_id": cols["doc_id"], "y": cols["y"], "weight": cols["weight"], "n": [], "words": [],
                "counts": [], "pairs": [], "pair_counts": []}
-        seen = Words(None)
+        seen = word_table(None)
         for text in cols["text"]:
             words = encoded(text).split()
             counts = Counter(words)
-            pair, pair_counts = np.unique(seen.pairs(seen.numbers(words)), return_counts=True)
+            seen.learn([counts])
+            pair, pair_counts = np.unique(pair_features(seen.rows[seen.numbers(words), 0]), return_counts=True)
             out["n"].append(len(words))
             out["words"].append(list(counts))
             out["counts"].append(list(counts.values()))
@@ -154,10 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     outer = Rows(lengths, coded.indices.to_numpy(), shares("counts", n, lengths), len(coded.dictionary))
     parts = []
     for at in range(0, len(coded.dictionary), 4096):  # few arrays for many words
-        some = [word_features(w) for w in coded.dictionary[at:at + 4096].to_pylist()]
-        parts.append(([len(i) for i, _ in some], np.concatenate([i for i, _ in some]).astype(np.int32),
-                      np.concatenate([v for _, v in some]).astype(np.float32)))
-    inner = Rows(*(np.concatenate(c) for c in zip(*parts)), MASK + 1) if parts else Rows([], [], [], MASK + 1)
+        owner, index, value = word_features(coded.dictionary[at:at + 4096].to_pylist())
+        parts.append((owner + np.int32(at), index, value))
+    inner = Rows.of_owners(*(np.concatenate(c) for c in zip(*parts)), len(coded.dictionary), MASK + 1) if parts \
+        else Rows([], [], [], MASK + 1)
     lengths = column("pairs").value_lengths().to_numpy()
     pairs = Rows(lengths, column("pairs").flatten().to_numpy(), shares("pair_counts", n - 1, lengths), MASK + 1)
     del rows, coded, parts
@@ -183,24 +175,26 @@ def _scorer(source: DataFrame, labels: DataFrame, threshold: float, rows_per_cla
     state: dict = {}
 
     def score(texts):
-        words_of = state.get("words")
-        if words_of is None:
-            words_of = state["words"] = Words(shared.value[0] if shared.value else None)
+        if "words" not in state:
+            state["words"] = word_table(shared.value[0] if shared.value else None)
+        known = state["words"]
         out = {n: [] for n in NAMES}
-        for text in texts:
-            raw = encoded(text)
-            words = raw.split()
-            numbers = words_of.numbers(words)
-            counts = base_counts(raw, text, words, numbers)
-            bad = failed(counts[0], counts[4])
-            p = None
-            if shared.value:
-                _, pair_weights, b, slope, shift = shared.value
-                z = b + (words_of.score[numbers].mean() if words else 0.0)
-                z += pair_weights[words_of.pairs(numbers)].mean() if len(words) > 1 else 0.0
-                p = float(sigmoid(slope * z + shift))
-            for name, value in zip(NAMES, (*counts, bad, p, not bad and (p is None or p >= threshold))):
-                out[name].append(value)
+        for some in batches_of(texts):
+            split = [encoded(t).split() for t in some]
+            known.learn(split)
+            for text, words in zip(some, split):
+                numbers = known.numbers(words)
+                counts = base_counts(encoded(text), text, words, numbers)
+                bad = failed(counts[0], counts[4])
+                p = None
+                if shared.value:
+                    _, pair_weights, b, slope, shift = shared.value
+                    values = known.rows[numbers]
+                    z = b + (float(values[:, 1].mean(dtype=np.float64)) if words else 0.0)
+                    z += pair_weights[pair_features(values[:, 0])].mean(dtype=np.float64) if len(words) > 1 else 0.0
+                    p = float(sigmoid(slope * z + shift))
+                for name, value in zip(NAMES, (*counts, bad, p, not bad and (p is None or p >= threshold))):
+                    out[name].append(value)
         return out
 
     return score

@@ -15,12 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.common import id_and_text, id_remainder, map_batches, table
-from blotter.llm.linear import Rows, WordCache, fit_logistic, grams_of, labelled_sample, sigmoid
+from blotter.llm.linear import Rows, WordTable, batches_of, fit_logistic, grams_of, labelled_sample, sigmoid
 
 ROWS_PER_CLASS = 4000   # bound of the training sample
 MASK = (1 << 20) - 1
 SIZES = (2, 3, 4, 5, 6)
-FIT_CACHE = 40_000      # words the driver remembers while fitting
 Z = 4.0
 SMOOTHING = 1.0
 PENALTY = 1e-4
@@ -39,6 +38,13 @@ def log_count_ratios(pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -
     return dict(zip(some.tolist(), r[some].tolist()))
 
 
+def _once(owner: np.ndarray, column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen columns (not negative) of each word, each once."""
+    chosen = column >= 0
+    key = np.unique(owner[chosen].astype(np.int64) << 32 | column[chosen])
+    return key >> 32, key & 0xFFFFFFFF
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, keep=None):
     """(n-gram weights on counts, intercept); no weights and the base rate if a class is missing,
     None without labelled rows."""
@@ -55,22 +61,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
         return None
     if len(set(y)) < 2:
         return {}, 4.0 if y[0] else -4.0
-    grams = WordCache(lambda w: np.unique(np.array(grams_of(w, SIZES, MASK), np.int32)), FIT_CACHE)
     pos, neg = np.zeros(MASK + 1, np.int32), np.zeros(MASK + 1, np.int32)
     for words, label in zip(rows["words"], y):
-        if own := words.as_py():
-            (pos if label else neg)[np.unique(np.concatenate([grams(w) for w in own]))] += 1
+        (pos if label else neg)[np.unique(grams_of(words.as_py(), SIZES, MASK)[1])] += 1
     ratios = log_count_ratios(pos, neg, int(y.sum()), int(len(y) - y.sum()))
-    column = np.full(MASK + 1, -1)
+    del pos, neg
+    column = np.full(MASK + 1, -1, np.int32)
     column[list(ratios)] = np.arange(len(ratios))
     scale = np.array(list(ratios.values()))
-    del pos, neg, grams
-    chosen = WordCache(lambda w: [c for g in set(grams_of(w, SIZES, MASK)) if (c := column[g]) >= 0], FIT_CACHE)
     index, lengths = [], []
     for words in rows["words"]:
-        own = [c for w in words.as_py() for c in chosen(w)]
-        index.append(np.array(own, np.int64))
-        lengths.append(len(own))
+        owner, gram = grams_of(words.as_py(), SIZES, MASK)
+        index.append(_once(owner, column[gram])[1])
+        lengths.append(len(index[-1]))
     index = np.concatenate(index)
     x = Rows(lengths, index, scale[index], len(ratios))
     w, b = fit_logistic(x.times, x.transposed_times, len(ratios), y, weight, PENALTY)
@@ -97,12 +100,23 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
         else:
             weights, b = shared.value
             if "words" not in state:
-                get = weights.get
-                state["words"] = WordCache(lambda w: sum(v for g in set(grams_of(w, SIZES, MASK))
-                                                         if (v := get(g)) is not None))
-            value = state["words"]
-            z = np.array([sum(map(value, words_of(t))) for t in cols["text"]], float) + b
-            p = sigmoid(z).tolist()
+                place = np.full(MASK + 1, -1, np.int32)
+                place[list(weights)] = np.arange(len(weights))
+                value = np.array([*weights.values(), 0.0])
+
+                def values(words):
+                    owner, gram = grams_of(words, SIZES, MASK)
+                    owner, column = _once(owner, place[gram])
+                    return np.bincount(owner, value[column], len(words))[:, None]
+
+                state["words"] = WordTable(values, 1)
+            known = state["words"]
+            z = []
+            for some in batches_of(cols["text"]):
+                split = [words_of(t) for t in some]
+                known.learn(split)
+                z += [known.rows[known.numbers(words), 0].sum(dtype=np.float64) for words in split]
+            p = sigmoid(np.array(z) + b).tolist()
         return {"doc_id": cols["doc_id"], "score": p, "predicted": [int(x >= threshold) for x in p]}
 
     return map_batches(source, score, "doc_id long, score double, predicted int")

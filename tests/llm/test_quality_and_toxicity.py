@@ -37,7 +37,9 @@ def plain_counts(text):
 def counts(text):
     raw = (text or "").encode()
     words = raw.split()
-    return rules.base_counts(raw, text, words, rules.Words(None).numbers(words))
+    table = rules.word_table(None)
+    table.learn([words])
+    return rules.base_counts(raw, text, words, table.numbers(words))
 
 
 @settings(max_examples=300, deadline=None)
