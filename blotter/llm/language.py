@@ -17,11 +17,11 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.common import encoded, id_remainder, map_batches, table
-from blotter.llm.linear import WordTable, batches_of, grams_of
+from blotter.llm.linear import WordTable, batches_of, grams_of, smallest_hashes
 
 ROWS_PER_LANG = 800     # bound of the training sample, for each language
 MASK = (1 << 16) - 1
@@ -123,9 +123,8 @@ def best_path(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int
 def fit(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> Model | None:
     """``docs`` with ``doc_id, text, lang``: only rows that may be learned from."""
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    taken = (docs.select("doc_id", "lang").withColumn("_n", F.row_number().over(order))
-             .where(F.col("_n") <= rows_per_lang).select("doc_id", "lang").distinct())
+    named = docs.select("doc_id", "lang").where("doc_id IS NOT NULL")
+    taken = smallest_hashes(named, "lang", rows_per_lang).select("doc_id", "lang").distinct()
     sample = docs.join(F.broadcast(taken), ["doc_id", "lang"])  # rows_per_lang ids a language
 
     def count(cols):

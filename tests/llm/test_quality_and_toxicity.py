@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from blotter.llm import quality_rules as rules
 from blotter.llm import quality_trees as trees

@@ -2,8 +2,6 @@
 
 import re
 
-import pytest
-from pyspark.sql import functions as F
 
 import blotter.llm.surrogates as surrogates
 from blotter.llm.surrogates import replace_personal_data
