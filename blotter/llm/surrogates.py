@@ -37,19 +37,23 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
 _SEP = r"[ .-]?"
 _TITLE = r"(?:Mr|Mrs|Ms)\.? |(?:" + "|".join(TITLES_MALE + TITLES_FEMALE) + ") "
+#: alternatives are tried at every character, so each begins with a cheap test of the next one
 PATTERN = "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}(?<!-)",
-    r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    r"(?<=(?i:password|passwd|secret|token|api.?key)\s{0,3}[=:]\s{0,3}[\"']?)(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{8,512}+",
-    r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
-    r"(?<![\d.])" + _OCTET + r"(?:\." + _OCTET + r"){3}(?!\.?\d)",
-    r"(?<!\d)\d{3}-\d{2}-\d{4}(?![\d-])",
-    r"(?<![\w+])\+\d{1,3}" + _SEP + r"\(?\d{2,4}\)?" + _SEP + r"\d{2,4}(?:" + _SEP + r"\d{2,4}){1,3}(?!\d)",
-    r"(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\d-])",
-    r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\d)",
-    r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    r"(?<!\p{L})(?:" + _TITLE + ")" + _NAME + "(?: " + _NAME + ")?",
-    r"(?<!\p{L})(?:" + "|".join(GIVEN_MALE + GIVEN_FEMALE) + r") " + _NAME,
+    r"(?=AKIA)(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
+    r"(?<=[\s=:\"'])(?=[A-Za-z0-9+/_-]{8})(?<=[=:]\s{0,3}[\"']?)(?<=(?i:password|passwd|secret|token|api.?key)"
+    r"\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_-]{8,512}+",
+    r"(?=[0-9a-f]{32})(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
+    r"(?=[0-9+(])(?:" + "|".join((
+        r"(?<![\d.])" + _OCTET + r"(?:\." + _OCTET + r"){3}(?!\.?\d)",
+        r"(?<!\d)\d{3}-\d{2}-\d{4}(?![\d-])",
+        r"(?<![\w+])\+\d{1,3}" + _SEP + r"\(?\d{2,4}\)?" + _SEP + r"\d{2,4}(?:" + _SEP + r"\d{2,4}){1,3}(?!\d)",
+        r"(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
+        r"(?<![\w-])\d{3}-\d{3}-\d{4}(?![\d-])",
+        r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\d)")) + ")",
+    r"(?=[A-Z]{2}\d)(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    r"(?=\p{Lu}\p{L})(?<!\p{L})(?:" + _TITLE + ")" + _NAME + "(?: " + _NAME + ")?",
+    r"(?=\p{Lu}\p{L}+ \p{Lu})(?<!\p{L})(?:" + "|".join(GIVEN_MALE + GIVEN_FEMALE) + r") " + _NAME,
 ))
 #: what some pattern needs, cheap to look for: most texts pass by
 _HINT = r"[0-9@=:]|\p{Lu}(?:KIA|(?:r|rs|s)\. \p{Lu}|\p{Ll}+ \p{Lu})"
