@@ -61,36 +61,40 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
 BITMAP_BITS = 24
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that no helper column can clash with them; ``__row.*``
+    takes it apart again."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+
+
 def _flagged(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """``df`` with ``_maybe``: false only if ``on`` is surely not in the one column of ``ids``, by
-    a hashed bitmap of at most 2**BITMAP_BITS bits (so a broadcast of bounded size)."""
+    """``__row, __id, __maybe`` for each row of ``df``: false only if its ``on`` is surely not in the
+    one column of ``ids``, by a hashed bitmap of at most 2**BITMAP_BITS bits (so a broadcast of
+    bounded size)."""
     spot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITMAP_BITS))
     flag = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))
-    bitmap = (ids.toDF("_id").select(spot(F.col("_id")).alias("_spot"))
-              .select(F.shiftright("_spot", 6).alias("_word"), flag(F.col("_spot")).alias("_bit"))
-              .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
-    near = (df.withColumn("_spot", spot(F.col(f"`{on}`"))).withColumn("_word", F.shiftright("_spot", 6))
-            .join(F.broadcast(bitmap), "_word", "left"))
-    met = F.coalesce(F.col("_bits").bitwiseAND(flag(F.col("_spot"))) != 0, F.lit(False))
-    return near.withColumn("_maybe", met)
+    bitmap = (ids.toDF("__id").select(spot(F.col("__id")).alias("__spot"))
+              .select(F.shiftright("__spot", 6).alias("__word"), flag(F.col("__spot")).alias("__bit"))
+              .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
+    near = (df.select(whole_row(df), F.col(f"`{on}`").alias("__id"), spot(F.col(f"`{on}`")).alias("__spot"))
+            .withColumn("__word", F.shiftright("__spot", 6)).join(F.broadcast(bitmap), "__word", "left"))
+    met = F.coalesce(F.col("__bits").bitwiseAND(flag(F.col("__spot"))) != 0, F.lit(False))
+    return near.select("__row", "__id", met.alias("__maybe"))
 
 
 def among(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
     """The rows of ``df`` whose ``on`` is in the one column of ``ids``.  The bitmap drops most other
     rows before anything is shuffled; the semi-join behind it is exact."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    near = _flagged(df, ids, on).where("_maybe").select(*columns)
-    return near.join(ids.toDF("_id"), near[on] == F.col("_id"), "left_semi")
+    near = _flagged(df, ids, on).where("__maybe")
+    return near.join(ids.toDF("__id"), "__id", "left_semi").select("__row.*")
 
 
 def without(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
     """The rows of ``df`` whose ``on`` is null or not in the one column of ``ids``; only rows that
     the bitmap could not clear are shuffled."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
     flagged = _flagged(df, ids, on)
-    near = flagged.where("_maybe").select(*columns)
-    return (flagged.where("NOT _maybe").select(*columns)
-            .unionAll(near.join(ids.toDF("_id"), near[on] == F.col("_id"), "left_anti")))
+    rest = flagged.where("__maybe").join(ids.toDF("__id"), "__id", "left_anti")
+    return flagged.where("NOT __maybe").select("__row.*").unionAll(rest.select("__row.*"))
 
 
 # ---------------------------------------------------------------- shared intermediate tables

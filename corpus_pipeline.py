@@ -8,10 +8,10 @@ gives empty stages.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import WORD, Scratch, among, table, without
+from blotter.llm.common import WORD, Scratch, among, table, whole_row, without
 from blotter.llm.minhash import near_duplicates
 from blotter.llm.mixing import mixture, placements
 from blotter.llm.packing import pack
@@ -19,12 +19,11 @@ from blotter.llm.quality_rules import kept_documents
 from blotter.llm.surrogates import replace_personal_data
 
 
-def _recounted(docs: DataFrame, changed: Column | None = None) -> DataFrame:
+def _recounted(docs: DataFrame) -> DataFrame:
     """``n_chars``, where the table has it, follows the text."""
     if "n_chars" not in docs.columns:
         return docs
-    count = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-    return docs.withColumn("n_chars", count if changed is None else F.when(changed, count).otherwise(F.col("n_chars")))
+    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,13 +40,14 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = without(docs, gone)
     repeated = classes.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = among(kept, repeated).withColumn("_n", first).where("_n = 1").drop("_n")
+    again = among(kept, repeated)
+    one = again.select(whole_row(again), first.alias("__n")).where("__n = 1").select("__row.*")
     return without(kept, repeated).unionAll(one)
 
 
 def surrogate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by keyed surrogates."""
-    return _recounted(replace_personal_data(docs)).select(*docs.columns)
+    return _recounted(replace_personal_data(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +56,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     placed = placements(mixture(docs, carry=tuple(docs.columns)))
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col("row.text"), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0)),
                                F.lit(1), F.col("words").cast("int")), "")
-    partial = F.col("words") < F.col("size")
-    out = placed.select(*[(F.when(partial, cut).otherwise(F.col("row.text")) if c == "text" else F.col(f"row.`{c}`"))
-                          .alias(c) for c in docs.columns], partial.alias("_partial"))
-    return _recounted(out, F.col("_partial")).select(*docs.columns)
+    text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("row.text"))
+    return _recounted(placed.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
