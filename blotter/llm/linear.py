@@ -96,10 +96,17 @@ class Rows:
         return out
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * w.astype(np.float32)[self.index], self.shape[0])
+        return self._sums(self.row, w.astype(np.float32), self.index, self.shape[0])
 
     def transposed_times(self, r: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, self.value * r.astype(np.float32)[self.row], self.shape[1])
+        return self._sums(self.index, r.astype(np.float32), self.row, self.shape[1])
+
+    def _sums(self, into, factor, of, size: int) -> np.ndarray:
+        out = np.zeros(size)
+        for at in range(0, len(self.value), 1 << 19):  # small temporaries for long columns
+            part = slice(at, at + (1 << 19))
+            out += np.bincount(into[part], self.value[part] * factor[of[part]], size)
+        return out
 
 
 def sigmoid(z):

@@ -20,7 +20,7 @@ from blotter.llm.common import encoded, id_and_text, map_batches, table
 from blotter.llm.linear import (Rows, WordTable, batches_of, fit_logistic, fit_platt, grams_of,
                                 labelled_sample, sigmoid)
 
-ROWS_PER_CLASS = 1500   # bound of the training sample
+ROWS_PER_CLASS = 800    # bound of the training sample
 MASK = (1 << 17) - 1    # feature space of words with their n-grams, and of word pairs
 SIZES = (1, 2, 3, 4)
 THRESHOLD = 0.5
