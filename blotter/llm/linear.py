@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 300_000
 
 
 def grams_of(words: list[bytes], sizes: tuple[int, ...], mask: int) -> tuple[np.ndarray, np.ndarray]:

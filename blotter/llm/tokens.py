@@ -18,7 +18,7 @@ from blotter.llm.common import encoded
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHED_WORDS = 900_000  # per Python worker; the cache starts afresh beyond it
+CACHED_WORDS = 500_000  # per Python worker; the cache starts afresh beyond it
 
 
 def public_path(name: str = TOKENIZER) -> str:
