@@ -42,7 +42,7 @@ PATTERN = "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}(?<!-)",
     r"(?=AKIA)(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     r"(?<=[\s=:\"'])(?=[A-Za-z0-9+/_-]{8})(?<=[=:]\s{0,3}[\"']?)(?<=(?i:password|passwd|secret|token|api.?key)"
-    r"\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_-]{8,512}+",
+    r"\s{0,3}[=:]\s{0,3}[\"']?)(?=[+/_-]*+[A-Za-z0-9])[A-Za-z0-9+/_-]{8,512}+",
     r"(?=[0-9a-f]{32})(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
     r"(?=[0-9+(])(?:" + "|".join((
         r"(?<![\d.])" + _OCTET + r"(?:\." + _OCTET + r"){3}(?!\.?\d)",
@@ -62,7 +62,15 @@ _TITLE_END = "^(?:" + _TITLE + ")"
 _ALPHABETS = (("[0-9]", "0123456789"), ("[a-z]", "abcdefghijklmnopqrstuvwxyz"), ("[A-Z]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
               ("[а-я]", "абвгдежзийклмнопрстуфхцчшщыэюя"), ("[А-Я]", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЫЭЮЯ"),
               ("[α-ω]", "αβγδεζηθικλμνξοπρστυφχψω"), ("[Α-Ω]", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"),
-              (r"[\x{00DF}-\x{00FF}]", "àáâäçèéêëìíîïñòóôöùúûü"), (r"[\x{00C0}-\x{00DE}]", "ÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ"))
+              (r"[\x{00DF}-\x{00FF}]", "àáâäçèéêëìíîïñòóôöùúûü"), (r"[\x{00C0}-\x{00DE}]", "ÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ"),
+              (r"\p{IsCyrillic}", "абвгдежзийклмнопрстуфхцчшщыэюя"), (r"\p{IsGreek}", "αβγδεζηθικλμνξοπρστυφχψω"),
+              (r"\p{IsHan}", "安白北成川大东方风高光海和华家江金开林明南平青山石天文新云中"),
+              (r"\p{IsHiragana}", "あいうえおかきくけこさしすせそたちつてとなにぬねの"),
+              (r"\p{IsKatakana}", "アイウエオカキクケコサシスセソタチツテトナニヌネノ"),
+              (r"\p{IsHangul}", "가나다라마바사아자차카타파하고노도로모보소오"),
+              (r"\p{IsArabic}", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"), (r"\p{IsHebrew}", "אבגדהוזחטיכלמנסעפצקרשת"),
+              (r"\p{IsDevanagari}", "अआइईउकखगघचछजटडतदनपबमयरलवसह"), (r"\p{IsThai}", "กขคงจชซดตทนบปพมยรลวสหอ"),
+              (r"\p{N}", "0123456789"), (r"\p{L}", "abcdefghijklmnopqrstuvwxyz"))  # of any other script
 _HEX = (("[0-9a-f]", "0123456789abcdef"),)
 #: syllables of made-up names by script, and their endings: male, female, family
 _SYLLABLES = {"latin": ("ba be di do fa ga he jo ka le li ma mo na ne pa ra ro sa se ta te ti va ve vi wa we zo ly",
@@ -84,14 +92,17 @@ def _number(digest: Column, i: Column) -> Column:
 
 def _mapped(text: Column, digest: Column, alphabets=_ALPHABETS, keep: int = 0) -> Column:
     """Each character after the first ``keep`` replaced by one of its own class."""
-    def one(i: Column) -> Column:
-        c = F.substring(text, i, F.lit(1))
-        n, out = _number(digest, i), c
-        for cls, letters in reversed(alphabets):
-            out = F.when(c.rlike(cls), F.substring(_lit(letters), (n % len(letters) + 1).cast("int"), F.lit(1))).otherwise(out)
-        return F.when(i <= keep, c).otherwise(out)
+    def letters(c: Column) -> Column:
+        out = None
+        for cls, some in alphabets:
+            out = F.when(c.rlike(cls), some) if out is None else out.when(c.rlike(cls), some)
+        return F.struct(c.alias("c"), out.alias("letters"))
+
+    def one(u: Column, at: Column) -> Column:
+        spot = (_number(digest, at + 1) % F.length(u["letters"]) + 1).cast("int")
+        return F.when((at < keep) | u["letters"].isNull(), u["c"]).otherwise(F.substring(u["letters"], spot, F.lit(1)))
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text))), one), "")
+    return F.array_join(F.transform(F.transform(F.split(text, ""), letters), one), "")
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -138,7 +149,9 @@ def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     labels = F.substring_index(domain, ".", -1)
     host = F.substring(domain, F.lit(1), F.length(domain) - F.length(labels) - 1)
     of_domain = F.sha2(F.concat_ws("\x1f", _lit(key), _lit("domain"), host).cast("binary"), 512)
-    mail = F.concat(_mapped(F.substring_index(unit, "@", 1), digest), _lit("@"), _mapped(host, of_domain), _lit("."), labels)
+    # units of few letters get longer, so that later attempts cannot run out of surrogates
+    more = _mapped(F.repeat(_lit("a"), F.floor(attempt / 4).cast("int")), F.reverse(digest))
+    mail = F.concat(_mapped(F.substring_index(unit, "@", 1), digest), more, _lit("@"), _mapped(host, of_domain), _lit("."), labels)
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (
         _number(digest, i) % 254 + 1).cast("string")), ".")
     return (F.when(kind == "email", mail).when(kind == "ip", octets)
@@ -146,7 +159,7 @@ def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
             .when(kind == "access_key", _mapped(unit, digest, keep=4)).when(kind == "iban", _mapped(unit, digest, keep=2))
             .when(kind == "hex", _mapped(unit, digest, _HEX))
             .when(kind.isin("given_male", "given_female", "family"), _name(kind, unit, digest, attempt))
-            .otherwise(_mapped(unit, digest)))
+            .when(kind == "secret", F.concat(_mapped(unit, digest), more)).otherwise(_mapped(unit, digest)))
 
 
 def _digits(text: Column) -> Column:
@@ -156,7 +169,7 @@ def _digits(text: Column) -> Column:
 def _kind(m: Column) -> Column:
     return (F.when(m.contains("@"), "email").when(m.rlike("^AKIA[0-9A-Z]{16}$"), "access_key")
             .when(m.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "ip").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^(?:\+|\(|\d{3}-\d{3}-\d{4}$)"), "phone").when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
+            .when(m.rlike(r"^(?:\+\d|\(\d|\d{3}-\d{3}-\d{4}$)[\d .()-]*$") & (F.length(_digits(m)) >= 7), "phone").when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
             .when(m.rlike("^[0-9a-f]{8,}$"), "hex")
             .when(m.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]{12,}$"), "iban")
             .when(m.rlike(r"^\p{Lu}\p{Ll}+\.? \p{Lu}"), "person").otherwise("secret"))
@@ -180,14 +193,15 @@ def _units(m: Column) -> Column:
 
 def _filled(m: Column, fresh: Column, holes: str) -> Column:
     """The mention with its characters of the class ``holes`` taken from ``fresh`` one by one, in
-    the mention's letter case."""
+    the mention's letter case; what a longer ``fresh`` has left follows."""
     def one(i: Column) -> Column:
         c = F.substring(m, i, F.lit(1))
         nth = F.length(F.regexp_replace(F.substring(m, F.lit(1), i), f"[^{holes}]", ""))
         new = F.substring(fresh, nth, F.lit(1))
         return F.when(~c.rlike(f"[{holes}]"), c).when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), one), "")
+    filled = F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), one), "")
+    return F.concat(filled, F.substring(fresh, F.length(m) + 1, F.length(fresh)))
 
 
 def _written(m: Column, fresh_of) -> Column:

@@ -84,3 +84,20 @@ def test_plan_runs_no_python(docs_of):
 
 def test_empty(docs_of):
     assert replaced(docs_of([])).count() == 0
+
+
+def test_units_of_unlisted_characters_end(docs_of):
+    """Every unit's surrogate changes with the attempt, whatever its characters."""
+    rows = [(1, "password: ________"), (2, "token = --------"), (3, "secret=////////"), (4, "mail 用户@例子.公司 now"),
+            (5, "password=+abcdefgh!"), (6, "secret=+1-------")]
+    rows += [(10 + i, f"see {i}@h.example.com") for i in range(10)]  # all addresses of one digit
+    rows += [(30 + i, f"secret=_______{c}") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    got = {r.doc_id: r for r in replaced(docs_of(rows)).collect()}
+    for d, text in rows[:3]:
+        assert got[d].text == text and got[d].found == []
+    assert re.fullmatch(r"mail \w\w@\w\w\.公司 now", got[4].text) and "用户" not in got[4].text
+    assert re.fullmatch(r"password=\+[a-z]{8}!", got[5].text) and "abcdefgh" not in got[5].text
+    assert [f.kind for f in got[6].found] == ["secret"] and got[6].text != rows[5][1]
+    for some in (range(10, 20), range(30, 56)):
+        fresh = {got[d].text for d in some}
+        assert len(fresh) == len(some) and not fresh & {text for _, text in rows}
