@@ -2,10 +2,10 @@
 
 A word's script (the range its first letter lies in) narrows the languages it may belong to;
 its character n-grams give each of those a naive Bayes score.  Viterbi over the words, with a
-penalty for each switch, labels spans.  A text in which no language gains more than one penalty
-over the best one anywhere cannot have a switch on its best path (every stretch of another
-language costs at least a penalty for each of its parts), so its one span needs no dynamic
-programme; the others are traced word by word.
+penalty for each switch, labels spans.  A text in which no language gains more than half a
+penalty over the best one anywhere cannot have a switch on its best path (m stretches of other
+languages gain at most m halves and cost at least m - 1 penalties; one alone loses to the best
+language), so its one span needs no dynamic programme; the others are traced word by word.
 
 Counts of n-grams by language come from a sample of at most ``ROWS_PER_LANG`` texts a language;
 every text is labelled whole, in Arrow batches.
@@ -100,7 +100,7 @@ def best_path(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int
     top = int(total.argmax())
     gain = np.cumsum(scores - scores[:, [top]], axis=0, dtype=np.float64)
     gain = np.concatenate([np.zeros((1, scores.shape[1])), gain])
-    if (gain - np.minimum.accumulate(gain, axis=0)).max() <= switch:
+    if (gain - np.minimum.accumulate(gain, axis=0)).max() <= switch / 2:
         return [(0, len(scores), top)]
     langs = range(scores.shape[1])
     now, back = scores[0].tolist(), []

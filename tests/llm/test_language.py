@@ -26,6 +26,19 @@ def test_best_path_is_best(seed):
     assert path_score(scores, path, 2.0) == pytest.approx(best, abs=1e-4)
 
 
+def test_best_path_leaves_the_top_language():
+    """Two stretches that each gain less than a penalty, but more together."""
+    assert best_path(np.array([[-8, 0, -40], [-8, -40, 0]], np.float32), 12.0) == [(0, 1, 1), (1, 2, 2)]
+    for seed in range(300):
+        rng = np.random.default_rng(seed)
+        scores = np.full((4, 3), -40.0, np.float32)
+        scores[:, 0] = -rng.uniform(1, 6, 4)
+        scores[:2, 1] = scores[2:, 2] = 0
+        path = [lang for a, b, lang in best_path(scores, 12.0) for _ in range(a, b)]
+        best = max(path_score(scores, p, 12.0) for p in itertools.product(range(3), repeat=4))
+        assert path_score(scores, path, 12.0) == pytest.approx(best, abs=1e-4)
+
+
 def test_scripts():
     assert [script_of(w) for w in ("abc", "ÉA", "жук", "ελ", "12,", "漢字", "", "1ä")] == [
         "latin", "latin", "cyrillic", "greek", None, "han", None, "latin"]
