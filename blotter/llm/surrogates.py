@@ -2,7 +2,7 @@
 
 Detected entities (mail addresses, telephone, card and social-security numbers, IBANs, IPv4
 addresses, access keys, secrets in assignments, hexadecimal tokens, and names after a title or
-a known given name) become units ``(kind, canonical form)``.  A unit's surrogate is a function of
+a known given name, and then those names alone in the same document) become units ``(kind, canonical form)``.  A unit's surrogate is a function of
 the key, the unit and an attempt number: characters are replaced inside their class (digit,
 hexadecimal, letter of the same script), prefixes that carry the type stay, a valid card number
 stays valid, given names keep their gender and names their script.  Mentions take the surrogate in
@@ -22,21 +22,61 @@ from blotter.llm.common import Scratch, table
 
 KEY = "change-me"   # callers pass a secret of their own
 
-# fixed values: given names that mark a name without a title, and that surrogates are taken from
+# fixed values: given names that surrogates are taken from
 GIVEN_MALE = ("James", "Robert", "Michael", "William", "David", "Joseph", "Charles", "Daniel", "Matthew", "Mark",
               "Paul", "Kevin", "George", "Edward", "Brian", "Ronald", "Jacob", "Gary", "Frank", "Gregory")
 GIVEN_FEMALE = ("Patricia", "Jennifer", "Elizabeth", "Barbara", "Susan", "Jessica", "Karen", "Nancy", "Margaret",
                 "Sandra", "Emily", "Michelle", "Carol", "Amanda", "Deborah", "Rebecca", "Sharon", "Cynthia", "Kathleen",
                 "Angela")
-TITLES_MALE = ("Mr", "Herr", "Monsieur", "Señor", "Господин", "Κύριος")
-TITLES_FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Госпожа", "Κυρία")
+# given names that mark a name without a title, besides those
+MORE_MALE = tuple((
+    "Aaron Abdul Adam Ahmed Alan Albert Alejandro Alexander Alexandre Alfred Ali Andre Andreas Andrew Anthony Antoine Antonio "
+    "Arthur Benjamin Bernard Bernd Bradley Brandon Bruce Bruno Bryan Carl Carlos Christian Christopher Craig Dennis Diego "
+    "Dieter Dmitri Donald Douglas Dylan Edgar Eduardo Emilio Enrique Eric Ernest Ethan Eugene Felix Fernando Francisco "
+    "Francois François Frederick Friedrich Gabriel Gerald Gerhard Giovanni Giuseppe Günter Hans Harold Harry Hassan Heinrich Helmut "
+    "Henri Henry Howard Hugo Hussein Ian Ibrahim Igor Isaac Ivan Jack Jason Javier Jean Jeffrey Jeremy Jerome Jerry Jesse "
+    "Jesus Joachim Johann Johannes John Jonathan Jorge Jose José Joshua Juan Julian Jürgen Karl Keith Kenneth Klaus Kurt "
+    "Kyle Larry Lawrence Leonard Louis Luca Lucas Luigi Luis Manuel Marco Marcus Mario Martin Maurice Maximilian Miguel Mohamed "
+    "Mohammed Muhammad Nathan Nicholas Nicolas Noah Oliver Omar Oscar Pablo Pascal Patrick Pedro Peter Philip Philippe Phillip "
+    "Pierre Rafael Ralph Raymond Ricardo Richard Roberto Roger Roland Roy Russell Ryan Salvatore Samuel Scott Sean "
+    "Sebastian Sergei Sergio Stefan Stephen Steven Stuart Terry Theodore Thomas Timothy Tyler Victor Vincent Vladimir "
+    "Walter Wayne Werner Wilhelm Wolfgang Yusuf Zachary Александр Алексей Андрей Борис Владимир Дмитрий Иван Игорь Михаил "
+    "Николай Олег Павел Петр Пётр Сергей Юрий Γιώργος Γεώργιος Γιάννης Ιωάννης Δημήτρης Κώστας Νίκος Νικόλαος").split())
+MORE_FEMALE = tuple((
+    "Abigail Adriana Agnes Aisha Alejandra Alexandra Alexis Alice Alicia Alison Amelia Amy Ana Andrea Anita Ann Anna Anne "
+    "Annette Antonia Ashley Audrey Beatrice Beatriz Bernadette Beth Betty Beverly Birgit Brenda Brigitte Camille Carla Carmen "
+    "Caroline Catherine Cecilia Charlotte Cheryl Chiara Christina Christine Clara Claudia Colette Danielle Debra Denise "
+    "Diana Diane Donna Doris Dorothy Elaine Elena Eleanor Elisabeth Ella Ellen Elsa Emma Erika Esther Eva Evelyn Fatima "
+    "Fiona Frances Francesca Gabriela Gabriele Giulia Gisela Gloria Hannah Heather Heidi Helen Helena Helga Ines Ingrid Irene "
+    "Irina Isabel Isabella Jacqueline Jane Janet Janice Jean-Marie Joan Joanna Johanna Josephine Juana Judith Judy Julia "
+    "Juliana Julie Karin Katharina Katherine Kathryn Katja Kelly Kimberly Laura Lauren Leila Leticia Lillian Linda Lisa Lori "
+    "Louise Lucia Lucy Luisa Luise Madeleine Madison Magdalena Maria María Mariam Marie Marilyn Marina Martha Martina Mary "
+    "Megan Melissa Mercedes Mildred Monica Monika Monique Nadia Natalia Natalie Nathalie Nicole Nina Noemi Olga Olivia "
+    "Pamela Paula Pauline Petra Phyllis Pilar Rachel Raquel Regina Renate Rita Rosa Ruth Sabine Sabrina Samantha Sara Sarah "
+    "Shirley Silvia Simone Sofia Sonia Sophia Sophie Stephanie Svetlana Sylvia Tamara Tanja Tatiana Teresa Theresa Tiffany "
+    "Ursula Valentina Valerie Vanessa Veronica Victoria Virginia Wendy Yolanda Yvonne Zoe Александра Анастасия Анна Валентина "
+    "Галина Екатерина Елена Ирина Мария Марина Наталья Ольга Светлана Татьяна Юлия Αικατερίνη Ελένη Κατερίνα Μαρία Σοφία").split())
+TITLES_MALE = ("Mr", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Signor", "Господин", "Κύριος")
+TITLES_FEMALE = ("Mrs", "Ms", "Miss", "Mme", "Mlle", "Lady", "Frau", "Fräulein", "Madame", "Mademoiselle", "Señora", "Señorita",
+                 "Signora", "Госпожа", "Κυρία")
+TITLES = ("Dr", "Prof", "Rev", "Doctor", "Professor", "Doktor", "Docteur", "Professeur", "Profesor", "Profesora", "Доктор",
+          "Профессор", "Δρ")  # of both
 FAMILY = ("Walker", "Bennett", "Carver", "Dalton", "Ellison", "Fletcher", "Grady", "Holloway", "Jensen", "Keller",
           "Lambert", "Mercer", "Norwood", "Osborne", "Prescott", "Quigley", "Radford", "Sawyer", "Tilden", "Vaughn")
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_NAME = r"\p{Lu}[\p{L}'’-]{1,40}"
+_NAME = r"\p{Lu}(?=[\p{L}'’-])\p{L}{0,80}+(?:['’-](?![sS](?!\p{L}))\p{L}{1,80}+){0,4}"  # without a genitive's end
 _SEP = r"[ .-]?"
-_TITLE = r"(?:Mr|Mrs|Ms)\.? |(?:" + "|".join(TITLES_MALE + TITLES_FEMALE) + ") "
+_TITLE = r"(?:Mr|Mrs|Ms|Mme|Mlle|Dr|Prof|Rev|Δρ)\.? |(?:" + "|".join(TITLES_MALE + TITLES_FEMALE + TITLES) + ") "
+
+
+def _one_of(names: tuple[str, ...]) -> str:
+    """A pattern of the names, by first letter."""
+    firsts = sorted({n[0] for n in names})
+    return "(?:" + "|".join(c + "(?:" + "|".join(n[1:] for n in names if n[0] == c) + ")" for c in firsts) + ")"
+
+
+_GIVEN = _one_of(GIVEN_MALE + GIVEN_FEMALE + MORE_MALE + MORE_FEMALE)
 #: alternatives are tried at every character, so each begins with a cheap test of the next one
 PATTERN = "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}(?<!-)",
@@ -52,12 +92,12 @@ PATTERN = "|".join((
         r"(?<![\w-])\d{3}-\d{3}-\d{4}(?![\d-])",
         r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\d)")) + ")",
     r"(?=[A-Z]{2}\d)(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    r"(?=\p{Lu}\p{L})(?<!\p{L})(?:" + _TITLE + ")" + _NAME + "(?: " + _NAME + ")?",
-    r"(?=\p{Lu}\p{L}+ \p{Lu})(?<!\p{L})(?:" + "|".join(GIVEN_MALE + GIVEN_FEMALE) + r") " + _NAME,
+    r"(?=\p{Lu}\p{L})(?<!\p{L})(?:" + _TITLE + "){1,3}" + _NAME + "(?: " + _NAME + ")?",
+    r"(?=\p{Lu}[\p{L}-]+ \p{Lu})(?<!\p{L})" + _GIVEN + " " + _NAME,
 ))
 #: what some pattern needs, cheap to look for: most texts pass by
-_HINT = r"[0-9@=:]|\p{Lu}(?:KIA|(?:r|rs|s)\. \p{Lu}|\p{Ll}+ \p{Lu})"
-_TITLE_END = "^(?:" + _TITLE + ")"
+_HINT = r"[0-9@=:]|\p{Lu}(?:KIA|(?:r|rs|s|me|lle|rof|ev)\. \p{Lu}|[\p{Ll}-]+ \p{Lu})|Δρ\. "
+_TITLE_END = "^(?:" + _TITLE + "){1,3}"
 
 _ALPHABETS = (("[0-9]", "0123456789"), ("[a-z]", "abcdefghijklmnopqrstuvwxyz"), ("[A-Z]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
               ("[а-я]", "абвгдежзийклмнопрстуфхцчшщыэюя"), ("[А-Я]", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЫЭЮЯ"),
@@ -172,11 +212,36 @@ def _kind(m: Column) -> Column:
             .when(m.rlike(r"^(?:\+\d|\(\d|\d{3}-\d{3}-\d{4}$)[\d .()-]*$") & (F.length(_digits(m)) >= 7), "phone").when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
             .when(m.rlike("^[0-9a-f]{8,}$"), "hex")
             .when(m.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]{12,}$"), "iban")
-            .when(m.rlike(r"^\p{Lu}\p{Ll}+\.? \p{Lu}"), "person").otherwise("secret"))
+            .when(m.rlike(r"^\p{Lu}[\p{Ll}-]+\.? \p{Lu}"), "person").otherwise("secret"))
 
 
 def _male(m: Column) -> Column:
-    return m.rlike("^(?:" + "|".join(TITLES_MALE + GIVEN_MALE) + r")(?!\p{L})")
+    """By the title, else by the given name."""
+    own = F.regexp_replace(m, r"^(?:(?:" + "|".join(TITLES) + r")\.? )+", "")
+    return own.rlike("^(?:" + "|".join(TITLES_MALE + GIVEN_MALE + MORE_MALE) + r")(?!\p{L})")
+
+
+def _names(mentions: Column) -> Column:
+    """The names in the mentions of persons, as units are written."""
+    persons = F.filter(mentions, lambda m: _kind(m) == "person")
+    return F.array_distinct(F.flatten(F.transform(persons, lambda m: F.transform(_units(m), lambda u: u["unit"]))))
+
+
+def _following(names: Column) -> Column:
+    """``PATTERN``, and after it the names alone: in any letter case, or with a capital first if they
+    have fewer than four letters (``an`` and ``so`` are names, and words)."""
+    ordered = F.sort_array(names, asc=False)  # a longer name before its beginning
+    short = F.flatten(F.transform(F.filter(ordered, lambda n: F.length(n) < 4), lambda n: F.array(n, F.upper(n))))
+    long_ = F.filter(ordered, lambda n: F.length(n) >= 4)
+    part = lambda before, some: F.when(F.size(some) > 0, F.concat(
+        _lit(before), F.array_join(some, "|"), _lit(")")))
+    alone = F.concat_ws("|", part("(?iu:", long_), part("(?:", short))
+    return F.concat(_lit(PATTERN + r"|(?<![\p{L}\p{N}_])(?:"), alone, _lit(r")(?![\p{L}\p{N}_])"))
+
+
+def _alone(m: Column, names: Column) -> Column:
+    """Whether a mention is one of the document's names without title or given name."""
+    return F.array_contains(names, F.initcap(m))
 
 
 def _units(m: Column) -> Column:
@@ -204,8 +269,15 @@ def _filled(m: Column, fresh: Column, holes: str) -> Column:
     return F.concat(filled, F.substring(fresh, F.length(m) + 1, F.length(fresh)))
 
 
-def _written(m: Column, fresh_of) -> Column:
+def _written(m: Column, names: Column, fresh_of) -> Column:
     """The mention's replacement; ``fresh_of(kind, unit)`` looks a surrogate up."""
+    unit = F.initcap(m)
+    name = F.coalesce(*[fresh_of(_lit(k), unit) for k in ("family", "given_male", "given_female")])
+    name = F.when(m == F.upper(m), F.upper(name)).when(m == F.lower(m), F.lower(name)).otherwise(name)
+    return F.when(_alone(m, names), name).otherwise(_written_whole(m, fresh_of))
+
+
+def _written_whole(m: Column, fresh_of) -> Column:
     units = _units(m)
     kind = _kind(m)
     first = units.getItem(0)
@@ -258,10 +330,17 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, entities: str | None
     held = docs.select(rest.alias("__row"), F.col("text").cast("string").alias("text"))
     hint = F.col("text").rlike(_HINT)
     mentions = F.regexp_extract_all("text", _lit(PATTERN), F.lit(0))
-    touched = scratch.write(
-        held.where(hint).withColumn("mentions", mentions).where(F.size("mentions") > 0)
-        .withColumn("id", F.sha2(F.concat_ws("\x1f", F.col("__row.doc_id").cast("string"), "text").cast("binary"), 256)))
-    each = scratch.write(touched.select("id", F.explode(F.array_distinct("mentions")).alias("mention"))
+    found = scratch.write(
+        held.where(hint).withColumn("first", mentions).where(F.size("first") > 0)
+        .withColumn("id", F.sha2(F.concat_ws("\x1f", F.col("__row.doc_id").cast("string"), "text").cast("binary"), 256))
+        .withColumn("names", _names(F.col("first"))))
+    # a person found once is followed through the document
+    named = F.size("names") > 0
+    pattern = F.when(named, _following(F.col("names"))).otherwise(_lit(PATTERN))
+    again = F.when(named, F.regexp_extract_all("text", pattern, F.lit(0))).otherwise(F.col("first"))
+    touched = scratch.write(found.withColumn("mentions", again))
+    whole = F.filter(F.col("mentions"), lambda m: ~_alone(m, F.col("names")))
+    each = scratch.write(touched.select("id", F.explode(F.array_union("first", whole)).alias("mention"))
                          .select("id", F.explode(_units(F.col("mention"))).alias("u")).select("id", "u.kind", "u.unit").distinct())
     fresh = _assigned(each.select("kind", "unit").distinct(), key, scratch)
     place = F.concat_ws("\x1f", "kind", "unit")
@@ -270,11 +349,12 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, entities: str | None
 
     look = lambda kind, unit: F.element_at(F.col("fresh"), F.concat_ws("\x1f", kind, unit))
     done = (touched.join(maps, "id")
-            .withColumn("new", F.transform("mentions", lambda m: _written(m, look)))
-            .withColumn("between", F.split("text", PATTERN, -1)))
+            .withColumn("new", F.transform("mentions", lambda m: _written(m, F.col("names"), look)))
+            .withColumn("between", F.when(named, F.split("text", pattern, -1)).otherwise(F.split("text", PATTERN, -1))))
     joined = F.array_join(F.transform(F.sequence(F.lit(0), F.size("between") - 1), lambda i: F.concat(
         F.get("between", i), F.coalesce(F.get("new", i), _lit("")))), "")
-    listed = F.transform("mentions", lambda m, i: F.struct(_kind(m).alias("kind"), F.get("new", i).alias("surrogate")))
+    listed = F.transform("mentions", lambda m, i: F.struct(
+        F.when(_alone(m, F.col("names")), "person").otherwise(_kind(m)).alias("kind"), F.get("new", i).alias("surrogate")))
     done = done.select("__row", joined.alias("__text"), listed.alias("__list"))  # no name of docs among these
     empty = F.array().cast("array<struct<kind:string,surrogate:string>>")
     kept = held.where(~F.coalesce(hint & F.col("text").rlike(PATTERN), F.lit(False)))

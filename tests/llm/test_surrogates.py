@@ -101,3 +101,26 @@ def test_units_of_unlisted_characters_end(docs_of):
     for some in (range(10, 20), range(30, 56)):
         fresh = {got[d].text for d in some}
         assert len(fresh) == len(some) and not fresh & {text for _, text in rows}
+
+
+def test_persons_are_followed(docs_of):
+    rows = [(1, "Mr. John Smith met Ann. John Smith said so; SMITH left, smith's car. MR. Smith. blacksmith Smithson"),
+            (2, "Smith is no person here"), (3, "Dr. Maria Lopez-Ruiz and Prof. Dr. Weber: Lopez-Ruiz, weber, WEBER."),
+            (4, "Thomas Miller, Linda Miller's note, Anna Lee. lee side, Lee"), (5, "Mr. Smith wrote to smith@corp.example.com"),
+            (6, "Госпожа Анна Иванова. ИВАНОВА, Анна")]
+    got = {r.doc_id: r for r in replaced(docs_of(rows)).collect()}
+    name = re.fullmatch(r"Mr\. (\w+) (\w+) met Ann\. (\w+) (\w+) said so; (\w+) left, (\w+)'s car\. MR\. (\w+)\. "
+                        "blacksmith Smithson", got[1].text).groups()
+    he, family = name[:2]
+    assert name[2:] == (he, family, family.upper(), family.lower(), family) and (he, family) != ("John", "Smith")
+    assert he in surrogates.GIVEN_MALE and len(got[1].found) == 5 and {f.kind for f in got[1].found} == {"person"}
+    assert got[2].text == rows[1][1]
+    she, hers, his, *again = re.fullmatch(r"Dr\. (\w+) (\w+) and Prof\. Dr\. (\w+): (\w+), (\w+), (\w+)\.",
+                                          got[3].text).groups()
+    assert again == [hers, his.lower(), his.upper()] and she in surrogates.GIVEN_FEMALE
+    a, b, c, d, e, last = re.fullmatch(r"(\w+) (\w+), (\w+) (\w+)'s note, (\w+) (\w+)\. lee side, \w+", got[4].text).groups()
+    assert b == d != "Miller" and got[4].text.endswith(last) and last != "Lee"
+    assert (a in surrogates.GIVEN_MALE and {c, e} <= set(surrogates.GIVEN_FEMALE)) or "Thomas" not in got[4].text
+    assert re.fullmatch(rf"Mr\. {family} wrote to \w{{5}}@\w+\.\w+\.com", got[5].text) and "smith" not in got[5].text
+    given, hers, upper, alone = re.fullmatch(r"Госпожа (\w+) (\w+)\. (\w+), (\w+)", got[6].text).groups()
+    assert upper == hers.upper() and alone == given != "Анна"
