@@ -82,8 +82,8 @@ PATTERN = "|".join((
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}(?<!-)",
     r"(?=AKIA)(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     r"(?<=[\s=:\"'])(?=[A-Za-z0-9+/_-]{8})(?<=[=:]\s{0,3}[\"']?)(?<=(?i:password|passwd|secret|token|api.?key)"
-    r"\s{0,3}[=:]\s{0,3}[\"']?)(?=[+/_-]*+[A-Za-z0-9])[A-Za-z0-9+/_-]{8,512}+",
-    r"(?=[0-9a-f]{32})(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
+    r"\s{0,3}[=:]\s{0,3}[\"']?)(?=[+/_-]*+[A-Za-z0-9])[A-Za-z0-9+/_-]{8,}+",
+    r"(?=[0-9a-f]{32})(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])",
     r"(?=[0-9+(])(?:" + "|".join((
         r"(?<![\d.])" + _OCTET + r"(?:\." + _OCTET + r"){3}(?!\.?\d)",
         r"(?<!\d)\d{3}-\d{2}-\d{4}(?![\d-])",

@@ -103,6 +103,15 @@ def test_units_of_unlisted_characters_end(docs_of):
         assert len(fresh) == len(some) and not fresh & {text for _, text in rows}
 
 
+def test_long_secrets_are_replaced_whole(docs_of):
+    key, token = "Ab3+" * 1000, "0123456789abcdef" * 40
+    got = {r.doc_id: r for r in replaced(docs_of([(1, f"api_key = {key} end"), (2, f"sum {token} end")])).collect()}
+    for d, old in ((1, key), (2, token)):
+        new = got[d].text.split()[-2]
+        assert len(got[d].found) == 1 and len(new) == len(old) and got[d].text.endswith(" end")
+        assert not any(new[i:i + 16] == old[i:i + 16] for i in range(0, len(old), 16))
+
+
 def test_persons_are_followed(docs_of):
     rows = [(1, "Mr. John Smith met Ann. John Smith said so; SMITH left, smith's car. MR. Smith. blacksmith Smithson"),
             (2, "Smith is no person here"), (3, "Dr. Maria Lopez-Ruiz and Prof. Dr. Weber: Lopez-Ruiz, weber, WEBER."),
