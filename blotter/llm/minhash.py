@@ -245,9 +245,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, of: int = 1
     known = features.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     copies = (known.groupBy("digest").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("digest", "v"))
-    copy_links = scratch.write(known.select("digest", F.col("doc_id").alias("u")).join(copies, "digest")
-                               .where("u != v").select("u", "v").distinct())
-    firsts = known.join(copy_links.select(F.col("u").alias("doc_id")), "doc_id", "left_anti")
+    copied = scratch.write(known.select("digest", F.col("doc_id").alias("u")).join(copies, "digest")
+                           .where("u != v").select("digest", "u", "v").distinct())
+    copy_links = copied.select("u", "v").distinct()
+    # each digest goes on with its smallest id, and an id with its texts that are no copies
+    firsts = known.join(copied.select(F.col("u").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_anti")
     banded = firsts.select("doc_id", F.explode("bands").alias("key"))
     shared = (banded.groupBy("key").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("members"))
               .where("members > 1"))

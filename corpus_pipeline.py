@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import WORD, Scratch, among, table, whole_row, without
+from blotter.llm.common import WORD, Scratch, among, id_and_text, table, whole_row, without
 from blotter.llm.minhash import near_duplicates
 from blotter.llm.mixing import mixture, placements
 from blotter.llm.packing import pack
@@ -32,17 +32,23 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8): the one
-    with the smallest id.  Of rows that repeat an id one stays, the one whose text sorts first."""
+    """One row of each group of near-duplicates (five-word shingles, similarity 0.8): the one with the
+    smallest id.  Of equal rows (id and text) one stays.  Different texts of a repeated id are
+    compared like different documents; all but the one that sorts first come after all ids."""
     scratch = Scratch(spark, "dedup-stage")
-    classes = scratch.write(near_duplicates(docs, words=5, part=80, of=100).where("doc_id IS NOT NULL"))
-    gone = classes.where("NOT kept").select("doc_id").distinct()
-    kept = without(docs, gone)
-    repeated = classes.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    again = among(kept, repeated)
-    one = again.select(whole_row(again), first.alias("__n")).where("__n = 1").select("__row.*")
-    return without(kept, repeated).unionAll(one)
+    counts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count()
+    repeated = scratch.write(counts.where("count > 1").select("doc_id"))
+    once, again = without(docs, repeated), among(docs, repeated)
+    texts = (again.select(whole_row(again), F.col("doc_id").cast("long").alias("__id"),
+                          F.col("text").cast("string").alias("__text")).dropDuplicates(["__id", "__text"]))
+    first = F.row_number().over(Window.partitionBy("__id").orderBy("__text"))
+    top = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
+    key = F.when(F.col("__n") == 1, F.col("__id")).otherwise(F.lit(top + 1) + F.monotonically_increasing_id())
+    keyed = scratch.write(texts.withColumn("__n", first).select("__row", key.alias("__key"), "__text"))
+    both = id_and_text(once).unionAll(keyed.select("__key", "__text"))
+    classes = near_duplicates(both, words=5, part=80, of=100)
+    gone = scratch.write(classes.where("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct())
+    return without(once, gone).unionAll(without(keyed, gone, "__key").select("__row.*"))
 
 
 def surrogate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,6 +83,14 @@ def test_family_spread_over_blocks(docs_of, monkeypatch):
     assert got == classes(rows, 3, 85)
 
 
+def test_repeated_id_keeps_the_links_of_all_its_texts(docs_of):
+    """One text of id 5 is a copy of another id's, the other one is near a third."""
+    a, b = ([f"{c}{i}" for i in range(80)] for c in "ab")
+    rows = [(3, " ".join(a)), (5, " ".join(a)), (5, " ".join(b)), (9, " ".join(b + ["x"])), (11, "c " + " ".join(b))]
+    got = near_duplicates(docs_of(rows), words=3, part=85).collect()
+    assert [(r.doc_id, r.component_id) for r in sorted(got, key=lambda r: r.doc_id)] == [(d, 3) for d, _ in rows]
+
+
 def test_empty_table(docs_of):
     assert near_duplicates(docs_of([])).count() == 0
 

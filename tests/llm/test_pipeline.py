@@ -61,6 +61,16 @@ def test_stages(spark, tables):
     assert sum(r.length for r in packed) == sum(r.doc_tokens for r in packed if r.start == 0)
 
 
+def test_dedup_stage_keeps_other_texts_of_an_id(spark, docs_of):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (5, c), (5, c), (9, b + " x")]
+    got = pipeline.dedup_stage(spark, docs_of(rows), "")
+    left = Counter((r.doc_id, r.text) for r in got.collect())
+    near = {(5, b): 1} if (5, b) in left else {(9, b + " x"): 1}
+    assert left == {(3, a): 1, (5, c): 1, **near}
+    assert got.columns == docs_of(rows).columns
+
+
 def test_run_equals_the_stages(spark, tables):
     sf, _ = tables
     docs = spark.read.parquet(f"{sf}/documents.parquet")
