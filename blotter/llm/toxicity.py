@@ -20,7 +20,7 @@ from blotter.llm.linear import Rows, WordTable, batches_of, fit_logistic, grams_
 ROWS_PER_CLASS = 4000   # bound of the training sample
 MASK = (1 << 20) - 1
 SIZES = (2, 3, 4, 5, 6)
-Z = 4.0
+Z = 2.0                 # an n-gram of no other document counts from 8 toxic ones on, 4000 a class
 SMOOTHING = 1.0
 PENALTY = 1e-4
 THRESHOLD = 0.3

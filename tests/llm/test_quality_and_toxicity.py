@@ -14,7 +14,7 @@ from blotter.llm import quality_trees as trees
 from blotter.llm.common import id_remainder
 from blotter.llm.quality_rules import kept_documents, quality_rules
 from blotter.llm.quality_trees import quality_scores
-from blotter.llm.toxicity import toxicity
+from blotter.llm.toxicity import log_count_ratios, toxicity
 
 
 def plain_counts(text):
@@ -126,6 +126,13 @@ def test_held_out_accuracy(docs_of, labels_of, fn, label):
     assert len(out) > 30 and sum(a == b for a, b in out) / len(out) > 0.95
 
 
+def test_rare_toxic_ngrams_count():
+    """With both classes at their bound, a fifth of a percent of the toxic rows is enough."""
+    pos, neg = np.array([8, 12, 40, 2, 100, 0]), np.array([0, 0, 0, 0, 100, 8])
+    ratios = log_count_ratios(pos, neg, 4000, 4000)
+    assert set(ratios) == {0, 1, 2, 5} and ratios[1] > ratios[0] > 0 > ratios[5]
+
+
 def test_held_out_labels_are_not_learned(docs_of, labels_of):
     """Turning held-out labels round changes no score."""
     rows, labels = corpus(120)
