@@ -9,6 +9,7 @@ from blotter.llm.neighbours import OP5_SQL, op5_nearest_neighbours
 from blotter.llm.packing import op3_packing
 from blotter.llm.quality_rules import op4_quality_rules
 from blotter.llm.quality_trees import op6_quality_trees
+from blotter.llm.simhash import op12_simhash_near_dedup
 from blotter.llm.surrogates import op2_surrogates
 from blotter.llm.token_files import op8_token_files
 from blotter.llm.toxicity import op10_toxicity
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_source_mixing": op9_source_mixing,
     "op10_toxicity": op10_toxicity,
+    "op12_simhash_near_dedup": op12_simhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
