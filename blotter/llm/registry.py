@@ -7,6 +7,7 @@ from blotter.llm.minhash import op1_minhash_near_dedup
 from blotter.llm.mixing import OP9_SQL, op9_source_mixing
 from blotter.llm.neighbours import OP5_SQL, op5_nearest_neighbours
 from blotter.llm.packing import op3_packing
+from blotter.llm.phrases import OP11_SQL, op11_phrases
 from blotter.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from blotter.llm.quality_rules import op4_quality_rules
 from blotter.llm.quality_trees import op6_quality_trees
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_source_mixing": op9_source_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_phrases": op11_phrases,
     "op12_simhash_near_dedup": op12_simhash_near_dedup,
     "op13_prefix_trie": op13_prefix_trie,
 }
@@ -33,6 +35,7 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op5_nearest_neighbours": OP5_SQL,
     "op9_source_mixing": OP9_SQL,
+    "op11_phrases": OP11_SQL,
     "op13_prefix_trie": OP13_SQL,
 }
 
