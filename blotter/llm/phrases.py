@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from blotter.llm.common import Scratch, arrow_schema, encoded, table
 
 SEED = 42
-BLOCK_WORDS = 1 << 17
+BLOCK_WORDS = 1 << 16
 #: bits of the bitmap for each frequent phrase, and its size at most (2**26 bits are 8 MB)
 BITS_PER_PHRASE = 32
 MAX_BITS = 26
@@ -38,9 +38,9 @@ STOPS = b".,;:!?\n\x0b\x0c\r"
 END = b"."
 _TO_END = bytes.maketrans(STOPS, END * len(STOPS))
 
-#: ``words``: the block's words, one a space; ``slots``, ``items``: occurrences; ``phrases``: the numbers
-#: of each phrase's words
-BLOCK = "lang string, words string, slots binary, items binary, phrases binary"
+#: ``words``: the block's words, one a space; ``slots`` (as steps), ``items``: occurrences; ``phrases``: the
+#: numbers of each phrase's words.  Each is compressed, so that many blocks fit into a batch of rows.
+BLOCK = "lang string, words binary, slots binary, items binary, phrases binary"
 COUNTS = "lang string, phrase string, f long"
 
 
@@ -69,8 +69,15 @@ class _Block:
         items = np.concatenate(self.items)
         slots = np.flatnonzero(items).astype(np.int32)
         words = list(self.number)[1:]
-        return (lang, b" ".join(words).decode("utf-8", "surrogatepass"), slots.tobytes(),
-                (items[slots] - 1).tobytes(), np.arange(len(words), dtype=np.int32).tobytes())
+        return _row(lang, b" ".join(words), slots, items[slots] - 1, np.arange(len(words)))
+
+
+def _row(lang: str, words: bytes, slots: np.ndarray, items: np.ndarray, phrases: np.ndarray):
+    """A row of ``BLOCK``; its occurrences are sorted by slot."""
+    from zstandard import ZstdCompressor
+    pack = ZstdCompressor(level=1).compress
+    numbers = np.diff(slots, prepend=0), items, phrases
+    return (lang, pack(words), *(pack(n.astype(np.int32).tobytes()) for n in numbers))
 
 
 def _first(docs: DataFrame) -> DataFrame:
@@ -102,10 +109,15 @@ def _batch(rows, schema: pa.Schema) -> pa.RecordBatch:
 
 def _unpacked(batches, length: int):
     """Each block of the batches: language, words, slots, items, phrases (one row each)."""
+    from zstandard import ZstdDecompressor
+    unpack = ZstdDecompressor().decompress
     for batch in batches:
-        for lang, words, slots, items, phrases in zip(*batch.to_pydict().values()):
-            yield (lang, words.split(" ") if words else [], np.frombuffer(slots, np.int32), np.frombuffer(items, np.int32),
-                   np.frombuffer(phrases, np.int32).reshape(-1, length))
+        for row in range(batch.num_rows):
+            lang = batch.column(0)[row].as_py()
+            words, *numbers = (unpack(batch.column(i)[row].as_buffer()) for i in range(1, 5))
+            steps, items, phrases = (np.frombuffer(n, np.int32) for n in numbers)
+            words = words.decode("utf-8", "surrogatepass").split(" ") if words else []
+            yield lang, words, np.cumsum(steps, dtype=np.int32), items, phrases.reshape(-1, length)
 
 
 def _texts(words: list[str], phrases: np.ndarray) -> list[str]:
@@ -172,8 +184,8 @@ def _extended(relation: DataFrame, maybe, length: int) -> DataFrame:
             pairs, new = np.unique(pair, return_inverse=True)
             longer = np.concatenate([phrases[pairs // len(phrases)], phrases[pairs % len(phrases), -1:]], axis=1)
             used, number = np.unique(longer, return_inverse=True)  # words no phrase holds any more leave the block
-            yield _batch([(lang, " ".join([words[i] for i in used.tolist()]), slots[left].tobytes(),
-                           new.astype(np.int32).tobytes(), number.astype(np.int32).tobytes())], schema)
+            held = " ".join([words[i] for i in used.tolist()]).encode("utf-8", "surrogatepass")
+            yield _batch([_row(lang, held, slots[left], new, number)], schema)
 
     return relation.mapInArrow(run, BLOCK)
 
