@@ -1,13 +1,15 @@
 """Table profile (Q6; A6, A9, F2, U2-U3, O2-O3).
 
-Each check is one aggregation pass that returns a small DataFrame; nothing
-is collected to the driver.  Run them on a persisted or written table so
+Each check is one aggregation pass that returns a small DataFrame; only exact
+quantiles take several, and read a bounded number of values to the driver.  Run them on a persisted or written table so
 the source is not rescanned once per check.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -121,3 +123,125 @@ def numeric_quartiles(df: DataFrame, columns: Sequence[str], accuracy: int = 10_
                                                   enumerate(("q1", "median", "q3"))])
              for i, c in enumerate(columns)]
     return df.agg(*q).select(F.inline(F.array(*cells)))
+
+
+#: An interval of at most so many rows is read to the driver as (value, count) pairs.
+LEAF = 10_000
+
+
+@dataclass
+class _Sought:
+    """One quantile while its interval ``[low, high]`` narrows: the value of rank ``rank`` is in it,
+    ``below`` rows lie under it and ``inside`` rows in it."""
+
+    column: str
+    rank: int
+    low: float
+    high: float
+    below: int
+    inside: int
+
+    @property
+    def open(self) -> bool:
+        return self.low < self.high and self.inside > LEAF
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float] = (0.25, 0.5, 0.75),
+                    accuracy: int = 10_000) -> dict[str, list[float | None]]:
+    """The exact quantiles of each column: the smallest value that at least that share of the
+    values do not exceed.  NULL and NaN do not count; a column without values has None.
+
+    Selection by narrowing: a sketch of bounded size names two values close around the rank sought, an
+    exact count checks them, and the next round looks only between them, so that each round leaves a few
+    thousandths of the rows, whatever their distribution.  All columns and shares narrow together, two
+    aggregations a round; no sort, and what comes to the driver is bounded (``LEAF`` pairs a quantile).
+    """
+    numbers = df.select(*[_number(c).alias(f"x{i}") for i, c in enumerate(columns)])
+    xs = [f"x{i}" for i in range(len(columns))]
+    ends = numbers.agg(*[F.struct(F.count(x), F.min(x), F.max(x)) for x in xs]).first()
+    sought = [[_Sought(x, max(1, n - math.floor(n - n * share)), low, high, 0, n) for share in shares] if n else None
+              for x, (n, low, high) in zip(xs, ends)]
+    every = [s for column in sought if column for s in column]
+    while opened := [s for s in every if s.open]:
+        _narrow(numbers, opened, accuracy)
+    values = _leaves(numbers, [s for s in every if s.low < s.high])
+    return {name: [None] * len(shares) if column is None else
+            [s.low if s.low == s.high else values[id(s)] for s in column]
+            for name, column in zip(columns, sought)}
+
+
+def _narrow(numbers: DataFrame, sought: list[_Sought], accuracy: int) -> None:
+    sketches = []
+    for s in sought:
+        inner = F.when(F.col(s.column).between(s.low, s.high), F.col(s.column))
+        share = (s.rank - s.below) / s.inside
+        around = [max(0.0, share - 2 / accuracy), min(1.0, share + 2 / accuracy)]
+        sketches.append(F.percentile_approx(inner, around, accuracy))
+    pairs = numbers.agg(*[p.alias(f"p{i}") for i, p in enumerate(sketches)]).first()
+    counts = []
+    for s, (a, b) in zip(sought, pairs):
+        x = F.col(s.column)
+        counts.append(F.struct(F.count_if(x < a), F.count_if(x == a), F.min(F.when(x > a, x)),
+                               F.count_if(x < b), F.count_if(x == b), F.max(F.when(x < b, x))))
+    found = numbers.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    for s, (a, b), (under_a, at_a, after_a, under_b, at_b, before_b) in zip(sought, pairs, found):
+        top = s.below + s.inside
+        for value, under, at in ((a, under_a, at_a), (b, under_b, at_b)):
+            if under < s.rank <= under + at:
+                s.low = s.high = value
+        if s.low == s.high:
+            continue
+        # each side moves past the value that was counted there, so every round makes progress
+        for value, under, at, after in ((b, under_b, at_b, None), (a, under_a, at_a, after_a)):
+            if s.rank > under + at and after is not None:
+                s.low, s.below = after, under + at
+        if s.rank <= under_b:
+            s.high, top = before_b, under_b
+        elif s.rank <= under_a:
+            s.high, top = a, under_a + at_a
+        s.inside = top - s.below
+
+
+def _leaves(numbers: DataFrame, sought: list[_Sought]) -> dict[int, float]:
+    """Values of the quantiles whose intervals hold few rows, read once for all."""
+    if not sought:
+        return {}
+    inside = [F.when(F.col(s.column).between(s.low, s.high), F.struct(F.lit(i).alias("i"), F.col(s.column).alias("x")))
+              for i, s in enumerate(sought)]
+    pairs = (numbers.select(F.explode(F.array_compact(F.array(*inside))).alias("p"))
+             .groupBy("p.i", "p.x").agg(F.count(F.lit(1)).alias("n")).collect())
+    out, seen = {}, {}
+    for r in sorted(pairs, key=lambda r: (r.i, r.x)):
+        s = sought[r.i]
+        seen[r.i] = seen.get(r.i, s.below) + r.n
+        if seen[r.i] >= s.rank:
+            out.setdefault(id(s), r.x)
+    return out
+
+
+def quartile_fences(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> dict[str, tuple]:
+    """``(q1, median, q3, low fence, high fence)`` of each column: exact quartiles, and fences
+    ``reach`` times their distance beyond them (None for a column without values)."""
+    out = {}
+    for column, (q1, median, q3) in exact_quantiles(df, columns).items():
+        out[column] = (None,) * 5 if q1 is None else (q1, median, q3, q1 - reach * (q3 - q1), q3 + reach * (q3 - q1))
+    return out
+
+
+def numeric_outliers(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
+    """Per column its range, exact quartiles, fences and the number of values beyond them."""
+    found = quartile_fences(df, columns, reach)
+    ranges = numeric_range(df, {c: v[3:] for c, v in found.items()})
+    pick = lambda i: F.coalesce(*[F.when(F.col("column") == c, F.lit(v[i]).cast("double"))
+                                  for c, v in found.items()])
+    return ranges.select("column", "n", "nulls", "min", pick(0).alias("q1"), pick(1).alias("median"),
+                         pick(2).alias("q3"), "max", "low_fence", "high_fence", "beyond")
+
+
+def outlier_rows(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
+    """The rows whose value lies beyond its column's fences, such as an income far above all others."""
+    *_, low, high = quartile_fences(df, [column], reach)[column]
+    if low is None:
+        return df.where(F.lit(False))
+    x = _number(column)
+    return df.where((x < low) | (x > high))

@@ -87,13 +87,13 @@ def _level_grid(df: DataFrame, date_col: str, level_col: str,
     """Month × level counts in wide form: NULL where a level has no row that month.
 
     One aggregation with a conditional sum per level; months are those where
-    any level occurs.
+    any level occurs, listed or not.
     """
     levels = list(levels)
     one = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     aggs = [F.sum(F.when(F.col(level_col) == v, one)).alias(f"_lvl{i}")
             for i, v in enumerate(levels)]
-    wide = (df.where(F.col(date_col).isNotNull() & F.col(level_col).isin(*levels))
+    wide = (df.where(F.col(date_col).isNotNull() & F.col(level_col).isNotNull())
             .groupBy(month_start(date_col).alias("month"))
             .agg(*aggs))
     return wide, levels
@@ -122,7 +122,8 @@ def level_wide(df: DataFrame, date_col: str, level_col: str,
     """One row per month, one count column per listed level (NULL where absent).
 
     The columns of a result must be known when it is planned, so ``levels`` is
-    required; :func:`level_trend` is the general, long form.
+    required; :func:`level_trend` is the general, long form.  Months are those of
+    all levels, so a subset of the levels has the same rows as all of them.
     """
     wide, levels = _level_grid(df, date_col, level_col, levels, weight)
     return wide.select("month", *[F.col(f"_lvl{i}").alias(v) for i, v in enumerate(levels)])
@@ -135,7 +136,8 @@ def level_trend(df: DataFrame, date_col: str, level_col: str,
 
     A month missing for one level is a NULL cell (not a skipped row), so it
     blanks that level's next ``window`` means: the pivoted-table behaviour,
-    unlike the single-series :func:`monthly_trend`.
+    unlike the single-series :func:`monthly_trend`.  ``levels`` picks series of that
+    grid; its months stay those in which any level occurs.
     """
     if levels is None:
         long = _dense_grid(df, date_col, level_col, weight)
@@ -149,6 +151,12 @@ def level_trend(df: DataFrame, date_col: str, level_col: str,
                        strict_moving_avg("cnt", w, window).alias(f"ma{window}"))
 
 
+def with_place(counts: DataFrame, name: str, *order) -> DataFrame:
+    """O1-O2: the row's place (from 1) in an order of the whole table, as a column, so that the order
+    survives being written.  For report tables: one task numbers all their rows."""
+    return counts.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+
+
 def level_endpoints(trend: DataFrame, series: str = "level", value: str = "ma12",
                     row: int = MA_WINDOW, positional: bool = True) -> DataFrame:
     """A10: the ``row``-th and the last value of each series, by position.

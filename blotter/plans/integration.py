@@ -320,6 +320,28 @@ def q_numeric_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(numeric_range(table(spark, sf_dir, "orders"), {"o_totalprice": (1000.0, 400000.0)}))
 
 
+@register("numeric_outliers", """
+WITH v AS (
+  SELECT unnest(['l_quantity', 'l_extendedprice', 'l_discount']) AS "column",
+         unnest([l_quantity::DOUBLE, l_extendedprice::DOUBLE, l_discount::DOUBLE]) AS x FROM lineitem
+), q AS (
+  SELECT "column", count(x) AS n, count(*) - count(x) AS nulls, min(x) AS min, max(x) AS max,
+         quantile_disc(x, 0.25) AS q1, quantile_disc(x, 0.5) AS median, quantile_disc(x, 0.75) AS q3
+  FROM v GROUP BY 1
+), f AS (SELECT *, q1 - 0.5 * (q3 - q1) AS low_fence, q3 + 0.5 * (q3 - q1) AS high_fence FROM q)
+SELECT f."column", n, nulls, round(min, 6) AS min, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(max, 6) AS max, round(low_fence, 6) AS low_fence, round(high_fence, 6) AS high_fence,
+       count(*) FILTER (WHERE x < low_fence OR x > high_fence) AS beyond
+FROM f JOIN v ON v."column" = f."column" GROUP BY ALL
+""")
+def q_numeric_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 (D27): exact quartiles, fences half their distance beyond, values outside."""
+    from blotter.operators.profile import numeric_outliers
+    from blotter.plans.catalog import rounded
+    return rounded(numeric_outliers(table(spark, sf_dir, "lineitem"),
+                                    ["l_quantity", "l_extendedprice", "l_discount"], reach=0.5))
+
+
 @register("iso_dates", """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders
 """)

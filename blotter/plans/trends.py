@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from blotter.operators.trend import (
     category_group_trend, group_share, level_endpoints, level_trend, level_wide,
-    monthly_trend)
+    monthly_counts, monthly_trend, with_place)
 from blotter.plans.catalog import register, rounded, table
 
 
@@ -126,6 +126,28 @@ def q_level_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                       levels=["F", "O", "P"])
 
 
+@register("level_subset", LEVEL_BASE_SQL + "SELECT month, level, cnt, round(ma12, 6) AS ma12 FROM trend WHERE level = 'F'")
+def q_level_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 for one listed level: its months are still those of all levels."""
+    return rounded(level_trend(incidents(spark, sf_dir), "o_orderdate", "o_orderstatus", levels=["F"]))
+
+
+@register("ordered_counts", """
+WITH c AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderpriority AS category, count(*) AS cnt
+  FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2
+)
+SELECT month, category, cnt, row_number() OVER (ORDER BY month, category NULLS FIRST) AS place,
+       row_number() OVER (ORDER BY cnt DESC, month, category NULLS FIRST) AS place_by_count FROM c
+""")
+def q_ordered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1, O2: counts by month and category with their place in calendar order and by falling count."""
+    counts = monthly_counts(incidents(spark, sf_dir), "o_orderdate", by=["o_orderpriority"])
+    counts = counts.withColumnRenamed("o_orderpriority", "category").select("month", "category", "cnt")
+    return with_place(with_place(counts, "place", "month", "category"),
+                      "place_by_count", F.desc("cnt"), "month", "category")
+
+
 @register("level_endpoints", LEVEL_BASE_SQL + """
 , ranked AS (
   SELECT level, ma12,

@@ -1,8 +1,9 @@
 """GeoJSON areas.
 
 A FeatureCollection file is one JSON document, read whole by one task
-(``multiLine``); neighbourhood files are megabytes, and the areas table is
-small by nature.  Newline-delimited features (one Feature per line) are read
+(``multiLine``); for one that is too large for that, ``separator`` names the text every
+feature begins with, and the file is read in pieces between two of them by
+as many tasks as it has blocks.  Newline-delimited features (one Feature per line) are read
 splittably with ``lines=True``.  Coordinates are read as raw JSON text so
 Polygon and MultiPolygon features can share one schema, then parsed.
 """
@@ -32,17 +33,48 @@ def feature_schema(properties: Sequence[str]) -> T.StructType:
     ])
 
 
+#: How a feature begins where a writer puts no blanks; the usual ``separator``.
+FEATURE_START = '{"type":"Feature"'
+
+
 def read_features(spark: SparkSession, path: str, properties: Sequence[str],
-                  lines: bool = False) -> DataFrame:
-    """One row per feature: ``properties`` struct and ``geometry`` struct."""
+                  lines: bool = False, separator: str | None = None) -> DataFrame:
+    """One row per feature: ``properties`` struct and ``geometry`` struct.
+
+    ``separator`` (:data:`FEATURE_START`, or the same with the file's own blanks) reads large
+    collections in parallel; a file whose features do not all begin with it fails.
+    """
     if lines:
         return spark.read.schema(feature_schema(properties)).json(path).select("properties", "geometry")
+    if separator is not None:
+        return _split_features(spark, path, properties, separator)
     return (spark.read.schema(collection_schema(properties)).option("multiLine", True).json(path)
             .select(F.explode("features").alias("f"))
             .select("f.properties", "f.geometry")
             .repartition(spark.sparkContext.defaultParallelism))  # one task has read it all
 
 
+def _split_features(spark: SparkSession, path: str, properties: Sequence[str], separator: str) -> DataFrame:
+    """Features from the text between separators.
+
+    No JSON string can hold the separator (its quotes would be escaped), so what lies
+    between two of them is one feature and the comma after it; the last one is followed by the
+    end of the collection.  What stands before the first begins with a brace and ends with
+    the opening of ``features``; else the features begin differently, which is an error and
+    not an empty result.
+    """
+    pieces = spark.read.option("lineSep", separator).text(path)
+    text = F.trim(F.regexp_replace("value", r"[\r\n\t]", " "))
+    head = text.startswith("{")
+    opens = text.rlike(r'"features" *: *\[ *$') | text.rlike(r'"features" *: *\[ *\]')
+    wrong = F.concat(F.lit(f"no FeatureCollection whose features begin with {separator}: "), F.substring(text, 1, 200))
+    feature = F.from_json(F.concat(F.lit(separator), text), feature_schema(properties), {"mode": "FAILFAST"})
+    rows = pieces.where(text != "").select(
+        F.when(head & ~opens, F.raise_error(wrong).cast(feature_schema(properties)))
+        .when(~head, feature).alias("f"))
+    return rows.where(F.col("f").isNotNull()).select("f.properties", "f.geometry")
+
+
 def collection_schema(properties: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField("type", T.StringType()),
                          T.StructField("features", T.ArrayType(feature_schema(properties)))])
@@ -72,5 +104,5 @@ def area_dimension(features: DataFrame, code: str = "ntacode", name: str = "ntan
 
 
 def read_areas(spark: SparkSession, path: str, properties: Sequence[str],
-               lines: bool = False) -> DataFrame:
-    return areas_from_features(read_features(spark, path, properties, lines), properties)
+               lines: bool = False, separator: str | None = None) -> DataFrame:
+    return areas_from_features(read_features(spark, path, properties, lines, separator), properties)

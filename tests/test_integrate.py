@@ -174,3 +174,31 @@ def test_integrate_matches_a_direct_statement(spark, rows_in):
     want = sorted((k, c[1], c[5]) for k, c in best.items()
                   if c[1] is not None and c[1] >= date(2015, 1, 1))
     assert got == want
+
+
+def test_exact_quantiles_equal_sorting(spark, monkeypatch):
+    """Heavy ties, far outliers, NULL and NaN, an empty column; a small bound forces several rounds."""
+    import math
+    import random
+
+    import blotter.operators.profile as profile
+    monkeypatch.setattr(profile, "LEAF", 20)
+    rnd = random.Random(5)
+    data = []
+    for i in range(3000):
+        tied = rnd.choice([0.0, 0.0, 0.0, 1.0, 1.0, -3.5, float(i)])
+        wide = rnd.choice([rnd.lognormvariate(0, 12), -rnd.random(), 1e300, None, float("nan")])
+        data.append((tied, wide, None, rnd.randint(-5, 5)))
+    df = spark.createDataFrame(data, "tied double, wide double, none double, few int").repartition(4)
+    shares = [0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = profile.exact_quantiles(df, ["tied", "wide", "none", "few"], shares, accuracy=50)
+    for k, name in enumerate(("tied", "wide", "none", "few")):
+        values = sorted(float(r[k]) for r in data if r[k] is not None and not math.isnan(r[k]))
+        want = [values[max(1, math.ceil(len(values) * s)) - 1] if values else None for s in shares]
+        assert got[name] == want, name
+    q1, _, q3, low, high = profile.quartile_fences(df, ["wide"])["wide"]
+    assert (low, high) == (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+    beyond = profile.outlier_rows(df, "tied").count()
+    out = {r["column"]: r for r in profile.numeric_outliers(df, ["tied", "wide", "none"]).collect()}
+    assert beyond == out["tied"].beyond > 0 and out["none"].beyond == 0 and out["none"].q1 is None
+    assert profile.outlier_rows(df, "none").count() == 0

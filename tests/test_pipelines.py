@@ -246,3 +246,84 @@ def test_enrich_area_same_rows_beyond_broadcast_bound(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert a.count() == 80 and {r["ntacode"] for r in a.collect()} == {"A0", "A3"}
+
+
+def test_failing_write_leaves_the_old_table(spark, tmp_path):
+    from blotter.sources.files import TableExists
+    p = str(tmp_path / "t")
+    write_table(spark.range(5).select("id", (F.col("id") % 2).alias("year")), p, partition_by=["year"])
+    bad = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(
+        F.raise_error(F.lit("stop")).cast("long")).alias("id"), F.lit(3).alias("year"))
+    with pytest.raises(Exception, match="stop"):
+        write_table(bad, p, partition_by=["year"])
+    assert sorted(r.id for r in spark.read.parquet(p).collect()) == list(range(5))
+    with pytest.raises(TableExists):
+        write_table(bad, p, "errorifexists")
+    with pytest.raises(ValueError):
+        write_table(bad, p, "replace")
+    write_table(bad, p, "ignore")
+    write_table(spark.read.parquet(p).where("id > 1"), p)          # reads what it replaces
+    assert sorted(r.id for r in spark.read.parquet(p).collect()) == [2, 3, 4]
+    write_table(spark.range(1).select("id", F.lit(1).alias("year")), p, "append")
+    assert spark.read.parquet(p).count() == 4
+    assert sorted(f.name for f in tmp_path.iterdir()) == ["t"]     # nothing is left beside it
+
+
+def test_few_files_a_year(spark, tmp_path):
+    """32 tasks that all hold every year write a file or two a year, not 32."""
+    df = spark.range(8000, numPartitions=32).select("id", (2015 + F.col("id") % 4).alias("year"))
+    write_table(df, str(tmp_path / "y"), partition_by=["year"])
+    years = [len(list(d.glob("*.parquet"))) for d in (tmp_path / "y").glob("year=*")]
+    assert len(years) == 4 and max(years) <= 2
+
+
+def test_headers_of_many_files_in_few_jobs(spark, tmp_path):
+    from blotter.sources.files import read_csv_text
+    d = tmp_path / "many files"
+    d.mkdir()
+    heads = [["a", "b"], ["b", "c"], ["c", "a", "d e"]]
+    for i in range(300):
+        head = heads[i % 3]
+        (d / f"part {i}.csv").write_text(("\n" if i % 7 == 0 else "") + ",".join(head) + "\n" + ",".join(
+            f"{c}{i}" for c in head) + "\n" + ("last" if i == 5 else ""))
+    (d / "empty.csv").write_text("")
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "reading")
+    df = read_csv_text(spark, str(d))
+    jobs = len(sc.statusTracker().getJobIdsForGroup("headers"))
+    sc._jsc.clearJobGroup()
+    assert jobs <= 12 and set(df.columns) == {"a", "b", "c", "d e"}
+    got = {tuple(r) for r in df.select("a", "b", "c", "`d e`").collect()}
+    want = {tuple(f"{c}{i}" if c in heads[i % 3] else None for c in ("a", "b", "c", "d e")) for i in range(300)}
+    assert got - want <= {(None, None, "last", None)} and want <= got
+    same = read_csv_text(spark, str(d / "part 1.csv"), same_header=True)
+    assert same.columns == ["b", "c"] and same.count() == 1
+    with pytest.raises(Exception):
+        read_csv_text(spark, [str(d / "part 1.csv"), str(d / "part 3.csv")], same_header=True).collect()
+
+
+def test_one_large_collection_in_several_tasks(spark, tmp_path):
+    from blotter.sources.geojson import FEATURE_START, read_areas, read_features
+    features = [{"type": "Feature", "properties": {"ntacode": f"N{i}", "ntaname": 'say "{\\"type\\":\\"Feature\\"}" \n'},
+                 "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i + 1, 0], [i + 1, 1], [i, 0]]]}}
+                for i in range(4000)]
+    doc = {"type": "FeatureCollection", "crs": {"type": "name"}, "features": features, "bbox": [0, 0, 1, 1]}
+    p = tmp_path / "large.geojson"
+    p.write_text(json.dumps(doc, separators=(",", ":")))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        many = read_areas(spark, str(p), ["ntacode", "ntaname"], separator=FEATURE_START)
+        assert many.rdd.getNumPartitions() > 3
+        one = read_areas(spark, str(p), ["ntacode", "ntaname"])
+        assert sorted(map(str, many.collect())) == sorted(map(str, one.collect())) and many.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    spaced = tmp_path / "spaced.geojson"
+    spaced.write_text(json.dumps(doc, indent=1))
+    with pytest.raises(Exception, match="no FeatureCollection"):
+        read_features(spark, str(spaced), ["ntacode"], separator=FEATURE_START).collect()
+    assert read_features(spark, str(spaced), ["ntacode"], separator='{\n   "type": "Feature"').count() == 4000
+    none = tmp_path / "none.geojson"
+    none.write_text('{"type":"FeatureCollection","features":[]}')
+    assert read_features(spark, str(none), ["ntacode"], separator=FEATURE_START).count() == 0

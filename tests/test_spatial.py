@@ -279,3 +279,64 @@ def test_broadcast_bound_counts_bytes(spark):
     plan = locate(points, idx, max_broadcast_bytes=1)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in plan
     assert rows(locate(points, idx), "pid") == [(1,)]
+
+
+def _comb(n, wiggle):
+    """One area whose lower side is a chain of ``n`` short edges within ``wiggle`` of y = 0, in steps that
+    rise steadily, so that no two of them share more than an end."""
+    chain = [[k / n, wiggle * k / n] for k in range(n + 1)]
+    return [[[*chain, [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]]]
+
+
+def test_strips_split_by_edge_count(spark):
+    schema = "area string, geometry array<array<array<array<double>>>>"
+    areas = spark.createDataFrame([("flat", _comb(20_000, 1e-3)), ("plain", _square(2.0, 0.0, 1.0))], schema)
+    idx = index_areas(areas)
+    sizes = idx.strips.groupBy("area").agg(F.max(F.size("_edges")).alias("most")).collect()
+    assert {r.area: r.most <= 32 for r in sizes} == {"flat": True, "plain": True}
+    assert idx.heights > 1 and idx.strips.where("area = 'plain'").select("h").distinct().count() == 1
+    rnd = random.Random(4)
+    pts = [(i, rnd.uniform(-.1, 1.1), rnd.choice([rnd.uniform(-1e-3, 2e-3), rnd.uniform(-.1, 1.1)])) for i in range(3000)]
+    pts += [(3000 + k, k / 20_000, 1e-3 * k / 20_000) for k in range(0, 20_001, 997)]  # vertices: outside
+    out = locate(spark.createDataFrame(pts, "pid int, longitude double, latitude double"), idx)
+    want = [i for i, px, py in pts[:3000] if 0 < px < 1 and 1e-3 * px + 1e-12 < py < 1]
+    near = {i for i, px, py in pts[:3000] if abs(py - 1e-3 * px) < 1e-11}
+    got = sorted(r[0] for r in out.select("pid").collect())
+    assert [i for i in got if i not in near] == [i for i in want if i not in near]
+
+
+def test_edges_that_share_a_y_are_not_split_for_ever(spark):
+    """300 edges that span the same height: no strip can hold fewer."""
+    teeth = [[k / 300, (k % 2) * 1.0] for k in range(301)]
+    area = [[[*teeth, [1.0, 2.0], [0.0, 2.0], [0.0, 0.0]]]]
+    idx = index_areas(spark.createDataFrame([("saw", area)], "area string, geometry array<array<array<array<double>>>>"))
+    assert 300 <= idx.max_strip_edges <= 302 and idx.heights == 1
+
+
+@pytest.mark.parametrize("height", [None, 0.7])
+def test_hot_cell_is_spread_on_the_shuffle_path(spark, height):
+    """Half of all points in one boundary cell, as many again outside every area: no task gets
+    more than twice the median."""
+    areas = spark.createDataFrame([(f"a{i}", _square(1.0 * (i % 6), 1.0 * (i // 6), 0.9)) for i in range(36)],
+                                  "area string, geometry array<array<array<array<double>>>>")
+    rnd = random.Random(8)
+    pts = [(i, rnd.uniform(0, 6), rnd.uniform(0, 6)) for i in range(20_000)]
+    pts += [(20_000 + i, 0.0 + (i % 7) * 1e-4, 0.4 + (i % 3) * 1e-5) for i in range(20_000)]
+    df = spark.createDataFrame(pts, "pid int, longitude double, latitude double").repartition(6)
+    idx = index_areas(areas, cell_size=0.25, strip_height=height)
+    ref = rows(locate(df, idx), "pid", "area")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                           "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        out = locate(df, idx, max_broadcast_bytes=0)
+        tasks = sorted(r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert rows(out, "pid", "area") == ref
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert len(tasks) == 8
+    if height is None:
+        assert tasks[-1] <= 2 * tasks[len(tasks) // 2]

@@ -208,3 +208,21 @@ def test_group_share_matches_a_direct_statement(spark, rows_in):
     for g, w in zip(got, want):
         assert g[:3] == w[:3] and g[3] == pytest.approx(w[3])
         assert (g[4] is None) == (w[4] is None) and (g[4] is None or g[4] == pytest.approx(w[4]))
+
+
+def test_any_subset_of_levels_has_the_months_of_all(spark):
+    """Twelve months of F, one of O alone, then F again: F's mean is broken whatever is listed."""
+    from itertools import combinations
+
+    from blotter.operators.trend import level_trend, level_wide
+    days = [(date(2020, m, 3), "F") for m in range(1, 13)] + [(date(2021, 1, 5), "O"), (date(2021, 2, 1), "F"),
+            (date(2021, 2, 1), None), (None, "F"), (date(2021, 3, 1), "P")]
+    df = spark.createDataFrame(days, "d date, level string")
+    every = {tuple(r) for r in level_trend(df, "d", "level").collect()}
+    assert ("F", None) in {(r[1], r[3]) for r in every if r[0] == date(2021, 2, 1)}
+    for size in (1, 2, 3):
+        for levels in combinations("FOP", size):
+            got = {tuple(r) for r in level_trend(df, "d", "level", levels=levels).collect()}
+            assert got == {r for r in every if r[1] in levels}
+            wide = level_wide(df, "d", "level", levels=levels)
+            assert wide.count() == 15 and wide.columns == ["month", *levels]
