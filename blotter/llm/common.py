@@ -36,16 +36,19 @@ def encoded(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+ROWS = 2048
+
+
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with a function from a pandas-free dict of Python lists to a dict of
-    columns, called once per Arrow batch (batches are bounded in rows and bytes by the
-    session's ``spark.sql.execution.arrow.max*PerBatch``)."""
+    columns, called once per ``ROWS`` rows at most (Arrow batches are bounded in rows and bytes by
+    the session's ``spark.sql.execution.arrow.max*PerBatch``, too widely for Python objects)."""
     arrow = arrow_schema(df.sparkSession, schema)
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                out = fn(batch.to_pydict())
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                out = fn(whole.slice(start, ROWS).to_pydict())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
@@ -58,7 +61,9 @@ def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-BITMAP_BITS = 24
+#: A bitmap has so many bits for each id, 2**MIN_BITS at least and 2**BITMAP_BITS (2**20 rows of two longs) at most.
+BITS_PER_ID = 16
+MIN_BITS, BITMAP_BITS = 16, 26
 
 
 def whole_row(df: DataFrame) -> Column:
@@ -69,9 +74,10 @@ def whole_row(df: DataFrame) -> Column:
 
 def _flagged(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     """``__row, __id, __maybe`` for each row of ``df``: false only if its ``on`` is surely not in the
-    one column of ``ids``, by a hashed bitmap of at most 2**BITMAP_BITS bits (so a broadcast of
-    bounded size)."""
-    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITMAP_BITS))
+    one column of ``ids``, by a hashed bitmap sized by their number (at most 2**BITMAP_BITS bits, so a
+    broadcast of bounded size)."""
+    bits = min(BITMAP_BITS, max(MIN_BITS, (ids.count() * BITS_PER_ID).bit_length()))
+    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
     flag = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))
     bitmap = (ids.toDF("__id").select(spot(F.col("__id")).alias("__spot"))
               .select(F.shiftright("__spot", 6).alias("__word"), flag(F.col("__spot")).alias("__bit"))
@@ -83,18 +89,26 @@ def _flagged(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
 
 
 def among(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` whose ``on`` is in the one column of ``ids``.  The bitmap drops most other
-    rows before anything is shuffled; the semi-join behind it is exact."""
+    """The rows of ``df`` whose ``on`` is in the one column of ``ids`` (a written table, as it is read several
+    times).  The bitmap drops most other rows before anything is shuffled; the semi-join behind it is exact."""
     near = _flagged(df, ids, on).where("__maybe")
     return near.join(ids.toDF("__id"), "__id", "left_semi").select("__row.*")
 
 
-def without(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` whose ``on`` is null or not in the one column of ``ids``; only rows that
-    the bitmap could not clear are shuffled."""
+def without(df: DataFrame, ids: DataFrame, on: str = "doc_id", scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``df`` whose ``on`` is null or not in the one column of ``ids`` (a written table).
+
+    Rows that the bitmap clears pass; which others stay is found on their ids alone, and written, so that the
+    rows themselves are shuffled only where a second bitmap, of the few ids that stay, cannot clear them.
+    """
+    scratch = scratch or Scratch(df.sparkSession, "without")
     flagged = _flagged(df, ids, on)
-    rest = flagged.where("__maybe").join(ids.toDF("__id"), "__id", "left_anti")
-    return flagged.where("NOT __maybe").select("__row.*").unionAll(rest.select("__row.*"))
+    stay = scratch.write(flagged.where("__maybe AND __id IS NOT NULL").select("__id").distinct()
+                         .join(ids.toDF("__id"), "__id", "left_anti"))
+    rest = flagged.where("__maybe")
+    rest = rest.where("__id IS NULL").select("__row.*").unionAll(
+        among(rest.where("__id IS NOT NULL").select("__row", "__id"), stay, "__id").select("__row.*"))
+    return flagged.where("NOT __maybe").select("__row.*").unionAll(rest)
 
 
 # ---------------------------------------------------------------- shared intermediate tables

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import Scratch, among, encoded, id_and_text, map_batches, table
+from blotter.llm.common import Scratch, among, encoded, id_and_text, map_batches, table, without
 from blotter.llm.components import components
 
 HASHES = 320
@@ -248,8 +248,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, of: int = 1
     copied = scratch.write(known.select("digest", F.col("doc_id").alias("u")).join(copies, "digest")
                            .where("u != v").select("digest", "u", "v").distinct())
     copy_links = copied.select("u", "v").distinct()
-    # each digest goes on with its smallest id, and an id with its texts that are no copies
-    firsts = known.join(copied.select(F.col("u").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_anti")
+    # each digest goes on with its smallest id, and an id with its texts that are no copies; which rows
+    # those are is found on ids and digests alone (``pair`` holds both)
+    pair = lambda doc_id: F.concat("digest", F.unhex(F.lpad(F.hex(doc_id), 16, "0"))).alias("pair")
+    dropped = scratch.write(copied.select(pair("u")))
+    firsts = without(known.withColumn("pair", pair("doc_id")), dropped, "pair", scratch)
     banded = firsts.select("doc_id", F.explode("bands").alias("key"))
     shared = (banded.groupBy("key").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("members"))
               .where("members > 1"))

@@ -212,8 +212,9 @@ def simhash_duplicates(docs: DataFrame, words: int = 4, distance: int = DISTANCE
     distinct = scratch.write(known.groupBy("fp").agg(F.min("doc_id").alias("rep")))
 
     # an id with several fingerprints joins what stands for them
-    several = known.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a != b")
-    own = (among(known, several.select("doc_id")).distinct().join(distinct, "fp")
+    several = scratch.write(known.groupBy("doc_id").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
+                            .where("a != b").select("doc_id"))
+    own = (among(known, several).distinct().join(distinct, "fp")
            .select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
 
     index = variants(distinct)
@@ -222,7 +223,7 @@ def simhash_duplicates(docs: DataFrame, words: int = 4, distance: int = DISTANCE
     if large.isEmpty():
         links = links.unionAll(_in_runs(index, distance))
     else:
-        links = (links.unionAll(_in_runs(without(index, large.select("key"), "key"), distance))
+        links = (links.unionAll(_in_runs(without(index, large.select("key"), "key", scratch), distance))
                  .unionAll(_large(index, large, distance, scratch)))
     links = scratch.write(links.distinct())
     label = components(links, scratch)

@@ -18,7 +18,7 @@ from blotter.llm.common import encoded
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-CACHED_WORDS = 500_000  # per Python worker; the cache starts afresh beyond it
+CACHED_WORDS = 500_000  # per Python worker, in two generations; the older one goes when the newer is full
 
 
 def public_path(name: str = TOKENIZER) -> str:
@@ -40,6 +40,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.separator = np.frombuffer(self._alone(SEPARATOR), "<u4")
         self.stops = {stop: self._alone(stop) for stop in (b".", b",", b";", b":", b"!", b"?")}
 
@@ -88,11 +89,14 @@ class Encoder:
             words = group[0]
             return [b"".join(self._encode_words([words[i:i + step]])[0]
                              for i in range(0, len(words), step))]
-        new = set().union(*group).difference(self.cache)
-        if len(new) + len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-            new = set().union(*group)
-        if new:
+        used = set().union(*group)
+        new = used.difference(self.cache)
+        if len(new) + len(self.cache) > CACHED_WORDS // 2:
+            self.older, self.cache = self.cache, {}
+            new = used
+        kept = new.intersection(self.older)
+        self.cache.update(zip(kept, map(self.older.__getitem__, kept)))
+        if new := new.difference(kept):
             self._learn(new)
         return [b"".join(map(self.cache.__getitem__, words)) for words in group]
 
