@@ -34,21 +34,46 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates (five-word shingles, similarity 0.8): the one with the
     smallest id.  Of equal rows (id and text) one stays.  Different texts of a repeated id are
-    compared like different documents; all but the one that sorts first come after all ids."""
+    compared like different documents; all but the one that sorts first come after all ids.  Ids may
+    be any longs; rows with a null id pass, null and empty texts have no near-duplicates, texts of any
+    length are compared whole, and columns of any name are carried along."""
     scratch = Scratch(spark, "dedup-stage")
-    counts = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count()
+    counts = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).count()
     repeated = scratch.write(counts.where("count > 1").select("doc_id"))
-    once, again = without(docs, repeated), among(docs, repeated)
+    once, again = without(docs, repeated, scratch=scratch), among(docs, repeated)
     texts = (again.select(whole_row(again), F.col("doc_id").cast("long").alias("__id"),
                           F.col("text").cast("string").alias("__text")).dropDuplicates(["__id", "__text"]))
     first = F.row_number().over(Window.partitionBy("__id").orderBy("__text"))
-    top = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
-    key = F.when(F.col("__n") == 1, F.col("__id")).otherwise(F.lit(top + 1) + F.monotonically_increasing_id())
-    keyed = scratch.write(texts.withColumn("__n", first).select("__row", key.alias("__key"), "__text"))
+    numbered = scratch.write(texts.withColumn("__n", first))
+    keyed, later = _keyed(numbered, counts.select("doc_id"), scratch)
     both = id_and_text(once).unionAll(keyed.select("__key", "__text"))
-    classes = near_duplicates(both, words=5, part=80, of=100)
-    gone = scratch.write(classes.where("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct())
-    return without(once, gone).unionAll(without(keyed, gone, "__key").select("__row.*"))
+    classes = near_duplicates(both, words=5, part=80, of=100).where("doc_id IS NOT NULL")
+    if later.isEmpty():
+        gone = classes.where("NOT kept")
+    else:  # a later text's key is no id, so the first of a component is chosen anew
+        classes = scratch.write(classes.join(later.select(F.col("__key").alias("doc_id"), F.lit(1).alias("later")),
+                                             "doc_id", "left").select("doc_id", "component_id", F.coalesce(
+                                                 "later", F.lit(0)).alias("later")))
+        best = classes.groupBy("component_id").agg(F.min(F.struct("later", "doc_id")).alias("best"))
+        gone = classes.join(best, "component_id").where("doc_id != best.doc_id")
+    gone = scratch.write(gone.select("doc_id").distinct())
+    return without(once, gone, scratch=scratch).unionAll(without(keyed, gone, "__key", scratch).select("__row.*"))
+
+
+def _keyed(numbered: DataFrame, ids: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``numbered`` with a ``__key`` of its own for every text: the id for the first of an id, for a later one a
+    hash that is no id and no other key (tried again with another salt until that holds), and these keys."""
+    salt = 0
+    while True:
+        key = F.when(F.col("__n") == 1, F.col("__id")).otherwise(F.xxhash64("__id", "__text", F.lit(salt)))
+        keyed = scratch.write(numbered.withColumn("__key", key))
+        later = scratch.write(keyed.where("__n > 1").select("__key"))
+        clash = (later.groupBy("__key").count().where("count > 1").select("__key")
+                 .unionAll(later.join(ids.toDF("__key"), "__key", "left_semi")))
+        if clash.isEmpty():
+            return keyed, later
+        scratch.drop(keyed, later)
+        salt += 1
 
 
 def surrogate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
