@@ -4,10 +4,12 @@
    slot.  Slots number the words of a block; between two pieces a slot stays free, so an adjacent
    position in the same piece is the next slot, and nothing else is.  Items point into the
    block's phrases.
-2. Group-count: a block counts its phrases, Spark sums the counts by language and phrase.
+2. Group-count: a block counts its phrases, Spark sums the counts, first by a hash of language and
+   phrase, as most phrases are rare and hashes are short, then by the phrases themselves where the hash
+   has the least number.  Phrases that share a hash only pass the first sum; the second is exact.
 3. Semi-join: occurrences of infrequent phrases leave their relation before it is extended.  The
-   frequent phrases reach the blocks as a hashed bitmap of bounded size; what it lets through by
-   mistake is counted exactly like the rest, and falls to the count.
+   frequent hashes reach the blocks as a bitmap of bounded size; what it lets through by mistake is
+   counted exactly like the rest, and falls to the count.
 4. Merge-join: two frequent phrases on adjacent slots of a block are an occurrence of the next length; both
    sides are sorted, so the join is one scan.  The new relation is written, and so on up to the
    longest length.
@@ -28,7 +30,9 @@ from blotter.llm.common import Scratch, arrow_schema, encoded, table
 
 SEED = 42
 BLOCK_WORDS = 1 << 16
-#: bits of the bitmap for each frequent phrase, and its size at most (2**26 bits are 8 MB)
+#: bits of a phrase's hash
+HASH_BITS = 40
+#: bits of the bitmap for each frequent hash, and its size at most (2**26 bits are 8 MB)
 BITS_PER_PHRASE = 32
 MAX_BITS = 26
 MIN_BITS = 12
@@ -126,41 +130,77 @@ def _texts(words: list[str], phrases: np.ndarray) -> list[str]:
     return list(map(" ".join, zip(*([words[i] for i in column] for column in phrases.T.tolist()))))
 
 
-def _counted(relation: DataFrame, length: int) -> DataFrame:
-    """Occurrences of each phrase, by language: summed in each block, then over all."""
-    schema = arrow_schema(relation.sparkSession, COUNTS)
+def _hashes(lang: str, words: list[str], phrases: np.ndarray) -> np.ndarray:
+    """A hash of ``HASH_BITS`` for each phrase, from the hashes of its words."""
+    from xxhash import xxh64_digest, xxh64_intdigest
+    seed = xxh64_intdigest(encoded(lang), SEED)
+    of_word = np.frombuffer(b"".join([xxh64_digest(encoded(w), seed) for w in words]), ">u8").astype(np.uint64)
+    h = np.zeros(len(phrases), np.uint64)
+    for column in phrases.T:
+        h = (h ^ of_word[column]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+
+def _hashed(relation: DataFrame, length: int, least: int) -> DataFrame:
+    """``key``: hashes whose phrases occur ``least`` times or more together."""
+    schema = pa.schema([("key", pa.int64()), ("f", pa.int64())])
 
     def run(batches):
         for lang, words, _, items, phrases in _unpacked(batches, length):
             counts = np.bincount(items, minlength=len(phrases))
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(lang, words, phrases)), pa.array(counts, pa.int64())],
+                                             schema=schema)
+
+    return (relation.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
+            .where(F.col("f") >= least).select("key"))
+
+
+def _counted(relation: DataFrame, length: int, maybe) -> DataFrame:
+    """Occurrences of each phrase whose hash ``maybe`` holds, by language: summed in each block, then
+    over all."""
+    schema = arrow_schema(relation.sparkSession, COUNTS)
+
+    def run(batches):
+        for lang, words, _, items, phrases in _unpacked(batches, length):
+            some = np.flatnonzero(maybe.value.has(_hashes(lang, words, phrases)))
+            counts = np.bincount(items, minlength=len(phrases))[some]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(phrases), pa.string()), pa.array(_texts(words, phrases), pa.string()),
+                [pa.array([lang] * len(some), pa.string()), pa.array(_texts(words, phrases[some]), pa.string()),
                  pa.array(counts, pa.int64())], schema=schema)
 
     return relation.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+def _totals(relation: DataFrame) -> DataFrame:
+    """``lang, n``: all word occurrences, from the relation of single words."""
+    schema = pa.schema([("lang", pa.string()), ("n", pa.int64())])
+
+    def run(batches):
+        for lang, _, _, items, _ in _unpacked(batches, 1):
+            yield _batch([(lang, len(items))], schema)
+
+    return relation.mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+
+
 class _Filter:
-    """Which phrases may be frequent: a hashed bitmap (no frequent one is ever missing)."""
+    """Which hashes may be frequent: a bitmap (no frequent one is ever missing)."""
 
     def __init__(self, words: np.ndarray, bits: int):
         self.words, self.bits = words, bits
 
-    def has(self, lang: str, phrases: list[str]) -> np.ndarray:
-        from xxhash import xxh64_digest, xxh64_intdigest
-        seed = xxh64_intdigest(encoded(lang), SEED)
-        hashes = np.frombuffer(b"".join([xxh64_digest(p.encode(), seed) for p in phrases]), ">u8")
-        spots = hashes.astype(np.uint64) & np.uint64((1 << self.bits) - 1)
-        return (self.words[(spots >> np.uint64(6)).astype(np.int64)] >> (spots & np.uint64(63)) & np.uint64(1)).astype(bool)
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        spots = keys & ((1 << self.bits) - 1)
+        return (self.words[spots >> 6] >> (spots & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
-def _filter(frequent: DataFrame, count: int) -> _Filter:
-    """The bitmap of ``lang, phrase``: sized by their number, at most 2**MAX_BITS bits.  Spark sets its
+def _filter(keys: DataFrame) -> _Filter:
+    """The bitmap of the ``key``s: sized by their number, at most 2**MAX_BITS bits.  Spark sets its
     bits; the driver gets the words that have any, two longs each."""
-    bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(1, count) * BITS_PER_PHRASE))))
-    spot = F.xxhash64("lang", "phrase").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(1, keys.count()) * BITS_PER_PHRASE))))
+    spot = F.col("key").bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
     flag = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("spot", F.lit(64)).cast("int"))
-    found = (frequent.select(spot.alias("spot")).select(F.shiftright("spot", 6).alias("word"), flag.alias("bit"))
+    found = (keys.select(spot.alias("spot")).select(F.shiftright("spot", 6).alias("word"), flag.alias("bit"))
              .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
     words = np.zeros(1 << (bits - 6), np.uint64)
     words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
@@ -174,7 +214,7 @@ def _extended(relation: DataFrame, maybe, length: int) -> DataFrame:
 
     def run(batches):
         for lang, words, slots, items, phrases in _unpacked(batches, length):
-            kept = maybe.value.has(lang, _texts(words, phrases))
+            kept = maybe.value.has(_hashes(lang, words, phrases))
             stay = kept[items]
             slots, items = slots[stay], items[stay]
             left = np.flatnonzero(np.diff(slots) == 1)
@@ -195,23 +235,20 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int, scratch: Scratch
     more, and ``lang, n`` with the number of all word occurrences."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     relation = scratch.write(_first(docs.select(lang.alias("lang"), F.col("text").cast("string").alias("text"))))
-    counts = scratch.write(_counted(relation, 1))
-    totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
+    totals = scratch.write(_totals(relation))
     found = []
     for length in range(1, longest + 1):
-        frequent = scratch.write(counts.where(F.col("f") >= least).withColumn("length", F.lit(length)))
-        found.append(frequent)
-        if length == longest:
-            break
-        spark = docs.sparkSession
-        maybe = spark.sparkContext.broadcast(_filter(frequent, frequent.count()))
-        longer = scratch.write(_extended(relation, maybe, length))
-        scratch.drop(relation)
-        relation, counts = longer, _counted(longer, length + 1)
+        keys = scratch.write(_hashed(relation, length, least))
+        maybe = docs.sparkSession.sparkContext.broadcast(_filter(keys))
+        counts = _counted(relation, length, maybe)
+        found.append(scratch.write(counts.where(F.col("f") >= least).withColumn("length", F.lit(length))))
+        longer = scratch.write(_extended(relation, maybe, length)) if length < longest else None
+        scratch.drop(keys, relation)
+        relation = longer
     out = found[0]
     for more in found[1:]:
         out = out.unionAll(more)
-    return out, scratch.write(totals)
+    return out, totals
 
 
 def phrases(docs: DataFrame, least: int = 30, longest: int = 4, top: int = 2000, inside: int = 80) -> DataFrame:

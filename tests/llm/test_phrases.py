@@ -118,9 +118,18 @@ def test_sql_agrees():
     assert sorted(cur.fetchall()) == sorted(plain(rows, 30, 4, 2000, 80))
 
 
-def test_bitmap_holds_every_frequent_phrase(spark):
-    pairs = [("en", f"w{i} é") for i in range(500)] + [("und", "a b")]
-    df = spark.createDataFrame(pairs, "lang string, phrase string")
-    maybe = module._filter(df, len(pairs))
-    assert maybe.has("en", [p for lang, p in pairs if lang == "en"]).all() and maybe.has("und", ["a b"]).all()
-    assert np.mean(maybe.has("en", [f"other {i}" for i in range(2000)])) < .1
+def test_bitmap_holds_every_frequent_hash(spark):
+    words = [f"w{i} é" for i in range(3000)]
+    keys = module._hashes("en", words, np.arange(3000).reshape(-1, 1))
+    assert len(set(keys.tolist())) == 3000 and keys.min() >= 0
+    maybe = module._filter(spark.createDataFrame([(int(k),) for k in keys[:500]], "key long"))
+    assert maybe.has(keys[:500]).all() and maybe.has(keys[500:]).mean() < .1
+    pairs = np.array([[1, 2], [2, 1], [1, 1]])
+    assert len(set(module._hashes("en", words, pairs).tolist())) == 3
+    assert module._hashes("fr", words, pairs)[0] != module._hashes("en", words, pairs)[0]
+
+
+def test_shared_hashes_only_cost_time(spark, monkeypatch):
+    monkeypatch.setattr(module, "HASH_BITS", 7)
+    rows = corpus(6)
+    assert run(spark, rows, least=3) == sorted(plain(rows, 3, 4, 2000, 80))
