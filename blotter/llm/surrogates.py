@@ -15,12 +15,18 @@ Only documents with an entity are joined with the units' surrogates; the others
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.llm.common import Scratch, table
 
-KEY = "change-me"   # callers pass a secret of their own
+#: The session's setting that holds the secret key, and the key of demonstrations and tests without one.
+KEY_SETTING = "spark.blotter.surrogates.key"
+DEMO_KEY = "demonstration only"
+#: Attempts after which a kind counts as one that has no surrogate left.
+ATTEMPTS = 64
 
 # fixed values: given names that surrogates are taken from
 GIVEN_MALE = ("James", "Robert", "Michael", "William", "David", "Joseph", "Charles", "Daniel", "Matthew", "Mark",
@@ -64,8 +70,18 @@ TITLES = ("Dr", "Prof", "Rev", "Doctor", "Professor", "Doktor", "Docteur", "Prof
 FAMILY = ("Walker", "Bennett", "Carver", "Dalton", "Ellison", "Fletcher", "Grady", "Holloway", "Jensen", "Keller",
           "Lambert", "Mercer", "Norwood", "Osborne", "Prescott", "Quigley", "Radford", "Sawyer", "Tilden", "Vaughn")
 
+#: What stands before a secret belongs to the mention, and stays.  A number near the word for a card takes the
+#: blank before it along, which tells it from other long numbers: those need a check digit.
+_SECRET = r"(?i:password|passwd|secret|token|api.?key)[\w-]*+[\"']?\s*+[=:]\s*+[\"']?"
+_BEARER = r"(?i:bearer)\s++"
+_HEAD = r"^(?:" + _SECRET + "|" + _BEARER + r"|[\s;,:](?=\d))"
+_CARD = r"\d(?:[ -]?\d){12,18}(?!\d)"
+_CARD_WORD = r"(?<=(?i:card|karte|carte|tarjeta|visa)[^\n]{0,60})"
+_PHONE_WORD = r"(?<=(?i:phone|tel|tél|call|mobile|fax|handy)[^\d\n]{0,12})"
+_GROUP = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_NAME = r"\p{Lu}(?=[\p{L}'’-])\p{L}{0,80}+(?:['’-](?![sS](?!\p{L}))\p{L}{1,80}+){0,4}"  # without a genitive's end
+_PART = r"(?:['’-](?![sS](?!\p{L}))\p{L}++)"  # without a genitive's end
+_NAME = r"\p{Lu}(?=[\p{L}'’-])\p{L}*+(?:" + _PART + r"{8}[\p{L}'’-]*+|" + _PART + "{0,7})"
 _SEP = r"[ .-]?"
 _TITLE = r"(?:Mr|Mrs|Ms|Mme|Mlle|Dr|Prof|Rev|Δρ)\.? |(?:" + "|".join(TITLES_MALE + TITLES_FEMALE + TITLES) + ") "
 
@@ -79,10 +95,10 @@ def _one_of(names: tuple[str, ...]) -> str:
 _GIVEN = _one_of(GIVEN_MALE + GIVEN_FEMALE + MORE_MALE + MORE_FEMALE)
 #: alternatives are tried at every character, so each begins with a cheap test of the next one
 PATTERN = "|".join((
-    r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,8}(?<!-)",
+    r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?=\.[\p{L}\p{N}-])[\p{L}\p{N}.-]*[\p{L}\p{N}]",
     r"(?=AKIA)(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    r"(?<=[\s=:\"'])(?=[A-Za-z0-9+/_-]{8})(?<=[=:]\s{0,3}[\"']?)(?<=(?i:password|passwd|secret|token|api.?key)"
-    r"\s{0,3}[=:]\s{0,3}[\"']?)(?=[+/_-]*+[A-Za-z0-9])[A-Za-z0-9+/_-]{8,}+",
+    r"(?=[pPsStTaA])" + _SECRET + r"(?=[+/_-]*+[A-Za-z0-9])[A-Za-z0-9+/_-]{8,}+(?![\w.%+-]*+@)",
+    r"(?=[bB])" + _BEARER + r"(?=[A-Za-z+/_.=-]*+\d)[A-Za-z0-9+/_.=-]{8,}+",
     r"(?=[0-9a-f]{32})(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])",
     r"(?=[0-9+(])(?:" + "|".join((
         r"(?<![\d.])" + _OCTET + r"(?:\." + _OCTET + r"){3}(?!\.?\d)",
@@ -90,7 +106,11 @@ PATTERN = "|".join((
         r"(?<![\w+])\+\d{1,3}" + _SEP + r"\(?\d{2,4}\)?" + _SEP + r"\d{2,4}(?:" + _SEP + r"\d{2,4}){1,3}(?!\d)",
         r"(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)",
         r"(?<![\w-])\d{3}-\d{3}-\d{4}(?![\d-])",
-        r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\d)")) + ")",
+        r"(?<![\w.-])" + _PHONE_WORD + r"(?:\d{10}|\d{3} \d{3} \d{4})(?![\d-])",
+        r"(?<![\w.:])" + _CARD)) + ")",
+    r"(?=[\s;,:]\d)" + _CARD_WORD + r"[\s;,:]" + _CARD,
+    r"(?=" + _GROUP + r":)(?<![\w:.])(?:(?:" + _GROUP + ":){7}" + _GROUP + "|(?:" + _GROUP + ":){2,6}(?::" + _GROUP
+    + r"){1,5})(?![\w:])",
     r"(?=[A-Z]{2}\d)(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     r"(?=\p{Lu}\p{L})(?<!\p{L})(?:" + _TITLE + "){1,3}" + _NAME + "(?: " + _NAME + ")?",
     r"(?=\p{Lu}[\p{L}-]+ \p{Lu})(?<!\p{L})" + _GIVEN + " " + _NAME,
@@ -125,6 +145,15 @@ def _lit(text: str) -> Column:
     return F.lit(text)
 
 
+def _hmac(key: str, *parts: Column) -> Column:
+    """HMAC-SHA-512 of the parts under the key, as hexadecimal digits."""
+    raw = key.encode()
+    block = (hashlib.sha512(raw).digest() if len(raw) > 128 else raw).ljust(128, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+    message = F.concat_ws("\x1f", *parts).cast("binary")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 512))), 512)
+
+
 def _number(digest: Column, i: Column) -> Column:
     """A number below 4096 from the digest, for position ``i`` (from 0)."""
     return F.conv(F.substring(digest, F.pmod(i * 3, F.lit(126)).cast("int") + 1, F.lit(3)), 16, 10).cast("int")
@@ -184,11 +213,24 @@ def _name(kind: Column, token: Column, digest: Column, attempt: Column) -> Colum
 
 def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a unit at an attempt, in canonical form."""
-    digest = F.sha2(F.concat_ws("\x1f", _lit(key), kind, unit, attempt.cast("string")).cast("binary"), 512)
+    host = _host(unit)
+    return _let(_hmac(key, kind, unit, attempt.cast("string")), lambda digest: _let(
+        _hmac(key, _lit("domain"), host), lambda of_domain: _surrogate(kind, unit, attempt, digest, of_domain)))
+
+
+def _host(unit: Column) -> Column:
+    """A mail address's domain without its last label."""
     domain = F.substring_index(unit, "@", -1)
-    labels = F.substring_index(domain, ".", -1)
-    host = F.substring(domain, F.lit(1), F.length(domain) - F.length(labels) - 1)
-    of_domain = F.sha2(F.concat_ws("\x1f", _lit(key), _lit("domain"), host).cast("binary"), 512)
+    return F.substring(domain, F.lit(1), F.length(domain) - F.length(F.substring_index(domain, ".", -1)) - 1)
+
+
+def _let(value: Column, expression) -> Column:
+    """``expression(value)`` with the value computed once, though functions of an array's elements use it."""
+    return F.get(F.transform(F.array(value), expression), F.lit(0))
+
+
+def _surrogate(kind: Column, unit: Column, attempt: Column, digest: Column, of_domain: Column) -> Column:
+    host, labels = _host(unit), F.substring_index(unit, ".", -1)
     # units of few letters get longer, so that later attempts cannot run out of surrogates
     more = _mapped(F.repeat(_lit("a"), F.floor(attempt / 4).cast("int")), F.reverse(digest))
     mail = F.concat(_mapped(F.substring_index(unit, "@", 1), digest), more, _lit("@"), _mapped(host, of_domain), _lit("."), labels)
@@ -197,7 +239,7 @@ def surrogate(kind: Column, unit: Column, attempt: Column, key: str) -> Column:
     return (F.when(kind == "email", mail).when(kind == "ip", octets)
             .when(kind == "card", _card(unit, digest)).when(kind == "phone", _mapped(unit, digest, keep=1))
             .when(kind == "access_key", _mapped(unit, digest, keep=4)).when(kind == "iban", _mapped(unit, digest, keep=2))
-            .when(kind == "hex", _mapped(unit, digest, _HEX))
+            .when(kind.isin("hex", "ipv6"), _mapped(unit, digest, _HEX))
             .when(kind.isin("given_male", "given_female", "family"), _name(kind, unit, digest, attempt))
             .when(kind == "secret", F.concat(_mapped(unit, digest), more)).otherwise(_mapped(unit, digest)))
 
@@ -206,12 +248,26 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def _kind(m: Column) -> Column:
+def _body(m: Column) -> Column:
+    """The mention without what stands before a secret or a card number."""
+    return F.regexp_replace(m, _HEAD, "")
+
+
+def _kind(mention: Column) -> Column:
+    """The kind of a mention; ``number`` is a long number that is no card: it stays as it is."""
+    return _let(_body(mention), lambda m: _kind_of(mention, m))
+
+
+def _kind_of(mention: Column, m: Column) -> Column:
+    card = (F.length(mention) > F.length(m)) | (_luhn_sum(_digits(m)) % 10 == 0)
     return (F.when(m.contains("@"), "email").when(m.rlike("^AKIA[0-9A-Z]{16}$"), "access_key")
             .when(m.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), "ip").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(m.rlike(r"^(?:\+\d|\(\d|\d{3}-\d{3}-\d{4}$)[\d .()-]*$") & (F.length(_digits(m)) >= 7), "phone").when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), "card")
+            .when(m.rlike(r"^(?:\+\d|\(\d|\d{3}-\d{3}-\d{4}$|\d{10}$|\d{3} \d{3} \d{4}$)[\d .()-]*$")
+                  & (F.length(_digits(m)) >= 7), "phone")
+            .when(m.rlike(r"^\d(?:[ -]?\d){12,18}$"), F.when(card, "card").otherwise("number"))
             .when(m.rlike("^[0-9a-f]{8,}$"), "hex")
             .when(m.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]{12,}$"), "iban")
+            .when(m.rlike("^[0-9A-Fa-f:]+$") & m.contains(":"), "ipv6")
             .when(m.rlike(r"^\p{Lu}[\p{Ll}-]+\.? \p{Lu}"), "person").otherwise("secret"))
 
 
@@ -245,28 +301,37 @@ def _alone(m: Column, names: Column) -> Column:
 
 
 def _units(m: Column) -> Column:
-    """The units of a mention: one, or for a person one for each name."""
+    """The units of a mention: one, for a person one for each name, for a plain number none."""
     names = F.split(F.regexp_replace(m, _TITLE_END, ""), " ")
     given = F.when(_male(m), "given_male").otherwise("given_female")
     person = F.transform(names, lambda n, i: F.struct(
         F.when((i == 0) & (F.size(names) > 1), given).otherwise("family").alias("kind"), F.initcap(n).alias("unit")))
-    kind = _kind(m)
-    unit = (F.when(kind == "email", F.lower(m)).when(kind.isin("card", "phone", "ssn"), _digits(m))
-            .when(kind == "iban", F.regexp_replace(m, " ", "")).otherwise(m))
-    return F.when(kind == "person", person).otherwise(F.array(F.struct(kind.alias("kind"), unit.alias("unit"))))
+    def of(kind: Column, body: Column) -> Column:
+        unit = (F.when(kind.isin("email", "ipv6"), F.lower(body)).when(kind.isin("card", "phone", "ssn"), _digits(body))
+                .when(kind == "iban", F.regexp_replace(body, " ", "")).otherwise(body))
+        none = F.array().cast("array<struct<kind:string,unit:string>>")
+        return (F.when(kind == "person", person).when(kind == "number", none)
+                .otherwise(F.array(F.struct(kind.alias("kind"), unit.alias("unit")))))
+
+    return _let(_body(m), lambda body: _let(_kind_of(m, body), lambda kind: of(kind, body)))
 
 
 def _filled(m: Column, fresh: Column, holes: str) -> Column:
-    """The mention with its characters of the class ``holes`` taken from ``fresh`` one by one, in
-    the mention's letter case; what a longer ``fresh`` has left follows."""
+    """The mention with its characters of the class ``holes`` taken from ``fresh`` one by one (for
+    short mentions: each character counts the holes before it)."""
     def one(i: Column) -> Column:
         c = F.substring(m, i, F.lit(1))
         nth = F.length(F.regexp_replace(F.substring(m, F.lit(1), i), f"[^{holes}]", ""))
-        new = F.substring(fresh, nth, F.lit(1))
-        return F.when(~c.rlike(f"[{holes}]"), c).when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new)
+        return F.when(c.rlike(f"[{holes}]"), F.substring(fresh, nth, F.lit(1))).otherwise(c)
+
+    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), one), "")
 
-    filled = F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), one), "")
-    return F.concat(filled, F.substring(fresh, F.length(m) + 1, F.length(fresh)))
+
+def _in_case(m: Column, fresh: Column) -> Column:
+    """``fresh`` in the mention's letter case, character by character in one pass; it may be longer."""
+    pairs = F.arrays_zip(F.split(m, "").alias("old"), F.split(fresh, "").alias("new"))
+    return F.array_join(F.transform(pairs, lambda p: F.when(p["old"].rlike(r"\p{Lu}"), F.upper(p["new"]))
+                                    .otherwise(p["new"])), "")
 
 
 def _written(m: Column, names: Column, fresh_of) -> Column:
@@ -278,16 +343,19 @@ def _written(m: Column, names: Column, fresh_of) -> Column:
 
 
 def _written_whole(m: Column, fresh_of) -> Column:
-    units = _units(m)
-    kind = _kind(m)
-    first = units.getItem(0)
-    fresh = fresh_of(first["kind"], first["unit"])
-    names = F.array_join(F.transform(units, lambda u: fresh_of(u["kind"], u["unit"])), " ")
-    person = F.concat(F.regexp_extract(m, _TITLE_END, 0), names)
-    return (F.when(kind == "person", F.when(m == F.upper(m), F.upper(person)).otherwise(person))
-            .when(kind.isin("card", "phone", "ssn"), _filled(m, fresh, "0-9"))
-            .when(kind == "iban", _filled(m, fresh, "A-Z0-9"))
-            .when(kind == "email", _filled(m, fresh, r"\s\S")).otherwise(fresh))
+    def of(kind: Column, body: Column, units: Column, fresh: Column) -> Column:
+        names = F.array_join(F.transform(units, lambda u: fresh_of(u["kind"], u["unit"])), " ")
+        person = F.concat(F.regexp_extract(m, _TITLE_END, 0), names)
+        return (F.when(kind == "person", F.when(m == F.upper(m), F.upper(person)).otherwise(person))
+                .when(kind == "number", m)
+                .otherwise(F.concat(F.regexp_extract(m, _HEAD, 0), F.when(
+                    kind.isin("card", "phone", "ssn"), _filled(body, fresh, "0-9"))
+                    .when(kind == "iban", _filled(body, fresh, "A-Z0-9"))
+                    .when(kind == "email", _in_case(body, fresh)).otherwise(fresh))))
+
+    first = lambda units: F.get(units, F.lit(0))
+    return _let(_body(m), lambda body: _let(_kind_of(m, body), lambda kind: _let(_units(m), lambda units: _let(
+        fresh_of(first(units)["kind"], first(units)["unit"]), lambda fresh: of(kind, body, units, fresh)))))
 
 
 def _assigned(units: DataFrame, key: str, scratch: Scratch) -> DataFrame:
@@ -295,11 +363,15 @@ def _assigned(units: DataFrame, key: str, scratch: Scratch) -> DataFrame:
 
     Each round looks for units that must try again: of several with one surrogate all but the
     first (those settled earlier come first), and those whose surrogate is a unit of the table.
-    Only the number of such units comes to the driver.
+    Only the number of such units comes to the driver.  Each has surrogates beyond any number of attempts but
+    for the kinds of fixed length; a table that holds nearly all numbers of a length has none left, which is
+    an error after ``ATTEMPTS``.  Units are few bytes of costly work, so they are dealt over a given number of
+    tasks, which Spark does not merge.
     """
-    now = scratch.write(units.withColumn("attempt", F.lit(0))
+    tasks = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    now = scratch.write(units.repartition(tasks, "kind", "unit").withColumn("attempt", F.lit(0))
                         .withColumn("fresh", surrogate(F.col("kind"), F.col("unit"), F.lit(0), key)))
-    while True:
+    for _ in range(ATTEMPTS):
         rank = F.row_number().over(Window.partitionBy("kind", "fresh").orderBy("attempt", "unit"))
         own = units.select("kind", F.col("unit").alias("fresh"), F.lit(True).alias("taken"))
         marked = (now.withColumn("n", rank).join(own, ["kind", "fresh"], "left")
@@ -308,22 +380,32 @@ def _assigned(units: DataFrame, key: str, scratch: Scratch) -> DataFrame:
         following = scratch.write(marked.select("kind", "unit", attempt.alias("attempt"), F.when(
             F.col("again"), surrogate(F.col("kind"), F.col("unit"), attempt, key)).otherwise(F.col("fresh")).alias("fresh"),
             "again"))
-        open_ = following.where("again").count()
+        open_ = following.where("again").groupBy("kind").count().collect()
         scratch.drop(now)
         now = following.drop("again")
         now._scratch_path = following._scratch_path
         if not open_:
             return now.select("kind", "unit", "fresh")
+    raise ValueError("no surrogates are left for: " + ", ".join(f"{r['count']} of kind {r['kind']}" for r in open_))
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's ``KEY_SETTING``; without one that of demonstrations."""
+    return spark.conf.get(KEY_SETTING, None) or DEMO_KEY
 
 
-def replace_personal_data(docs: DataFrame, key: str = KEY, entities: str | None = None) -> DataFrame:
+def replace_personal_data(docs: DataFrame, key: str, entities: str | None = None) -> DataFrame:
     """All rows and columns of ``docs`` with the personal data in ``text`` replaced.
 
-    ``entities`` names a column to add (or to replace) with an array of ``kind, surrogate`` in
+    ``key`` is a secret: whoever has it can tell whether a guess belongs to a surrogate (HMAC-SHA-512).  ``entities`` names a column to add (or to replace) with an array of ``kind, surrogate`` in
     text order.  A null text stays null; a text without an entity is unchanged to the byte.
     Repeated rows get equal texts and null ids are treated like any other; an empty table gives an
-    empty one.  Columns of any other name are carried along.
+    empty one.  A text of any length is read whole, in time that grows with its length.  Of overlapping entities the
+    one that begins first counts, of two at one place the first in ``PATTERN``.  Columns of any other name
+    are carried along.
     """
+    if not key:
+        raise ValueError("surrogates need a secret key")
     scratch = Scratch(docs.sparkSession, "surrogates")
     names = docs.columns
     rest = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"])
@@ -348,13 +430,15 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, entities: str | None
             .agg(F.map_from_entries(F.collect_list(F.struct(place, "fresh"))).alias("fresh")))
 
     look = lambda kind, unit: F.element_at(F.col("fresh"), F.concat_ws("\x1f", kind, unit))
-    done = (touched.join(maps, "id")
+    done = (touched.join(maps, "id", "left")  # a text may hold plain numbers alone
             .withColumn("new", F.transform("mentions", lambda m: _written(m, F.col("names"), look)))
             .withColumn("between", F.when(named, F.split("text", pattern, -1)).otherwise(F.split("text", PATTERN, -1))))
     joined = F.array_join(F.transform(F.sequence(F.lit(0), F.size("between") - 1), lambda i: F.concat(
         F.get("between", i), F.coalesce(F.get("new", i), _lit("")))), "")
     listed = F.transform("mentions", lambda m, i: F.struct(
-        F.when(_alone(m, F.col("names")), "person").otherwise(_kind(m)).alias("kind"), F.get("new", i).alias("surrogate")))
+        F.when(_alone(m, F.col("names")), "person").otherwise(_kind(m)).alias("kind"),
+        F.regexp_replace(F.get("new", i), _HEAD, "").alias("surrogate")))
+    listed = F.filter(listed, lambda e: e["kind"] != "number")
     done = done.select("__row", joined.alias("__text"), listed.alias("__list"))  # no name of docs among these
     empty = F.array().cast("array<struct<kind:string,surrogate:string>>")
     kept = held.where(~F.coalesce(hint & F.col("text").rlike(PATTERN), F.lit(False)))
@@ -370,6 +454,6 @@ def replace_personal_data(docs: DataFrame, key: str = KEY, entities: str | None
 def op2_surrogates(spark, sf_dir: str) -> DataFrame:
     """All documents with their personal data replaced, and what was put in."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = replace_personal_data(docs, entities="entities")
+    done = replace_personal_data(docs, session_key(spark), entities="entities")
     return done.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"),
                        F.array_join(F.transform("entities", lambda e: e["kind"]), ",").alias("kinds"))
