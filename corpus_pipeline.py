@@ -16,7 +16,7 @@ from blotter.llm.minhash import near_duplicates
 from blotter.llm.mixing import mixture, placements
 from blotter.llm.packing import pack
 from blotter.llm.quality_rules import kept_documents
-from blotter.llm.surrogates import replace_personal_data
+from blotter.llm.surrogates import replace_personal_data, session_key
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -77,8 +77,9 @@ def _keyed(numbered: DataFrame, ids: DataFrame, scratch: Scratch) -> tuple[DataF
 
 
 def surrogate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by keyed surrogates."""
-    return _recounted(replace_personal_data(docs))
+    """Personal data replaced by surrogates under the session's key.  All rows stay, null ids and equal rows
+    too; null and empty texts stay as they are, long ones are read whole."""
+    return _recounted(replace_personal_data(docs, session_key(spark)))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
