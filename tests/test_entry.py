@@ -3,6 +3,9 @@ DuckDB oracle on the smallest driver tables."""
 
 import math
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -54,3 +57,17 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _bag(df.columns, df.collect()) == _bag(dcols, cur.fetchall())
+
+
+@pytest.mark.parametrize("left_over", [False, True])
+def test_entry_without_the_training_data_subpackage(tmp_path, left_over):
+    """Also where an empty folder is left of it, which Python takes for a namespace package."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(os.path.join(root, "blotter"), tmp_path / "blotter", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    if left_over:
+        (tmp_path / "blotter" / "llm" / "__pycache__").mkdir(parents=True)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+                         env=os.environ | {"PYTHONPATH": str(tmp_path)}, check=True).stdout.split()
+    assert out == [str(len(registry.queries())), str(len(registry.oracle_sql()))]
