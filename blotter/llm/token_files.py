@@ -64,8 +64,9 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     documents before it, ``ids`` are little-endian uint32 bytes.  A damaged block raises."""
     frames = spark.read.schema(FRAMES).parquet(path)
     before = Window.orderBy("part", "frame").rowsBetween(Window.unboundedPreceding, -1)
+    # the frames are joined with their places, one row a frame, before any is decoded
     places = frames.select("part", "frame", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("before"))
-    decoded = "part long, frame long, doc_id long, start long, ids binary"
+    decoded = "doc_id long, start long, ids binary"
     schema = arrow_schema(spark, decoded)
 
     def run(batches):
@@ -75,18 +76,17 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 flat = idcoder.decode(row["coded"]).astype("<u4")
                 ends = np.cumsum(row["lengths"])
                 starts = ends - row["lengths"]
+                first = row["before"]
                 blob = flat.tobytes()
                 n = len(ends)
                 for at in range(0, n, 4096):
                     some = range(at, min(n, at + 4096))
-                    cols = ([row["part"]] * len(some), [row["frame"]] * len(some), row["doc_ids"][at:at + 4096],
-                            starts[at:at + 4096].tolist(), [blob[4 * starts[k]:4 * ends[k]] for k in some])
+                    cols = (row["doc_ids"][at:at + 4096], (starts[at:at + 4096] + first).tolist(), [blob[4 * starts[k]:4 * ends[k]] for k in some])
                     yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)],
                                                      schema=schema)
 
-    return (frames.select("part", "frame", "doc_ids", "lengths", "coded").mapInArrow(run, decoded)
-            .join(places, ["part", "frame"])
-            .select("doc_id", (F.col("before") + F.col("start")).alias("start"), "ids"))
+    return (frames.join(places, ["part", "frame"]).select("before", "doc_ids", "lengths", "coded")
+            .mapInArrow(run, decoded))
 
 
 def op8_token_files(spark, sf_dir: str) -> DataFrame:
