@@ -96,12 +96,40 @@ class Model:
 def best_path(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int, int]]:
     """Spans ``(first word, end, language)`` of the best path; ties go to staying and to the
     earlier language."""
+    return best_paths([scores], switch)[0]
+
+
+#: So many of a batch's longest texts are walked one by one: numpy's steps pay for several texts at once.
+ALONE = 6
+
+
+def best_paths(texts: list[np.ndarray], switch: float = SWITCH) -> list[list[tuple[int, int, int]]]:
+    """The best path of each text.
+
+    A text in which no run of words gains more than half the penalty in another language than its
+    best one has a single span.  The others are walked word by word, all at the same position in one step
+    of numpy, longest first, so that the texts that go on are always the first ones."""
+    out: list = [_one_span(scores, switch) for scores in texts]
+    open_ = sorted((i for i, spans in enumerate(out) if spans is None), key=lambda i: -len(texts[i]))
+    for i in open_[:ALONE]:
+        out[i] = _spans(_walk(texts[i], switch))
+    if rest := open_[ALONE:]:
+        for i, path in zip(rest, _walk_together([texts[i] for i in rest], switch)):
+            out[i] = _spans(path)
+    return out
+
+
+def _one_span(scores: np.ndarray, switch: float) -> list[tuple[int, int, int]] | None:
     total = scores.sum(axis=0, dtype=np.float64)
     top = int(total.argmax())
     gain = np.cumsum(scores - scores[:, [top]], axis=0, dtype=np.float64)
     gain = np.concatenate([np.zeros((1, scores.shape[1])), gain])
     if (gain - np.minimum.accumulate(gain, axis=0)).max() <= switch / 2:
         return [(0, len(scores), top)]
+    return None
+
+
+def _walk(scores: np.ndarray, switch: float) -> np.ndarray:
     langs = range(scores.shape[1])
     now, back = scores[0].tolist(), []
     for row in scores[1:].tolist():
@@ -115,7 +143,36 @@ def best_path(scores: np.ndarray, switch: float = SWITCH) -> list[tuple[int, int
     for step in reversed(back):
         at = step[at]
         path.append(at)
-    path = np.array(path[::-1])
+    return np.array(path[::-1])
+
+
+def _walk_together(texts: list[np.ndarray], switch: float) -> list[np.ndarray]:
+    """``_walk`` of texts that come by falling length."""
+    sizes = np.array([len(t) for t in texts])
+    first = np.cumsum(sizes) - sizes
+    scores = np.concatenate(texts).astype(np.float64)
+    langs = np.arange(scores.shape[1])
+    back = np.zeros(scores.shape, np.int32)
+    going = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # texts longer than each position
+    now = scores[first]
+    for t in range(1, sizes[0]):
+        n = going[t]
+        at, before = first[:n] + t, now[:n]
+        moved = before.max(axis=1, keepdims=True) - switch
+        stay = before >= moved
+        back[at] = np.where(stay, langs, before.argmax(axis=1)[:, None])
+        now[:n] = np.where(stay, before, moved) + scores[at]
+    state = now.argmax(axis=1)
+    path = np.empty(len(scores), np.int64)
+    path[first + sizes - 1] = state
+    for t in range(sizes[0] - 1, 0, -1):
+        n = going[t]
+        state[:n] = back[first[:n] + t, state[:n]]
+        path[first[:n] + t - 1] = state[:n]
+    return np.split(path, first[1:])
+
+
+def _spans(path: np.ndarray) -> list[tuple[int, int, int]]:
     cuts = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
     return [(a, b, int(path[a])) for a, b in zip(cuts, cuts[1:])]
 
@@ -149,7 +206,8 @@ def languages(docs: DataFrame, learn_from: DataFrame, rows_per_lang: int = ROWS_
     its posterior over the whole text.  A text that is null or has no letter is ``und`` with
     score 0 and no spans, and so is every text if there is nothing to learn from.  Rows of
     ``learn_from`` (``doc_id, text, lang``) without a language or text teach nothing.  Repeated
-    rows and null ids are labelled like any other; other columns are not read.
+    rows and null ids are labelled like any other; a text of any length is read whole; ties go to
+    the language that comes first by code point; other columns are not read.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shared = source.sparkSession.sparkContext.broadcast(  # a table of fixed size a language
@@ -165,16 +223,17 @@ def languages(docs: DataFrame, learn_from: DataFrame, rows_per_lang: int = ROWS_
             split = [encoded(t).split() if model is not None and t and _LETTER.search(t) else None for t in some]
             if model is not None:
                 state["words"].learn([w for w in split if w])
+            known = state.get("words")
+            scored = [known.rows[known.numbers(words)] for words in split if words is not None]
+            paths = iter(zip(scored, best_paths(scored, switch)))
             for words in split:
-                one(words, model, out)
+                one(next(paths) if words is not None else None, model, out)
         return out
 
-    def one(words, model, out):
+    def one(walked, model, out):
         lang, score, spans = UNKNOWN, 0.0, []
-        if words is not None:
-            known = state["words"]
-            scores = known.rows[known.numbers(words)]
-            path = best_path(scores, switch)
+        if walked is not None:
+            scores, path = walked
             spoken = np.append(0, np.cumsum((scores != 0).any(axis=1) if len(model.langs) > 1
                                             else np.ones(len(scores), bool)))
             share = np.zeros(len(model.langs))

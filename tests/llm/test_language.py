@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from blotter.llm.language import UNKNOWN, best_path, languages, script_of
+from blotter.llm.language import UNKNOWN, _spans, _walk, best_path, best_paths, languages, script_of
 
 
 def path_score(scores, path, switch):
@@ -77,3 +77,19 @@ def test_nothing_to_learn_from(docs_of):
     assert languages(docs_of([]), docs.withColumn("lang", F.lit("x"))).count() == 0
     one = languages(docs, docs.withColumn("lang", F.lit("x"))).collect()
     assert {r.doc_id: r.lang_pred for r in one} == {1: "x", 2: UNKNOWN}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_texts_walked_together_equal_each_alone(seed):
+    """Many lengths, ties (whole numbers) and switches, in any order."""
+    rng = np.random.default_rng(seed)
+    texts = [(-rng.integers(0, 6, (int(n), 4)) * rng.choice([0.5, 3.0])).astype(np.float32)
+             for n in rng.choice([1, 2, 3, 17, 17, 60, 400], 60)]
+    for switch in (0.0, 1.0, 7.5):
+        got = best_paths(texts, switch)
+        for scores, spans in zip(texts, got):
+            assert spans == best_path(scores, switch)
+            alone = _spans(_walk(scores, switch))
+            value = lambda path: sum(float(scores[a:b, k].sum(dtype=np.float64)) for a, b, k in path) - switch * (len(path) - 1)
+            assert spans == alone or len(spans) == 1 and abs(value(spans) - value(alone)) < 1e-6
+    assert best_paths([], 1.0) == []
