@@ -70,18 +70,29 @@ def estimates(q: np.ndarray, bits, norm, factor, centre, rotate, epsilon: float
 
 
 def search_block(q_ids, q, ids, x, bits, norm, factor, centre, rotate, k: int, epsilon: float = EPSILON):
-    """Exact best ``k`` of a block for each query, among the vectors the bounds let through."""
+    """Exact best ``k`` of a block for each query, among the vectors the bounds let through.
+
+    Those of 64 queries are reranked together by one matrix product, whose rounding depends on a vector's
+    place; what is within that rounding of the k-th best gets the score that counts, summed alike for all."""
     out = []
+    reach = np.sqrt((x * x).sum(axis=1).max()) if len(x) else 0.0
     for at in range(0, len(q), 64):
         part = q[at:at + 64]
         guess, error = estimates(part, bits, norm, factor, centre, rotate, epsilon)
         low = guess - error
         least = np.partition(low, -k, axis=1)[:, -k] if k < len(ids) else np.full(len(part), -np.inf)
+        through = guess + error >= least[:, None]
+        some = np.flatnonzero(through.any(axis=0))
+        through = through[:, some]
+        near = np.where(through, part @ x[some].T, -np.inf)
+        if k < len(some):
+            margin = 1e-12 * reach * np.sqrt((part * part).sum(axis=1))
+            through &= near >= (np.partition(near, -k, axis=1)[:, -k] - margin)[:, None]
         for i, query in enumerate(part):
-            some = np.flatnonzero(guess[i] + error[i] >= least[i])
-            score = (x[some] * query).sum(axis=1)  # summed alike for equal vectors
-            best = np.lexsort((ids[some], -score))[:k]
-            out.append((np.full(len(best), q_ids[at + i]), ids[some[best]], score[best]))
+            few = some[np.flatnonzero(through[i])]
+            score = (x[few] * query).sum(axis=1)
+            best = np.lexsort((ids[few], -score))[:k]
+            out.append((np.full(len(best), q_ids[at + i]), ids[few[best]], score[best]))
     return [np.concatenate(c) for c in zip(*out)] if out else [[], [], []]
 
 
@@ -157,6 +168,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, epsilon: float = E
 
 
 def op5_nearest_neighbours(spark, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all embeddings."""
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
