@@ -232,8 +232,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, of: int = 1
     ``words``-word shingles; ``component_id`` is the smallest id reachable over links, and the
     document with that id is kept.  Null, empty and blank texts have no shingles and no links.
     A repeated id is one document that has the links of all its texts; each of its rows is
-    returned.  Rows with a null id take no part (``component_id`` null, ``kept`` false).  An
-    empty table gives an empty result; only ``doc_id`` and ``text`` are read.
+    returned.  Rows with a null id take no part (``component_id`` null, ``kept`` false).  Texts of
+    any length are read whole; a similarity at the threshold is a link.  An empty table gives an empty result; only ``doc_id`` and ``text`` are read.
     """
     threshold = part / of
     bands, rows = bands_for(threshold, hashes)

@@ -206,8 +206,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 
     A null or blank text has zero counts and fails.  Without labelled rows of both classes there
     is no model: the score is null and the base rules decide alone.  Repeated rows and null ids
-    are scored like any other; an empty table gives an empty result; only ``doc_id`` and ``text``
-    (and ``doc_id, quality`` of ``labels``) are read.
+    are scored like any other; texts of any length are read whole; a score at the threshold is kept;
+    an empty table gives an empty result; only ``doc_id`` and ``text`` (and ``doc_id, quality`` of
+    ``labels``) are read.
     """
     source = id_and_text(docs)
     score = _scorer(source, labels, threshold, rows_per_class, keep)
@@ -229,4 +230,5 @@ def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
+    """All documents, with the model learned from the quality labels."""
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -153,7 +153,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
     Null, empty and blank texts have all statistics zero and are scored from them.  Without
     labelled rows the score is 0.5 throughout.  Repeated rows and null ids are scored like any
-    other; an empty table gives an empty result; only ``doc_id`` and ``text`` (``doc_id,
+    other; texts of any length are read whole; a score at the threshold is predicted 1; an empty table gives an empty result; only ``doc_id`` and ``text`` (``doc_id,
     quality`` of ``labels``) are read.
     """
     source = id_and_text(docs)

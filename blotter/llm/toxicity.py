@@ -85,8 +85,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     """``doc_id, score, predicted`` of every row; ``keep`` restricts the labelled ids to learn from.
 
     A null or blank text has no features and gets the score of the intercept.  Without labelled
-    rows the score is 0.5 throughout.  Repeated rows and null ids are scored like any other; an
-    empty table gives an empty result; only ``doc_id`` and ``text`` (``doc_id, toxic`` of
+    rows the score is 0.5 throughout.  Repeated rows and null ids are scored like any other; texts of
+    any length are read whole; a score at the threshold is predicted 1; an empty table gives an empty result; only ``doc_id`` and ``text`` (``doc_id, toxic`` of
     ``labels``) are read.
     """
     source = id_and_text(docs)
