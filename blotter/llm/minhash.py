@@ -266,7 +266,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, of: int = 1
     texts = scratch.write(among(source, candidates))
 
     # the likeliest link of each document first; the others only where it left them apart
-    best = alike.groupBy("u").agg(F.max_by("v", F.struct("share", -F.col("v"))).alias("v"))
+    best = alike.groupBy("u").agg(F.max_by("v", F.struct("share", F.bitwise_not("v"))).alias("v"))
     found = scratch.write(_confirmed(best, texts, words, part, of))
     label = components(found, scratch)
     rest = _labelled(_labelled(alike, label, "u", "cu"), label, "v", "cv").where("cu != cv")

@@ -71,6 +71,17 @@ def test_dedup_stage_keeps_other_texts_of_an_id(spark, docs_of):
     assert got.columns == docs_of(rows).columns
 
 
+def test_dedup_stage_with_the_largest_ids(spark, docs_of):
+    """A repeated id needs keys beyond the ids, and there are none above the largest long."""
+    top = 2 ** 63 - 1
+    a, b = (" ".join(f"{x}{i}" for i in range(80)) for x in "ab")
+    rows = [(top, a), (top, b), (-top - 1, b + " x"), (7, a + " y"), (top - 1, "alone")]
+    got = pipeline.dedup_stage(spark, docs_of(rows), "")
+    left = Counter((r.doc_id, r.text) for r in got.collect())
+    # the second text of the repeated id comes after all ids
+    assert left == {(-top - 1, b + " x"): 1, (7, a + " y"): 1, (top - 1, "alone"): 1}
+
+
 def test_run_equals_the_stages(spark, tables):
     sf, _ = tables
     docs = spark.read.parquet(f"{sf}/documents.parquet")
