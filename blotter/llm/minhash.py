@@ -252,7 +252,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, of: int = 1
     # those are is found on ids and digests alone (``pair`` holds both)
     pair = lambda doc_id: F.concat("digest", F.unhex(F.lpad(F.hex(doc_id), 16, "0"))).alias("pair")
     dropped = scratch.write(copied.select(pair("u")))
-    firsts = without(known.withColumn("pair", pair("doc_id")), dropped, "pair", scratch)
+    firsts = scratch.write(without(known.withColumn("pair", pair("doc_id")), dropped, "pair", scratch)
+                           .select("doc_id", "bands", "signature"))
     banded = firsts.select("doc_id", F.explode("bands").alias("key"))
     shared = (banded.groupBy("key").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("members"))
               .where("members > 1"))
@@ -285,7 +286,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, part: int = 80, of: int = 1
     across = _across(members, least, words, part, of)
     links = scratch.write(label.unionAll(across).unionAll(copy_links))
     final = components(links, scratch)
-    scratch.drop(texts, signatures, stars, alike, family)
+    scratch.drop(firsts, texts, signatures, stars, alike, family)
     return (_labelled(features.select("doc_id", "n_shingles"), final, "doc_id", "component_id")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
