@@ -20,9 +20,10 @@ from blotter.llm.common import encoded, id_and_text, map_batches, table
 from blotter.llm.linear import (Rows, WordTable, batches_of, fit_logistic, fit_platt, grams_of,
                                 labelled_sample, sigmoid)
 
-ROWS_PER_CLASS = 800    # bound of the training sample
+ROWS_PER_CLASS = 2000   # bound of the training sample
 MASK = (1 << 17) - 1    # feature space of words with their n-grams, and of word pairs
 SIZES = (1, 2, 3, 4)
+WORD_BLOCK = 16_384     # words whose features make one block of the fit
 THRESHOLD = 0.5
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -144,27 +145,31 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     lengths = column("words").value_lengths().to_numpy()
     coded = column("words").flatten().dictionary_encode()
     outer = Rows(lengths, coded.indices.to_numpy(), shares("counts", n, lengths), len(coded.dictionary))
-    parts = []
-    for at in range(0, len(coded.dictionary), 4096):  # few arrays for many words
-        owner, index, value = word_features(coded.dictionary[at:at + 4096].to_pylist())
-        parts.append((owner + np.int32(at), index, value))
-    inner = Rows.of_owners(*(np.concatenate(c) for c in zip(*parts)), len(coded.dictionary), MASK + 1) if parts \
-        else Rows([], [], [], MASK + 1)
+    blocks = []  # of few words each, so that no array is long and none is held twice
+    for at in range(0, len(coded.dictionary), WORD_BLOCK):
+        words = coded.dictionary[at:at + WORD_BLOCK].to_pylist()
+        blocks.append(Rows.of_owners(*word_features(words), len(words), MASK + 1))
     lengths = column("pairs").value_lengths().to_numpy()
     pairs = Rows(lengths, column("pairs").flatten().to_numpy(), shares("pair_counts", n - 1, lengths), MASK + 1)
-    del rows, coded, parts
+    del rows, coded
 
     def times(w):
-        return outer.times(inner.times(w[:MASK + 1])) + pairs.times(w[MASK + 1:])
+        inner = [block.times(w[:MASK + 1]) for block in blocks] or [np.empty(0)]
+        return outer.times(np.concatenate(inner)) + pairs.times(w[MASK + 1:])
 
     def transposed_times(r):
-        return np.concatenate([inner.transposed_times(outer.transposed_times(r)), pairs.transposed_times(r)])
+        words, inner, at = outer.transposed_times(r), np.zeros(MASK + 1), 0
+        for block in blocks:
+            inner += block.transposed_times(words[at:at + block.shape[0]])
+            at += block.shape[0]
+        return np.concatenate([inner, pairs.transposed_times(r)])
 
     aside = np.arange(len(y)) % 5 == 4 if len(y) >= 50 else np.zeros(len(y), bool)
     w, b = fit_logistic(times, transposed_times, 2 * (MASK + 1), y, np.where(aside, 0, weight), PENALTY, steps=60)
     z = times(w) + b
     tune = aside if aside.any() and len(set(y[aside])) == 2 else ~aside
     slope, shift = fit_platt(z[tune], y[tune], weight[tune])
+    pa.default_memory_pool().release_unused()  # the driver keeps nothing of the sample
     return w[:MASK + 1].astype(np.float32), w[MASK + 1:].astype(np.float32), b, slope, shift
 
 
