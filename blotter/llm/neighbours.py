@@ -28,7 +28,7 @@ from blotter.llm.common import Scratch, map_batches, table
 
 EPSILON = 4.0
 CENTRE_ROWS = 4096       # bound of the sample that gives the centre
-VECTOR_BLOCK, QUERY_BLOCK = 8192, 1024
+VECTOR_BLOCK, QUERY_BLOCK = 8192, 8192
 QUERY_BITS = 4
 SEED = 20240521
 
