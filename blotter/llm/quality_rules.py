@@ -15,8 +15,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from blotter.llm.common import encoded, id_and_text, map_batches, table
+from blotter.llm.common import arrow_schema, encoded, give_back_memory, id_and_text, map_batches, table
 from blotter.llm.linear import (Rows, WordTable, batches_of, fit_logistic, fit_platt, grams_of,
                                 labelled_sample, sigmoid)
 
@@ -31,6 +32,7 @@ PENALTY = 1e-6
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\f\r"
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+MODEL = "words binary, pairs binary, intercept double, slope double, shift double"
 _SHIFT = 21             # bits of a word's number in a window key
 
 
@@ -110,11 +112,14 @@ def failed(n_words: int, n_repeat_words: int) -> bool:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, keep=None):
-    """(word weights, pair weights, intercept, slope, shift) or None if a class has no row."""
+    """(word weights, pair weights, intercept, slope, shift) or None if a class has no row.
+
+    The bags of the bounded sample meet in one task, so the driver holds the model alone.
+    """
 
     def bag(cols):
-        out = {"doc_id": cols["doc_id"], "y": cols["y"], "weight": cols["weight"], "n": [], "words": [],
-               "counts": [], "pairs": [], "pair_counts": []}
+        out = {"doc_id": cols["doc_id"], "at": cols["at"], "y": cols["y"], "weight": cols["weight"], "n": [],
+               "words": [], "counts": [], "pairs": [], "pair_counts": []}
         seen = word_table(None)
         for text in cols["text"]:
             words = encoded(text).split()
@@ -128,10 +133,32 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
             out["pair_counts"].append(pair_counts.tolist())
         return out
 
-    sample = labelled_sample(docs, labels, "quality", rows_per_class, keep)
-    rows = map_batches(sample, bag, "doc_id long, y int, weight double, n int, words array<binary>, "
-                                    "counts array<int>, pairs array<int>, pair_counts array<int>").toArrow()
-    rows = rows.take(np.argsort(rows["doc_id"].to_numpy(), kind="stable")).combine_chunks()
+    def learn(batches):
+        rows = list(batches)
+        model = fit_bags(rows) if rows else None
+        give_back_memory()  # the worker lives on; it keeps nothing of the sample
+        if model:
+            row = (model[0].tobytes(), model[1].tobytes(), *map(float, model[2:]))
+            yield pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(row, schema)], schema=schema)
+
+    schema = arrow_schema(docs.sparkSession, MODEL)
+    # "at" holds the order of the table, for rows of one id
+    sample = labelled_sample(docs, labels, "quality", rows_per_class, keep).withColumn(
+        "at", F.monotonically_increasing_id())
+    bags = map_batches(sample, bag, "doc_id long, at long, y int, weight double, n int, words array<binary>, "
+                                    "counts array<int>, pairs array<int>, pair_counts array<int>")
+    found = bags.repartition(1).mapInArrow(learn, MODEL).collect()
+    if not found:
+        return None
+    words, pairs, *rest = found[0]
+    return np.frombuffer(words, np.float32), np.frombuffer(pairs, np.float32), *rest
+
+
+def fit_bags(batches: list[pa.RecordBatch]):
+    """The model of ``fit`` from the sample's bags, in whatever order they come; empties the list."""
+    rows = pa.Table.from_batches(batches)
+    batches.clear()
+    rows = rows.take(np.lexsort((rows["at"].to_numpy(), rows["doc_id"].to_numpy()))).combine_chunks()
     y, weight, n = (rows[c].to_numpy().astype(float) for c in ("y", "weight", "n"))
     if len(set(y)) < 2:
         return None
@@ -169,7 +196,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     z = times(w) + b
     tune = aside if aside.any() and len(set(y[aside])) == 2 else ~aside
     slope, shift = fit_platt(z[tune], y[tune], weight[tune])
-    pa.default_memory_pool().release_unused()  # the driver keeps nothing of the sample
     return w[:MASK + 1].astype(np.float32), w[MASK + 1:].astype(np.float32), b, slope, shift
 
 

@@ -79,6 +79,18 @@ def corpus(n=260, seed=4):
     return rows + extra, labels + [labels[0], (7, 0, 1)] + [(50000, 1, 0)]
 
 
+def test_quality_fit_leaves_the_sample_to_a_task(docs_of, labels_of, monkeypatch):
+    """What is collected is the model: no bag of words reaches the driver, and rows may come in any order."""
+    rows = [(i // 2, ("good plain words " if i // 2 % 2 else "zz## qq$$ xx%% ") * 20 + f"w{i}") for i in range(80)]
+    docs, labels = docs_of(rows, extra=False), labels_of([(i, i % 2, None) for i in range(40)])
+    monkeypatch.setattr(type(docs), "toArrow", None)
+    one = rules.fit(docs.coalesce(1), labels)
+    many = rules.fit(docs.coalesce(1), labels)
+    assert len(one) == 5 and all(np.array_equal(a, b) for a, b in zip(one, many))
+    assert one[0].dtype == one[1].dtype == np.float32 and len(one[0]) == len(one[1]) == rules.MASK + 1
+    assert rules.fit(docs, labels_of([])) is None and rules.fit(docs, labels_of([(1, 1, None)])) is None
+
+
 def test_quality_rules_learn(docs_of, labels_of):
     rows, labels = corpus()
     docs = docs_of(rows).repartition(3)
