@@ -10,9 +10,13 @@ encoding of the whole text.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from blotter.llm.common import encoded
 
@@ -30,6 +34,26 @@ def public_path(name: str = TOKENIZER) -> str:
 #: other character has its id; words that hold it are encoded one by one.
 SEPARATOR = b"0"
 CALL_WORDS = 500
+CALL_BYTES = 4_000_000  # texts whose words are told apart at once
+
+#: Letters that the normaliser leaves alone; a word of them is one piece for the pre-tokenizer, and other ASCII
+#: signs after it (but the apostrophe) are the next one.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and b != ord("'"))
+#: The file's rules that this holds for; with others every word goes through the whole tokenizer.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def _known_rules(path: str) -> bool:
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return ((rules.get("normalizer") or {}).get("normalizers") == NORMALIZER and len(steps) == 2
+            and (steps[0].get("pattern"), steps[0].get("behavior"), steps[0].get("invert")) == ({"Regex": SPLIT}, "Removed", True)
+            and (steps[1]["type"], steps[1]["add_prefix_space"], steps[1]["use_regex"]) == ("ByteLevel", False, False)
+            and rules.get("post_processor") is None
+            and all(t["content"][:2] == "<|" for t in rules["added_tokens"]))
 
 
 class Encoder:
@@ -42,63 +66,88 @@ class Encoder:
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.separator = np.frombuffer(self._alone(SEPARATOR), "<u4")
-        self.stops = {stop: self._alone(stop) for stop in (b".", b",", b";", b":", b"!", b"?")}
+        self.signs: dict[bytes, bytes] = {}
+        self.plain = None  # the same model without the rules that change nothing in plain words
+        if _known_rules(path):
+            from tokenizers import pre_tokenizers
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer = None
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
     def _alone(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def _learn(self, new: set[bytes]) -> None:
-        cache, between = self.cache, b" " + SEPARATOR + b" "
-        stopped = [w for w in new if w[-1:] in self.stops and w[-2:-1].isalpha()]
-        plain = list(new.difference(stopped).union(b for w in stopped if (b := w[:-1]) not in cache))
-        if len(self.separator) == 1:
-            odd = [w for w in plain if SEPARATOR in w or b"<|" in w]
-            plain = list(set(plain).difference(odd))
-            for i in range(0, len(plain), CALL_WORDS):
-                part = plain[i:i + CALL_WORDS]
-                text = between.join(part).decode("utf-8", "replace")
-                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-                cuts = np.flatnonzero(ids == self.separator[0])
-                blob, at = ids.tobytes(), 0
-                for word, cut in zip(part, [*(4 * cuts).tolist(), len(blob)]):
-                    cache[word] = blob[at:cut]
-                    at = cut + 4
-        else:
-            odd = plain
+        plain = set(filter(PLAIN, new)) if self.plain else set()
+        rest = new.difference(plain)
+        odd = {w for w in rest if SEPARATOR in w or b"<|" in w} if len(self.separator) == 1 else new
+        for words, tokenizer in ((plain - odd, self.plain), (rest - odd, self.tokenizer)):
+            self._learn_joined(list(words), tokenizer)
         for word in odd:
-            cache[word] = self._alone(word)
-        for word in stopped:  # a letter and a last stop are separate tokens
-            cache[word] = cache[word[:-1]] + self.stops[word[-1:]]
+            self.cache[word] = self._alone(word)
+
+    def _learn_joined(self, words: list[bytes], tokenizer) -> None:
+        cache, between = self.cache, b" " + SEPARATOR + b" "
+        for i in range(0, len(words), CALL_WORDS):
+            part = words[i:i + CALL_WORDS]
+            text = between.join(part).decode("utf-8", "replace")
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.separator[0])
+            blob, at = ids.tobytes(), 0
+            for word, cut in zip(part, [*(4 * cuts).tolist(), len(blob)]):
+                cache[word] = blob[at:cut]
+                at = cut + 4
 
     def encode(self, texts: list[str | None], end_id: int | None = END_ID) -> list[bytes]:
         """Ids of each text (null: none), ``end_id`` appended, as little-endian uint32 bytes."""
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         out, group, size = [], [], 0
         for text in texts:
-            group.append(encoded(text).lower().split())
+            group.append(encoded(text))
             size += len(group[-1])
-            if size >= CACHED_WORDS // 4:
-                out += self._encode_words(group)
+            if size >= CALL_BYTES:
+                out += self._encode_texts(group, end)
                 group, size = [], 0
-        return [blob + end for blob in out + self._encode_words(group)]
-
-    def _encode_words(self, group: list[list[bytes]]) -> list[bytes]:
-        step = CACHED_WORDS // 4
-        if len(group) == 1 and len(group[0]) > step:  # a very long text goes in slices
-            words = group[0]
-            return [b"".join(self._encode_words([words[i:i + step]])[0]
-                             for i in range(0, len(words), step))]
-        used = set().union(*group)
-        new = used.difference(self.cache)
-        if len(new) + len(self.cache) > CACHED_WORDS // 2:
-            self.older, self.cache = self.cache, {}
-            new = used
-        kept = new.intersection(self.older)
-        self.cache.update(zip(kept, map(self.older.__getitem__, kept)))
-        if new := new.difference(kept):
-            self._learn(new)
-        return [b"".join(map(self.cache.__getitem__, words)) for words in group]
+        return out + self._encode_texts(group, end)
+
+    def _encode_texts(self, group: list[bytes], end: bytes) -> list[bytes]:
+        """Each different word of the texts is looked up once."""
+        texts = pa.array(group, pa.large_binary()).view(pa.large_string())
+        words = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # a leading or last empty word has no ids
+        at = words.offsets.to_numpy().tolist()
+        coded = words.values.view(pa.large_binary()).dictionary_encode()
+        ids, number = self._word_ids(coded.dictionary.to_pylist()), coded.indices.to_numpy()
+        return [b"".join(map(ids.__getitem__, number[a:b].tolist())) + end for a, b in zip(at, at[1:])]
+
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of different words, a bounded number of them at once."""
+        out, step = [], max(1, CACHED_WORDS // 4)
+        for i in range(0, len(words), step):
+            some = words[i:i + step]
+            stems, last = some, []
+            if self.plain:  # a plain word and the signs after it are separate tokens
+                stems = [stem if (stem := w.rstrip(SIGNS)) != w and PLAIN(stem) else w for w in some]
+                last = [(k, w[len(stem):]) for k, (w, stem) in enumerate(zip(some, stems)) if len(w) > len(stem)]
+            used = set(stems)
+            new = used.difference(self.cache)
+            if len(new) + len(self.cache) > CACHED_WORDS // 2:
+                self.older, self.cache = self.cache, {}
+                new = used
+            kept = new.intersection(self.older)
+            self.cache.update(zip(kept, map(self.older.__getitem__, kept)))
+            if new := new.difference(kept):
+                self._learn(new)
+            ids = list(map(self.cache.__getitem__, stems))
+            for k, signs in last:
+                if signs not in self.signs:
+                    if len(self.signs) >= CACHED_WORDS // 50:
+                        self.signs.clear()
+                    self.signs[signs] = self._alone(signs)
+                ids[k] += self.signs[signs]
+            out += ids
+        return out
 
 
 _encoders: dict[str, Encoder] = {}

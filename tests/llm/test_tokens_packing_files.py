@@ -49,6 +49,28 @@ def test_cache_bound_does_not_change_ids(library, monkeypatch):
     assert [np.frombuffer(b, "<u4").tolist() for b in got] == [plain(library, t) for t in TEXTS]
 
 
+def test_signs_after_a_plain_word_make_no_new_word(library):
+    enc = Encoder(public_path())
+    text = "plain plain$$$ Plain&&& plain,;: \u00e9t\u00e9*** stra\u00dfe!?"
+    assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == plain(library, text)
+    assert set(enc.cache) - {b""} == {"plain".encode(), "\u00e9t\u00e9".encode(), "stra\u00dfe".encode()}
+    odd = ["x'$ don't$ 's$ it'll, a'", "e\u0301$$ \ufb00$$ \u00c9,, \u00bax$ \u00f1\u0303! \u00d7\u00f7$ a\u0301", "0$ a0$ $$$ $a$ a$a$ <| a<| a$<|endoftext|> |>,",
+           "a\u00a0b$ a\u2003,", "a\x1fb$ \x00$ a\x7f$ _ a_$", " \t", "\u00df\u00ff\u00f6\u00f8\u00e0~~"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(odd)] == [plain(library, t) for t in odd]
+
+
+def test_other_rules_take_the_whole_tokenizer(library, tmp_path):
+    import json
+    rules = json.loads(library.to_str())
+    rules["normalizer"] = {"type": "NFC"}
+    path = str(tmp_path / "other.json")
+    (tmp_path / "other.json").write_text(json.dumps(rules))
+    enc = Encoder(path)
+    want = [enc.tokenizer.encode(t, add_special_tokens=False).ids for t in ("plain$$ words,", "\u00e9t\u00e9 0")]
+    assert enc.plain is None
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(["plain$$ words,", "\u00e9t\u00e9 0"], None)] == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 5000), max_size=40))
 def test_assignment_fills_every_sequence(lengths):
