@@ -106,8 +106,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         first = TaskContext.get().partitionId() << 32
         ids, blobs, size = [], [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024).to_pydict()
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048).to_pydict()
                 for doc_id, blob in zip(part["doc_id"], encode(part["text"], end_id)):
                     ids.append(doc_id)
                     blobs.append(blob)

@@ -43,8 +43,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         part, number, size, ids, blobs = TaskContext.get().partitionId(), 0, 0, [], []
         encode = encoder(tokenizer).encode
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                rows = batch.slice(at, 1024).to_pydict()
+            for at in range(0, batch.num_rows, 2048):
+                rows = batch.slice(at, 2048).to_pydict()
                 for doc_id, blob in zip(rows["doc_id"], encode(rows["text"], end_id)):
                     ids.append(doc_id)
                     blobs.append(blob)

@@ -34,7 +34,7 @@ def public_path(name: str = TOKENIZER) -> str:
 #: other character has its id; words that hold it are encoded one by one.
 SEPARATOR = b"0"
 CALL_WORDS = 500
-CALL_BYTES = 4_000_000  # texts whose words are told apart at once
+CALL_BYTES = 8_000_000  # texts whose words are told apart at once
 
 #: Letters that the normaliser leaves alone; a word of them is one piece for the pre-tokenizer, and other ASCII
 #: signs after it (but the apostrophe) are the next one.
