@@ -2,8 +2,8 @@
 
 A document is the bag of its words and a word the bag of the hashed n-grams inside it, so a
 document's score is a sum of word scores: tasks score each distinct word once and keep it in a
-cache of bounded size.  Models are fitted on the driver on a bounded sample of labelled rows;
-what is collected for that is each sampled document's word counts.
+cache of bounded size.  Models are fitted in one place (the driver, or a task) on a bounded
+sample of labelled rows; what goes there is each sampled document's word counts.
 """
 
 from __future__ import annotations
