@@ -42,18 +42,27 @@ ROWS = 2048
 
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with a function from a pandas-free dict of Python lists to a dict of
-    columns, called once per ``ROWS`` rows at most (Arrow batches are bounded in rows and bytes by
-    the session's ``spark.sql.execution.arrow.max*PerBatch``, too widely for Python objects)."""
+    columns, called once per ``ROWS`` rows at most."""
     arrow = arrow_schema(df.sparkSession, schema)
 
-    def run(batches):
-        for whole in batches:
-            for start in range(0, whole.num_rows, ROWS):
-                out = fn(whole.slice(start, ROWS).to_pydict())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+    def one(some):
+        out = fn(some.to_pydict())
+        return pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: map(one, slices(batches)), schema)
+
+
+def slices(batches):
+    """The Arrow batches of a task in slices of ``ROWS`` rows at most (the session's
+    ``spark.sql.execution.arrow.max*PerBatch`` bound them too widely for Python objects).
+
+    What the worker has freed is returned after each batch and at the end of the task: workers
+    outlive their tasks, and an executor's memory holds all of them beside the JVM."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, ROWS):
+            yield whole.slice(start, ROWS)
+        del whole
+        give_back_memory()
 
 
 def give_back_memory() -> None:

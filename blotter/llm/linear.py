@@ -84,7 +84,7 @@ class Rows:
     """Sparse rows (index and value per entry) with the two products a linear model needs."""
 
     def __init__(self, lengths, index, value, width: int):
-        self.row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        self.row = np.repeat(np.arange(len(lengths), dtype=self._small(len(lengths))), lengths)
         self.index, self.value = np.asarray(index, np.int32), np.asarray(value, np.float32)
         self.shape = (len(lengths), width)
 
@@ -92,9 +92,14 @@ class Rows:
     def of_owners(cls, owner, index, value, rows: int, width: int) -> Rows:
         """Rows given by the row number of each entry."""
         out = cls([], index, value, width)
-        out.row, out.shape = np.asarray(owner, np.int32), (rows, width)
+        out.row, out.shape = np.asarray(owner).astype(cls._small(rows)), (rows, width)
         return out
 
+    @staticmethod
+    def _small(rows: int):
+        """The type of a row's number: one is held for every entry."""
+        return np.uint16 if rows <= 1 << 16 else np.int32
+
     def times(self, w: np.ndarray) -> np.ndarray:
         return self._sums(self.row, w.astype(np.float32), self.index, self.shape[0])
 

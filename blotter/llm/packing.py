@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import arrow_schema, id_and_text, table
+from blotter.llm.common import arrow_schema, give_back_memory, id_and_text, slices, table
 from blotter.llm.tokens import END_ID, encoder, public_path
 
 CAPACITY = 2048
@@ -102,22 +102,25 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
 
     def run(batches):
         from pyspark import TaskContext
-        encode = encoder(path).encode
+        known = encoder(path)
         first = TaskContext.get().partitionId() << 32
         ids, blobs, size = [], [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048).to_pydict()
-                for doc_id, blob in zip(part["doc_id"], encode(part["text"], end_id)):
-                    ids.append(doc_id)
-                    blobs.append(blob)
-                    size += len(blob) // 4
-                    if size >= group_tokens:
-                        out, n = packed(ids, blobs, first)
-                        yield out
-                        first, ids, blobs, size = first + n, [], [], 0
+        for some in slices(batches):
+            part = some.to_pydict()
+            for doc_id, blob in zip(part["doc_id"], known.encode(part["text"], end_id)):
+                ids.append(doc_id)
+                blobs.append(blob)
+                size += len(blob) // 4
+                if size >= group_tokens:
+                    out, n = packed(ids, blobs, first)
+                    yield out
+                    first, ids, blobs, size = first + n, [], [], 0
+            del some, part
+        known.forget()
         if blobs:
             yield packed(ids, blobs, first)[0]
+        del ids, blobs
+        give_back_memory()
 
     return id_and_text(docs).mapInArrow(run, SCHEMA)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import arrow_schema, encoded, give_back_memory, id_and_text, map_batches, table
+from blotter.llm.common import arrow_schema, encoded, give_back_memory, id_and_text, map_batches, slices, table
 from blotter.llm.linear import (Rows, WordTable, batches_of, fit_logistic, fit_platt, grams_of,
                                 labelled_sample, sigmoid)
 
@@ -129,8 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
             out["n"].append(len(words))
             out["words"].append(list(counts))
             out["counts"].append(list(counts.values()))
-            out["pairs"].append(pair.tolist())
-            out["pair_counts"].append(pair_counts.tolist())
+            out["pairs"].append(pair)
+            out["pair_counts"].append(pair_counts.astype(np.int32))
         return out
 
     def learn(batches):
@@ -158,27 +158,35 @@ def fit_bags(batches: list[pa.RecordBatch]):
     """The model of ``fit`` from the sample's bags, in whatever order they come; empties the list."""
     rows = pa.Table.from_batches(batches)
     batches.clear()
-    rows = rows.take(np.lexsort((rows["at"].to_numpy(), rows["doc_id"].to_numpy()))).combine_chunks()
-    y, weight, n = (rows[c].to_numpy().astype(float) for c in ("y", "weight", "n"))
+    order = np.lexsort((rows["at"].to_numpy(), rows["doc_id"].to_numpy()))
+
+    def column(name):  # one column at a time leaves the table, so that none but it is held twice
+        nonlocal rows
+        found, rows = rows[name], rows.drop_columns(name)
+        return found.combine_chunks().take(pa.array(order))
+
+    y, weight, n = (column(c).to_numpy().astype(float) for c in ("y", "weight", "n"))
     if len(set(y)) < 2:
         return None
 
-    def column(name):
-        return rows[name].combine_chunks()
-
     def shares(counts, per_row, lengths):
-        return column(counts).flatten().to_numpy() / np.repeat(np.maximum(per_row, 1), lengths)
+        return (column(counts).flatten().to_numpy() / np.repeat(np.maximum(per_row, 1), lengths)).astype(np.float32)
 
-    lengths = column("words").value_lengths().to_numpy()
-    coded = column("words").flatten().dictionary_encode()
+    words = column("words")
+    lengths, coded = words.value_lengths().to_numpy(), words.flatten().dictionary_encode()
+    del words
     outer = Rows(lengths, coded.indices.to_numpy(), shares("counts", n, lengths), len(coded.dictionary))
-    blocks = []  # of few words each, so that no array is long and none is held twice
+    words, blocks = [], []  # of few words each, so that no array is long and none is held twice
     for at in range(0, len(coded.dictionary), WORD_BLOCK):
         words = coded.dictionary[at:at + WORD_BLOCK].to_pylist()
         blocks.append(Rows.of_owners(*word_features(words), len(words), MASK + 1))
-    lengths = column("pairs").value_lengths().to_numpy()
-    pairs = Rows(lengths, column("pairs").flatten().to_numpy(), shares("pair_counts", n - 1, lengths), MASK + 1)
-    del rows, coded
+    del words, coded
+    give_back_memory()
+    index = column("pairs")
+    lengths = index.value_lengths().to_numpy()
+    pairs = Rows(lengths, index.flatten().to_numpy(), shares("pair_counts", n - 1, lengths), MASK + 1)
+    del rows, index
+    give_back_memory()
 
     def times(w):
         inner = [block.times(w[:MASK + 1]) for block in blocks] or [np.empty(0)]
@@ -200,7 +208,8 @@ def fit_bags(batches: list[pa.RecordBatch]):
 
 
 def _scorer(source: DataFrame, labels: DataFrame, threshold: float, rows_per_class: int, keep):
-    """A function from texts to columns ``NAMES``, fitted and ready to be sent to tasks."""
+    """A function from texts to columns ``NAMES``, fitted and ready to be sent to tasks, and one that
+    drops the words it has met."""
     # two weight vectors of fixed size
     shared = source.sparkSession.sparkContext.broadcast(fit(source, labels, rows_per_class, keep))
     state: dict = {}
@@ -228,7 +237,7 @@ def _scorer(source: DataFrame, labels: DataFrame, threshold: float, rows_per_cla
                     out[name].append(value)
         return out
 
-    return score
+    return score, state.clear
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
@@ -242,7 +251,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     ``labels``) are read.
     """
     source = id_and_text(docs)
-    score = _scorer(source, labels, threshold, rows_per_class, keep)
+    score, _ = _scorer(source, labels, threshold, rows_per_class, keep)
     return map_batches(source, lambda cols: {"doc_id": cols["doc_id"], **score(cols["text"])},
                        "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                        "n_repeat_words long, base_failed boolean, score double, kept boolean")
@@ -251,11 +260,14 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
 def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                    rows_per_class: int = ROWS_PER_CLASS, keep=None) -> DataFrame:
     """The rows of ``docs``, all columns, that ``quality_rules`` keeps; nothing is joined."""
-    score = _scorer(id_and_text(docs), labels, threshold, rows_per_class, keep)
+    score, forget = _scorer(id_and_text(docs), labels, threshold, rows_per_class, keep)
 
     def run(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(score(batch.column("text").to_pylist())["kept"], pa.bool_()))
+        for some in slices(batches):
+            yield some.filter(pa.array(score(some.column("text").to_pylist())["kept"], pa.bool_()))
+            del some
+        forget()
+        give_back_memory()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.llm import idcoder
-from blotter.llm.common import Scratch, arrow_schema, id_and_text, table
+from blotter.llm.common import Scratch, arrow_schema, give_back_memory, id_and_text, slices, table
 from blotter.llm.tokens import END_ID, encoder, public_path
 
 FRAME_IDS = 1 << 22
@@ -41,19 +41,22 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
     def run(batches):
         from pyspark import TaskContext
         part, number, size, ids, blobs = TaskContext.get().partitionId(), 0, 0, [], []
-        encode = encoder(tokenizer).encode
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                rows = batch.slice(at, 2048).to_pydict()
-                for doc_id, blob in zip(rows["doc_id"], encode(rows["text"], end_id)):
-                    ids.append(doc_id)
-                    blobs.append(blob)
-                    size += len(blob) // 4
-                    if size >= frame_ids:
-                        yield frame_of(part, number, ids, blobs)
-                        number, size, ids, blobs = number + 1, 0, [], []
+        known = encoder(tokenizer)
+        for some in slices(batches):
+            rows = some.to_pydict()
+            for doc_id, blob in zip(rows["doc_id"], known.encode(rows["text"], end_id)):
+                ids.append(doc_id)
+                blobs.append(blob)
+                size += len(blob) // 4
+                if size >= frame_ids:
+                    yield frame_of(part, number, ids, blobs)
+                    number, size, ids, blobs = number + 1, 0, [], []
+            del some, rows
+        known.forget()
         if ids:
             yield frame_of(part, number, ids, blobs)
+        del ids, blobs
+        give_back_memory()
 
     (id_and_text(docs).orderBy("doc_id", "text").mapInArrow(run, FRAMES)
      .write.option("compression", "none").parquet(path))

@@ -23,6 +23,7 @@ from blotter.llm.common import encoded
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 CACHED_WORDS = 500_000  # per Python worker, in two generations; the older one goes when the newer is full
+LOOKED_UP = 1 << 15  # words looked up at once
 
 
 def public_path(name: str = TOKENIZER) -> str:
@@ -123,7 +124,7 @@ class Encoder:
 
     def _word_ids(self, words: list[bytes]) -> list[bytes]:
         """Ids of different words, a bounded number of them at once."""
-        out, step = [], max(1, CACHED_WORDS // 4)
+        out, step = [], min(LOOKED_UP, max(1, CACHED_WORDS // 4))
         for i in range(0, len(words), step):
             some = words[i:i + step]
             stems, last = some, []
@@ -149,12 +150,17 @@ class Encoder:
             out += ids
         return out
 
+    def forget(self) -> None:
+        """Drop the words met so far; the tokenizers stay."""
+        self.cache, self.older, self.signs = {}, {}, {}
+
 
 _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """This Python worker's encoder (workers are reused between tasks, so is the cache)."""
+    """This Python worker's encoder.  Workers are reused between tasks, so are its tokenizers; a task
+    that is done forgets its words, as an idle worker's memory is the executor's too."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

@@ -183,3 +183,21 @@ def test_statistics_shape():
     for text in (None, "", " \n", "one", "a b\nc d\na b", "É" * 1000):
         assert len(trees.statistics(text)) == len(trees.STATISTICS) and np.isfinite(trees.statistics(text)).all()
     assert not trees.statistics(" \n").any()
+
+
+def test_documents_are_scored_in_slices_and_the_words_dropped(monkeypatch):
+    import types
+
+    import pyarrow as pa
+    sizes, dropped = [], []
+
+    def score(texts):
+        sizes.append(len(texts))
+        return {"kept": [t.endswith("1") for t in texts]}
+
+    monkeypatch.setattr(rules, "id_and_text", lambda docs: docs)
+    monkeypatch.setattr(rules, "_scorer", lambda *_: (score, lambda: dropped.append(1)))
+    run = rules.kept_documents(types.SimpleNamespace(schema=None, mapInArrow=lambda fn, _: fn), None)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(5000)), "text": [f"t{i}" for i in range(5000)]})
+    kept = [i for b in run(iter([batch])) for i in b.column("doc_id").to_pylist()]
+    assert kept == list(range(1, 5000, 10)) and sizes == [2048, 2048, 904] and dropped == [1]

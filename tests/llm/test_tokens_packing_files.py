@@ -168,3 +168,26 @@ def test_files_round_trip(spark, docs_of, library, tmp_path):
         at += len(ids)
     write_ids(docs_of([]), str(tmp_path / "none"))
     assert read_ids(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_task_takes_few_rows_and_leaves_nothing(spark, monkeypatch):
+    """A worker outlives its task: no words are kept, and what is free is given back."""
+    import types
+
+    import pyarrow as pa
+    import pyspark
+
+    from blotter.llm import common, packing, tokens
+    given, sizes = [], []
+    monkeypatch.setattr(common, "give_back_memory", lambda: given.append(1))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(5000)), "text": [f"word{i} again" for i in range(5000)]})
+    for some in common.slices(iter([batch, batch.slice(0, 3)])):
+        sizes.append(some.num_rows)
+    assert sizes == [2048, 2048, 904, 3] and len(given) == 2
+
+    monkeypatch.setattr(packing, "id_and_text", lambda docs: docs)
+    monkeypatch.setattr(pyspark.TaskContext, "get", lambda: types.SimpleNamespace(partitionId=lambda: 0))
+    docs = types.SimpleNamespace(sparkSession=spark, mapInArrow=lambda run, schema: run)
+    rows = sum(b.num_rows for b in packing.pack(docs)(iter([batch])))
+    known = tokens.encoder(tokens.public_path())
+    assert rows >= 5000 and not (known.cache or known.older or known.signs)
