@@ -38,6 +38,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # the plans of past queries stay in the driver's heap; a pipeline runs hundreds of them
+        .config("spark.sql.ui.retainedExecutions", "20")
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "100")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
