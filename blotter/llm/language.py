@@ -14,6 +14,7 @@ every text is labelled whole, in Arrow batches.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -49,7 +50,7 @@ def script_of(word: str) -> str | None:
     found = _LETTER.search(word)
     if not found:
         return None
-    return SCRIPTS[np.searchsorted(_STARTS, ord(found[0]), side="right") - 1][1]
+    return SCRIPTS[bisect_right(_STARTS, ord(found[0])) - 1][1]
 
 
 def lowered(word: bytes) -> bytes:

@@ -7,13 +7,28 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from blotter.llm.language import UNKNOWN, _spans, _walk, best_path, best_paths, languages, script_of
+from blotter.llm import language
+from blotter.llm.language import SCRIPTS, UNKNOWN, _spans, _walk, best_path, best_paths, languages, script_of
 
 
 def path_score(scores, path, switch):
     return sum(scores[i][k] for i, k in enumerate(path)) - switch * sum(a != b for a, b in zip(path, path[1:]))
 
 
+
+def test_script_of_turns_no_list_into_an_array(monkeypatch):
+    """It is asked for every new word; numpy would convert the list of ranges each time."""
+    calls = []
+    monkeypatch.setattr(language, "np", type("Counted", (), {"__getattr__": lambda _, name: calls.append(name) or getattr(np, name)})())
+    for start, _ in SCRIPTS:
+        for point in (start - 1, start, start + 1):
+            letter = chr(max(point, 0))
+            if language._LETTER.search(letter):
+                want = [name for first, name in SCRIPTS if first <= ord(letter)][-1]
+                assert script_of(f"1_{letter}a") == want
+    assert script_of("a") == "latin" and script_of("12") is None and not calls
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_best_path_is_best(seed):
     rng = np.random.default_rng(seed)
