@@ -11,7 +11,7 @@ import ctypes
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -92,10 +92,10 @@ def whole_row(df: DataFrame) -> Column:
 
 
 def _flagged(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """``__row, __id, __maybe`` for each row of ``df``: false only if its ``on`` is surely not in the
-    one column of ``ids``, by a hashed bitmap sized by their number (at most 2**BITMAP_BITS bits, so a
+    """``__row, __id, __maybe`` for each row of ``df``: false only if its ``on`` is null or surely not in
+    the one column of ``ids``, by a hashed bitmap sized by their number (at most 2**BITMAP_BITS bits, so a
     broadcast of bounded size)."""
-    bits = min(BITMAP_BITS, max(MIN_BITS, (ids.count() * BITS_PER_ID).bit_length()))
+    bits = min(BITMAP_BITS, max(MIN_BITS, (number_of_rows(ids) * BITS_PER_ID).bit_length()))
     spot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
     flag = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(c, F.lit(64)).cast("int"))
     bitmap = (ids.toDF("__id").select(spot(F.col("__id")).alias("__spot"))
@@ -104,12 +104,14 @@ def _flagged(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     near = (df.select(whole_row(df), F.col(f"`{on}`").alias("__id"), spot(F.col(f"`{on}`")).alias("__spot"))
             .withColumn("__word", F.shiftright("__spot", 6)).join(F.broadcast(bitmap), "__word", "left"))
     met = F.coalesce(F.col("__bits").bitwiseAND(flag(F.col("__spot"))) != 0, F.lit(False))
-    return near.select("__row", "__id", met.alias("__maybe"))
+    return near.select("__row", "__id", (met & F.col("__id").isNotNull()).alias("__maybe"))
 
 
 def among(df: DataFrame, ids: DataFrame, on: str = "doc_id") -> DataFrame:
     """The rows of ``df`` whose ``on`` is in the one column of ``ids`` (a written table, as it is read several
     times).  The bitmap drops most other rows before anything is shuffled; the semi-join behind it is exact."""
+    if not number_of_rows(ids):
+        return df.where(F.lit(False))
     near = _flagged(df, ids, on).where("__maybe")
     return near.join(ids.toDF("__id"), "__id", "left_semi").select("__row.*")
 
@@ -120,14 +122,14 @@ def without(df: DataFrame, ids: DataFrame, on: str = "doc_id", scratch: Scratch
     Rows that the bitmap clears pass; which others stay is found on their ids alone, and written, so that the
     rows themselves are shuffled only where a second bitmap, of the few ids that stay, cannot clear them.
     """
+    if not number_of_rows(ids):
+        return df
     scratch = scratch or Scratch(df.sparkSession, "without")
     flagged = _flagged(df, ids, on)
-    stay = scratch.write(flagged.where("__maybe AND __id IS NOT NULL").select("__id").distinct()
+    stay = scratch.write(flagged.where("__maybe").select("__id").distinct()
                          .join(ids.toDF("__id"), "__id", "left_anti"))
-    rest = flagged.where("__maybe")
-    rest = rest.where("__id IS NULL").select("__row.*").unionAll(
-        among(rest.where("__id IS NOT NULL").select("__row", "__id"), stay, "__id").select("__row.*"))
-    return flagged.where("NOT __maybe").select("__row.*").unionAll(rest)
+    rest = among(flagged.where("__maybe").select("__row", "__id"), stay, "__id")
+    return flagged.where("NOT __maybe").select("__row.*").unionAll(rest.select("__row.*"))
 
 
 # ---------------------------------------------------------------- shared intermediate tables
@@ -165,15 +167,31 @@ class Scratch:
         self.count += 1
         return f"{self.root}/{self.count}"
 
-    def write(self, df: DataFrame) -> DataFrame:
-        where = self.path()
-        df.write.parquet(where)
+    def write(self, df: DataFrame, *measures: Column) -> DataFrame:
+        """``df`` written and read again.  Its number of rows and the aggregates ``measures`` are taken while it
+        is written (``measured``): a query less each."""
+        where, seen = self.path(), Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures).write.parquet(where)
         out = self.spark.read.schema(df.schema).parquet(where)
-        out._scratch_path = where
+        out._scratch_path, out._scratch_measured = where, seen.get
         return out
 
     def drop(self, *written: DataFrame | None) -> None:
+        """Delete tables that no plan needs any more.  What their queries left (plans, shuffle files, broadcasts)
+        Spark keeps until the driver's JVM collects its garbage, so that is asked for."""
         for df in written:
             if df is not None:
                 path, fs = self._hadoop(df._scratch_path)
                 fs.delete(path, True)
+        self.spark.sparkContext._jvm.System.gc()
+
+
+def measured(written: DataFrame) -> dict:
+    """What ``Scratch.write`` measured of a table (``rows`` and the aggregates asked for); empty for others."""
+    return vars(written).get("_scratch_measured", {})
+
+
+def number_of_rows(df: DataFrame) -> int:
+    """Counted while it was written, if it was."""
+    rows = measured(df).get("rows")
+    return df.count() if rows is None else rows

@@ -9,10 +9,10 @@ the shuffle and its join partition can be split; no neighbourhood is ever collec
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import Scratch
+from blotter.llm.common import Scratch, measured, number_of_rows
 
 
 def large_star(edges: DataFrame) -> DataFrame:
@@ -29,8 +29,8 @@ def small_star(edges: DataFrame) -> DataFrame:
     return hung.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _state(edges: DataFrame):
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _checksum() -> Column:
+    return F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("checksum")
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -39,13 +39,15 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
     Edges are rows of two longs, in any direction and number; loops and nulls are dropped.  An
     empty table gives an empty one.  Each round is written to the shared folder, which cuts the
-    lineage; only a count and a checksum come to the driver.
+    lineage; only a count and a checksum, taken while it is written, come to the driver.
     """
     now = scratch.write(edges.where("u != v").select("u", "v"))
+    if not number_of_rows(now):
+        return now
     state = None
     while True:
-        step = scratch.write(small_star(large_star(now)))
+        step = scratch.write(small_star(large_star(now)), _checksum())
         scratch.drop(now)
-        now, before, state = step, state, _state(step)
-        if state == before or not state[0]:
+        now, before, state = step, state, measured(step)
+        if state == before or not state["rows"]:
             return now

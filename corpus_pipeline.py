@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import WORD, Scratch, among, id_and_text, table, whole_row, without
+from blotter.llm.common import WORD, Scratch, among, id_and_text, number_of_rows, table, whole_row, without
 from blotter.llm.minhash import near_duplicates
 from blotter.llm.mixing import mixture, placements
 from blotter.llm.packing import pack
@@ -48,7 +48,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed, later = _keyed(numbered, counts.select("doc_id"), scratch)
     both = id_and_text(once).unionAll(keyed.select("__key", "__text"))
     classes = near_duplicates(both, words=5, part=80, of=100).where("doc_id IS NOT NULL")
-    if later.isEmpty():
+    if not number_of_rows(later):
         gone = classes.where("NOT kept")
     else:  # a later text's key is no id, so the first of a component is chosen anew
         classes = scratch.write(classes.join(later.select(F.col("__key").alias("doc_id"), F.lit(1).alias("later")),
@@ -68,6 +68,8 @@ def _keyed(numbered: DataFrame, ids: DataFrame, scratch: Scratch) -> tuple[DataF
         key = F.when(F.col("__n") == 1, F.col("__id")).otherwise(F.xxhash64("__id", "__text", F.lit(salt)))
         keyed = scratch.write(numbered.withColumn("__key", key))
         later = scratch.write(keyed.where("__n > 1").select("__key"))
+        if not number_of_rows(later):
+            return keyed, later
         clash = (later.groupBy("__key").count().where("count > 1").select("__key")
                  .unionAll(later.join(ids.toDF("__key"), "__key", "left_semi")))
         if clash.isEmpty():

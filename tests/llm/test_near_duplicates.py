@@ -144,3 +144,38 @@ def test_signature_estimates_similarity():
     x = np.arange(1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     one, two = minhash.signature(x[:900], a, b), minhash.signature(x[100:], a, b)
     assert abs((one == two).mean() - 0.8) < 0.1
+
+
+def test_components_take_one_query_a_round(spark, monkeypatch):
+    """Counts and checksums come with the tables as they are written."""
+    edges = [(i, i + 1) for i in range(20)] + [(40, 30), (40, 35), (50, 50)]
+    table = spark.createDataFrame(edges, "u long, v long")
+    kind = type(table)
+    with monkeypatch.context() as patched:
+        for name in ("first", "count", "collect", "isEmpty"):
+            patched.setattr(kind, name, lambda *_: pytest.fail("a query beside the rounds"))
+        found = components(table, Scratch(spark, "rounds"))
+        none = components(table.where("u > 60"), Scratch(spark, "no-rounds"))
+    want = {(i, 0) for i in range(1, 21)} | {(40, 30), (35, 30)}
+    assert {tuple(r) for r in found.collect()} == want and none.collect() == []
+
+
+def test_without_and_among(spark, tmp_path):
+    """Null ids stay in what is left, repeated rows too; a table is read twice at most, and once if no id goes."""
+    rows = [(i, f"t{i}") for i in range(50)] + [(7, "t7"), (8, "other"), (None, "none"), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, carried string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    scratch = Scratch(spark, "without-among")
+    some, no = (scratch.write(spark.createDataFrame([(i,) for i in ids], "doc_id long")) for ids in ([7, 9, 99], []))
+    order = lambda found: sorted(map(tuple, found), key=str)
+    inside = [r for r in rows if r[0] in (7, 9)]
+    assert order(without(df, some).collect()) == order(r for r in rows if r not in inside)
+    assert order(among(df, some).collect()) == order(inside)
+    assert order(without(df, no).collect()) == order(rows) and among(df, no).collect() == []
+    assert without(df, some).columns == among(df, no).columns == df.columns
+
+    def reads(found):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        return sum("Relation" in line and "carried" in line for line in plan.splitlines())
+
+    assert reads(without(without(df, some), some)) <= 4 and reads(without(df, no)) == 1
