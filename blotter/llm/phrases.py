@@ -23,13 +23,17 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.llm.common import Scratch, arrow_schema, encoded, table
 
 SEED = 42
-BLOCK_WORDS = 1 << 16
+#: words of a block, about (texts are gathered by their bytes, a longer text makes a longer block): the more, the
+#: fewer times a word or phrase is hashed, shuffled and counted
+BLOCK_WORDS = 1 << 20
+WORD_BYTES = 6
 #: bits of a phrase's hash
 HASH_BITS = 40
 #: bits of the bitmap for each frequent hash, and its size at most (2**26 bits are 8 MB)
@@ -48,32 +52,28 @@ BLOCK = "lang string, words binary, slots binary, items binary, phrases binary"
 COUNTS = "lang string, phrase string, f long"
 
 
-def occurrences(text: str | None) -> list[bytes]:
-    """Words of the text in order, ``END`` between its pieces."""
-    return encoded(text).lower().translate(_TO_END).replace(END, b" . ").split()
-
-
 class _Block:
-    """Occurrences of one language while texts are read."""
+    """Texts of one language while they are read."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = {END: 0}
-        self.items: list[np.ndarray] = []
+        self.texts: list[bytes] = []
         self.size = 0
 
-    def add(self, tokens: list[bytes]) -> None:
-        number = self.number
-        for word in set(tokens).difference(number):
-            number[word] = len(number)
-        self.items.append(np.fromiter(map(number.__getitem__, tokens), np.int32, len(tokens)))
-        self.items.append(np.zeros(1, np.int32))
-        self.size += len(tokens) + 1
+    def add(self, text: bytes) -> None:
+        self.texts.append(text)
+        self.size += len(text) + 1
 
     def row(self, lang: str):
-        items = np.concatenate(self.items)
-        slots = np.flatnonzero(items).astype(np.int32)
-        words = list(self.number)[1:]
-        return _row(lang, b" ".join(words), slots, items[slots] - 1, np.arange(len(words)))
+        """The block's row (none without a word): its different words are told apart at once."""
+        pieces = END.join(self.texts).lower().translate(_TO_END).replace(END, b" . ")
+        tokens = pc.ascii_split_whitespace(pa.array([pieces], pa.large_binary()).view(pa.large_string()))
+        coded = tokens.values.view(pa.large_binary()).dictionary_encode()
+        known = coded.dictionary.to_pylist()
+        word = np.array([w != END and w != b"" for w in known], bool)  # a first or last token may be empty
+        items = (np.cumsum(word, dtype=np.int32) - 1)[coded.indices.to_numpy()]
+        slots = np.flatnonzero(word[coded.indices.to_numpy()]).astype(np.int32)
+        words = [w for w, is_word in zip(known, word.tolist()) if is_word]
+        return _row(lang, b" ".join(words), slots, items[slots], np.arange(len(words))) if words else None
 
 
 def _row(lang: str, words: bytes, slots: np.ndarray, items: np.ndarray, phrases: np.ndarray):
@@ -91,17 +91,18 @@ def _first(docs: DataFrame) -> DataFrame:
     def run(batches):
         open_: dict[str, _Block] = {}
         for batch in batches:
-            for lang, text in zip(*(batch.column(i).to_pylist() for i in (0, 1))):
-                tokens = occurrences(text)
-                if not tokens:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()).to_pylist()):
+                if not text:
                     continue
                 block = open_.setdefault(lang, _Block())
-                block.add(tokens)
-                if sum(b.size for b in open_.values()) >= BLOCK_WORDS:
+                block.add(text)
+                if sum(b.size for b in open_.values()) >= BLOCK_WORDS * WORD_BYTES:
                     largest = max(open_, key=lambda name: open_[name].size)
-                    yield _batch([open_.pop(largest).row(largest)], schema)
+                    if row := open_.pop(largest).row(largest):
+                        yield _batch([row], schema)
         for lang, block in open_.items():
-            yield _batch([block.row(lang)], schema)
+            if row := block.row(lang):
+                yield _batch([row], schema)
 
     return docs.select("lang", "text").mapInArrow(run, BLOCK)
 
@@ -223,8 +224,10 @@ def _extended(relation: DataFrame, maybe, length: int) -> DataFrame:
             pair = items[left].astype(np.int64) * len(phrases) + items[left + 1]
             pairs, new = np.unique(pair, return_inverse=True)
             longer = np.concatenate([phrases[pairs // len(phrases)], phrases[pairs % len(phrases), -1:]], axis=1)
-            used, number = np.unique(longer, return_inverse=True)  # words no phrase holds any more leave the block
-            held = " ".join([words[i] for i in used.tolist()]).encode("utf-8", "surrogatepass")
+            used = np.zeros(len(words), bool)  # words no phrase holds any more leave the block
+            used[longer] = True
+            number = (np.cumsum(used) - 1)[longer]
+            held = " ".join([words[i] for i in np.flatnonzero(used).tolist()]).encode("utf-8", "surrogatepass")
             yield _batch([_row(lang, held, slots[left], new, number)], schema)
 
     return relation.mapInArrow(run, BLOCK)

@@ -133,3 +133,17 @@ def test_shared_hashes_only_cost_time(spark, monkeypatch):
     monkeypatch.setattr(module, "HASH_BITS", 7)
     rows = corpus(6)
     assert run(spark, rows, least=3) == sorted(plain(rows, 3, 4, 2000, 80))
+
+
+def test_a_block_is_a_million_words(spark, monkeypatch):
+    """Each different word and phrase of a block is handled once, so the blocks of a task are few, and bounded."""
+    rows = [("Alpha beta, gamma\x0bdelta " * 10_000, "xx")] * 8 + [(" \n.;", "yy"), (None, "zz")]
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    blocks = module._first(docs).toArrow().to_batches()
+    lang, words, slots, items, singles = list(module._unpacked(blocks, 1))[0]
+    assert sum(b.num_rows for b in blocks) == 1 and lang == "xx" and len(items) == 320_000
+    assert sorted(words) == ["alpha", "beta", "delta", "gamma"] and len(singles) == 4
+    assert [words[i] for i in items[:5].tolist()] == ["alpha", "beta", "gamma", "delta", "alpha"]
+    assert np.diff(slots[:5]).tolist() == [1, 2, 2, 1]
+    monkeypatch.setattr(module, "BLOCK_WORDS", 40_000)
+    assert sum(b.num_rows for b in module._first(docs).toArrow().to_batches()) == 8
