@@ -26,7 +26,8 @@ MAGIC = b"IDS1"
 SLOTS = 12            # bits of a context table's index
 FLAG_BITS, NIBBLE_BITS = 12, 12
 MAX_CONFIDENCE = 15
-_U = np.uint64
+CONFIDENCE_BITS = 4
+_TOP = 1 << 32
 
 
 def _squash_table() -> np.ndarray:
@@ -37,81 +38,86 @@ def _squash_table() -> np.ndarray:
 _SQUASH = _squash_table()
 #: logit of a 12-bit probability in units of 1/256
 _STRETCH = np.clip(np.round(256 * np.log((np.arange(4096) + 0.5) / (4095.5 - np.arange(4096)))), -2047, 2047).astype(np.int32)
-#: what a nibble's 16 cumulative frequencies move towards, by the nibble seen
-_TARGET = np.array([[(4096 - 16) * (i > s) + i for i in range(17)] for s in range(16)], np.int32)[:, 1:16]
-_EVEN = (np.arange(1, 16) * 256).astype(np.int32)
+#: what a nibble's 16 lower bounds move towards, by the nibble seen (the first stays 0)
+_TARGET = np.array([[(4096 - 16) * (i > s) + i for i in range(16)] for s in range(16)], np.int16)
+_EVEN = (np.arange(16) * 256).astype(np.int16)
 
 
 class _Model:
-    """State of all lanes."""
+    """State of all lanes.  A cell of the two context tables is an id and its confidence, in one number."""
 
     def __init__(self, lanes: int):
         n = 1 << SLOTS
-        self.lane = np.arange(lanes)
-        self.id2, self.id1 = np.zeros(lanes * n, np.uint32), np.zeros(lanes * n, np.uint32)
-        self.conf2, self.conf1 = np.zeros(lanes * n, np.uint8), np.zeros(lanes * n, np.uint8)
+        self.table = np.zeros(2 * lanes * n, np.uint32)
+        self.base = (np.arange(lanes) << SLOTS) + np.array([[0], [lanes * n]])
         self.hit = np.tile(np.concatenate([np.linspace(600, 3500, 16), np.linspace(600, 3500, 16),
                                            [1024]]).astype(np.int32), (lanes, 1)).ravel()
+        self.orders = np.arange(lanes) * 33 + np.array([[16], [0], [32]])
         self.weight = np.full((3, lanes), 1 << 15, np.int32)
         self.nibble = [np.tile(_EVEN, (lanes * k, 1)) for k in (1, 16, 256)]
         self.one, self.two = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
 
     def predict(self, a: int):
         """Candidate ids of the first ``a`` lanes and the probability (12 bits) of a hit."""
-        lane = self.lane[:a]
-        one, two = self.one[:a], self.two[:a]
-        h1 = (one * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOTS)
-        h2 = ((one * np.uint32(0x85EBCA6B) + two) * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOTS)
-        self.at1, self.at2 = (lane << SLOTS) + h1, (lane << SLOTS) + h2
-        c1, c2 = self.conf1[self.at1], self.conf2[self.at2]
-        i1, i2 = self.id1[self.at1], self.id2[self.at2]
-        self.candidate = np.where(c2 > 0, i2, i1)
-        base = lane * 33
-        self.cells = (base + c2, base + 16 + np.where(i1 == self.candidate, c1, 0), base + 32)
-        self.c1, self.c2, self.i1, self.i2 = c1, c2, i1, i2
-        self.logits = [_STRETCH[self.hit[cell]] for cell in self.cells]
-        w = self.weight[:, :a]
-        dot = (w[0] * self.logits[0] + w[1] * self.logits[1] + w[2] * self.logits[2]) >> 16
-        self.p = _SQUASH[np.clip(dot, -2048, 2047) + 2048]
-        return self.candidate, self.p
+        one = self.one[:a]
+        hashed = np.stack([one * np.uint32(0x9E3779B1), (one * np.uint32(0x85EBCA6B) + self.two[:a]) * np.uint32(0xC2B2AE35)])
+        self.at = self.base[:, :a] + (hashed >> np.uint32(32 - SLOTS))
+        self.cell = self.table.take(self.at)
+        self.confidence = self.cell & np.uint32(MAX_CONFIDENCE)
+        self.known = self.cell >> np.uint32(CONFIDENCE_BITS)
+        (c1, c2), (i1, i2) = self.confidence, self.known
+        candidate = np.where(c2 > 0, i2, i1)
+        self.cells = self.orders[:, :a].copy()
+        self.cells[0] += c1 * (i1 == candidate)
+        self.cells[1] += c2
+        self.hits = self.hit.take(self.cells)
+        self.logits = _STRETCH.take(self.hits)
+        part = self.weight[:, :a] * self.logits
+        dot = (part[0] + part[1] + part[2]) >> 16
+        self.p = _SQUASH.take(dot + 2048, mode="clip")
+        return candidate, self.p
 
     def update(self, a: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        aim = hit.astype(np.int32) * 4095
-        error = aim - self.p
-        for k in range(3):
-            self.weight[k, :a] += (self.logits[k] * error) >> 11
-            old = self.hit[self.cells[k]]
-            self.hit[self.cells[k]] = old + ((aim - old) >> 5)
-        for table, conf, at, i, c in ((self.id1, self.conf1, self.at1, self.i1, self.c1),
-                                      (self.id2, self.conf2, self.at2, self.i2, self.c2)):
-            same = (i == ids) & (c > 0)
-            weak = c < 2
-            table[at] = np.where(same | ~weak, i, ids)
-            conf[at] = np.where(same, np.minimum(c + 1, MAX_CONFIDENCE), np.where(weak, 1, c >> 1))
+        aim = hit * np.int32(4095)
+        self.weight[:, :a] += (self.logits * (aim - self.p)) >> 11
+        self.hit[self.cells] = self.hits + ((aim - self.hits) >> 5)
+        c = self.confidence
+        same = (self.known == ids) & (c > 0)
+        less = self.cell - c + (c >> np.uint32(1))
+        other = np.where(c < 2, ids << np.uint32(CONFIDENCE_BITS) | np.uint32(1), less)
+        self.table[self.at] = np.where(same, self.cell + (c < MAX_CONFIDENCE), other)
         self.two[:a] = self.one[:a]
         self.one[:a] = ids
 
 
 class _Encoder:
+    """Coded words of all lanes; ``put`` works on the state of some of them (``low``, ``range``: all lanes')."""
+
     def __init__(self, lanes: int, ids: int):
-        self.low, self.range = np.zeros(lanes, _U), np.full(lanes, (1 << 32) - 1, _U)
+        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _TOP - 1, np.int64)
         self.words, self.pos = np.zeros((lanes, ids + 16), np.uint16), np.zeros(lanes, np.int64)
 
-    def put(self, lane, start, freq, bits: int) -> None:
-        """Code the interval ``start, freq`` of ``2 ** bits`` in each lane of ``lane``."""
-        r = self.range[lane] >> _U(bits)
-        low = self.low[lane] + r * start
-        r = r * freq
-        over = np.flatnonzero(low >> _U(32))
+    def room(self) -> None:
+        """Room for the words of one more id in each lane."""
+        if self.pos.max() + 8 > self.words.shape[1]:
+            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
+
+    def put(self, lane, low, r, start, freq, bits: int):
+        """Code the interval ``start, freq`` of ``2 ** bits`` in each lane; their new ``low`` and range."""
+        r = r >> bits
+        low = low + r * start
+        r *= freq
+        over = (low >= _TOP).nonzero()[0]
         if len(over):
             self._carry(lane[over])
-            low &= _U(0xFFFFFFFF)
-        short = np.flatnonzero(r < _U(1 << 16))
+            low[over] -= _TOP
+        short = (r < 1 << 16).nonzero()[0]
         if len(short):
-            self._emit(lane[short], low[short] >> _U(16))
-            low[short] = (low[short] & _U(0xFFFF)) << _U(16)
-            r[short] <<= _U(16)
-        self.low[lane], self.range[lane] = low, r
+            some = low.take(short)
+            self._emit(lane.take(short), some >> 16)
+            low[short] = (some & 0xFFFF) << 16
+            r[short] <<= 16
+        return low, r
 
     def _carry(self, lane) -> None:
         at = self.pos[lane] - 1
@@ -121,74 +127,82 @@ class _Encoder:
             lane, at = lane[again], at[again] - 1
 
     def _emit(self, lane, word) -> None:
-        at = self.pos[lane]
-        if at.max() >= self.words.shape[1]:
-            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-        self.words[lane, at] = word
+        at = self.pos.take(lane)
+        self.words.reshape(-1)[lane * self.words.shape[1] + at] = word
         self.pos[lane] = at + 1
 
     def finish(self) -> list[bytes]:
         every = np.arange(len(self.pos))
-        self._emit(every, self.low >> _U(16))
-        self._emit(every, self.low & _U(0xFFFF))
+        self.room()
+        self._emit(every, self.low >> 16)
+        self._emit(every, self.low & 0xFFFF)
         return [w[:n].astype("<u2").tobytes() for w, n in zip(self.words, self.pos)]
 
 
 class _Decoder:
+    """Words of all lanes; ``value`` and ``take`` work on the state of some (``code``, ``range``: all lanes')."""
+
     def __init__(self, payloads: list[bytes]):
         longest = max(map(len, payloads)) // 2 + 2
         self.words = np.zeros((len(payloads), longest), np.uint16)
         for i, p in enumerate(payloads):
             self.words[i, :len(p) // 2] = np.frombuffer(p, "<u2")
-        self.code = self.words[:, 0].astype(_U) << _U(16) | self.words[:, 1].astype(_U)
-        self.range = np.full(len(payloads), (1 << 32) - 1, _U)
+        self.code = self.words[:, 0].astype(np.int64) << 16 | self.words[:, 1].astype(np.int64)
+        self.range = np.full(len(payloads), _TOP - 1, np.int64)
         self.pos = np.full(len(payloads), 2, np.int64)
 
-    def value(self, lane, bits: int):
-        self.part = self.range[lane] >> _U(bits)
-        return np.minimum(self.code[lane] // self.part, _U((1 << bits) - 1))
+    @staticmethod
+    def value(code, part, bits: int):
+        # both are below 2**32, so the double nearest to the quotient has its whole part
+        return np.minimum((code / part).astype(np.int64), (1 << bits) - 1)
 
-    def take(self, lane, start, freq) -> None:
-        code, r = self.code[lane] - self.part * start, self.part * freq
-        short = np.flatnonzero(r < _U(1 << 16))
+    def take(self, lane, code, part, start, freq):
+        code, r = code - part * start, part * freq
+        short = (r < 1 << 16).nonzero()[0]
         if len(short):
-            where = lane[short]
-            at = self.pos[where]
-            code[short] = code[short] << _U(16) | self.words[where, np.minimum(at, self.words.shape[1] - 1)]
-            r[short] <<= _U(16)
+            where = lane.take(short)
+            at, width = self.pos.take(where), self.words.shape[1]
+            word = self.words.reshape(-1).take(where * width + np.minimum(at, width - 1))
+            code[short] = (code.take(short) << 16 | word) & (_TOP - 1)  # only a damaged payload has more bits
+            r[short] <<= 16
             self.pos[where] = at + 1
-        self.code[lane], self.range[lane] = code, r
+        return code, r
 
 
 def _nibbles(model: _Model, lane, bits: int, ids=None, encoder=None, decoder=None):
     """Code the ids of the lanes that missed (or return them, decoding)."""
     known = np.zeros(len(lane), np.int64)
+    row = np.arange(len(lane)) << 4
     shift = bits
+    low, r = (encoder.low if encoder else decoder.code).take(lane), (encoder or decoder).range.take(lane)
     for k, table in enumerate(model.nibble):
         shift -= 4
         at = lane * 16 ** k + known
-        cdf = table[at]
+        cdf = table.take(at, axis=0)
         if encoder:
             s = (ids >> shift) & 15
         else:
-            v = decoder.value(lane, NIBBLE_BITS).astype(np.int32)
-            s = (cdf <= v[:, None]).sum(axis=1)
-        row = np.arange(len(lane))
-        start = np.where(s > 0, cdf[row, np.maximum(s, 1) - 1], 0)
-        end = np.where(s < 15, cdf[row, np.minimum(s, 14)], 1 << NIBBLE_BITS)
+            part = r >> NIBBLE_BITS
+            v = decoder.value(low, part, NIBBLE_BITS).astype(np.int16)
+            below = np.bitwise_count((cdf <= v[:, None]).view(np.uint64))
+            s = below[:, 0].astype(np.int64) + below[:, 1] - 1
+        start = cdf.take(row + s).astype(np.int64)
+        # the bound after a row's last one is the next row's first, 0, which stands for 4096
+        freq = cdf.take(row + s + 1, mode="clip").astype(np.int64)
+        freq = np.where(s < 15, freq, 1 << NIBBLE_BITS) - start
         if encoder:
-            encoder.put(lane, start.astype(_U), (end - start).astype(_U), NIBBLE_BITS)
+            low, r = encoder.put(lane, low, r, start, freq, NIBBLE_BITS)
         else:
-            decoder.take(lane, start.astype(_U), (end - start).astype(_U))
-        table[at] = cdf + ((_TARGET[s] - cdf) >> 4)
+            low, r = decoder.take(lane, low, part, start, freq)
+        table[at] = cdf + ((_TARGET.take(s, axis=0) - cdf) >> 4)
         known = known << 4 | s
-    one = np.ones(len(lane), _U)
     if encoder:
-        encoder.put(lane, (ids & ((1 << shift) - 1)).astype(_U), one, shift)
+        encoder.low[lane], encoder.range[lane] = encoder.put(lane, low, r, ids & ((1 << shift) - 1), 1, shift)
         return ids
-    low = decoder.value(lane, shift)
-    decoder.take(lane, low, one)
-    return known << shift | low.astype(np.int64)
+    part = r >> shift
+    last = decoder.value(low, part, shift)
+    decoder.code[lane], decoder.range[lane] = decoder.take(lane, low, part, last, 1)
+    return known << shift | last
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -204,14 +218,15 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         grid = np.zeros((lanes, block), np.int64)
         grid.ravel()[:len(ids)] = ids
         grid = np.ascontiguousarray(grid.T)
-        model, out = _Model(lanes), _Encoder(lanes, block)
+        model, out, lane = _Model(lanes), _Encoder(lanes, block), np.arange(lanes)
         for t in range(sizes[0]):
             a = lanes if t < sizes[-1] else lanes - 1
             now = grid[t, :a]
             candidate, p = model.predict(a)
             hit = candidate == now
-            start = np.where(hit, 0, p).astype(_U)
-            out.put(model.lane[:a], start, np.where(hit, p, (1 << FLAG_BITS) - p).astype(_U), FLAG_BITS)
+            out.room()
+            out.low[:a], out.range[:a] = out.put(lane[:a], out.low[:a], out.range[:a], np.where(hit, 0, p),
+                                                 np.where(hit, p, (1 << FLAG_BITS) - p), FLAG_BITS)
             missed = np.flatnonzero(~hit)
             if len(missed):
                 _nibbles(model, missed, bits, ids=now[missed], encoder=out)
@@ -238,15 +253,15 @@ def decode(frame: bytes) -> np.ndarray:
         at += size
     sizes = [n for n, _, _ in heads]
     grid = np.zeros((sizes[0], lanes), np.uint32)
-    model, source = _Model(lanes), _Decoder(payloads)
+    model, source, lane = _Model(lanes), _Decoder(payloads), np.arange(lanes)
     for t in range(sizes[0]):
         a = lanes if t < sizes[-1] else lanes - 1
-        lane = model.lane[:a]
         candidate, p = model.predict(a)
-        p = p.astype(_U)
-        hit = source.value(lane, FLAG_BITS) < p
-        source.take(lane, np.where(hit, _U(0), p), np.where(hit, p, _U(1 << FLAG_BITS) - p))
-        now = candidate.copy()
+        part = source.range[:a] >> FLAG_BITS
+        hit = source.value(source.code[:a], part, FLAG_BITS) < p
+        source.code[:a], source.range[:a] = source.take(lane[:a], source.code[:a], part, np.where(hit, 0, p),
+                                                        np.where(hit, p, (1 << FLAG_BITS) - p))
+        now = candidate
         missed = np.flatnonzero(~hit)
         if len(missed):
             now[missed] = _nibbles(model, missed, bits, decoder=source)

@@ -20,6 +20,7 @@ from blotter.llm.common import Scratch, arrow_schema, give_back_memory, id_and_t
 from blotter.llm.tokens import END_ID, encoder, public_path
 
 FRAME_IDS = 1 << 22
+PREFIX = 16  # signs of a text that tell rows of one id apart where ranges are cut
 FRAMES = "part long, frame long, n_ids long, doc_ids array<long>, lengths array<long>, coded binary"
 
 
@@ -58,8 +59,14 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         del ids, blobs
         give_back_memory()
 
-    (id_and_text(docs).orderBy("doc_id", "text").mapInArrow(run, FRAMES)
-     .write.option("compression", "none").parquet(path))
+    in_order(docs).mapInArrow(run, FRAMES).write.option("compression", "none").parquet(path)
+
+
+def in_order(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` by id, then text.  Ranges are cut by ids and the texts' first signs, as the sample that
+    finds the cuts goes to the driver."""
+    return (id_and_text(docs).repartitionByRange("doc_id", F.substring("text", 1, PREFIX))
+            .sortWithinPartitions("doc_id", "text"))
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

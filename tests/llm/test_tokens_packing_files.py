@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from blotter.llm import idcoder
+from blotter.llm import idcoder, token_files
 from blotter.llm.packing import assign, pack, rooms
 from blotter.llm.token_files import read_ids, write_ids
 from blotter.llm.tokens import Encoder, public_path
@@ -150,6 +150,38 @@ def test_blocks_are_independent():
     assert one[9 + 12:] in both
 
 
+def mixed_ids(n, top=49408):
+    """Ids of a fixed formula: some seldom, some often, many after the same others."""
+    i = np.arange(n, dtype=np.int64)
+    return np.where(i * 2654435761 % 97 < 40, i * i % top, i * i % 23)
+
+
+#: number of ids, block, ids below, CRC-32 of the frame
+FRAMES = [(0, 4, 9, 2215959877), (1, 4, 9, 1131074525), (5000, 64, 49408, 2515693669), (9000, 4096, 16777216, 871264836), (3000, 3000, 70000, 4025471130)]
+
+
+def test_frames_keep_their_bytes():
+    """Files written earlier are still read: frames are what the first version of the coder wrote."""
+    for n, block, top, crc in FRAMES:
+        frame = idcoder.encode(mixed_ids(n, top), block)
+        assert zlib.crc32(frame) == crc and (idcoder.decode(frame) == mixed_ids(n, top)).all()
+
+
+def test_a_lane_is_small():
+    """A lane's ids and confidences are one number a cell, its nibbles' bounds 16 bits each."""
+    held = [v for v in vars(idcoder._Model(64)).values() for v in (v if isinstance(v, list) else [v])]
+    assert sum(v.nbytes for v in held) < 64 * 45_000
+
+
+def test_any_damage_is_a_value_error():
+    frame = idcoder.encode(mixed_ids(3000), 500)
+    for at in range(9 + 12 * 6, len(frame), 97):
+        broken = bytearray(frame)
+        broken[at] ^= 1 << at % 8
+        with pytest.raises(ValueError):
+            idcoder.decode(bytes(broken))
+
+
 def test_files_round_trip(spark, docs_of, library, tmp_path):
     rows = [(i * 7 % 31, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (2, "same id"), (2, "same id")]
     path = str(tmp_path / "ids")
@@ -170,6 +202,17 @@ def test_files_round_trip(spark, docs_of, library, tmp_path):
     assert read_ids(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_ranges_are_cut_without_whole_texts(spark, docs_of):
+    """The sample for the cuts goes to the driver, so it holds the first signs of texts alone."""
+    rnd = random.Random(4)
+    texts = ["same first signs of " + "all texts " * 30 + str(i) for i in range(40)] + ["", None, "\u00e9" * 20, "\U0001F602" * 17, "z", "same"]
+    rows = [(rnd.choice([None, 1, 1, 1, 2, 3, -4]), t) for t in texts * 3]
+    got = token_files.in_order(docs_of(rows).repartition(5))
+    assert "text ASC" not in got._jdf.queryExecution().executedPlan().toString().split("rangepartitioning(")[1].split("\n")[0]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())
+    assert [tuple(r) for r in got.collect()] == sorted(rows, key=key)
+
+
 def test_a_task_takes_few_rows_and_leaves_nothing(spark, monkeypatch):
     """A worker outlives its task: no words are kept, and what is free is given back."""
     import types
